@@ -113,3 +113,189 @@ def q_impute_columns(spark, sf):
     out = impute.impute_normalize_columns(fx.f1_wide(spark, sf), "id",
                                           exclude=["label", "year"])
     return out.select("id", *[r6(c).alias(c) for c in out.columns if c != "id"])
+
+
+# ---------------------------------------------------------------- array rows
+from sparkprep.functions.arrays import filter_array_at_index  # noqa: E402
+from sparkprep.operators import arrays as arr_ops  # noqa: E402
+from sparkprep.plans import oracle_sql as osql  # noqa: E402
+from sparkprep.plans.rounding import sig, sig_sql  # noqa: E402
+
+F3_COLS = ["x1", "x2", "x3", "x4"]
+F4_COLS = ["x1", "x2", "x3", "x4", "x5"]
+
+
+def _vectors_sql(exact=False, nulls=False, cols=None):
+    return fx.to_vectors_sql(fx.f3_sql(exact, nulls), cols or F3_COLS)
+
+
+def _filter_index_sql() -> str:
+    return f"""
+    SELECT id, CAST(CASE WHEN k < 2 THEN k ELSE k - 1 END AS BIGINT) AS pos,
+           feature_names[k] AS feature_name, {r6_sql('features[k]')} AS feature
+    FROM (SELECT id, feature_names, features, unnest(generate_series(1, len(features))) AS k
+          FROM ({_vectors_sql()})) WHERE k <> 2"""
+
+
+@query("filter_array_at_index", _filter_index_sql)
+def q_filter_index(spark, sf):
+    v = fx.to_vectors(fx.f3_collinear(spark, sf), "id", F3_COLS)
+    out = v.select("id", filter_array_at_index("feature_names", 2).alias("n"),
+                   filter_array_at_index("features", 2).alias("x"))
+    return explode_vector(out, ["id"], {"feature_name": "n", "feature": "x"},
+                          round_cols={"feature": r6})
+
+
+def _assemble_sql() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT id, {j + 1} AS pos, '{c}' AS feature_name, CAST({c} AS DOUBLE) AS feature FROM ({fx.f3_sql()})"
+        for j, c in enumerate(F3_COLS))
+    return (f"SELECT id, CAST(pos AS BIGINT) AS pos, feature_name, {r6_sql('feature')} AS feature "
+            f"FROM ({parts})")
+
+
+@query("assemble_features", _assemble_sql)
+def q_assemble(spark, sf):
+    v = arr_ops.assemble_features(fx.f3_collinear(spark, sf), "id", F3_COLS)
+    return explode_vector(v, ["id"], {"feature_name": "feature_names", "feature": "features"},
+                          round_cols={"feature": r6})
+
+
+def _split_target_sql() -> str:
+    return f"""
+    SELECT id, {r6_sql('features[3]')} AS target,
+           CAST(CASE WHEN k < 3 THEN k ELSE k - 1 END AS BIGINT) AS pos,
+           {r6_sql('features[k]')} AS feature
+    FROM (SELECT id, features, unnest(generate_series(1, len(features))) AS k
+          FROM ({_vectors_sql()})) WHERE k <> 3"""
+
+
+@query("split_target", _split_target_sql)
+def q_split_target(spark, sf):
+    v = fx.to_vectors(fx.f3_collinear(spark, sf), "id", F3_COLS)
+    out = arr_ops.split_target(v, "id", "features", 3).withColumn("target", r6("target"))
+    return explode_vector(out, ["id", "target"], {"feature": "features"},
+                          round_cols={"feature": r6})
+
+
+# ---------------------------------------------------------- Gram, OLS, VIF
+from sparkprep.operators import gram as gram_ops, linear, vif  # noqa: E402
+
+
+def _gram_sql() -> str:
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in F3_COLS)
+    lg = " UNION ALL ".join(f"SELECT id, {j + 1} AS j, CAST({c} AS DOUBLE) AS v FROM f"
+                            for j, c in enumerate(F3_COLS))
+    return f"""
+    WITH f AS (SELECT * FROM ({fx.f3_sql()}) WHERE {nn}), lg AS ({lg})
+    SELECT CAST(a.j AS BIGINT) AS i, CAST(b.j AS BIGINT) AS j, CAST(count(*) AS BIGINT) AS n,
+           {sig_sql('sum(a.v)')} AS sum_i, {sig_sql('sum(a.v * b.v)')} AS xtx
+    FROM lg a JOIN lg b ON a.id = b.id GROUP BY a.j, b.j"""
+
+
+@query("gram_matrix", _gram_sql)
+def q_gram(spark, sf):
+    g = gram_ops.gram_matrix(fx.f3_collinear(spark, sf), F3_COLS)
+    return g.select("i", "j", "n", sig("sum_i").alias("sum_i"), sig("xtx").alias("xtx"))
+
+
+def _linregr_sql() -> str:
+    inner = osql.linregr_sql(fx.f3_sql(), "x3", ["x1", "x2", "x4"])
+    return f"SELECT idx, {r6_sql('coef')} AS coef, {r6_sql('r2')} AS r2, num_rows FROM ({inner})"
+
+
+@query("linregr_train", _linregr_sql)
+def q_linregr(spark, sf):
+    out = linear.linregr(fx.f3_collinear(spark, sf), "x3", ["x1", "x2", "x4"])
+    return (out.select(F.posexplode("coef").alias("p", "c"), "r2", "num_rows")
+            .select((F.col("p") + 1).cast("long").alias("idx"), r6("c").alias("coef"),
+                    r6("r2").alias("r2"), "num_rows"))
+
+
+def _vif_scores_sql() -> str:
+    inner = osql.vif_steps_sql(fx.f3_sql(), F3_COLS, 10.0, 1, scores_only=True)
+    return f"SELECT feature, {sig_sql('vif')} AS vif FROM ({inner})"
+
+
+@query("vif_scores", _vif_scores_sql)
+def q_vif_scores(spark, sf):
+    return vif.vif_scores(fx.f3_collinear(spark, sf), F3_COLS).select(
+        "feature", sig("vif").alias("vif"))
+
+
+def _steps_out(steps_df):
+    return steps_df.select(F.col("step").cast("long").alias("step"), "feature_w_max_vif",
+                           sig("vif").alias("vif"), "discarded")
+
+
+def _steps_sql(inner: str) -> str:
+    return (f"SELECT CAST(step AS BIGINT) AS step, feature_w_max_vif, {sig_sql('vif')} AS vif, "
+            f"discarded FROM ({inner})")
+
+
+@query("vif_select_columns",
+       lambda: _steps_sql(osql.vif_steps_sql(fx.f3_sql(exact=True), F4_COLS, 10.0, 10)))
+def q_vif_columns(spark, sf):
+    res = vif.vif_select_columns(fx.f3_collinear(spark, sf, exact=True), "id",
+                                 threshold=10.0, num_steps=10)
+    return _steps_out(res.steps)
+
+
+@query("vif_select_vectors",
+       lambda: _steps_sql(osql.vif_steps_sql(fx.f3_sql(exact=True, nulls=True), F4_COLS, 10.0, 20)))
+def q_vif_vectors(spark, sf):
+    v = fx.to_vectors(fx.f3_collinear(spark, sf, exact=True, nulls=True), "id", F4_COLS)
+    res = vif.vif_select_vectors(v, "id", "feature_names", "features",
+                                 threshold=10.0, num_steps=20)
+    return _steps_out(res.steps)
+
+
+# ---------------------------------------------------------- grouped ridge
+def r4(x):
+    return F.round(F.col(x) if isinstance(x, str) else x, 4) + F.lit(0.0)
+
+
+def r4_sql(x: str) -> str:
+    return f"(round(CAST({x} AS DOUBLE), 4) + 0.0)"
+
+
+def _ridge_out(df, key, extra=()):
+    return (df.select(key, *extra, F.posexplode("coef").alias("p", "c"), "intercept", "r_square")
+            .select(key, *extra, (F.col("p") + 1).cast("long").alias("idx"), r4("c").alias("coef"),
+                    r4("intercept").alias("intercept"), r6("r_square").alias("r_square")))
+
+
+def _ridge_sql_out(inner: str, key: str, extra: str = "") -> str:
+    return (f"SELECT {key}{extra}, idx, {r4_sql('coef')} AS coef, {r4_sql('intercept')} AS intercept, "
+            f"{r6_sql('r_square')} AS r_square FROM ({inner})")
+
+
+@query("ridge_by_group", lambda: _ridge_sql_out(
+    osql.ridge_sql(fx.F9_SQL, "model", ["features[1]", "features[2]", "features[3]"], "label", 0.5),
+    "model"))
+def q_ridge(spark, sf):
+    out = linear.ridge_by_group(fx.f9_lineitem(spark, sf), "model", "features", "label",
+                                alpha=0.5, p=3)
+    return _ridge_out(out, "model")
+
+
+GT_SQL = ("SELECT o_orderpriority, [CAST(o_custkey % 100 AS DOUBLE), CAST(o_orderkey % 7 AS DOUBLE)]"
+          " AS features, o_totalprice AS label FROM orders")
+
+
+@query("grouped_train", lambda: _ridge_sql_out(
+    osql.ridge_sql(GT_SQL, "o_orderpriority", ["features[1]", "features[2]"], "label", 0.5),
+    "o_orderpriority"))
+def q_grouped_train(spark, sf):
+    from sparkprep.sources.tables import read_table
+    o = read_table(spark, sf, "orders").select(
+        "o_orderpriority",
+        F.array((F.col("o_custkey") % 100).cast("double"),
+                (F.col("o_orderkey") % 7).cast("double")).alias("features"),
+        F.col("o_totalprice").alias("label"))
+    schema = ("o_orderpriority string, hostname string, coef array<double>, "
+              "intercept double, r_square double")
+    out = linear.grouped_train(o, "o_orderpriority",
+                               linear.streaming_ridge_trainer("o_orderpriority", "features", "label", 0.5),
+                               schema)
+    return _ridge_out(out, "o_orderpriority")
