@@ -165,3 +165,88 @@ def ridge_sql(src_sql: str, key: str, features: list[str], label: str, alpha: fl
            1.0 - (yy.yy - 2.0 * xy.xyw + q.wxxw) / yy.yy AS r_square{extra_select}
     FROM wv JOIN fit USING (g) JOIN q USING (g) JOIN xy USING (g) JOIN yy USING (g)
     {extra_group_cols}""")
+
+
+# ------------------------------------------------------------------ K-means
+def _d2(a: str, b: str) -> str:
+    return f"list_sum(list_transform({a}, lambda v, i: (v - {b}[i]) * (v - {b}[i])))"
+
+
+def kmeans_seed_ctes(points: str, ks: list[int], init: str, seed: int) -> list[str]:
+    """CTEs ending in ``c0(k, cid, c)``: initial centroids of every K."""
+    from sparkprep.functions.hashing import hash_uniform_sql
+    kmax = max(ks)
+    klist = ", ".join(str(k) for k in ks)
+    ctes = [f"ks AS MATERIALIZED (SELECT unnest([{klist}]) AS k)"]
+    if init == "random":
+        u = hash_uniform_sql("id", seed=seed)
+        ctes.append(f"rk AS MATERIALIZED (SELECT id, x, row_number() OVER (ORDER BY u, id) AS rn "
+                    f"FROM (SELECT id, x, {u} AS u FROM {points}))")
+        ctes.append("c0 AS MATERIALIZED (SELECT ks.k, CAST(rk.rn - 1 AS INTEGER) AS cid, rk.x AS c "
+                    "FROM ks JOIN rk ON rk.rn <= ks.k)")
+        return ctes
+    for r in range(1, kmax + 1):
+        u = hash_uniform_sql("p.id", str(r), seed=seed)
+        if r == 1:
+            ctes.append(f"pp1 AS MATERIALIZED (SELECT 0 AS cid, x FROM (SELECT p.id, p.x, -ln({u}) AS key "
+                        f"FROM {points} p) ORDER BY key, id LIMIT 1)")
+        else:
+            prev = " UNION ALL ".join(f"SELECT cid, x FROM pp{q}" for q in range(1, r))
+            ctes.append(
+                f"pp{r} AS MATERIALIZED (SELECT {r - 1} AS cid, x FROM ("
+                f"SELECT p.id, p.x, -ln(min({u})) / min({_d2('p.x', 'ch.x')}) AS key "
+                f"FROM {points} p, ({prev}) ch GROUP BY p.id, p.x "
+                f"HAVING min({_d2('p.x', 'ch.x')}) > 0) ORDER BY key, id LIMIT 1)")
+    allpp = " UNION ALL ".join(f"SELECT cid, x FROM pp{q}" for q in range(1, kmax + 1))
+    ctes.append(f"c0 AS MATERIALIZED (SELECT ks.k, CAST(s.cid AS INTEGER) AS cid, s.x AS c "
+                f"FROM ks JOIN ({allpp}) s ON s.cid < ks.k)")
+    return ctes
+
+
+def kmeans_sql(points_sql: str, ks: list[int], init: str = "random", max_iter: int = 60,
+               min_frac: float = 0.001, seed: int = 42, output: str = "summary") -> str:
+    """Unrolled Lloyd iterations for all K at once. ``points_sql`` yields
+    ``(id, x double[])``. ``output``: ``summary`` (``num_clusters, objective_fn,
+    frac_reassigned, num_iterations, simple_silhouette``, unrounded) or
+    ``centroids`` (``num_clusters, cid, dim, value``)."""
+    ctes = [f"pts AS MATERIALIZED (SELECT id, x FROM ({points_sql}) WHERE x IS NOT NULL "
+            f"AND list_count(x) = len(x))"]
+    ctes += kmeans_seed_ctes("pts", ks, init, seed)
+    ctes.append("st0 AS MATERIALIZED (SELECT k, FALSE AS done, 0 AS iters, 1.0 AS frac FROM ks)")
+    for t in range(1, max_iter + 1):
+        ctes.append(f"dist{t} AS MATERIALIZED (SELECT c.k, p.id, c.cid, {_d2('p.x', 'c.c')} AS d "
+                    f"FROM pts p, c{t - 1} c JOIN st{t - 1} s ON s.k = c.k WHERE NOT s.done)")
+        ctes.append(f"a{t} AS MATERIALIZED (SELECT k, id, first(cid ORDER BY d, cid) AS cid "
+                    f"FROM dist{t} GROUP BY k, id)")
+        ctes.append(f"ud{t} AS MATERIALIZED (SELECT a.k, a.cid, g.i, sum(p.x[g.i]) / count(*) AS v "
+                    f"FROM a{t} a JOIN pts p ON p.id = a.id, range(1, len(p.x) + 1) g(i) "
+                    f"GROUP BY a.k, a.cid, g.i)")
+        ctes.append(f"u{t} AS MATERIALIZED (SELECT k, cid, list(v ORDER BY i) AS c FROM ud{t} "
+                    f"GROUP BY k, cid)")
+        if t == 1:
+            ctes.append(f"fr{t} AS MATERIALIZED (SELECT k, 1.0 AS frac FROM ks)")
+        else:
+            ctes.append(f"fr{t} AS MATERIALIZED (SELECT a.k, avg(CASE WHEN a.cid <> b.cid THEN 1.0 "
+                        f"ELSE 0.0 END) AS frac FROM a{t} a JOIN a{t - 1} b ON a.k = b.k AND a.id = b.id "
+                        f"GROUP BY a.k)")
+        ctes.append(f"st{t} AS MATERIALIZED (SELECT s.k, "
+                    f"CASE WHEN s.done THEN TRUE ELSE (fr.frac <= {min_frac!r} OR {t} >= {max_iter}) END AS done, "
+                    f"CASE WHEN s.done THEN s.iters ELSE {t} END AS iters, "
+                    f"CASE WHEN s.done THEN s.frac ELSE fr.frac END AS frac "
+                    f"FROM st{t - 1} s LEFT JOIN fr{t} fr ON fr.k = s.k)")
+        ctes.append(f"c{t} AS MATERIALIZED (SELECT c.k, c.cid, CASE WHEN s.done OR u.c IS NULL "
+                    f"THEN c.c ELSE u.c END AS c FROM c{t - 1} c JOIN st{t - 1} s ON s.k = c.k "
+                    f"LEFT JOIN u{t} u ON u.k = c.k AND u.cid = c.cid)")
+    last = max_iter
+    if output == "centroids":
+        return ("WITH " + ",\n".join(ctes) +
+                f"\nSELECT k AS num_clusters, cid, CAST(g.i AS BIGINT) AS dim, c[g.i] AS value "
+                f"FROM c{last}, range(1, len(c) + 1) g(i)")
+    ctes.append(f"fd AS MATERIALIZED (SELECT c.k, p.id, list_sort(list({_d2('p.x', 'c.c')})) AS ds "
+                f"FROM pts p, c{last} c GROUP BY c.k, p.id)")
+    return ("WITH " + ",\n".join(ctes) + f"""
+    SELECT s.k AS num_clusters, sc.obj AS objective_fn, s.frac AS frac_reassigned,
+           s.iters AS num_iterations, sc.sil AS simple_silhouette
+    FROM st{last} s JOIN (SELECT k, sum(ds[1]) AS obj,
+        avg(CASE WHEN len(ds) < 2 THEN NULL WHEN ds[2] = 0 THEN 0.0
+                 ELSE (ds[2] - ds[1]) / ds[2] END) AS sil FROM fd GROUP BY k) sc ON sc.k = s.k""")

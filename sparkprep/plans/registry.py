@@ -299,3 +299,137 @@ def q_grouped_train(spark, sf):
                                linear.streaming_ridge_trainer("o_orderpriority", "features", "label", 0.5),
                                schema)
     return _ridge_out(out, "o_orderpriority")
+
+
+# ------------------------------------------------------------------ K-means
+from sparkprep.functions.arrays import closest_columns  # noqa: E402
+from sparkprep.functions.hashing import hash_uniform, hash_uniform_sql  # noqa: E402
+from sparkprep.operators import kmeans as km  # noqa: E402
+
+SWEEP_KS = [8, 12, 16, 20, 24, 28, 32, 36]
+
+
+def _km_summary(df):
+    return df.select(F.col("num_clusters").cast("long").alias("num_clusters"),
+                     sig("objective_fn").alias("objective_fn"),
+                     r6("frac_reassigned").alias("frac_reassigned"),
+                     F.col("num_iterations").cast("long").alias("num_iterations"),
+                     r6("simple_silhouette").alias("simple_silhouette"))
+
+
+def _km_summary_sql(inner: str, extra: str = "") -> str:
+    return (f"SELECT {extra}CAST(num_clusters AS BIGINT) AS num_clusters, "
+            f"{sig_sql('objective_fn')} AS objective_fn, {r6_sql('frac_reassigned')} AS frac_reassigned, "
+            f"CAST(num_iterations AS BIGINT) AS num_iterations, "
+            f"{r6_sql('simple_silhouette')} AS simple_silhouette FROM ({inner})")
+
+
+def _points(spark, sf):
+    return fx.f7_points(spark, sf)
+
+
+@query("kmeans_random", lambda: _km_summary_sql(
+    osql.kmeans_sql(fx.F7_SQL.replace("vec_id,", "vec_id AS id,"), [8], "random")))
+def q_kmeans_random(spark, sf):
+    return _km_summary(km.kmeans(_points(spark, sf), "vec_id", "x", 8, init="random"))
+
+
+@query("kmeanspp", lambda: _km_summary_sql(
+    osql.kmeans_sql(fx.F7_SQL.replace("vec_id,", "vec_id AS id,"), [8], "kmeanspp")))
+def q_kmeanspp(spark, sf):
+    return _km_summary(km.kmeans(_points(spark, sf), "vec_id", "x", 8, init="kmeanspp"))
+
+
+@query("kmeans_random_centroids", lambda: (
+    "SELECT CAST(num_clusters AS BIGINT) AS num_clusters, CAST(cid AS BIGINT) AS cid, dim, "
+    f"{r6_sql('value')} AS value FROM ("
+    + osql.kmeans_sql(fx.F7_SQL.replace("vec_id,", "vec_id AS id,"), [8], "random", output="centroids")
+    + ")"))
+def q_kmeans_centroids(spark, sf):
+    res = km.kmeans(_points(spark, sf), "vec_id", "x", 8, init="random")
+    return (res.select("num_clusters", F.posexplode("centroids").alias("cid", "c"))
+            .select(F.col("num_clusters").cast("long").alias("num_clusters"),
+                    F.col("cid").cast("long").alias("cid"), F.posexplode("c").alias("p", "v"))
+            .select("num_clusters", "cid", (F.col("p") + 1).cast("long").alias("dim"),
+                    r6("v").alias("value")))
+
+
+@query("kmeans_sweep", lambda: _km_summary_sql(
+    osql.kmeans_sql(fx.F7_SQL.replace("vec_id,", "vec_id AS id,"), SWEEP_KS, "random")))
+def q_kmeans_sweep(spark, sf):
+    return _km_summary(km.kmeans_sweep(_points(spark, sf), "vec_id", "x", SWEEP_KS, init="random"))
+
+
+def _compare_sql() -> str:
+    pts = fx.F7_SQL.replace("vec_id,", "vec_id AS id,")
+    a = _km_summary_sql(osql.kmeans_sql(pts, SWEEP_KS, "random"), "'kmeans_random' AS algo_type, ")
+    b = _km_summary_sql(osql.kmeans_sql(pts, SWEEP_KS, "kmeanspp"), "'kmeans++' AS algo_type, ")
+    return f"{a} UNION ALL {b}"
+
+
+@query("kmeans_compare", _compare_sql)
+def q_kmeans_compare(spark, sf):
+    pts = _points(spark, sf)
+    a = km.kmeans_sweep(pts, "vec_id", "x", SWEEP_KS, init="random")
+    b = km.kmeans_sweep(pts, "vec_id", "x", SWEEP_KS, init="kmeanspp")
+    out = km.kmeans_compare(a, b)
+    return out.select("algo_type", F.col("num_clusters").cast("long").alias("num_clusters"),
+                   sig("objective_fn").alias("objective_fn"),
+                   r6("frac_reassigned").alias("frac_reassigned"),
+                   F.col("num_iterations").cast("long").alias("num_iterations"),
+                   r6("simple_silhouette").alias("simple_silhouette"))
+
+
+def _seed_model(points, k: int, seed: int = 42):
+    """One row ``num_clusters, centroids``: the k points with the smallest hash."""
+    top = (points.select("x", hash_uniform("vec_id", seed=seed).alias("u"), "vec_id")
+           .orderBy("u", "vec_id").limit(k))
+    return top.agg(F.transform(F.array_sort(F.collect_list(F.struct("u", "vec_id", "x"))),
+                               lambda s: s["x"]).alias("centroids")).select(
+        F.lit(k).alias("num_clusters"), "centroids")
+
+
+def _seed_sql(k: int) -> str:
+    u = hash_uniform_sql("vec_id", seed=42)
+    return (f"SELECT CAST(row_number() OVER (ORDER BY u, vec_id) - 1 AS INTEGER) AS cid, x FROM "
+            f"(SELECT vec_id, x, {u} AS u FROM ({fx.F7_SQL}) ORDER BY u, vec_id LIMIT {k})")
+
+
+def _closest_sql() -> str:
+    return f"""
+    WITH s AS ({_seed_sql(8)}),
+    dd AS (SELECT p.vec_id, list_sort(list(struct_pack(d := {osql._d2('p.x', 's.x')}, i := s.cid))) AS ds
+           FROM ({fx.F7_SQL}) p, s GROUP BY p.vec_id)
+    SELECT vec_id, CAST(ds[1].i AS BIGINT) AS id1, CAST(ds[2].i AS BIGINT) AS id2,
+           {r6_sql('ds[1].d')} AS d1, {r6_sql('ds[2].d')} AS d2 FROM dd"""
+
+
+@query("closest_columns", _closest_sql)
+def q_closest(spark, sf):
+    pts = _points(spark, sf)
+    model = _seed_model(pts, 8)
+    cc = closest_columns(F.col("centroids"), F.col("x"), 2)
+    out = pts.crossJoin(F.broadcast(model)).select("vec_id", cc.alias("r"))
+    return out.select("vec_id", F.col("r.column_ids")[0].cast("long").alias("id1"),
+                      F.col("r.column_ids")[1].cast("long").alias("id2"),
+                      r6(F.col("r.distances")[0]).alias("d1"), r6(F.col("r.distances")[1]).alias("d2"))
+
+
+def _silhouette_sql() -> str:
+    parts = []
+    for k in (4, 8):
+        parts.append(f"""SELECT {k} AS num_clusters, avg(CASE WHEN ds[2] = 0 THEN 0.0
+              ELSE (ds[2] - ds[1]) / ds[2] END) AS sil FROM (
+            SELECT p.vec_id, list_sort(list({osql._d2('p.x', 's.x')})) AS ds
+            FROM ({fx.F7_SQL}) p, ({_seed_sql(k)}) s GROUP BY p.vec_id)""")
+    return (f"SELECT CAST(num_clusters AS BIGINT) AS num_clusters, {r6_sql('sil')} AS simple_silhouette "
+            f"FROM ({' UNION ALL '.join(parts)})")
+
+
+@query("simple_silhouette", _silhouette_sql)
+def q_silhouette(spark, sf):
+    pts = _points(spark, sf)
+    models = _seed_model(pts, 4).unionByName(_seed_model(pts, 8))
+    out = km.simple_silhouette(pts, "x", models)
+    return out.select(F.col("num_clusters").cast("long").alias("num_clusters"),
+                      r6("simple_silhouette").alias("simple_silhouette"))
