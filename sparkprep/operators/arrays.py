@@ -29,3 +29,72 @@ def split_target(df: DataFrame, id_col: str, features_col: str, idx: int) -> Dat
     return df.select(F.col(qcol(id_col)),
                      filter_array_at_index(f, idx).alias("features"),
                      F.get(f, idx - 1).alias("target"))
+
+
+def array_concat_agg(df: DataFrame, key: str, order_col: str, arr_col: str,
+                     layout: str = "array", out: str = "arr") -> DataFrame:
+    """Concatenate the arrays of each key in ``order_col`` order; NULL arrays
+    are skipped and a group with no array gives NULL.
+
+    ``layout="array"``: one row per key (bounded by Spark's ~2 GB row limit,
+    as the reference's field was by 1 GB). ``layout="long"``: one row per
+    element ``(key, pos, value)`` with 1-based positions, computed by the
+    skew-proof ordered scan, so no key or array is ever held by one task.
+    """
+    a = F.col(qcol(arr_col))
+    if layout == "array":
+        parts = F.collect_list(F.when(a.isNotNull(), F.struct(F.col(qcol(order_col)).alias("o"),
+                                                                a.alias("a"))))
+        merged = F.transform(F.array_sort(parts), lambda s: s["a"])
+        return df.groupBy(qcol(key)).agg(
+            F.when(F.size(merged) > 0, F.flatten(merged)).alias(out))
+    if layout != "long":
+        raise ValueError("layout must be 'array' or 'long'")
+    from sparkprep.operators.ordered import running_totals
+    base = df.select(F.col(qcol(key)), F.col(qcol(order_col)), a.alias("_a"))
+    sized = running_totals(base, key, [order_col], F.coalesce(F.size("_a"), F.lit(0)), "_end")
+    elems = sized.select(F.col(qcol(key)), (F.col("_end") - F.size("_a")).alias("_start"),
+                         F.posexplode("_a").alias("_i", "value"))
+    present = elems.select(F.col(qcol(key)), (F.col("_start") + F.col("_i") + 1).alias("pos"), "value")
+    # keys without any element still appear, with NULL position and value
+    empty = (df.groupBy(qcol(key)).agg(F.max(F.when(a.isNotNull(), F.size(a))).alias("_any"))
+             .filter(F.coalesce(F.col("_any"), F.lit(0)) == 0)
+             .select(F.col(qcol(key)), F.lit(None).cast("long").alias("pos"),
+                     F.lit(None).cast(df.schema[arr_col].dataType.elementType).alias("value")))
+    return present.unionByName(empty)
+
+
+def array_group_size(df: DataFrame, key: str, arr_col: str) -> DataFrame:
+    """``key, n_elements, result`` with ``result = 'size of x:N'`` for the
+    concatenation of a key's arrays; a partial sum of sizes, the array itself is
+    never built (NULL when the key has no array)."""
+    a = F.col(qcol(arr_col))
+    n = F.sum(F.when(a.isNotNull(), F.size(a)).cast("long"))
+    return (df.groupBy(qcol(key)).agg(n.alias("n_elements"))
+            .withColumn("result", F.concat(F.lit("size of x:"), F.col("n_elements").cast("string"))))
+
+
+def running_accumulate(df: DataFrame, key: str, order_col: str, arr_col: str,
+                       final_value=None) -> DataFrame:
+    """Accumulate arrays in ``order_col`` order per key: every row reports
+    ``'Processing...'`` until ``order_col == final_value`` (a literal or a
+    column name; None means each key's last row), which reports
+    ``'Size: <MB> MB'`` of everything accumulated so far (8 bytes per element).
+    Output ``key, order, n_elements, size_mb, result``."""
+    from sparkprep.operators.ordered import running_totals
+    a = F.col(qcol(arr_col))
+    base = df.select(F.col(qcol(key)), F.col(qcol(order_col)),
+                     *([F.col(qcol(final_value))] if isinstance(final_value, str) else []),
+                     F.coalesce(F.size(a), F.lit(0)).alias("_n"))
+    scanned = running_totals(base, key, [order_col], "_n", "n_elements", last_flag="_last")
+    if final_value is None:
+        done = F.col("_last")
+    elif isinstance(final_value, str):
+        done = F.col(qcol(order_col)) == F.col(qcol(final_value))
+    else:
+        done = F.col(qcol(order_col)) == F.lit(final_value)
+    mb = F.round(F.col("n_elements") * F.lit(8.0) / F.lit(1048576.0), 6)
+    return scanned.select(
+        F.col(qcol(key)), F.col(qcol(order_col)), "n_elements", mb.alias("size_mb"),
+        F.when(done, F.concat(F.lit("Size: "), F.format_string("%.6f", mb), F.lit(" MB")))
+        .otherwise(F.lit("Processing...")).alias("result"))

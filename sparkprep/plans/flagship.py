@@ -1 +1,45 @@
-"""Placeholder; replaced by the full pipeline."""
+"""Flagship: the reference's three scripts chained, on the ``part`` table.
+
+wide features with NULLs and collinear columns
+  -> mean imputation + z-scores into named vectors   (one stats job)
+  -> VIF screening on the normalised vectors          (one Gram job per NULL-affected step)
+  -> K-means sweeps over K = 8..36, random and D^2 seeding (one job per iteration for all K)
+  -> one table of both sweeps ranked by silhouette.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkprep.operators import impute, kmeans, vif
+from sparkprep.sources.tables import read_table
+
+KS = [8, 12, 16, 20, 24, 28, 32, 36]
+
+
+def flagship_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    size = F.col("p_size").cast("double")
+    price = F.col("p_retailprice")
+    return read_table(spark, sf_dir, "part").select(
+        k.alias("id"),
+        F.when(k % 7 == 0, F.lit(None)).otherwise(size).alias("f_size"),
+        F.when(k % 11 == 0, F.lit(None)).otherwise(price).alias("f_price"),
+        (F.lit(2.0) * size + F.lit(0.01) * price + (k % 5).cast("double")).alias("f_mix"),
+        (k % 13).cast("double").alias("f_mod"),
+        (F.lit(3.0) * size).alias("f_size3"),
+        (k % 3).alias("label"),
+    )
+
+
+def flagship(spark: SparkSession, sf_dir: str, ks=KS, threshold: float = 10.0,
+             num_steps: int = 20) -> DataFrame:
+    wide = flagship_input(spark, sf_dir)
+    vectors = impute.impute_normalize_vectors(wide, "id", label_col="label", unique_id=True)
+    screened = vif.vif_select_vectors(vectors, "id", "feat_name_vect", "feat_vect_normalized",
+                                      threshold=threshold, num_steps=num_steps)
+    pts = screened.reduced
+    rnd = kmeans.kmeans_sweep(pts, "id", "feat_vect_normalized", ks, init="random")
+    pp = kmeans.kmeans_sweep(pts, "id", "feat_vect_normalized", ks, init="kmeanspp")
+    return kmeans.kmeans_compare(rnd, pp)

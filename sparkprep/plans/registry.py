@@ -433,3 +433,140 @@ def q_silhouette(spark, sf):
     out = km.simple_silhouette(pts, "x", models)
     return out.select(F.col("num_clusters").cast("long").alias("num_clusters"),
                       r6("simple_silhouette").alias("simple_silhouette"))
+
+
+# ------------------------------------------------- array groups, synthetic data
+from sparkprep.functions.formatting import format_bytes_sql  # noqa: E402
+from sparkprep.operators import report, synth  # noqa: E402
+
+
+def _concat_sql() -> str:
+    return f"""
+    WITH f AS ({fx.F10_SQL}),
+    o AS (SELECT key, ord, arr, coalesce(sum(len(arr)) OVER (PARTITION BY key ORDER BY ord
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+          FROM f WHERE arr IS NOT NULL),
+    el AS (SELECT key, start + i AS pos, arr[i] AS value
+           FROM (SELECT key, start, arr, unnest(generate_series(1, len(arr))) AS i FROM o))
+    SELECT key, CAST(pos AS BIGINT) AS pos, {r6_sql('value')} AS value FROM el
+    UNION ALL
+    SELECT key, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM f GROUP BY key
+    HAVING coalesce(sum(len(arr)), 0) = 0"""
+
+
+@query("array_concat_agg", _concat_sql)
+def q_concat(spark, sf):
+    out = arr_ops.array_concat_agg(fx.f10_orders(spark, sf), "key", "ord", "arr")
+    return explode_vector(out, ["key"], {"value": "arr"}, round_cols={"value": r6}, outer=True) \
+        .select("key", F.when(F.col("value").isNull(), F.lit(None)).otherwise(F.col("pos"))
+                .cast("long").alias("pos"), "value")
+
+
+@query("array_concat_agg_long", _concat_sql)
+def q_concat_long(spark, sf):
+    out = arr_ops.array_concat_agg(fx.f10_orders(spark, sf), "key", "ord", "arr", layout="long")
+    return out.select("key", F.col("pos").cast("long").alias("pos"), r6("value").alias("value"))
+
+
+@query("array_group_size", lambda: (
+    f"SELECT key, CAST(sum(len(arr)) AS BIGINT) AS n_elements, "
+    f"'size of x:' || CAST(CAST(sum(len(arr)) AS BIGINT) AS VARCHAR) AS result "
+    f"FROM ({fx.F10_SQL}) GROUP BY key"))
+def q_group_size(spark, sf):
+    return arr_ops.array_group_size(fx.f10_orders(spark, sf), "key", "arr")
+
+
+def _running_sql() -> str:
+    return f"""
+    WITH f AS ({fx.F10_SQL}),
+    c AS (SELECT key, ord, CAST(sum(coalesce(len(arr), 0)) OVER (PARTITION BY key ORDER BY ord
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_elements,
+              ord = max(ord) OVER (PARTITION BY key) AS last FROM f)
+    SELECT key, ord, n_elements, round(n_elements * 8.0 / 1048576.0, 6) AS size_mb,
+           CASE WHEN last THEN 'Size: ' || printf('%.6f', round(n_elements * 8.0 / 1048576.0, 6)) || ' MB'
+                ELSE 'Processing...' END AS result
+    FROM c"""
+
+
+@query("running_accumulate", _running_sql)
+def q_running(spark, sf):
+    return arr_ops.running_accumulate(fx.f10_orders(spark, sf), "key", "ord", "arr")
+
+
+@query("synth_uniform", lambda: (
+    f"SELECT p_partkey AS id, {r6_sql(hash_uniform_sql('p_partkey', '1'))} AS x, "
+    f"{r6_sql(hash_uniform_sql('p_partkey', '2'))} AS y FROM part"))
+def q_synth_uniform(spark, sf):
+    from sparkprep.sources.tables import read_table
+    ids = read_table(spark, sf, "part").select(F.col("p_partkey").alias("id"))
+    out = synth.synth_uniform(ids, id_col="id")
+    return out.select("id", r6("x").alias("x"), r6("y").alias("y"))
+
+
+@query("synth_array", lambda: (
+    f"SELECT p_partkey AS id, CAST(i AS BIGINT) AS pos, "
+    f"{r6_sql(hash_uniform_sql('p_partkey', 'i'))} AS value FROM part, range(1, p_size + 1) t(i)"))
+def q_synth_array(spark, sf):
+    from sparkprep.sources.tables import read_table
+    base = read_table(spark, sf, "part").select(F.col("p_partkey").alias("id"), "p_size")
+    out = synth.synth_array(base, "p_size", id_col="id")
+    return explode_vector(out, ["id"], {"value": "arr"}, round_cols={"value": r6})
+
+
+def _replicated_sql() -> str:
+    u = hash_uniform_sql("id", "model", "rep")
+    return f"""SELECT model, row_number() OVER (PARTITION BY model ORDER BY u, id, rep) AS row_indx,
+        features, quality FROM (SELECT b.*, m.model, r.rep, {u} AS u
+        FROM ({fx.F11_SQL}) b, range(1, 4) m(model), range(1, 6) r(rep))"""
+
+
+@query("replicate_shuffle", lambda: f"""
+    SELECT CAST(model AS BIGINT) AS model, CAST(row_indx AS BIGINT) AS row_indx,
+           CAST(i AS BIGINT) AS pos, {r6_sql('features[i]')} AS value, {r6_sql('quality')} AS quality
+    FROM ({_replicated_sql()}), range(1, 4) t(i)""")
+def q_replicate(spark, sf):
+    rep = synth.replicate_shuffle(fx.f11_base(spark, sf), "id", 3, 5)
+    out = explode_vector(rep, ["model", "row_indx", "quality"], {"value": "features"},
+                         round_cols={"value": r6})
+    return out.select(F.col("model").cast("long").alias("model"), "row_indx", "pos", "value",
+                      r6("quality").alias("quality"))
+
+
+def _ridge_rows_sql() -> str:
+    inner = osql.ridge_sql(f"SELECT * FROM ({_replicated_sql()})", "model",
+                           ["features[1]", "features[2]", "features[3]"], "quality", 0.5)
+    out = _ridge_sql_out(inner, "model")
+    return f"""SELECT CAST(r.model AS BIGINT) AS model, f.final_row AS current_row, f.final_row,
+        r.idx, r.coef, r.intercept, r.r_square FROM ({out}) r
+        JOIN (SELECT model, CAST(max(row_indx) AS BIGINT) AS final_row FROM ({_replicated_sql()})
+              GROUP BY model) f ON f.model = r.model"""
+
+
+@query("ridge_by_group_rows", _ridge_rows_sql)
+def q_ridge_rows(spark, sf):
+    rep = synth.replicate_shuffle(fx.f11_base(spark, sf), "id", 3, 5)
+    out = linear.ridge_by_group_rows(rep, "model", "row_indx", "features", "quality", 0.5, p=3)
+    return _ridge_out(out.withColumn("model", F.col("model").cast("long")), "model",
+                      extra=("current_row", "final_row"))
+
+
+@query("matrix_size_report", lambda: (
+    f"SELECT label, CAST(count(*) AS BIGINT) AS n_rows, CAST(max(len(embedding)) AS BIGINT) AS n_cols, "
+    f"CAST(sum(len(embedding)) * 8 AS BIGINT) AS size_bytes, "
+    f"{format_bytes_sql('sum(len(embedding)) * 8')} AS size_pretty FROM embeddings GROUP BY label"))
+def q_matrix_size(spark, sf):
+    from sparkprep.sources.tables import read_table
+    return report.matrix_size_report(read_table(spark, sf, "embeddings"), "label", "embedding")
+
+
+@query("table_size_report")
+def q_table_size(spark, sf):
+    names = ["lineitem", "orders", "part", "embeddings"]
+    return report.table_size_report(spark, {n: f"{sf.rstrip('/')}/{n}.parquet" for n in names})
+
+
+# ------------------------------------------------------------------ flagship
+@query("flagship")
+def q_flagship(spark, sf):
+    from sparkprep.plans.flagship import flagship
+    return flagship(spark, sf)
