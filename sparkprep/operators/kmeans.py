@@ -308,36 +308,54 @@ def _lloyd(points: DataFrame, models: list[_Model], d: int, max_iter: int,
                 m.done = True
 
 
-def kmeans_sweep(df: DataFrame, id_col: str, features_col: str, ks, init: str = "random",
-                 max_iter: int = 60, min_frac_reassigned: float = 0.001,
-                 seed: int = 42) -> DataFrame:
-    """One row per K: ``num_clusters, centroids, objective_fn, frac_reassigned,
-    num_iterations, simple_silhouette``. All K iterate together."""
-    if init not in ALGOS:
-        raise ValueError(f"unknown initialisation {init!r}")
+def kmeans_sweeps(df: DataFrame, id_col: str, features_col: str, ks,
+                  inits=("random", "kmeanspp"), max_iter: int = 60,
+                  min_frac_reassigned: float = 0.001, seed: int = 42) -> DataFrame:
+    """Sweeps under several seedings whose models all iterate together (one job
+    per iteration for every (seeding, K)). Rows: ``algo_type`` plus the
+    columns of ``kmeans_sweep``."""
     ks = [int(k) for k in ks]
     if not ks or min(ks) < 1:
         raise ValueError("every K must be at least 1")
+    for init in inits:
+        if init not in ALGOS:
+            raise ValueError(f"unknown initialisation {init!r}")
     spark = df.sparkSession
     points = prepare_points(df, id_col, features_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         d = _dim(points)
         kmax = max(ks)
-        seeds = (seed_kmeanspp(points, kmax, seed) if ALGOS[init] == "kmeans++"
-                 else seed_random(points, kmax, seed))
-        models = [_Model(k=k, c=seeds[:k].copy()) for k in ks]
+        models, labels = [], []
+        for init in inits:
+            algo = ALGOS[init]
+            seeds = (seed_kmeanspp(points, kmax, seed) if algo == "kmeans++"
+                     else seed_random(points, kmax, seed))
+            for k in ks:
+                models.append(_Model(k=k, c=seeds[:k].copy()))
+                labels.append(algo)
         _lloyd(points, models, d, max_iter, min_frac_reassigned)
         scores = _final_pass(points, models, d)
     finally:
         points.unpersist()
     rows = []
-    for i, m in enumerate(models):
+    for i, (m, algo) in enumerate(zip(models, labels)):
         s = scores.get(i)
         n = s["n"] if s else 0
         sil = (s["sil"] / n) if (s and n and len(m.c) >= 2) else None
-        rows.append((m.k, m.c.tolist(), float(s["sse"]) if s else None, float(m.frac),
+        rows.append((algo, m.k, m.c.tolist(), float(s["sse"]) if s else None, float(m.frac),
                      int(m.iters), sil))
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    schema = T.StructType([T.StructField("algo_type", T.StringType())] + RESULT_SCHEMA.fields)
+    return spark.createDataFrame(rows, schema)
+
+
+def kmeans_sweep(df: DataFrame, id_col: str, features_col: str, ks, init: str = "random",
+                 max_iter: int = 60, min_frac_reassigned: float = 0.001,
+                 seed: int = 42) -> DataFrame:
+    """One row per K: ``num_clusters, centroids, objective_fn, frac_reassigned,
+    num_iterations, simple_silhouette``. All K iterate together."""
+    out = kmeans_sweeps(df, id_col, features_col, ks, (init,), max_iter,
+                        min_frac_reassigned, seed)
+    return out.drop("algo_type")
 
 
 def kmeans(df: DataFrame, id_col: str, features_col: str, k: int, init: str = "random",
@@ -346,14 +364,19 @@ def kmeans(df: DataFrame, id_col: str, features_col: str, k: int, init: str = "r
     return kmeans_sweep(df, id_col, features_col, [k], init, max_iter, min_frac_reassigned, seed)
 
 
-def kmeans_compare(random_df: DataFrame, kmeanspp_df: DataFrame, best: bool = False) -> DataFrame:
-    """Union of two sweeps labelled by ``algo_type``, centroids dropped, ordered
-    by silhouette descending with NULLs first (the reference's database
-    order); ``best`` keeps the top row."""
+def kmeans_compare(random_df: DataFrame, kmeanspp_df: DataFrame | None = None,
+                   best: bool = False) -> DataFrame:
+    """Union of two sweeps labelled by ``algo_type`` (or one ``kmeans_sweeps``
+    result that already carries it), centroids dropped, ordered by silhouette
+    descending with NULLs first (the reference's database order); ``best``
+    keeps the top row."""
     cols = ["num_clusters", "objective_fn", "frac_reassigned", "num_iterations", "simple_silhouette"]
-    out = (random_df.select(F.lit("kmeans_random").alias("algo_type"), *cols)
-           .unionByName(kmeanspp_df.select(F.lit("kmeans++").alias("algo_type"), *cols))
-           .orderBy(F.col("simple_silhouette").desc_nulls_first(), "algo_type", "num_clusters"))
+    if kmeanspp_df is None:
+        out = random_df.select("algo_type", *cols)
+    else:
+        out = (random_df.select(F.lit("kmeans_random").alias("algo_type"), *cols)
+               .unionByName(kmeanspp_df.select(F.lit("kmeans++").alias("algo_type"), *cols)))
+    out = out.orderBy(F.col("simple_silhouette").desc_nulls_first(), "algo_type", "num_clusters")
     return out.limit(1) if best else out
 
 

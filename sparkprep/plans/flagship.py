@@ -40,6 +40,6 @@ def flagship(spark: SparkSession, sf_dir: str, ks=KS, threshold: float = 10.0,
     screened = vif.vif_select_vectors(vectors, "id", "feat_name_vect", "feat_vect_normalized",
                                       threshold=threshold, num_steps=num_steps)
     pts = screened.reduced
-    rnd = kmeans.kmeans_sweep(pts, "id", "feat_vect_normalized", ks, init="random")
-    pp = kmeans.kmeans_sweep(pts, "id", "feat_vect_normalized", ks, init="kmeanspp")
-    return kmeans.kmeans_compare(rnd, pp)
+    both = kmeans.kmeans_sweeps(pts, "id", "feat_vect_normalized", ks,
+                                inits=("random", "kmeanspp"))
+    return kmeans.kmeans_compare(both)

@@ -369,10 +369,8 @@ def _compare_sql() -> str:
 
 @query("kmeans_compare", _compare_sql)
 def q_kmeans_compare(spark, sf):
-    pts = _points(spark, sf)
-    a = km.kmeans_sweep(pts, "vec_id", "x", SWEEP_KS, init="random")
-    b = km.kmeans_sweep(pts, "vec_id", "x", SWEEP_KS, init="kmeanspp")
-    out = km.kmeans_compare(a, b)
+    both = km.kmeans_sweeps(_points(spark, sf), "vec_id", "x", SWEEP_KS)
+    out = km.kmeans_compare(both)
     return out.select("algo_type", F.col("num_clusters").cast("long").alias("num_clusters"),
                    sig("objective_fn").alias("objective_fn"),
                    r6("frac_reassigned").alias("frac_reassigned"),
