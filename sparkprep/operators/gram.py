@@ -50,10 +50,11 @@ def gram_stats(df: DataFrame, xs: list[Column], by: list[str] | None = None,
     rows. Without ``by`` the result has exactly one row."""
     by = by or []
     named = [x.alias(f"_x{i}") for i, x in enumerate(xs)]
-    base = df.select(*[F.col(qcol(b)) for b in by], *named, *(extra_inputs or []))
+    mask = [complete(xs).alias("_ok")] if xs else []
+    base = df.select(*[F.col(qcol(b)) for b in by], *named, *mask, *(extra_inputs or []))
     raw = [F.col(f"_x{i}") for i in range(len(xs))]
     if raw:
-        ok = complete(raw)
+        ok = F.col("_ok")
         masked = [F.when(ok, x) for x in raw]
         aggs = moment_columns(masked, F.count(F.when(ok, F.lit(1))))
     else:
