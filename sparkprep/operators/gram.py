@@ -60,11 +60,74 @@ def gram_stats(df: DataFrame, xs: list[Column], by: list[str] | None = None,
     else:
         aggs = moment_columns([], F.count(F.lit(1)))
     aggs += list(extra_aggs or [])
+    if len(xs) > WIDE_P and not extra_aggs and not extra_inputs:
+        return _gram_stats_arrow(base, len(xs), by)
     if by:
         return base.groupBy(*[F.col(qcol(b)) for b in by]).agg(*aggs)
     return base.agg(*aggs)
 
 
+# Above this many features the p(p+1)/2 covariance aggregates are replaced by
+# NumPy partial cross products (generated code for thousands of aggregate
+# buffers grows past the JVM method limits).
+WIDE_P = 40
+
+
+def _gram_stats_arrow(base: DataFrame, p: int, by: list[str]) -> DataFrame:
+    """Same result as the aggregate path for wide inputs, in two passes:
+    per-group means (JVM), then per-task centred cross products in NumPy
+    emitted as long ``(group, i, j, value)`` rows and summed by one exchange."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    gkey = (F.struct(*[F.col(qcol(b)) for b in by]) if by else F.lit(0)).alias("_g")
+    data = base.filter(F.col("_ok")).select(gkey, F.array(*[F.col(f"_x{i}") for i in range(p)]).alias("_v"))
+    means = data.groupBy("_g").agg(F.count(F.lit(1)).alias("n"),
+                                   *[F.avg(F.col("_v")[i]).alias(f"m{i}") for i in range(p)])
+    joined = data.join(means.select("_g", F.array(*[F.col(f"m{i}") for i in range(p)]).alias("_m")), "_g")
+    gtype = joined.schema["_g"].dataType
+    schema = T.StructType([T.StructField("_g", gtype), T.StructField("i", T.IntegerType()),
+                           T.StructField("j", T.IntegerType()), T.StructField("v", T.DoubleType())])
+
+    def partial(batches):
+        acc: dict = {}
+        keys: dict = {}
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            g = b.column("_g").to_pylist()
+            x = b.column("_v").flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            m = b.column("_m").flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            d = x - m
+            tags = [repr(k) for k in g]
+            for t in set(tags):
+                sel = np.fromiter((tt == t for tt in tags), dtype=bool, count=len(tags))
+                dd = d[sel]
+                acc[t] = acc.get(t, 0.0) + dd.T @ dd
+                keys[t] = g[tags.index(t)]
+        out = {"_g": [], "i": [], "j": [], "v": []}
+        for t, mat in acc.items():
+            for i in range(p):
+                for j in range(p):
+                    out["_g"].append(keys[t])
+                    out["i"].append(i)
+                    out["j"].append(j)
+                    out["v"].append(float(mat[i, j]))
+        if out["i"]:
+            from pyspark.sql.pandas.types import to_arrow_schema
+            yield pa.RecordBatch.from_pydict(out, schema=to_arrow_schema(schema))
+
+    cells = (joined.mapInArrow(partial, schema).groupBy("_g", "i", "j").agg(F.sum("v").alias("v")))
+    cov = cells.groupBy("_g").agg(
+        F.array_sort(F.collect_list(F.struct("i", "j", "v"))).alias("_c"))
+    out = means.join(cov, "_g", "left").select(
+        "_g", "n", F.array(*[F.col(f"m{i}") for i in range(p)]).cast("array<double>").alias("means"),
+        F.transform("_c", lambda c: c["v"] / F.col("n")).cast("array<double>").alias("cov"))
+    if by:
+        return out.select(*[F.col("_g")[b].alias(b) for b in by], "n", "means", "cov")
+    return out.select("n", "means", "cov")
+
+
 class Moments:
     """Driver-side view of one group's statistics."""
 

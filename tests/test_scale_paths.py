@@ -68,3 +68,24 @@ def test_normalize_stream(spark, tmp_path):
     got = sorted(map(tuple, spark.sql("SELECT * FROM norm_out").collect()))
     exp = sorted(map(tuple, impute.apply_normalization(df, stats, "id").collect()))
     assert got == exp
+
+
+def test_wide_gram_arrow_path_matches_aggregates(spark):
+    import numpy as np
+    from sparkprep.operators import gram
+    rng = np.random.default_rng(0)
+    p = gram.WIDE_P + 3
+    rows = [("a" if i % 3 else "b", rng.normal(100, 2, p).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, f array<double>").repartition(3)
+    xs = gram.vector_elements("f", p)
+    wide = {r["k"]: r for r in gram.gram_stats(df, xs, by=["k"]).collect()}
+    old = gram.WIDE_P
+    gram.WIDE_P = 10_000
+    try:
+        narrow = {r["k"]: r for r in gram.gram_stats(df, xs, by=["k"]).collect()}
+    finally:
+        gram.WIDE_P = old
+    for k in ("a", "b"):
+        assert wide[k]["n"] == narrow[k]["n"]
+        assert np.allclose(wide[k]["means"], narrow[k]["means"], atol=1e-12)
+        assert np.allclose(wide[k]["cov"], narrow[k]["cov"], atol=1e-10)
