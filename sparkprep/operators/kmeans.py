@@ -380,20 +380,41 @@ def kmeans_compare(random_df: DataFrame, kmeanspp_df: DataFrame | None = None,
     return out.limit(1) if best else out
 
 
-def simple_silhouette(df: DataFrame, features_col: str, models_df: DataFrame,
-                      max_broadcast_values: int = 8_000_000) -> DataFrame:
-    """``num_clusters, simple_silhouette`` for every model row of ``models_df``
-    (``num_clusters, centroids``), in column expressions: the models are
-    broadcast (their size is checked first) and crossed with the points."""
+def bounded_models(models, max_values: int = 8_000_000) -> list[tuple[int, list]]:
+    """``[(num_clusters, centroids)]`` from a model DataFrame or list, after
+    checking that the total number of centroid values stays below
+    ``max_values`` (the models then travel inside the query plan)."""
+    if isinstance(models, DataFrame):
+        size = models.select(F.sum(F.size(F.flatten("centroids"))).alias("s")).first()["s"] or 0
+        if size > max_values:
+            raise ValueError(f"{size} centroid values exceed the bound {max_values}")
+        models = [(r["num_clusters"], r["centroids"]) for r in
+                  models.select("num_clusters", "centroids").collect()]
+    models = [(int(k), [[float(v) for v in c] for c in cs]) for k, cs in models]
+    if sum(len(cs) * (len(cs[0]) if cs else 0) for _, cs in models) > max_values:
+        raise ValueError("centroid values exceed the bound")
+    return models
+
+
+def models_column(models) -> "F.Column":
+    """The models as one literal ``array<struct<num_clusters, centroids>>``."""
+    return F.array(*[F.struct(F.lit(k).alias("num_clusters"),
+                              F.array(*[F.array(*[F.lit(v) for v in c]) for c in cs])
+                              .cast("array<array<double>>").alias("centroids"))
+                     for k, cs in models])
+
+
+def simple_silhouette(df: DataFrame, features_col: str, models,
+                      max_values: int = 8_000_000) -> DataFrame:
+    """``num_clusters, simple_silhouette`` of every model (a DataFrame or list of
+    ``(num_clusters, centroids)``), in column expressions: each point is scored
+    against every model's centroids, carried as literals (size checked)."""
     from sparkprep.functions.arrays import closest_columns
-    size = models_df.select(F.sum(F.size(F.flatten("centroids"))).alias("s")).first()["s"] or 0
-    if size > max_broadcast_values:
-        raise ValueError(f"{size} centroid values exceed the broadcast bound {max_broadcast_values}")
+    ms = bounded_models(models, max_values)
     x = F.col(qcol(features_col)).cast("array<double>")
     pts = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    dist = closest_columns(F.col("centroids"), F.col("x"), 2)["distances"]
-    scored = pts.crossJoin(F.broadcast(models_df.select("num_clusters", "centroids"))).select(
-        "num_clusters", dist.alias("d"))
+    scored = pts.select("x", F.inline(models_column(ms))).select(
+        "num_clusters", closest_columns(F.col("centroids"), F.col("x"), 2)["distances"].alias("d"))
     d1, d2 = F.get(F.col("d"), 0), F.get(F.col("d"), 1)
     s = F.when(d2.isNull(), F.lit(None)).when(d2 == 0, F.lit(0.0)).otherwise((d2 - d1) / d2)
     return scored.groupBy("num_clusters").agg(F.avg(s).alias("simple_silhouette"))

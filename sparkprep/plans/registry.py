@@ -405,9 +405,9 @@ def _closest_sql() -> str:
 @query("closest_columns", _closest_sql)
 def q_closest(spark, sf):
     pts = _points(spark, sf)
-    model = _seed_model(pts, 8)
-    cc = closest_columns(F.col("centroids"), F.col("x"), 2)
-    out = pts.crossJoin(F.broadcast(model)).select("vec_id", cc.alias("r"))
+    (_, cents), = km.bounded_models(_seed_model(pts, 8))
+    lit_c = km.models_column([(8, cents)])[0]["centroids"]
+    out = pts.select("vec_id", closest_columns(lit_c, F.col("x"), 2).alias("r"))
     return out.select("vec_id", F.col("r.column_ids")[0].cast("long").alias("id1"),
                       F.col("r.column_ids")[1].cast("long").alias("id2"),
                       r6(F.col("r.distances")[0]).alias("d1"), r6(F.col("r.distances")[1]).alias("d2"))
