@@ -87,18 +87,25 @@ def _sqdist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 def _assign(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Index of the nearest centroid (ties to the lower index).
 
-    Distances come from one matrix product (||x||^2 - 2 x.c + ||c||^2); rows
-    whose two best candidates are within rounding of each other are decided
-    again with exact differences, so the answer equals the exact argmin.
+    Ranks ``||c||^2 - 2 x.c`` (one matrix product; the row constant ``||x||^2``
+    does not change the order); rows whose two best candidates are within
+    rounding of each other are decided again with exact differences, so the
+    answer equals the exact argmin.
     """
-    if len(c) == 1:
-        return np.zeros(len(x), dtype=np.int64)
-    xx = np.einsum("ij,ij->i", x, x)
+    n, k = len(x), len(c)
+    if k == 1:
+        return np.zeros(n, dtype=np.int64)
     cc = np.einsum("ij,ij->i", c, c)
-    dist = xx[:, None] - 2.0 * (x @ c.T) + cc[None, :]
-    a = dist.argmin(axis=1)
-    two = np.partition(dist, 1, axis=1)[:, :2]
-    close = np.nonzero(two[:, 1] - two[:, 0] <= 1e-9 * (xx + cc.max() + 1.0))[0]
+    score = x @ c.T
+    score *= -2.0
+    score += cc[None, :]
+    a = score.argmin(axis=1)
+    rows = np.arange(n)
+    best = score[rows, a].copy()
+    score[rows, a] = np.inf
+    gap = score.min(axis=1) - best
+    scale = np.einsum("ij,ij->i", x, x) + cc.max() + 1.0
+    close = np.nonzero(gap <= 1e-9 * scale)[0]
     if len(close):
         a[close] = _sqdist(x[close], c).argmin(axis=1)
     return a
@@ -208,9 +215,8 @@ def _iteration(points: DataFrame, models: list[_Model], d: int) -> dict:
                 if prev is not None:
                     moved = a != _assign(x, prev)
                     chg += np.bincount(a[moved], minlength=k)
-                onehot = np.zeros((len(a), k))
-                onehot[np.arange(len(a)), a] = 1.0
-                sums += onehot.T @ x
+                for j in range(d):
+                    sums[:, j] += np.bincount(a, weights=x[:, j], minlength=k)
         cols = {n: [] for n, _ in fields}
         for i, c, _ in active:
             cnt, chg, sums = acc[i]
