@@ -132,17 +132,112 @@ def seed_random(points: DataFrame, k: int, seed: int = 42) -> np.ndarray:
     return np.array([r["x"] for r in rows], dtype=np.float64)
 
 
-def seed_kmeanspp(points: DataFrame, k: int, seed: int = 42) -> np.ndarray:
-    """D^2 seeding by exponential races; one small job per pick."""
+def seed_kmeanspp(points: DataFrame, k: int, seed: int = 42,
+                  rounds_per_job: int = 8, candidates: int = 32) -> np.ndarray:
+    """D^2 seeding by exponential races, several rounds per job.
+
+    Round r picks the point minimising ``-ln(u(id, seed, r)) / D^2`` (ties by
+    id). Every u is known in advance and D^2 only shrinks as centroids are
+    added, so ``-ln(u_r) / D^2_now`` bounds a point's key in any later round
+    from below. One job returns each task's ``candidates`` best points by that
+    bound for the next ``rounds_per_job`` rounds, plus the smallest bound it
+    did not return; the driver replays the rounds and accepts a pick only
+    while it beats every unreturned bound, else the next job resumes there.
+    The picks equal the one-round-per-job race exactly.
+    """
     d = _dim(points)
     chosen = np.zeros((0, d))
-    for r in range(1, k + 1):
-        cand = points.select("id", "x", hash_uniform("id", F.lit(r), seed=seed).alias("u"))
-        best = _race(cand, chosen, d)
+    first = _race(points.select("id", "x", hash_uniform("id", F.lit(1), seed=seed).alias("u")),
+                  chosen, d)
+    if first is None or k < 1:
+        return chosen
+    chosen = np.asarray(first, dtype=np.float64)[None, :]
+    r = 2
+    while r <= k:
+        rounds = list(range(r, min(k, r + rounds_per_job - 1) + 1))
+        picks = _race_rounds(points, chosen, d, rounds, seed, candidates)
+        if not picks:
+            break
+        chosen = np.vstack([chosen] + [np.asarray(p, dtype=np.float64)[None, :] for p in picks])
+        r += len(picks)
+    return chosen[:k]
+
+
+def _race_rounds(points: DataFrame, chosen: np.ndarray, d: int, rounds: list[int],
+                 seed: int, m: int) -> list:
+    """Certified winners of consecutive ``rounds`` (at least the first, unless no
+    point is left at positive distance)."""
+    _check_state(len(chosen), d)
+    n_r = len(rounds)
+    u = F.array(*[hash_uniform("id", F.lit(q), seed=seed) for q in rounds]).alias("u")
+    schema = T.StructType([T.StructField("t", T.IntegerType()), T.StructField("id", T.LongType()),
+                           T.StructField("lb", T.DoubleType()), T.StructField("d2", T.DoubleType()),
+                           T.StructField("e", T.DoubleType()),
+                           T.StructField("x", T.ArrayType(T.DoubleType()))])
+    arrow_schema = pa.schema([("t", pa.int32()), ("id", pa.int64()), ("lb", pa.float64()),
+                              ("d2", pa.float64()), ("e", pa.float64()),
+                              ("x", pa.list_(pa.float64()))])
+
+    def candidates(batches):
+        keep = [None] * n_r  # per round: (lb, id, d2, e, x) arrays of the best m so far
+        rest = np.full(n_r, np.inf)  # smallest bound not kept
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            x = _matrix(b, d)
+            ids = b.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            uu = b.column("u").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_r)
+            d2 = _sqdist(x, chosen).min(axis=1)
+            e = -np.log(uu)
+            with np.errstate(divide="ignore"):
+                lb = np.where(d2[:, None] > 0, e / np.where(d2 > 0, d2, 1.0)[:, None], np.inf)
+            for t in range(n_r):
+                cur = (lb[:, t], ids, d2, e[:, t], x)
+                if keep[t] is not None:
+                    cur = tuple(np.concatenate([a, b2]) for a, b2 in zip(keep[t], cur))
+                order = np.lexsort((cur[1], cur[0]))
+                if len(order) > m:
+                    rest[t] = min(rest[t], cur[0][order[m]])
+                    order = order[:m]
+                keep[t] = tuple(a[order] for a in cur)
+        rows = []
+        for t in range(n_r):
+            if keep[t] is None:
+                continue
+            lbs, ids_t, d2s, es, xs = keep[t]
+            for i in range(len(ids_t)):
+                rows.append({"t": t, "id": int(ids_t[i]), "lb": float(lbs[i]), "d2": float(d2s[i]),
+                             "e": float(es[i]), "x": xs[i].tolist()})
+            rows.append({"t": t, "id": -1, "lb": float(rest[t]), "d2": 0.0, "e": 0.0, "x": []})
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+
+    got = points.select(F.col("id").cast("long").alias("id"), "x", u).mapInArrow(
+        candidates, schema).collect()
+    cands = {t: [] for t in range(n_r)}
+    bound = np.full(n_r, np.inf)
+    for row in got:
+        if row["id"] == -1 and len(row["x"]) == 0 and row["d2"] == 0.0 and row["e"] == 0.0:
+            bound[row["t"]] = min(bound[row["t"]], row["lb"])
+        else:
+            cands[row["t"]].append(row)
+    picks: list = []
+    for t in range(n_r):
+        best = None
+        for c in cands[t]:
+            x = np.asarray(c["x"], dtype=np.float64)
+            dd = c["d2"]
+            for w in picks:
+                dd = min(dd, float(((x - w) ** 2).sum()))
+            key = c["e"] / dd if dd > 0 else np.inf
+            if np.isfinite(key) and (best is None or (key, c["id"]) < (best[0], best[1])):
+                best = (key, c["id"], x)
         if best is None:
             break
-        chosen = np.vstack([chosen, np.asarray(best, dtype=np.float64)[None, :]])
-    return chosen
+        if t > 0 and not best[0] < bound[t]:
+            break  # an unreturned point might still win: resume from this round
+        picks.append(best[2])
+    return picks
 
 
 def _race(cand: DataFrame, chosen: np.ndarray, d: int):

@@ -205,3 +205,13 @@ def test_running_accumulate_reports_at_final_value(spark):
                                "row int, y int, arr array<double>")
     out = {r["y"]: r["result"] for r in arrays.running_accumulate(df, "row", "y", "arr", 3).collect()}
     assert out == {1: "Processing...", 2: "Processing...", 3: "Size: 3.000000 MB"}
+
+
+def test_batched_seeding_equals_one_round_per_job(spark):
+    rng = np.random.default_rng(8)
+    pts = [(i, rng.normal(i % 4, 0.5, 3).tolist()) for i in range(400)]
+    p = kmeans.prepare_points(spark.createDataFrame(pts, "id long, x array<double>").repartition(4),
+                              "id", "x").cache()
+    one = kmeans.seed_kmeanspp(p, 12, rounds_per_job=1)
+    for per_job, m in ((5, 1), (12, 3), (12, 64)):
+        assert np.array_equal(kmeans.seed_kmeanspp(p, 12, rounds_per_job=per_job, candidates=m), one)
