@@ -152,10 +152,15 @@ def seed_kmeanspp(points: DataFrame, k: int, seed: int = 42,
     if first is None or k < 1:
         return chosen
     chosen = np.asarray(first, dtype=np.float64)[None, :]
+    # Candidate rows reaching the driver are bounded by a value budget, not by
+    # the data: with many partitions each task sends fewer candidates (at least
+    # one per round), which only lowers how many rounds a job certifies.
+    n_parts = max(1, points.rdd.getNumPartitions())
+    per_task = max(1, min(candidates, DRIVER_PARTIALS // (n_parts * rounds_per_job * (d + 5))))
     r = 2
     while r <= k:
         rounds = list(range(r, min(k, r + rounds_per_job - 1) + 1))
-        picks = _race_rounds(points, chosen, d, rounds, seed, candidates)
+        picks = _race_rounds(points, chosen, d, rounds, seed, per_task)
         if not picks:
             break
         chosen = np.vstack([chosen] + [np.asarray(p, dtype=np.float64)[None, :] for p in picks])
