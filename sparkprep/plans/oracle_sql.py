@@ -49,9 +49,10 @@ def _unpivot(src: str, id_col: str, cols: list[str]) -> str:
 
 
 def vif_steps_sql(src_sql: str, cols: list[str], threshold: float, num_steps: int,
-                  id_col: str = "id", scores_only: bool = False) -> str:
+                  id_col: str = "id", scores_only: bool = False, intercept: bool = False) -> str:
     """``step, feature_w_max_vif, vif, discarded`` of the selection loop, or with
-    ``scores_only`` the ``feature, vif`` rows of step 0 (vif unrounded)."""
+    ``scores_only`` the ``feature, vif`` rows of step 0 (vif unrounded). With
+    ``intercept`` the regressions use centred cross products."""
     p = len(cols)
     names = " ".join(f"WHEN {j + 1} THEN '{c}'" for j, c in enumerate(cols))
     ctes = [f"f AS MATERIALIZED ({src_sql})",
@@ -65,9 +66,16 @@ def vif_steps_sql(src_sql: str, cols: list[str], threshold: float, num_steps: in
         ctes += [
             f"rw{t} AS MATERIALIZED (SELECT id FROM lg WHERE j IN (SELECT j FROM {s}) "
             f"GROUP BY id HAVING count(v) = count(*))",
-            f"gm{t} AS MATERIALIZED (SELECT a.j AS r, b.j AS c, sum(a.v * b.v) AS v FROM lg a "
-            f"JOIN lg b ON a.id = b.id WHERE a.id IN (SELECT id FROM rw{t}) "
-            f"AND a.j IN (SELECT j FROM {s}) AND b.j IN (SELECT j FROM {s}) GROUP BY a.j, b.j)",
+            f"mu{t} AS MATERIALIZED (SELECT j, avg(v) AS m FROM lg WHERE id IN (SELECT id FROM rw{t}) "
+            f"AND j IN (SELECT j FROM {s}) GROUP BY j)",
+            f"rd{t} AS MATERIALIZED (SELECT j AS r, j AS c, sum(v * v) AS v FROM lg "
+            f"WHERE id IN (SELECT id FROM rw{t}) AND j IN (SELECT j FROM {s}) GROUP BY j)",
+            (f"gm{t} AS MATERIALIZED (SELECT a.j AS r, b.j AS c, sum((a.v - ma.m) * (b.v - mb.m)) AS v "
+             f"FROM lg a JOIN lg b ON a.id = b.id JOIN mu{t} ma ON ma.j = a.j JOIN mu{t} mb ON mb.j = b.j "
+             f"WHERE a.id IN (SELECT id FROM rw{t}) GROUP BY a.j, b.j)") if intercept else
+            (f"gm{t} AS MATERIALIZED (SELECT a.j AS r, b.j AS c, sum(a.v * b.v) AS v FROM lg a "
+             f"JOIN lg b ON a.id = b.id WHERE a.id IN (SELECT id FROM rw{t}) "
+             f"AND a.j IN (SELECT j FROM {s}) AND b.j IN (SELECT j FROM {s}) GROUP BY a.j, b.j)"),
             f"ts{t} AS MATERIALIZED (SELECT j, var_pop(v) * count(*) AS tss FROM lg "
             f"WHERE id IN (SELECT id FROM rw{t}) AND j IN (SELECT j FROM {s}) GROUP BY j)",
             f"b{t} AS MATERIALIZED (SELECT sc.j AS g, gm.r, gm.c, gm.v FROM gm{t} gm, {s} sc)",
@@ -78,7 +86,7 @@ def vif_steps_sql(src_sql: str, cols: list[str], threshold: float, num_steps: in
         ctes.append(
             f"vf{t} AS MATERIALIZED (SELECT m.g AS j, CASE WHEN ts.tss <= {FIT} * gd.v THEN NULL "
             f"WHEN m.v <= {FIT} * ts.tss THEN {linalg.VIF_SENTINEL!r} ELSE ts.tss / m.v END AS vif "
-            f"FROM {last} m JOIN ts{t} ts ON ts.j = m.g JOIN gm{t} gd ON gd.r = m.g AND gd.c = m.g "
+            f"FROM {last} m JOIN ts{t} ts ON ts.j = m.g JOIN rd{t} gd ON gd.r = m.g AND gd.c = m.g "
             f"WHERE m.r = m.g AND m.c = m.g)")
         if scores_only:
             return ("WITH " + ",\n".join(ctes) +

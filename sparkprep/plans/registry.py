@@ -223,6 +223,17 @@ def q_vif_scores(spark, sf):
         "feature", sig("vif").alias("vif"))
 
 
+def _vif_intercept_sql() -> str:
+    inner = osql.vif_steps_sql(fx.f3_sql(), F3_COLS, 10.0, 1, scores_only=True, intercept=True)
+    return f"SELECT feature, {sig_sql('vif')} AS vif FROM ({inner})"
+
+
+@query("vif_scores_intercept", _vif_intercept_sql)
+def q_vif_scores_intercept(spark, sf):
+    return vif.vif_scores(fx.f3_collinear(spark, sf), F3_COLS, intercept=True).select(
+        "feature", sig("vif").alias("vif"))
+
+
 def _steps_out(steps_df):
     return steps_df.select(F.col("step").cast("long").alias("step"), "feature_w_max_vif",
                            sig("vif").alias("vif"), "discarded")
@@ -378,6 +389,22 @@ def q_kmeans_compare(spark, sf):
                    r6("simple_silhouette").alias("simple_silhouette"))
 
 
+def _best_sql() -> str:
+    return (f"SELECT * FROM ({_compare_sql()}) ORDER BY simple_silhouette DESC NULLS FIRST, "
+            f"algo_type, num_clusters LIMIT 1")
+
+
+@query("kmeans_best", _best_sql)
+def q_kmeans_best(spark, sf):
+    both = km.kmeans_sweeps(_points(spark, sf), "vec_id", "x", SWEEP_KS)
+    out = km.kmeans_compare(both, best=True)
+    return out.select("algo_type", F.col("num_clusters").cast("long").alias("num_clusters"),
+                      sig("objective_fn").alias("objective_fn"),
+                      r6("frac_reassigned").alias("frac_reassigned"),
+                      F.col("num_iterations").cast("long").alias("num_iterations"),
+                      r6("simple_silhouette").alias("simple_silhouette"))
+
+
 def _seed_model(points, k: int, seed: int = 42):
     """One row ``num_clusters, centroids``: the k points with the smallest hash."""
     top = (points.select("x", hash_uniform("vec_id", seed=seed).alias("u"), "vec_id")

@@ -28,6 +28,7 @@ def get_spark(master: str | None = None, app: str = "sparkprep",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", os.environ.get("SPARKPREP_DRIVER_MEMORY", "16g")))
     for k, v in (extra or {}).items():
