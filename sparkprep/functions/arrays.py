@@ -37,11 +37,12 @@ def closest_columns(centroids, x, m: int = 2) -> Column:
     """
     scored = F.transform(_c(centroids),
                          lambda c, i: F.struct(squared_distance(c, x).alias("d"), i.alias("i")))
-    top = F.slice(F.array_sort(scored), 1, m)
+    top = F.slice(F.sort_array(scored), 1, m)
     return F.struct(F.transform(top, lambda s: s["i"]).alias("column_ids"),
                     F.transform(top, lambda s: s["d"]).alias("distances"))
 
 
 def array_struct_sort(arr) -> Column:
-    """``array_sort`` on an array of structs (field-by-field, NULL fields first)."""
-    return F.array_sort(_c(arr))
+    """Ascending sort of an array of structs, field by field with NULL fields
+    first (``sort_array``: native ordering, no lambda comparator)."""
+    return F.sort_array(_c(arr))

@@ -45,7 +45,7 @@ def array_concat_agg(df: DataFrame, key: str, order_col: str, arr_col: str,
     if layout == "array":
         parts = F.collect_list(F.when(a.isNotNull(), F.struct(F.col(qcol(order_col)).alias("o"),
                                                                 a.alias("a"))))
-        merged = F.transform(F.array_sort(parts), lambda s: s["a"])
+        merged = F.transform(F.sort_array(parts), lambda s: s["a"])
         return df.groupBy(qcol(key)).agg(
             F.when(F.size(merged) > 0, F.flatten(merged)).alias(out))
     if layout != "long":

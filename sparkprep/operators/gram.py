@@ -119,7 +119,7 @@ def _gram_stats_arrow(base: DataFrame, p: int, by: list[str]) -> DataFrame:
 
     cells = (joined.mapInArrow(partial, schema).groupBy("_g", "i", "j").agg(F.sum("v").alias("v")))
     cov = cells.groupBy("_g").agg(
-        F.array_sort(F.collect_list(F.struct("i", "j", "v"))).alias("_c"))
+        F.sort_array(F.collect_list(F.struct("i", "j", "v"))).alias("_c"))
     out = means.join(cov, "_g", "left").select(
         "_g", "n", F.array(*[F.col(f"m{i}") for i in range(p)]).cast("array<double>").alias("means"),
         F.transform("_c", lambda c: c["v"] / F.col("n")).cast("array<double>").alias("cov"))

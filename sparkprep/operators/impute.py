@@ -103,7 +103,7 @@ def impute_normalize_vectors(df: DataFrame, id_col: str, exclude: Iterable[str]
                          for n in names]) if names else F.array().cast(entry_t))
     merged = (df.select(*keys, entries.alias("_e"))
               .groupBy(*keys)
-              .agg(F.array_sort(F.flatten(F.collect_list("_e"))).alias("_e")))
+              .agg(F.sort_array(F.flatten(F.collect_list("_e"))).alias("_e")))
     out = [F.col(qcol(id_col)),
            F.transform("_e", lambda e: e["n"]).alias("feat_name_vect"),
            F.transform("_e", lambda e: e["f"]).alias("feat_vect"),

@@ -409,7 +409,7 @@ def _seed_model(points, k: int, seed: int = 42):
     """One row ``num_clusters, centroids``: the k points with the smallest hash."""
     top = (points.select("x", hash_uniform("vec_id", seed=seed).alias("u"), "vec_id")
            .orderBy("u", "vec_id").limit(k))
-    return top.agg(F.transform(F.array_sort(F.collect_list(F.struct("u", "vec_id", "x"))),
+    return top.agg(F.transform(F.sort_array(F.collect_list(F.struct("u", "vec_id", "x"))),
                                lambda s: s["x"]).alias("centroids")).select(
         F.lit(k).alias("num_clusters"), "centroids")
 
