@@ -43,3 +43,42 @@ def flagship(spark: SparkSession, sf_dir: str, ks=KS, threshold: float = 10.0,
     both = kmeans.kmeans_sweeps(pts, "id", "feat_vect_normalized", ks,
                                 inits=("random", "kmeanspp"))
     return kmeans.kmeans_compare(both)
+
+
+# ---------------------------------------------------------------- oracle SQL
+NAMES = ["f_mix", "f_mod", "f_price", "f_size", "f_size3"]
+
+INPUT_SQL = """SELECT p_partkey AS id,
+    CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS f_size,
+    CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_retailprice END AS f_price,
+    2.0 * CAST(p_size AS DOUBLE) + CAST(0.01 AS DOUBLE) * p_retailprice
+        + CAST(p_partkey % 5 AS DOUBLE) AS f_mix,
+    CAST(p_partkey % 13 AS DOUBLE) AS f_mod,
+    3.0 * CAST(p_size AS DOUBLE) AS f_size3,
+    p_partkey % 3 AS label
+    FROM part"""
+
+
+def flagship_sql(ks=KS, threshold: float = 10.0, num_steps: int = 20) -> str:
+    """The flagship in DuckDB SQL: imputation, the unrolled VIF loop, vectors
+    of the kept features, then both unrolled K-means sweeps."""
+    from sparkprep.plans import oracle_sql as osql
+    from sparkprep.plans.rounding import r6_sql, sig_sql
+    aggs = ", ".join(f"avg({n}) AS a_{n}, stddev_samp({n}) AS s_{n}" for n in NAMES)
+    norm = ", ".join(f"(coalesce({n}, a_{n}) - a_{n}) / s_{n} AS {n}" for n in NAMES)
+    normed = (f"SELECT fi.id, {norm} FROM ({INPUT_SQL}) fi, "
+              f"(SELECT {aggs} FROM ({INPUT_SQL})) st")
+    steps = osql.vif_steps_sql(normed, NAMES, threshold, num_steps)
+    long_rows = " UNION ALL ".join(f"SELECT id, '{n}' AS name, {n} AS v FROM nz" for n in NAMES)
+    points = (f"WITH nz AS ({normed}), dropped AS (SELECT feature_w_max_vif AS name FROM ({steps}) "
+              f"WHERE vif >= {threshold!r}) SELECT id, list(v ORDER BY name) AS x FROM ({long_rows}) "
+              f"WHERE name NOT IN (SELECT name FROM dropped) GROUP BY id")
+    parts = []
+    for init, label in (("random", "kmeans_random"), ("kmeanspp", "kmeans++")):
+        inner = osql.kmeans_sql(points, list(ks), init)
+        parts.append(f"SELECT '{label}' AS algo_type, CAST(num_clusters AS BIGINT) AS num_clusters, "
+                     f"{sig_sql('objective_fn')} AS objective_fn, "
+                     f"{r6_sql('frac_reassigned')} AS frac_reassigned, "
+                     f"CAST(num_iterations AS BIGINT) AS num_iterations, "
+                     f"{r6_sql('simple_silhouette')} AS simple_silhouette FROM ({inner})")
+    return " UNION ALL ".join(parts)

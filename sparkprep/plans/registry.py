@@ -591,7 +591,17 @@ def q_table_size(spark, sf):
 
 
 # ------------------------------------------------------------------ flagship
-@query("flagship")
+def _flagship_sql() -> str:
+    from sparkprep.plans.flagship import flagship_sql
+    return flagship_sql()
+
+
+@query("flagship", _flagship_sql)
 def q_flagship(spark, sf):
     from sparkprep.plans.flagship import flagship
-    return flagship(spark, sf)
+    out = flagship(spark, sf)
+    return out.select("algo_type", F.col("num_clusters").cast("long").alias("num_clusters"),
+                      sig("objective_fn").alias("objective_fn"),
+                      r6("frac_reassigned").alias("frac_reassigned"),
+                      F.col("num_iterations").cast("long").alias("num_iterations"),
+                      r6("simple_silhouette").alias("simple_silhouette"))
