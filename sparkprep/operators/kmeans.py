@@ -28,7 +28,6 @@ squared distances to the final centroids; silhouette is
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import functions as F
 
 from sparkprep.operators import kmeans, linear, vif
 from sparkprep.sources import fixtures as fx
