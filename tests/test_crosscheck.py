@@ -40,3 +40,15 @@ def test_kmeans_objective_close_to_spark_ml(spark):
     ml_cost = ml.summary.trainingCost
     # different seeding and stopping rules: same order of magnitude of fit
     assert 0.8 * ml_cost < ours["objective_fn"] < 1.25 * ml_cost
+
+
+def test_vif_with_intercept_matches_spark_ml_correlation(spark):
+    from pyspark.ml.stat import Correlation
+    df = fx.f3_collinear(spark, SF_MID)
+    va = VectorAssembler(inputCols=["x1", "x2", "x3", "x4"], outputCol="v")
+    corr = Correlation.corr(va.transform(df), "v").first()[0].toArray()
+    inv = np.linalg.inv(corr)
+    got = {r["feature"]: r["vif"] for r in
+           vif.vif_scores(df, ["x1", "x2", "x3", "x4"], intercept=True).collect()}
+    for j, name in enumerate(["x1", "x2", "x3", "x4"]):
+        assert got[name] == pytest.approx(inv[j, j], rel=1e-8)

@@ -89,3 +89,29 @@ def test_wide_gram_arrow_path_matches_aggregates(spark):
         assert wide[k]["n"] == narrow[k]["n"]
         assert np.allclose(wide[k]["means"], narrow[k]["means"], atol=1e-12)
         assert np.allclose(wide[k]["cov"], narrow[k]["cov"], atol=1e-10)
+
+
+def test_results_unchanged_under_repartitioning(spark):
+    from sparkprep.operators import linear
+    from sparkprep.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    df = fx.f1_wide(spark, SF_SMALL, dup_ids=True)
+
+    def vec(d):
+        out = impute.impute_normalize_vectors(d, "id", exclude=["year"], label_col="label",
+                                              constant_term=True)
+        return sorted((r["id"], r["label"], tuple(r["feat_name_vect"]),
+                       tuple(round(v, 9) for v in r["feat_vect_normalized"])) for r in out.collect())
+    assert vec(df.repartition(1)) == vec(df.repartition(16))
+    li = fx.f9_lineitem(spark, SF_SMALL)
+
+    def ridge(d):
+        return sorted((r["model"], tuple(round(c, 6) for c in r["coef"]), round(r["intercept"], 6))
+                      for r in linear.ridge_by_group(d, "model", "features", "label", p=3).collect())
+    assert ridge(li.repartition(1)) == ridge(li.repartition(16))
+    base = fx.f10_orders(spark, SF_SMALL)
+
+    def scan(d):
+        return sorted(map(tuple, running_totals(d, "key", ["ord"], F.size("arr"), "cum")
+                          .select("key", "ord", "cum").collect()))
+    assert scan(base.repartition(1)) == scan(base.repartition(16))
