@@ -14,6 +14,11 @@ from sparkprep.functions.arrays import filter_array_at_index
 from sparkprep.operators.schema import qcol
 
 
+def _size0(a):
+    """Element count, 0 for a NULL array (``size(NULL)`` is -1 without ANSI mode)."""
+    return F.when(a.isNotNull(), F.size(a)).otherwise(F.lit(0))
+
+
 def assemble_features(df: DataFrame, id_col: str, cols: list[str],
                       names_col: str = "feature_names", values_col: str = "features") -> DataFrame:
     """Wide to vector layout: ``id, names array<string>, values array<double>``."""
@@ -52,7 +57,7 @@ def array_concat_agg(df: DataFrame, key: str, order_col: str, arr_col: str,
         raise ValueError("layout must be 'array' or 'long'")
     from sparkprep.operators.ordered import running_totals
     base = df.select(F.col(qcol(key)), F.col(qcol(order_col)), a.alias("_a"))
-    sized = running_totals(base, key, [order_col], F.coalesce(F.size("_a"), F.lit(0)), "_end")
+    sized = running_totals(base, key, [order_col], _size0(F.col("_a")), "_end")
     elems = sized.select(F.col(qcol(key)), (F.col("_end") - F.size("_a")).alias("_start"),
                          F.posexplode("_a").alias("_i", "value"))
     present = elems.select(F.col(qcol(key)), (F.col("_start") + F.col("_i") + 1).alias("pos"), "value")
@@ -85,7 +90,7 @@ def running_accumulate(df: DataFrame, key: str, order_col: str, arr_col: str,
     a = F.col(qcol(arr_col))
     base = df.select(F.col(qcol(key)), F.col(qcol(order_col)),
                      *([F.col(qcol(final_value))] if isinstance(final_value, str) else []),
-                     F.coalesce(F.size(a), F.lit(0)).alias("_n"))
+                     _size0(a).alias("_n"))
     scanned = running_totals(base, key, [order_col], "_n", "n_elements", last_flag="_last")
     if final_value is None:
         done = F.col("_last")

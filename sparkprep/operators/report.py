@@ -16,7 +16,7 @@ def matrix_size_report(df: DataFrame, key: str, features_col: str,
     f = F.col(qcol(features_col))
     out = df.groupBy(qcol(key)).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.max(F.size(f)).cast("long").alias("n_cols"),
+        F.max(F.when(f.isNotNull(), F.size(f))).cast("long").alias("n_cols"),
         (F.sum(F.when(f.isNotNull(), F.size(f))) * F.lit(bytes_per_value)).cast("long").alias("size_bytes"))
     return out.withColumn("size_pretty", format_bytes("size_bytes"))
 

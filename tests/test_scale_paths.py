@@ -115,3 +115,18 @@ def test_results_unchanged_under_repartitioning(spark):
         return sorted(map(tuple, running_totals(d, "key", ["ord"], F.size("arr"), "cum")
                           .select("key", "ord", "cum").collect()))
     assert scan(base.repartition(1)) == scan(base.repartition(16))
+
+
+def test_queries_identical_without_ansi_mode(spark):
+    from sparkprep.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+    keys = ["running_accumulate", "array_concat_agg_long", "array_concat_agg", "array_group_size",
+            "matrix_size_report", "impute_normalize_vectors"]
+    ansi = {k: sorted(map(repr, QUERIES[k](spark, SF_SMALL).collect())) for k in keys}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = {k: sorted(map(repr, QUERIES[k](spark, SF_SMALL).collect())) for k in keys}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    for k in keys:
+        assert ansi[k] == legacy[k], k
