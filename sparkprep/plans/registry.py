@@ -14,8 +14,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.operators import impute
-from sparkprep.plans.rounding import explode_vector, r6, r6_sql
+from sparkprep.functions.arrays import closest_columns, filter_array_at_index
+from sparkprep.functions.formatting import format_bytes_sql
+from sparkprep.functions.hashing import hash_uniform, hash_uniform_sql
+from sparkprep.operators import arrays as arr_ops
+from sparkprep.operators import gram as gram_ops
+from sparkprep.operators import impute, linear, report, synth, vif
+from sparkprep.operators import kmeans as km
+from sparkprep.plans import oracle_sql as osql
+from sparkprep.plans.rounding import explode_vector, r6, r6_sql, sig, sig_sql
 from sparkprep.sources import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,10 +123,6 @@ def q_impute_columns(spark, sf):
 
 
 # ---------------------------------------------------------------- array rows
-from sparkprep.functions.arrays import filter_array_at_index  # noqa: E402
-from sparkprep.operators import arrays as arr_ops  # noqa: E402
-from sparkprep.plans import oracle_sql as osql  # noqa: E402
-from sparkprep.plans.rounding import sig, sig_sql  # noqa: E402
 
 F3_COLS = ["x1", "x2", "x3", "x4"]
 F4_COLS = ["x1", "x2", "x3", "x4", "x5"]
@@ -179,7 +182,6 @@ def q_split_target(spark, sf):
 
 
 # ---------------------------------------------------------- Gram, OLS, VIF
-from sparkprep.operators import gram as gram_ops, linear, vif  # noqa: E402
 
 
 def _gram_sql() -> str:
@@ -313,9 +315,6 @@ def q_grouped_train(spark, sf):
 
 
 # ------------------------------------------------------------------ K-means
-from sparkprep.functions.arrays import closest_columns  # noqa: E402
-from sparkprep.functions.hashing import hash_uniform, hash_uniform_sql  # noqa: E402
-from sparkprep.operators import kmeans as km  # noqa: E402
 
 SWEEP_KS = [8, 12, 16, 20, 24, 28, 32, 36]
 
@@ -461,8 +460,6 @@ def q_silhouette(spark, sf):
 
 
 # ------------------------------------------------- array groups, synthetic data
-from sparkprep.functions.formatting import format_bytes_sql  # noqa: E402
-from sparkprep.operators import report, synth  # noqa: E402
 
 
 def _concat_sql() -> str:
