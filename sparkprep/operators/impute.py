@@ -67,7 +67,8 @@ def surviving_features(df: DataFrame, cols: list[str]) -> dict[str, tuple]:
 
 def impute_normalize_vectors(df: DataFrame, id_col: str, exclude: Iterable[str] = (),
                              label_col: str | None = None, constant_term: bool = False,
-                             unique_id: bool = False, types=None) -> DataFrame:
+                             unique_id: bool = False, types=None,
+                             layout: str = "vector") -> DataFrame:
     """Vector layout: ``id, feat_name_vect, feat_vect, feat_vect_normalized [, label]``.
 
     Names are sorted (code-point order, ``constant_term`` sorting among them);
@@ -75,7 +76,14 @@ def impute_normalize_vectors(df: DataFrame, id_col: str, exclude: Iterable[str]
     centring). Rows sharing an id (and label) are merged into one longer vector
     ordered by (name, value), as the reference's ``group by id`` does; pass
     ``unique_id=True`` when the id is a key to skip that shuffle.
+
+    ``layout="long"`` returns the same content as element rows
+    ``id, [label,] pos, feat_name, feat, feat_normalized`` (1-based ``pos``),
+    numbered by the skew-proof ordered scan, so no id is gathered in one task
+    however many rows share it.
     """
+    if layout not in ("vector", "long"):
+        raise ValueError("layout must be 'vector' or 'long'")
     excluded = set(exclude or ()) | {id_col} | ({label_col} if label_col else set())
     cols = feature_columns(df, excluded, types=types, order="name")
     stats = surviving_features(df, cols)
@@ -88,6 +96,9 @@ def impute_normalize_vectors(df: DataFrame, id_col: str, exclude: Iterable[str]
     def norm(n):
         return F.lit(1.0) if n == CONSTANT_TERM else _normalised(n, *stats[n])
 
+    if layout == "long":
+        return _long_layout(df, keys, id_col, label_col, names, feat, norm, unique_id)
+
     if unique_id:
         name_arr = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
         feat_arr = F.array(*[feat(n) for n in names]) if names else F.array().cast("array<double>")
@@ -113,6 +124,24 @@ def impute_normalize_vectors(df: DataFrame, id_col: str, exclude: Iterable[str]
     return merged.select(*out)
 
 
+def _long_layout(df, keys, id_col, label_col, names, feat, norm, unique_id):
+    key_names = [id_col] + ([label_col] if label_col else [])
+    entry_t = "array<struct<n:string,f:double,z:double>>"
+    entries = (F.array(*[F.struct(F.lit(n).alias("n"), feat(n).alias("f"), norm(n).alias("z"))
+                         for n in names]) if names else F.array().cast(entry_t))
+    out_cols = [F.col(qcol(k)) for k in key_names] + [
+        "pos", F.col("_e.n").alias("feat_name"), F.col("_e.f").alias("feat"),
+        F.col("_e.z").alias("feat_normalized")]
+    if unique_id:
+        rows = df.select(*keys, F.posexplode(entries).alias("_p", "_e"))
+        return rows.withColumn("pos", (F.col("_p") + 1).cast("long")).select(*out_cols)
+    from sparkprep.operators.ordered import running_totals
+    rows = df.select(*keys, F.explode(entries).alias("_e")).select(
+        *keys, "_e", F.col("_e.n").alias("_n"), F.col("_e.f").alias("_f"), F.col("_e.z").alias("_z"))
+    numbered = running_totals(rows, key_names, ["_n", "_f", "_z"], F.lit(1), "pos")
+    return numbered.select(*out_cols)
+
+
 def impute_normalize_columns(df: DataFrame, id_col: str, exclude: Iterable[str] = (),
                              types=(T.IntegerType, T.DoubleType)) -> DataFrame:
     """Column layout: ``id, <col>_normalized ...`` in name order.

@@ -29,26 +29,30 @@ from sparkprep.operators.schema import qcol
 from sparkprep.session import checkpoint_dir
 
 
-def _runs(keys: pa.Array) -> np.ndarray:
-    """Start index of every run of equal keys in a sorted batch."""
-    n = len(keys)
-    if n == 0:
-        return np.zeros(0, dtype=np.int64)
-    if n == 1:
-        return np.zeros(1, dtype=np.int64)
-    same = pc.fill_null(pc.equal(keys.slice(1), keys.slice(0, n - 1)), False).to_numpy(
-        zero_copy_only=False)
-    both_null = np.logical_and(pc.is_null(keys.slice(1)).to_numpy(zero_copy_only=False),
-                               pc.is_null(keys.slice(0, n - 1)).to_numpy(zero_copy_only=False))
-    change = ~(same | both_null)
+def _runs(keys: list[pa.Array]) -> np.ndarray:
+    """Start index of every run of equal keys (all key columns) in a sorted batch."""
+    n = len(keys[0])
+    if n <= 1:
+        return np.zeros(n, dtype=np.int64)
+    change = np.zeros(n - 1, dtype=bool)
+    for col in keys:
+        a, b = col.slice(1), col.slice(0, n - 1)
+        same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
+        both_null = np.logical_and(pc.is_null(a).to_numpy(zero_copy_only=False),
+                                   pc.is_null(b).to_numpy(zero_copy_only=False))
+        change |= ~(same | both_null)
     return np.concatenate([[0], np.nonzero(change)[0] + 1]).astype(np.int64)
 
 
+def _key_at(keys: list[pa.Array], i: int) -> tuple:
+    return tuple(col[i].as_py() for col in keys)
+
+
 def _values(b: pa.RecordBatch) -> np.ndarray:
     return pc.fill_null(b.column("_v"), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _summarize_fn(key: str, schema: pa.Schema):
+def _summarize_fn(key: list[str], schema: pa.Schema):
     def summarize(batches):
         pid = TaskContext.get().partitionId()
         seen, single = False, True
@@ -57,9 +61,9 @@ def _summarize_fn(key: str, schema: pa.Schema):
         for b in batches:
             if b.num_rows == 0:
                 continue
-            keys, vals = b.column(key), _values(b)
+            keys, vals = [b.column(k) for k in key], _values(b)
             starts = _runs(keys)
-            k0, kl = keys[0].as_py(), keys[len(keys) - 1].as_py()
+            k0, kl = _key_at(keys, 0), _key_at(keys, b.num_rows - 1)
             continues = seen and k0 == last
             if not seen:
                 first = k0
@@ -70,8 +74,8 @@ def _summarize_fn(key: str, schema: pa.Schema):
             last, seen = kl, True
         if seen:
             yield pa.RecordBatch.from_pylist(
-                [{"pid": pid, "first_key": first, "last_key": last, "single": single,
-                  "total": total, "last_total": last_total}], schema=schema)
+                [{"pid": pid, "first_key": dict(zip(key, first)), "last_key": dict(zip(key, last)),
+                  "single": single, "total": total, "last_total": last_total}], schema=schema)
     return summarize
 
 
@@ -81,19 +85,20 @@ def _carry_in(summaries) -> tuple[dict, dict]:
     offsets, next_first = {}, {}
     carry_key, carry_val, prev = None, 0, None
     for s in summaries:
-        off = carry_val if (prev is not None and s["first_key"] == carry_key) else 0
-        offsets[s["pid"]] = (s["first_key"], off)
+        first, last = tuple(s["first_key"]), tuple(s["last_key"])
+        off = carry_val if (prev is not None and first == carry_key) else 0
+        offsets[s["pid"]] = (first, off)
         if prev is not None:
-            next_first[prev] = s["first_key"]
+            next_first[prev] = first
         if s["single"]:
-            carry_key, carry_val = s["first_key"], off + s["total"]
+            carry_key, carry_val = first, off + s["total"]
         else:
-            carry_key, carry_val = s["last_key"], s["last_total"]
+            carry_key, carry_val = last, s["last_total"]
         prev = s["pid"]
     return offsets, next_first
 
 
-def _apply_fn(key: str, out: str, last_flag: str | None, offsets: dict, next_first: dict):
+def _apply_fn(key: list[str], out: str, last_flag: str | None, offsets: dict, next_first: dict):
     def finish(held, next_key, has_next):
         b, cum, flags, k_last = held
         if last_flag:
@@ -107,14 +112,14 @@ def _apply_fn(key: str, out: str, last_flag: str | None, offsets: dict, next_fir
         for b in batches:
             if b.num_rows == 0:
                 continue
-            keys, vals = b.column(key), _values(b)
+            keys, vals = [b.column(k) for k in key], _values(b)
             starts = _runs(keys)
             bounds = np.append(starts, len(vals))
             cs = np.cumsum(vals)
             base = np.empty(len(vals), dtype=np.int64)
             for i in range(len(starts)):
                 a, e = bounds[i], bounds[i + 1]
-                add = carry if (i == 0 and keys[0].as_py() == carry_key) else 0
+                add = carry if (i == 0 and _key_at(keys, 0) == carry_key) else 0
                 base[a:e] = add - (cs[a - 1] if a > 0 else 0)
             cum = cs + base
             flags = None
@@ -122,8 +127,8 @@ def _apply_fn(key: str, out: str, last_flag: str | None, offsets: dict, next_fir
                 flags = np.zeros(len(vals), dtype=bool)
                 flags[bounds[1:-1] - 1] = True
             if held is not None:
-                yield finish(held, keys[0].as_py(), True)
-            k_last = keys[len(keys) - 1].as_py()
+                yield finish(held, _key_at(keys, 0), True)
+            k_last = _key_at(keys, b.num_rows - 1)
             held = (b, cum, flags, k_last)
             carry_key, carry = k_last, int(cum[-1])
         if held is not None:
@@ -131,22 +136,24 @@ def _apply_fn(key: str, out: str, last_flag: str | None, offsets: dict, next_fir
     return apply
 
 
-def running_totals(df: DataFrame, key: str, order: list[str], value, out: str = "cum",
+def running_totals(df: DataFrame, key, order: list[str], value, out: str = "cum",
                    last_flag: str | None = None, num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = inclusive running sum of ``value`` within ``key`` in
-    ``order`` (give a total order: ties are otherwise broken arbitrarily), and
-    optionally ``last_flag`` marking each key's last row. ``value`` is a column
-    name or an integer expression; NULL counts as 0."""
+    """``df`` plus ``out`` = inclusive running sum of ``value`` within ``key`` (a
+    column name or a list of them) in ``order`` (give a total order: ties are
+    otherwise broken arbitrarily), and optionally ``last_flag`` marking each
+    key's last row. ``value`` is a column name or an integer expression; NULL
+    counts as 0, and NULL keys form one group."""
     spark = df.sparkSession
     checkpoint_dir(spark)
+    keys = [key] if isinstance(key, str) else list(key)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     val = F.col(value) if isinstance(value, str) else value
-    ordering = [F.col(qcol(key))] + [F.col(qcol(o)) for o in order]
+    ordering = [F.col(qcol(k)) for k in keys] + [F.col(qcol(o)) for o in order]
     sorted_df = (df.withColumn("_v", val.cast("long"))
                  .repartitionByRange(n, *ordering)
                  .sortWithinPartitions(*ordering)
                  .checkpoint(eager=True))
-    key_type = sorted_df.schema[key].dataType
+    key_type = T.StructType([T.StructField(k, sorted_df.schema[k].dataType) for k in keys])
     summ_schema = T.StructType([T.StructField("pid", T.IntegerType()),
                                 T.StructField("first_key", key_type),
                                 T.StructField("last_key", key_type),
@@ -154,14 +161,14 @@ def running_totals(df: DataFrame, key: str, order: list[str], value, out: str =
                                 T.StructField("total", T.LongType()),
                                 T.StructField("last_total", T.LongType())])
     arrow_summ = pa.schema([pa.field(f.name, _arrow_type(f.dataType)) for f in summ_schema])
-    summaries = sorted(sorted_df.select(key, "_v")
-                       .mapInArrow(_summarize_fn(key, arrow_summ), summ_schema).collect(),
+    summaries = sorted(sorted_df.select(*[qcol(k) for k in keys], "_v")
+                       .mapInArrow(_summarize_fn(keys, arrow_summ), summ_schema).collect(),
                        key=lambda r: r["pid"])
     offsets, next_first = _carry_in(summaries)
     fields = list(sorted_df.schema.fields) + [T.StructField(out, T.LongType())]
     if last_flag:
         fields.append(T.StructField(last_flag, T.BooleanType()))
-    return (sorted_df.mapInArrow(_apply_fn(key, out, last_flag, offsets, next_first),
+    return (sorted_df.mapInArrow(_apply_fn(keys, out, last_flag, offsets, next_first),
                                  T.StructType(fields))
             .drop("_v"))
 

@@ -102,6 +102,15 @@ def q_impute_vectors_dups(spark, sf):
     return _impute_vectors(spark, sf, True)
 
 
+@query("impute_normalize_vectors_long", lambda: _impute_vectors_sql(True))
+def q_impute_vectors_long(spark, sf):
+    df = fx.f1_wide(spark, sf, dup_ids=True)
+    out = impute.impute_normalize_vectors(df, "id", exclude=["year"], label_col="label",
+                                          constant_term=True, layout="long")
+    return out.select("id", "label", "pos", "feat_name", r6("feat").alias("feat"),
+                      r6("feat_normalized").alias("feat_normalized"))
+
+
 def _impute_columns_sql() -> str:
     src = fx.f1_sql()
     st = _stats_sql(src, ["f_price", "f_size"])

@@ -130,3 +130,21 @@ def test_queries_identical_without_ansi_mode(spark):
         spark.conf.unset("spark.sql.ansi.enabled")
     for k in keys:
         assert ansi[k] == legacy[k], k
+
+
+def test_long_vectors_equal_exploded_vectors_with_a_hot_id(spark):
+    import random
+    random.seed(5)
+    rows = [(0 if random.random() < 0.4 else random.randint(1, 50), random.randint(0, 1),
+             random.choice([None, 1.0, 2.0, 3.5]), random.random()) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "id int, label int, a double, b double")
+    vec = impute.impute_normalize_vectors(df, "id", label_col="label", constant_term=True)
+    ex = vec.select("id", "label", F.posexplode(F.arrays_zip("feat_name_vect", "feat_vect",
+                                                               "feat_vect_normalized")))
+    a = sorted((r["id"], r["label"], r["pos"] + 1, r["col"][0], r["col"][1], r["col"][2])
+               for r in ex.collect())
+    lg = impute.impute_normalize_vectors(df, "id", label_col="label", constant_term=True,
+                                         layout="long")
+    b = sorted((r["id"], r["label"], r["pos"], r["feat_name"], r["feat"], r["feat_normalized"])
+               for r in lg.collect())
+    assert a == b
