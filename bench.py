@@ -19,7 +19,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "flagship", "column_stats", "impute_normalize_vectors", "impute_normalize_vectors_dup_ids",
     "impute_normalize_columns", "gram_matrix", "linregr_train", "vif_select_columns",
-    "vif_select_vectors", "kmeans_sweep", "kmeans_compare", "ridge_by_group",
+    "vif_select_vectors", "kmeans_random", "kmeanspp", "kmeans_sweep", "kmeans_compare",
+    "impute_normalize_vectors_long", "ridge_by_group",
     "ridge_by_group_rows", "grouped_train", "array_concat_agg", "array_concat_agg_long",
     "running_accumulate", "replicate_shuffle", "synth_array", "matrix_size_report",
 ]
