@@ -488,7 +488,7 @@ def kmeans_compare(random_df: DataFrame, kmeanspp_df: DataFrame | None = None,
 def bounded_models(models, max_values: int = 8_000_000) -> list[tuple[int, list]]:
     """``[(num_clusters, centroids)]`` from a model DataFrame or list, after
     checking that the total number of centroid values stays below
-    ``max_values`` (the models then travel inside the query plan)."""
+    ``max_values`` (the models then travel with tasks)."""
     if isinstance(models, DataFrame):
         size = models.select(F.sum(F.size(F.flatten("centroids"))).alias("s")).first()["s"] or 0
         if size > max_values:
@@ -502,7 +502,8 @@ def bounded_models(models, max_values: int = 8_000_000) -> list[tuple[int, list]
 
 
 def models_column(models) -> "F.Column":
-    """The models as one literal ``array<struct<num_clusters, centroids>>``."""
+    """The models as one literal ``array<struct<num_clusters, centroids>>``
+    (for small models used in column expressions, e.g. ``closest_columns``)."""
     return F.array(*[F.struct(F.lit(k).alias("num_clusters"),
                               F.array(*[F.array(*[F.lit(v) for v in c]) for c in cs])
                               .cast("array<array<double>>").alias("centroids"))
@@ -512,14 +513,24 @@ def models_column(models) -> "F.Column":
 def simple_silhouette(df: DataFrame, features_col: str, models,
                       max_values: int = 8_000_000) -> DataFrame:
     """``num_clusters, simple_silhouette`` of every model (a DataFrame or list of
-    ``(num_clusters, centroids)``), in column expressions: each point is scored
-    against every model's centroids, carried as literals (size checked)."""
-    from sparkprep.functions.arrays import closest_columns
+    ``(num_clusters, centroids)``): ``avg((d2 - d1) / d2)`` over the points, 0
+    when d2 = 0, NULL for one centroid. One pass: each task scores its points
+    against all models in NumPy (centroids shipped with the task, size
+    checked) and returns per-model partial sums."""
     ms = bounded_models(models, max_values)
+    spark = df.sparkSession
+    schema = "num_clusters int, simple_silhouette double"
+    if not ms:
+        return spark.createDataFrame([], schema)
     x = F.col(qcol(features_col)).cast("array<double>")
-    pts = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    scored = pts.select("x", F.inline(models_column(ms))).select(
-        "num_clusters", closest_columns(F.col("centroids"), F.col("x"), 2)["distances"].alias("d"))
-    d1, d2 = F.get(F.col("d"), 0), F.get(F.col("d"), 1)
-    s = F.when(d2.isNull(), F.lit(None)).when(d2 == 0, F.lit(0.0)).otherwise((d2 - d1) / d2)
-    return scored.groupBy("num_clusters").agg(F.avg(s).alias("simple_silhouette"))
+    points = (df.select(x.alias("x"))
+              .filter(F.col("x").isNotNull() & F.forall("x", lambda v: v.isNotNull())))
+    d = len(ms[0][1][0]) if ms[0][1] else 0
+    objs = [_Model(k=k, c=np.array(cs, dtype=np.float64).reshape(len(cs), d)) for k, cs in ms]
+    scores = _final_pass(points, objs, d)
+    rows = []
+    for i, (k, cs) in enumerate(ms):
+        sc = scores.get(i)
+        n = sc["n"] if sc else 0
+        rows.append((k, float(sc["sil"] / n) if (sc and n and len(cs) >= 2) else None))
+    return spark.createDataFrame(rows, schema)
