@@ -140,6 +140,7 @@ class Moments:
 
     @classmethod
     def of(cls, row) -> "Moments":
+        """From a statistics row (Row or dict with ``n``, ``means``, ``cov``)."""
         return cls(row["n"], row["means"], row["cov"])
 
     def raw(self) -> np.ndarray:

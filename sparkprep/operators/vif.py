@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkprep.operators import linalg
+from sparkprep.operators import gram
 from sparkprep.operators.gram import Moments, gram_stats, vector_elements
 from sparkprep.operators.schema import feature_columns, qcol
 
@@ -57,8 +58,15 @@ def _select(df: DataFrame, names: list[str], xs: list[Column], threshold: float,
             check_inputs: list[Column] | None = None):
     nulls = [F.sum(F.when(x.isNull(), 1).otherwise(0)).alias(f"_null{i}") for i, x in enumerate(
         [F.col(f"_x{i}") for i in range(len(xs))])]
-    row = gram_stats(df, xs, extra_aggs=nulls + (check or []),
-                     extra_inputs=check_inputs).first()
+    if len(xs) > gram.WIDE_P:
+        # wide: cross products on the Arrow path, NULL counts in their own aggregate
+        extra = (df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], *(check_inputs or []))
+                 .agg(*nulls, *(check or [])).first())
+        moments = gram_stats(df, xs).first()
+        row = {**extra.asDict(), **moments.asDict()}
+    else:
+        row = gram_stats(df, xs, extra_aggs=nulls + (check or []),
+                         extra_inputs=check_inputs).first().asDict()
     has_null = [row[f"_null{i}"] > 0 for i in range(len(xs))]
     stats, stats_idx = Moments.of(row), list(range(len(xs)))
     current = list(range(len(xs)))

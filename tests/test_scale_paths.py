@@ -148,3 +148,32 @@ def test_long_vectors_equal_exploded_vectors_with_a_hot_id(spark):
     b = sorted((r["id"], r["label"], r["pos"], r["feat_name"], r["feat"], r["feat_normalized"])
                for r in lg.collect())
     assert a == b
+
+
+def test_wide_vif_and_ridge_rows_use_arrow_path(spark):
+    import numpy as np
+    from sparkprep.operators import gram, linear, vif
+    rng = np.random.default_rng(9)
+    p = gram.WIDE_P + 2
+    x = rng.normal(0, 1, (400, p))
+    x[:, 1] = 2 * x[:, 0] + rng.normal(0, 0.01, 400)
+    names = [f"c{i:02d}" for i in range(p)]
+    rows = [(i, names, x[i].tolist(), float(x[i, :3].sum()), "g" if i % 2 else "h", i)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, n array<string>, f array<double>, y double, "
+                                     "k string, r int")
+    res = vif.vif_select_vectors(df, "id", "n", "f", threshold=10.0, num_steps=2)
+    assert res.history[0][1] in ("c00", "c01") and res.history[0][2] > 100
+    old = gram.WIDE_P
+    gram.WIDE_P = 10_000
+    try:
+        narrow = vif.vif_select_vectors(df, "id", "n", "f", threshold=10.0, num_steps=2).history
+        narrow_ridge = {r["k"]: r for r in linear.ridge_by_group_rows(df, "k", "r", "f", "y").collect()}
+    finally:
+        gram.WIDE_P = old
+    for a, b in zip(res.history, narrow):
+        assert a[1] == b[1] and abs(a[2] - b[2]) <= 1e-8 * b[2]
+    wide_ridge = {r["k"]: r for r in linear.ridge_by_group_rows(df, "k", "r", "f", "y").collect()}
+    for k in ("g", "h"):
+        assert wide_ridge[k]["final_row"] == narrow_ridge[k]["final_row"]
+        assert np.allclose(wide_ridge[k]["coef"], narrow_ridge[k]["coef"], atol=1e-9)
