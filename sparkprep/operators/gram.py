@@ -99,12 +99,16 @@ def _gram_stats_arrow(base: DataFrame, p: int, by: list[str]) -> DataFrame:
             x = b.column("_v").flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
             m = b.column("_m").flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
             d = x - m
-            tags = [repr(k) for k in g]
-            for t in set(tags):
-                sel = np.fromiter((tt == t for tt in tags), dtype=bool, count=len(tags))
-                dd = d[sel]
+            # factorise the group keys once, then one product per group slice
+            uniq, first, inv = np.unique(np.array([repr(k) for k in g]), return_index=True,
+                                         return_inverse=True)
+            order = np.argsort(inv, kind="stable")
+            bounds = np.searchsorted(inv[order], np.arange(len(uniq) + 1))
+            for u in range(len(uniq)):
+                dd = d[order[bounds[u]:bounds[u + 1]]]
+                t = uniq[u]
                 acc[t] = acc.get(t, 0.0) + dd.T @ dd
-                keys[t] = g[tags.index(t)]
+                keys[t] = g[first[u]]
         out = {"_g": [], "i": [], "j": [], "v": []}
         for t, mat in acc.items():
             for i in range(p):
