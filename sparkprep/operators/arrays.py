@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkprep.constants import (ACCUMULATE_DONE_PREFIX, ACCUMULATE_DONE_SUFFIX,
+                                 ACCUMULATE_PENDING, BYTES_PER_VALUE, GROUP_SIZE_PREFIX)
 from sparkprep.functions.arrays import filter_array_at_index
 from sparkprep.operators.schema import qcol
 
@@ -76,7 +78,7 @@ def array_group_size(df: DataFrame, key: str, arr_col: str) -> DataFrame:
     a = F.col(qcol(arr_col))
     n = F.sum(F.when(a.isNotNull(), F.size(a)).cast("long"))
     return (df.groupBy(qcol(key)).agg(n.alias("n_elements"))
-            .withColumn("result", F.concat(F.lit("size of x:"), F.col("n_elements").cast("string"))))
+            .withColumn("result", F.concat(F.lit(GROUP_SIZE_PREFIX), F.col("n_elements").cast("string"))))
 
 
 def running_accumulate(df: DataFrame, key: str, order_col: str, arr_col: str,
@@ -98,8 +100,9 @@ def running_accumulate(df: DataFrame, key: str, order_col: str, arr_col: str,
         done = F.col(qcol(order_col)) == F.col(qcol(final_value))
     else:
         done = F.col(qcol(order_col)) == F.lit(final_value)
-    mb = F.round(F.col("n_elements") * F.lit(8.0) / F.lit(1048576.0), 6)
+    mb = F.round(F.col("n_elements") * F.lit(float(BYTES_PER_VALUE)) / F.lit(1048576.0), 6)
     return scanned.select(
         F.col(qcol(key)), F.col(qcol(order_col)), "n_elements", mb.alias("size_mb"),
-        F.when(done, F.concat(F.lit("Size: "), F.format_string("%.6f", mb), F.lit(" MB")))
-        .otherwise(F.lit("Processing...")).alias("result"))
+        F.when(done, F.concat(F.lit(ACCUMULATE_DONE_PREFIX), F.format_string("%.6f", mb),
+                              F.lit(ACCUMULATE_DONE_SUFFIX)))
+        .otherwise(F.lit(ACCUMULATE_PENDING)).alias("result"))

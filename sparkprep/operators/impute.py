@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkprep.constants import CONSTANT_TERM
 from sparkprep.operators.schema import feature_columns, qcol
 
-CONSTANT_TERM = "constant_term"
 
 
 def _moments_row(df: DataFrame, cols: list[str]) -> dict[str, tuple]:

@@ -37,11 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkprep.constants import (ALGO_KMEANSPP, ALGO_RANDOM, KMEANS_MAX_ITER,
+                                 KMEANS_MIN_FRAC_REASSIGNED)
 from sparkprep.functions.hashing import hash_uniform
 from sparkprep.operators.schema import qcol
 
-ALGOS = {"random": "kmeans_random", "kmeans_random": "kmeans_random",
-         "kmeanspp": "kmeans++", "kmeans++": "kmeans++"}
+ALGOS = {"random": ALGO_RANDOM, ALGO_RANDOM: ALGO_RANDOM,
+         "kmeanspp": ALGO_KMEANSPP, ALGO_KMEANSPP: ALGO_KMEANSPP}
 # Largest model state shipped to tasks with the closure (bytes).
 MAX_MODEL_BYTES = 256 * 1024 * 1024
 ROW_CHUNK = 2048
@@ -414,8 +416,9 @@ def _lloyd(points: DataFrame, models: list[_Model], d: int, max_iter: int,
 
 
 def kmeans_sweeps(df: DataFrame, id_col: str, features_col: str, ks,
-                  inits=("random", "kmeanspp"), max_iter: int = 60,
-                  min_frac_reassigned: float = 0.001, seed: int = 42) -> DataFrame:
+                  inits=("random", "kmeanspp"), max_iter: int = KMEANS_MAX_ITER,
+                  min_frac_reassigned: float = KMEANS_MIN_FRAC_REASSIGNED,
+                  seed: int = 42) -> DataFrame:
     """Sweeps under several seedings whose models all iterate together (one job
     per iteration for every (seeding, K)). Rows: ``algo_type`` plus the
     columns of ``kmeans_sweep``."""
@@ -433,7 +436,7 @@ def kmeans_sweeps(df: DataFrame, id_col: str, features_col: str, ks,
         models, labels = [], []
         for init in inits:
             algo = ALGOS[init]
-            seeds = (seed_kmeanspp(points, kmax, seed) if algo == "kmeans++"
+            seeds = (seed_kmeanspp(points, kmax, seed) if algo == ALGO_KMEANSPP
                      else seed_random(points, kmax, seed))
             for k in ks:
                 models.append(_Model(k=k, c=seeds[:k].copy()))
@@ -454,7 +457,8 @@ def kmeans_sweeps(df: DataFrame, id_col: str, features_col: str, ks,
 
 
 def kmeans_sweep(df: DataFrame, id_col: str, features_col: str, ks, init: str = "random",
-                 max_iter: int = 60, min_frac_reassigned: float = 0.001,
+                 max_iter: int = KMEANS_MAX_ITER,
+                 min_frac_reassigned: float = KMEANS_MIN_FRAC_REASSIGNED,
                  seed: int = 42) -> DataFrame:
     """One row per K: ``num_clusters, centroids, objective_fn, frac_reassigned,
     num_iterations, simple_silhouette``. All K iterate together."""
@@ -464,7 +468,8 @@ def kmeans_sweep(df: DataFrame, id_col: str, features_col: str, ks, init: str =
 
 
 def kmeans(df: DataFrame, id_col: str, features_col: str, k: int, init: str = "random",
-           max_iter: int = 60, min_frac_reassigned: float = 0.001, seed: int = 42) -> DataFrame:
+           max_iter: int = KMEANS_MAX_ITER,
+           min_frac_reassigned: float = KMEANS_MIN_FRAC_REASSIGNED, seed: int = 42) -> DataFrame:
     """A single K (``kmeans_random`` / ``kmeanspp`` of the reference)."""
     return kmeans_sweep(df, id_col, features_col, [k], init, max_iter, min_frac_reassigned, seed)
 
@@ -479,8 +484,8 @@ def kmeans_compare(random_df: DataFrame, kmeanspp_df: DataFrame | None = None,
     if kmeanspp_df is None:
         out = random_df.select("algo_type", *cols)
     else:
-        out = (random_df.select(F.lit("kmeans_random").alias("algo_type"), *cols)
-               .unionByName(kmeanspp_df.select(F.lit("kmeans++").alias("algo_type"), *cols)))
+        out = (random_df.select(F.lit(ALGO_RANDOM).alias("algo_type"), *cols)
+               .unionByName(kmeanspp_df.select(F.lit(ALGO_KMEANSPP).alias("algo_type"), *cols)))
     out = out.orderBy(F.col("simple_silhouette").desc_nulls_first(), "algo_type", "num_clusters")
     return out.limit(1) if best else out
 

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 
-# Pivot tolerance and the perfect-fit ratio.
+from sparkprep.constants import VIF_PERFECT_FIT
+
+# Our numerical choices: pivot tolerance and the perfect-fit ratio.
 TOL = 1e-10
 PERFECT_FIT = 1e-12
-VIF_SENTINEL = 1e100
+VIF_SENTINEL = VIF_PERFECT_FIT
 
 
 def sweep(a: np.ndarray, k: int) -> None:

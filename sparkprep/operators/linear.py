@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkprep.constants import RIDGE_ALPHA
 from sparkprep.operators import gram, linalg
 from sparkprep.operators.gram import Moments, gram_stats, vector_elements
 from sparkprep.operators.schema import qcol
@@ -89,7 +90,7 @@ def _ridge_solver(key: str, alpha: float, extra: list[str]):
 
 
 def ridge_by_group(df: DataFrame, key: str, features_col: str, label_col: str,
-                   alpha: float = 0.5, p: int | None = None) -> DataFrame:
+                   alpha: float = RIDGE_ALPHA, p: int | None = None) -> DataFrame:
     """One ridge model per ``key`` (intercept unpenalised): ``key, hostname,
     coef, intercept, r_square``. ``hostname`` is where the solve ran."""
     xs = _xs(df, features_col, p)
@@ -100,7 +101,8 @@ def ridge_by_group(df: DataFrame, key: str, features_col: str, label_col: str,
 
 
 def ridge_by_group_rows(df: DataFrame, key: str, row_col: str, features_col: str,
-                        label_col: str, alpha: float = 0.5, p: int | None = None) -> DataFrame:
+                        label_col: str, alpha: float = RIDGE_ALPHA,
+                        p: int | None = None) -> DataFrame:
     """As ``ridge_by_group``, reported at each model's last row:
     ``key, current_row, final_row, segment_id, hostname, coef, intercept, r_square``.
     The final row comes from the same aggregate pass as the statistics."""
@@ -131,7 +133,8 @@ def grouped_train(df: DataFrame, key, fn: Callable, schema) -> DataFrame:
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 
-def streaming_ridge_trainer(key: str, features_col: str, label_col: str, alpha: float = 0.5):
+def streaming_ridge_trainer(key: str, features_col: str, label_col: str,
+                            alpha: float = RIDGE_ALPHA):
     """A ``grouped_train`` function fitting ridge from running shifted sums, so a
     group of any size streams through in constant memory."""
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.constants import BYTES_PER_VALUE
 from sparkprep.functions.formatting import format_bytes
 from sparkprep.operators.schema import qcol
 
 
 def matrix_size_report(df: DataFrame, key: str, features_col: str,
-                       bytes_per_value: int = 8) -> DataFrame:
+                       bytes_per_value: int = BYTES_PER_VALUE) -> DataFrame:
     """Per group: ``n_rows, n_cols`` (longest vector), ``size_bytes`` (values x 8)
     and a readable ``size_pretty``; one partially aggregated pass."""
     f = F.col(qcol(features_col))

@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkprep.constants import VIF_THRESHOLD
 from sparkprep.operators import linalg
 from sparkprep.operators import gram
 from sparkprep.operators.gram import Moments, gram_stats, vector_elements
@@ -114,7 +115,7 @@ def _inputs(df, features, names):
 
 
 def vif_select_vectors(df: DataFrame, id_col: str, names_col: str, features_col: str,
-                       threshold: float = 10.0, num_steps: int = 20,
+                       threshold: float = VIF_THRESHOLD, num_steps: int = 20,
                        intercept: bool = False) -> VifResult:
     """Vector layout: every row must carry the same ``names`` array."""
     first = df.select(names_col).filter(F.col(names_col).isNotNull()).head()
@@ -138,7 +139,7 @@ def vif_select_vectors(df: DataFrame, id_col: str, names_col: str, features_col:
 
 
 def vif_select_columns(df: DataFrame, id_col: str, label_col: str | None = None,
-                       exclude=(), threshold: float = 10.0, num_steps: int = 10,
+                       exclude=(), threshold: float = VIF_THRESHOLD, num_steps: int = 10,
                        intercept: bool = False) -> VifResult:
     """Wide layout: features are the numeric columns in schema order, minus
     ``exclude``, the id and the label."""

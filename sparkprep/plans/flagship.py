@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.constants import ALGO_KMEANSPP, ALGO_RANDOM, KMEANS_SWEEP_KS, VIF_THRESHOLD
 from sparkprep.operators import impute, kmeans, vif
 from sparkprep.sources.tables import read_table
 
-KS = [8, 12, 16, 20, 24, 28, 32, 36]
+KS = KMEANS_SWEEP_KS
 
 
 def flagship_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def flagship_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flagship(spark: SparkSession, sf_dir: str, ks=KS, threshold: float = 10.0,
+def flagship(spark: SparkSession, sf_dir: str, ks=KS, threshold: float = VIF_THRESHOLD,
              num_steps: int = 20) -> DataFrame:
     wide = flagship_input(spark, sf_dir)
     vectors = impute.impute_normalize_vectors(wide, "id", label_col="label", unique_id=True)
@@ -59,7 +60,7 @@ INPUT_SQL = """SELECT p_partkey AS id,
     FROM part"""
 
 
-def flagship_sql(ks=KS, threshold: float = 10.0, num_steps: int = 20) -> str:
+def flagship_sql(ks=KS, threshold: float = VIF_THRESHOLD, num_steps: int = 20) -> str:
     """The flagship in DuckDB SQL: imputation, the unrolled VIF loop, vectors
     of the kept features, then both unrolled K-means sweeps."""
     from sparkprep.plans import oracle_sql as osql
@@ -74,7 +75,7 @@ def flagship_sql(ks=KS, threshold: float = 10.0, num_steps: int = 20) -> str:
               f"WHERE vif >= {threshold!r}) SELECT id, list(v ORDER BY name) AS x FROM ({long_rows}) "
               f"WHERE name NOT IN (SELECT name FROM dropped) GROUP BY id")
     parts = []
-    for init, label in (("random", "kmeans_random"), ("kmeanspp", "kmeans++")):
+    for init, label in (("random", ALGO_RANDOM), ("kmeanspp", ALGO_KMEANSPP)):
         inner = osql.kmeans_sql(points, list(ks), init)
         parts.append(f"SELECT '{label}' AS algo_type, CAST(num_clusters AS BIGINT) AS num_clusters, "
                      f"{sig_sql('objective_fn')} AS objective_fn, "

@@ -8,6 +8,7 @@ registered tables, generated from parameters, so any p works without NumPy.
 
 from __future__ import annotations
 
+from sparkprep.constants import KMEANS_MAX_ITER, KMEANS_MIN_FRAC_REASSIGNED
 from sparkprep.operators import linalg
 
 TOL = repr(linalg.TOL)
@@ -211,8 +212,9 @@ def kmeans_seed_ctes(points: str, ks: list[int], init: str, seed: int) -> list[s
     return ctes
 
 
-def kmeans_sql(points_sql: str, ks: list[int], init: str = "random", max_iter: int = 60,
-               min_frac: float = 0.001, seed: int = 42, output: str = "summary") -> str:
+def kmeans_sql(points_sql: str, ks: list[int], init: str = "random",
+               max_iter: int = KMEANS_MAX_ITER, min_frac: float = KMEANS_MIN_FRAC_REASSIGNED,
+               seed: int = 42, output: str = "summary") -> str:
     """Unrolled Lloyd iterations for all K at once. ``points_sql`` yields
     ``(id, x double[])``. ``output``: ``summary`` (``num_clusters, objective_fn,
     frac_reassigned, num_iterations, simple_silhouette``, unrounded) or

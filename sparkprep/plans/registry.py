@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep import constants as C
+from sparkprep.constants import KMEANS_SWEEP_KS
 from sparkprep.functions.arrays import closest_columns, filter_array_at_index
 from sparkprep.functions.formatting import format_bytes_sql
 from sparkprep.functions.hashing import hash_uniform, hash_uniform_sql
@@ -73,7 +75,7 @@ def _impute_vectors_sql(dup_ids: bool) -> str:
                (coalesce(l.feat, st.a) - st.a) / st.s AS feat_normalized
         FROM ({longs}) l JOIN st ON st.column_name = l.feat_name WHERE st.s > 0
         UNION ALL
-        SELECT id, label, 'constant_term', 1.0, 1.0 FROM ({src})
+        SELECT id, label, '{C.CONSTANT_TERM}', 1.0, 1.0 FROM ({src})
     )
     SELECT id, label,
            CAST(row_number() OVER (PARTITION BY id, label
@@ -325,7 +327,7 @@ def q_grouped_train(spark, sf):
 
 # ------------------------------------------------------------------ K-means
 
-SWEEP_KS = [8, 12, 16, 20, 24, 28, 32, 36]
+SWEEP_KS = KMEANS_SWEEP_KS
 
 
 def _km_summary(df):
@@ -381,8 +383,9 @@ def q_kmeans_sweep(spark, sf):
 
 def _compare_sql() -> str:
     pts = fx.F7_SQL.replace("vec_id,", "vec_id AS id,")
-    a = _km_summary_sql(osql.kmeans_sql(pts, SWEEP_KS, "random"), "'kmeans_random' AS algo_type, ")
-    b = _km_summary_sql(osql.kmeans_sql(pts, SWEEP_KS, "kmeanspp"), "'kmeans++' AS algo_type, ")
+    a = _km_summary_sql(osql.kmeans_sql(pts, SWEEP_KS, "random"), f"'{C.ALGO_RANDOM}' AS algo_type, ")
+    b = _km_summary_sql(osql.kmeans_sql(pts, SWEEP_KS, "kmeanspp"),
+                        f"'{C.ALGO_KMEANSPP}' AS algo_type, ")
     return f"{a} UNION ALL {b}"
 
 
@@ -501,7 +504,7 @@ def q_concat_long(spark, sf):
 
 @query("array_group_size", lambda: (
     f"SELECT key, CAST(sum(len(arr)) AS BIGINT) AS n_elements, "
-    f"'size of x:' || CAST(CAST(sum(len(arr)) AS BIGINT) AS VARCHAR) AS result "
+    f"'{C.GROUP_SIZE_PREFIX}' || CAST(CAST(sum(len(arr)) AS BIGINT) AS VARCHAR) AS result "
     f"FROM ({fx.F10_SQL}) GROUP BY key"))
 def q_group_size(spark, sf):
     return arr_ops.array_group_size(fx.f10_orders(spark, sf), "key", "arr")
@@ -514,8 +517,10 @@ def _running_sql() -> str:
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS n_elements,
               ord = max(ord) OVER (PARTITION BY key) AS last FROM f)
     SELECT key, ord, n_elements, round(n_elements * 8.0 / 1048576.0, 6) AS size_mb,
-           CASE WHEN last THEN 'Size: ' || printf('%.6f', round(n_elements * 8.0 / 1048576.0, 6)) || ' MB'
-                ELSE 'Processing...' END AS result
+           CASE WHEN last THEN '{C.ACCUMULATE_DONE_PREFIX}'
+                    || printf('%.6f', round(n_elements * 8.0 / 1048576.0, 6))
+                    || '{C.ACCUMULATE_DONE_SUFFIX}'
+                ELSE '{C.ACCUMULATE_PENDING}' END AS result
     FROM c"""
 
 
