@@ -291,17 +291,47 @@ class _Model:
     done: bool = False
 
 
+def _ordered_sums(partials: DataFrame, keys: list[str], d: int, driver_ok: bool) -> list[dict]:
+    """Combine per-task partial rows ``keys..., pid, cnt, chg, s array<double>``
+    in partition order, so floating-point sums (and hence every later
+    iteration) repeat exactly from run to run. Few partials are summed on the
+    driver; many are reduced per key in the JVM by a sequential ``aggregate``
+    over the partials sorted by partition (one entry per task, never data rows)."""
+    if driver_ok:
+        rows = sorted(partials.collect(), key=lambda r: (*[r[k] for k in keys], r["pid"]))
+        out: dict = {}
+        for r in rows:
+            kk = tuple(r[k] for k in keys)
+            vec = np.array([r["cnt"], r["chg"], *r["s"]], dtype=np.float64)
+            out[kk] = out[kk] + vec if kk in out else vec
+        return [{**dict(zip(keys, kk)), "cnt": int(v[0]), "chg": int(v[1]), "s": v[2:]}
+                for kk, v in out.items()]
+    parts = F.sort_array(F.collect_list(F.struct("pid", "cnt", "chg", "s")))
+    zero = F.struct(F.lit(0).cast("long").alias("cnt"), F.lit(0).cast("long").alias("chg"),
+                    F.array_repeat(F.lit(0.0), d).alias("s"))
+    total = F.aggregate(parts, zero, lambda acc, e: F.struct(
+        (acc["cnt"] + e["cnt"]).alias("cnt"), (acc["chg"] + e["chg"]).alias("chg"),
+        F.zip_with(acc["s"], e["s"], lambda a, b: a + b).alias("s")))
+    rows = partials.groupBy(*keys).agg(total.alias("t")).collect()
+    return [{**{k: r[k] for k in keys}, "cnt": r["t"]["cnt"], "chg": r["t"]["chg"],
+             "s": np.array(r["t"]["s"], dtype=np.float64)} for r in rows]
+
+
 def _iteration(points: DataFrame, models: list[_Model], d: int) -> dict:
+    """One Lloyd pass for every unfinished model: ``{model: [cluster rows]}``."""
+    from pyspark import TaskContext
     active = [(i, m.c, m.prev) for i, m in enumerate(models) if not m.done]
     _check_state(sum(len(c) for _, c, _ in active), d)
-    fields = [("m", pa.int32()), ("c", pa.int32()), ("cnt", pa.int64()), ("chg", pa.int64())]
-    fields += [(f"s{j}", pa.float64()) for j in range(d)]
-    arrow_schema = pa.schema(fields)
-    spark_schema = T.StructType([T.StructField(n, T.IntegerType() if t == pa.int32() else
-                                               T.LongType() if t == pa.int64() else T.DoubleType())
-                                 for n, t in fields])
+    arrow_schema = pa.schema([("m", pa.int32()), ("c", pa.int32()), ("pid", pa.int32()),
+                              ("cnt", pa.int64()), ("chg", pa.int64()),
+                              ("s", pa.list_(pa.float64()))])
+    spark_schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("c", T.IntegerType()),
+                                 T.StructField("pid", T.IntegerType()), T.StructField("cnt", T.LongType()),
+                                 T.StructField("chg", T.LongType()),
+                                 T.StructField("s", T.ArrayType(T.DoubleType()))])
 
     def partial_sums(batches):
+        pid = TaskContext.get().partitionId()
         acc = {i: (np.zeros(len(c), np.int64), np.zeros(len(c), np.int64), np.zeros((len(c), d)))
                for i, c, _ in active}
         for b in batches:
@@ -318,39 +348,19 @@ def _iteration(points: DataFrame, models: list[_Model], d: int) -> dict:
                     chg += np.bincount(a[moved], minlength=k)
                 for j in range(d):
                     sums[:, j] += np.bincount(a, weights=x[:, j], minlength=k)
-        cols = {n: [] for n, _ in fields}
-        for i, c, _ in active:
-            cnt, chg, sums = acc[i]
-            for ci in range(len(c)):
-                if cnt[ci] == 0:
-                    continue
-                cols["m"].append(i)
-                cols["c"].append(ci)
-                cols["cnt"].append(int(cnt[ci]))
-                cols["chg"].append(int(chg[ci]))
-                for j in range(d):
-                    cols[f"s{j}"].append(float(sums[ci, j]))
-        if cols["m"]:
-            yield pa.RecordBatch.from_pydict(cols, schema=arrow_schema)
+        rows = [{"m": i, "c": ci, "pid": pid, "cnt": int(cnt[ci]), "chg": int(chg[ci]),
+                 "s": sums[ci].tolist()}
+                for i, c, _ in active for cnt, chg, sums in [acc[i]]
+                for ci in range(len(c)) if cnt[ci] > 0]
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
     partials = points.mapInArrow(partial_sums, spark_schema)
     n_parts = points.rdd.getNumPartitions()
     k_total = sum(len(c) for _, c, _ in active)
-    if n_parts * k_total * (d + 4) <= DRIVER_PARTIALS:
-        # Few partitions: every task's K x d partial goes straight to the driver
-        # (bounded by partitions x model size, not by data), saving a stage.
-        sums: dict = {}
-        for r in partials.collect():
-            key = (r["m"], r["c"])
-            vec = np.array([r["cnt"], r["chg"], *[r[f"s{j}"] for j in range(d)]], dtype=np.float64)
-            sums[key] = sums[key] + vec if key in sums else vec
-        agg = [{"m": m, "c": c, "cnt": int(v[0]), "chg": int(v[1]),
-                **{f"s{j}": v[2 + j] for j in range(d)}} for (m, c), v in sums.items()]
-    else:
-        agg = (partials.groupBy("m", "c")
-               .agg(F.sum("cnt").alias("cnt"), F.sum("chg").alias("chg"),
-                    *[F.sum(f"s{j}").alias(f"s{j}") for j in range(d)])
-               .collect())
+    # Few partitions: every task's K x d partial goes straight to the driver
+    # (bounded by partitions x model size, not by data), saving a stage.
+    agg = _ordered_sums(partials, ["m", "c"], d, n_parts * k_total * (d + 5) <= DRIVER_PARTIALS)
     out: dict = {}
     for r in agg:
         out.setdefault(r["m"], []).append(r)
@@ -358,14 +368,18 @@ def _iteration(points: DataFrame, models: list[_Model], d: int) -> dict:
 
 
 def _final_pass(points: DataFrame, models: list[_Model], d: int) -> dict:
+    """Objective and silhouette sums of every model: ``{model: {n, sse, sil}}``."""
+    from pyspark import TaskContext
     cents = [m.c for m in models]
     _check_state(sum(len(c) for c in cents), d)
-    schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("n", T.LongType()),
-                           T.StructField("sse", T.DoubleType()), T.StructField("sil", T.DoubleType())])
-    arrow_schema = pa.schema([("m", pa.int32()), ("n", pa.int64()), ("sse", pa.float64()),
-                              ("sil", pa.float64())])
+    schema = T.StructType([T.StructField("m", T.IntegerType()), T.StructField("pid", T.IntegerType()),
+                           T.StructField("cnt", T.LongType()), T.StructField("chg", T.LongType()),
+                           T.StructField("s", T.ArrayType(T.DoubleType()))])
+    arrow_schema = pa.schema([("m", pa.int32()), ("pid", pa.int32()), ("cnt", pa.int64()),
+                              ("chg", pa.int64()), ("s", pa.list_(pa.float64()))])
 
     def score(batches):
+        pid = TaskContext.get().partitionId()
         n = np.zeros(len(cents), np.int64)
         sse = np.zeros(len(cents))
         sil = np.zeros(len(cents))
@@ -384,19 +398,18 @@ def _final_pass(points: DataFrame, models: list[_Model], d: int) -> dict:
                         sil[i] += np.where(d2 == 0, 0.0, (d2 - d1) / np.where(d2 == 0, 1.0, d2)).sum()
                 else:
                     sse[i] += dist.min(axis=1).sum()
-        yield pa.RecordBatch.from_pydict(
-            {"m": list(range(len(cents))), "n": n.tolist(), "sse": sse.tolist(), "sil": sil.tolist()},
-            schema=arrow_schema)
+        yield pa.RecordBatch.from_pylist(
+            [{"m": i, "pid": pid, "cnt": int(n[i]), "chg": 0, "s": [float(sse[i]), float(sil[i])]}
+             for i in range(len(cents))], schema=arrow_schema)
 
-    rows = (points.mapInArrow(score, schema).groupBy("m")
-            .agg(F.sum("n").alias("n"), F.sum("sse").alias("sse"), F.sum("sil").alias("sil"))
-            .collect())
-    return {r["m"]: r for r in rows}
+    n_parts = points.rdd.getNumPartitions()
+    rows = _ordered_sums(points.mapInArrow(score, schema), ["m"], 2,
+                         n_parts * len(cents) * 7 <= DRIVER_PARTIALS)
+    return {r["m"]: {"n": r["cnt"], "sse": float(r["s"][0]), "sil": float(r["s"][1])} for r in rows}
 
 
 def _lloyd(points: DataFrame, models: list[_Model], d: int, max_iter: int,
            min_frac_reassigned: float) -> None:
-    n_total = None
     while not all(m.done for m in models):
         parts = _iteration(points, models, d)
         for i, m in enumerate(models):
@@ -404,10 +417,9 @@ def _lloyd(points: DataFrame, models: list[_Model], d: int, max_iter: int,
                 continue
             rows = parts.get(i, [])
             n = sum(r["cnt"] for r in rows)
-            n_total = n if n_total is None else n_total
             new = m.c.copy()
             for r in rows:
-                new[r["c"]] = np.array([r[f"s{j}"] for j in range(d)]) / r["cnt"]
+                new[r["c"]] = r["s"] / r["cnt"]
             m.iters += 1
             m.frac = 1.0 if m.prev is None else (sum(r["chg"] for r in rows) / n if n else 0.0)
             m.prev, m.c = m.c, new

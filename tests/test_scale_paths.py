@@ -177,3 +177,28 @@ def test_wide_vif_and_ridge_rows_use_arrow_path(spark):
     for k in ("g", "h"):
         assert wide_ridge[k]["final_row"] == narrow_ridge[k]["final_row"]
         assert np.allclose(wide_ridge[k]["coef"], narrow_ridge[k]["coef"], atol=1e-9)
+
+
+def test_kmeans_reduction_paths_are_bit_identical(spark):
+    import numpy as np
+    from sparkprep.operators import kmeans as km
+    rng = np.random.default_rng(10)
+    df = spark.createDataFrame([(i, rng.normal(0, 1, 6).tolist()) for i in range(500)],
+                               "id long, x array<double>")
+    pts = km.prepare_points(df, "id", "x").repartition(5, "id").cache()
+    models = [km._Model(k=4, c=km.seed_random(pts, 4))]
+    models[0].prev = models[0].c + 0.05
+    driver = km._iteration(pts, models, 6)[0]
+    old = km.DRIVER_PARTIALS
+    km.DRIVER_PARTIALS = 0
+    try:
+        spread = km._iteration(pts, models, 6)[0]
+        fin_spread = km._final_pass(pts, models, 6)
+    finally:
+        km.DRIVER_PARTIALS = old
+    fin_driver = km._final_pass(pts, models, 6)
+    a = sorted(driver, key=lambda r: r["c"])
+    b = sorted(spread, key=lambda r: r["c"])
+    assert all(x["cnt"] == y["cnt"] and x["chg"] == y["chg"] and np.array_equal(x["s"], y["s"])
+               for x, y in zip(a, b))
+    assert fin_driver == fin_spread
