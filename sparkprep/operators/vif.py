@@ -68,7 +68,7 @@ def _select(df: DataFrame, names: list[str], xs: list[Column], threshold: float,
     else:
         row = gram_stats(df, xs, extra_aggs=nulls + (check or []),
                          extra_inputs=check_inputs).first().asDict()
-    has_null = [row[f"_null{i}"] > 0 for i in range(len(xs))]
+    has_null = [(row[f"_null{i}"] or 0) > 0 for i in range(len(xs))]
     stats, stats_idx = Moments.of(row), list(range(len(xs)))
     current = list(range(len(xs)))
     steps = []

@@ -215,3 +215,30 @@ def test_batched_seeding_equals_one_round_per_job(spark):
     one = kmeans.seed_kmeanspp(p, 12, rounds_per_job=1)
     for per_job, m in ((5, 1), (12, 3), (12, 64)):
         assert np.array_equal(kmeans.seed_kmeanspp(p, 12, rounds_per_job=per_job, candidates=m), one)
+
+
+def test_empty_inputs_give_empty_results_or_clear_errors(spark):
+    from sparkprep.operators import gram, synth
+    from sparkprep.operators.ordered import running_totals
+    wide = spark.createDataFrame([], "id long, a double, b int, label int")
+    vec = spark.createDataFrame([], "id long, n array<string>, f array<double>, y double, k string, r long")
+    arr = spark.createDataFrame([], "k long, o long, a array<double>")
+    assert impute.column_stats(wide, ["a", "b"]).count() == 0
+    assert impute.impute_normalize_vectors(wide, "id", label_col="label", constant_term=True).count() == 0
+    assert impute.impute_normalize_vectors(wide, "id", layout="long").count() == 0
+    assert impute.impute_normalize_columns(wide, "id").count() == 0
+    assert gram.gram_matrix(wide, ["a", "b"]).filter("n > 0").count() == 0
+    assert linear.linregr(wide, "a", ["b"]).first()["num_rows"] == 0
+    assert vif.vif_scores(wide, ["a", "b"]).count() == 0
+    assert vif.vif_select_columns(wide, "id").steps.count() == 0
+    assert vif.vif_select_vectors(vec, "id", "n", "f").steps.count() == 0
+    assert linear.ridge_by_group(vec, "k", "f", "y", p=2).count() == 0
+    assert linear.ridge_by_group_rows(vec, "k", "r", "f", "y", p=2).count() == 0
+    with pytest.raises(ValueError):
+        kmeans.kmeans(vec, "id", "f", 2)
+    assert arrays.array_concat_agg(arr, "k", "o", "a").count() == 0
+    assert arrays.array_concat_agg(arr, "k", "o", "a", layout="long").count() == 0
+    assert arrays.running_accumulate(arr, "k", "o", "a").count() == 0
+    assert running_totals(arr, "k", ["o"], F.lit(1)).count() == 0
+    empty_base = spark.createDataFrame([], "id long, features array<float>, quality float")
+    assert synth.replicate_shuffle(empty_base, "id", 2, 2).count() == 0
