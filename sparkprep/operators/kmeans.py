@@ -46,7 +46,7 @@ ALGOS = {"random": ALGO_RANDOM, ALGO_RANDOM: ALGO_RANDOM,
          "kmeanspp": ALGO_KMEANSPP, ALGO_KMEANSPP: ALGO_KMEANSPP}
 # Largest model state shipped to tasks with the closure (bytes).
 MAX_MODEL_BYTES = 256 * 1024 * 1024
-ROW_CHUNK = 2048
+CHUNK_VALUES = 8_000_000  # doubles per distance chunk (64 MB)
 # Partial sums (values) small enough to combine on the driver without a shuffle.
 DRIVER_PARTIALS = 4_000_000
 
@@ -77,11 +77,14 @@ def _matrix(batch: pa.RecordBatch, d: int) -> np.ndarray:
 
 
 def _sqdist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Squared Euclidean distances, rows of ``x`` against rows of ``c``."""
+    """Squared Euclidean distances, rows of ``x`` against rows of ``c``, from
+    exact differences; rows are taken in chunks of about ``CHUNK_VALUES``
+    differences so memory stays bounded for wide vectors and many centroids."""
     out = np.empty((x.shape[0], c.shape[0]))
-    for s in range(0, x.shape[0], ROW_CHUNK):
-        diff = x[s:s + ROW_CHUNK, None, :] - c[None, :, :]
-        out[s:s + ROW_CHUNK] = np.einsum("ijk,ijk->ij", diff, diff)
+    step = max(1, CHUNK_VALUES // max(1, c.shape[0] * c.shape[1]))
+    for s in range(0, x.shape[0], step):
+        diff = x[s:s + step, None, :] - c[None, :, :]
+        out[s:s + step] = np.einsum("ijk,ijk->ij", diff, diff)
     return out
 
 
