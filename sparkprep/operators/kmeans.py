@@ -73,6 +73,8 @@ def _matrix(batch: pa.RecordBatch, d: int) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     vals = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if len(vals) != len(batch) * d:
+        raise ValueError(f"feature vectors must all have {d} elements")
     return vals.reshape(-1, d) if d else np.zeros((len(batch), 0))
 
 
