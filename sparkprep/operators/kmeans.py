@@ -118,10 +118,15 @@ def _assign(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _dim(points: DataFrame) -> int:
-    row = points.select(F.size("x").alias("d")).head()
-    if row is None:
+    """Vector length, checked to be the same on every row. On persisted points
+    this one aggregate also materialises the cache."""
+    row = points.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("x")).alias("lo"),
+                     F.max(F.size("x")).alias("hi")).first()
+    if not row["n"]:
         raise ValueError("no complete feature vectors")
-    return int(row["d"])
+    if row["lo"] != row["hi"]:
+        raise ValueError(f"feature vectors must all have the same length ({row['lo']} to {row['hi']})")
+    return int(row["hi"])
 
 
 def _check_state(n_centroids: int, d: int) -> None:
