@@ -158,16 +158,23 @@ class Moments:
         return self.n * self.means
 
 
-def gram_matrix(df: DataFrame, features, p: int | None = None,
+def gram_matrix(df: DataFrame, features, target_col: str | None = None, p: int | None = None,
                 by: list[str] | None = None) -> DataFrame:
     """Long ``(by..., i, j, n, sum_i, xtx)`` table of raw cross products over
     complete rows; ``features`` is a list of column names or an array column
-    (then ``p`` is its length). Indices are 1-based."""
+    (then ``p`` is its length, read from the first row when not given). A
+    ``target_col`` joins as the last variable, giving ``X^T y`` and ``y^T y``.
+    Indices are 1-based."""
     by = by or []
     if isinstance(features, str):
+        if p is None:
+            first = df.select(F.size(qcol(features)).alias("s")).filter("s >= 0").head()
+            p = int(first[0]) if first else 0
         xs = vector_elements(features, p)
     else:
         xs = [F.col(qcol(c)).cast("double") for c in features]
+    if target_col is not None:
+        xs = xs + [F.col(qcol(target_col)).cast("double")]
     p = len(xs)
     st = gram_stats(df, xs, by)
     idx = [(i, j) for i in range(p) for j in range(p)]

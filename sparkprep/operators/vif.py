@@ -94,10 +94,13 @@ def _select(df: DataFrame, names: list[str], xs: list[Column], threshold: float,
     return steps, current, row
 
 
-def vif_scores(df: DataFrame, features, names: list[str] | None = None,
-               intercept: bool = False) -> DataFrame:
+def vif_scores(df: DataFrame, features, names=None, intercept: bool = False) -> DataFrame:
     """``(feature, vif)`` for every feature of one step. ``features`` is a list
-    of columns or the name of an array column (then ``names`` labels it)."""
+    of columns, or the name of an array column labelled by ``names`` (a list,
+    or the name of a names-array column read from the first row)."""
+    if isinstance(features, str) and isinstance(names, str):
+        first = df.select(names).filter(F.col(names).isNotNull()).head()
+        names = list(first[0]) if first else []
     names, xs = _inputs(df, features, names)
     row = gram_stats(df, xs).first()
     m = Moments.of(row)
