@@ -212,6 +212,24 @@ def q_gram(spark, sf):
     return g.select("i", "j", "n", sig("sum_i").alias("sum_i"), sig("xtx").alias("xtx"))
 
 
+def _gram_xy_sql() -> str:
+    cols = ["x1", "x2", "x4", "x3"]
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    lg = " UNION ALL ".join(f"SELECT id, {j + 1} AS j, CAST({c} AS DOUBLE) AS v FROM f"
+                            for j, c in enumerate(cols))
+    return f"""
+    WITH f AS (SELECT * FROM ({fx.f3_sql(nulls=True)}) WHERE {nn}), lg AS ({lg})
+    SELECT CAST(a.j AS BIGINT) AS i, CAST(b.j AS BIGINT) AS j, CAST(count(*) AS BIGINT) AS n,
+           {sig_sql('sum(a.v)')} AS sum_i, {sig_sql('sum(a.v * b.v)')} AS xtx
+    FROM lg a JOIN lg b ON a.id = b.id GROUP BY a.j, b.j"""
+
+
+@query("gram_matrix_target", _gram_xy_sql)
+def q_gram_xy(spark, sf):
+    g = gram_ops.gram_matrix(fx.f3_collinear(spark, sf, nulls=True), ["x1", "x2", "x4"], target_col="x3")
+    return g.select("i", "j", "n", sig("sum_i").alias("sum_i"), sig("xtx").alias("xtx"))
+
+
 def _linregr_sql() -> str:
     inner = osql.linregr_sql(fx.f3_sql(), "x3", ["x1", "x2", "x4"])
     return f"SELECT idx, {r6_sql('coef')} AS coef, {r6_sql('r2')} AS r2, num_rows FROM ({inner})"
@@ -303,6 +321,24 @@ def q_ridge(spark, sf):
     return _ridge_out(out, "model")
 
 
+SEG_SQL = ("SELECT c_mktsegment, [CAST(c_nationkey AS DOUBLE), CAST(c_custkey % 100 AS DOUBLE)]"
+           " AS features, c_acctbal AS label FROM customer")
+
+
+@query("ridge_by_segment", lambda: _ridge_sql_out(
+    osql.ridge_sql(SEG_SQL, "c_mktsegment", ["features[1]", "features[2]"], "label", 0.5),
+    "c_mktsegment"))
+def q_ridge_segment(spark, sf):
+    from sparkprep.sources.tables import read_table
+    c = read_table(spark, sf, "customer").select(
+        "c_mktsegment",
+        F.array(F.col("c_nationkey").cast("double"), (F.col("c_custkey") % 100).cast("double"))
+        .alias("features"),
+        F.col("c_acctbal").alias("label"))
+    out = linear.ridge_by_group(c, "c_mktsegment", "features", "label", alpha=0.5, p=2)
+    return _ridge_out(out, "c_mktsegment")
+
+
 GT_SQL = ("SELECT o_orderpriority, [CAST(o_custkey % 100 AS DOUBLE), CAST(o_orderkey % 7 AS DOUBLE)]"
           " AS features, o_totalprice AS label FROM orders")
 
