@@ -80,6 +80,8 @@ def _gram_stats_arrow(base: DataFrame, p: int, by: list[str]) -> DataFrame:
     import pyarrow as pa
     from pyspark.sql import types as T
 
+    from sparkprep.session import ship_package
+    ship_package(base.sparkSession)
     gkey = (F.struct(*[F.col(qcol(b)) for b in by]) if by else F.lit(0)).alias("_g")
     data = base.filter(F.col("_ok")).select(gkey, F.array(*[F.col(f"_x{i}") for i in range(p)]).alias("_v"))
     means = data.groupBy("_g").agg(F.count(F.lit(1)).alias("n"),

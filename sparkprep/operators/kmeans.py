@@ -41,6 +41,7 @@ from sparkprep.constants import (ALGO_KMEANSPP, ALGO_RANDOM, KMEANS_MAX_ITER,
                                  KMEANS_MIN_FRAC_REASSIGNED)
 from sparkprep.functions.hashing import hash_uniform
 from sparkprep.operators.schema import qcol
+from sparkprep.session import ship_package
 
 ALGOS = {"random": ALGO_RANDOM, ALGO_RANDOM: ALGO_RANDOM,
          "kmeanspp": ALGO_KMEANSPP, ALGO_KMEANSPP: ALGO_KMEANSPP}
@@ -156,6 +157,7 @@ def seed_kmeanspp(points: DataFrame, k: int, seed: int = 42,
     while it beats every unreturned bound, else the next job resumes there.
     The picks equal the one-round-per-job race exactly.
     """
+    ship_package(points.sparkSession)
     d = _dim(points)
     chosen = np.zeros((0, d))
     first = _race(points.select("id", "x", hash_uniform("id", F.lit(1), seed=seed).alias("u")),
@@ -451,6 +453,7 @@ def kmeans_sweeps(df: DataFrame, id_col: str, features_col: str, ks,
         if init not in ALGOS:
             raise ValueError(f"unknown initialisation {init!r}")
     spark = df.sparkSession
+    ship_package(spark)
     points = prepare_points(df, id_col, features_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         d = _dim(points)
@@ -546,6 +549,7 @@ def simple_silhouette(df: DataFrame, features_col: str, models,
     checked) and returns per-model partial sums."""
     ms = bounded_models(models, max_values)
     spark = df.sparkSession
+    ship_package(spark)
     schema = "num_clusters int, simple_silhouette double"
     if not ms:
         return spark.createDataFrame([], schema)

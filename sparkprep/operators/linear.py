@@ -23,6 +23,7 @@ from sparkprep.constants import RIDGE_ALPHA
 from sparkprep.operators import gram, linalg
 from sparkprep.operators.gram import Moments, gram_stats, vector_elements
 from sparkprep.operators.schema import qcol
+from sparkprep.session import ship_package
 
 
 def _xs(df, features, p):
@@ -97,6 +98,7 @@ def ridge_by_group(df: DataFrame, key: str, features_col: str, label_col: str,
     y = F.col(qcol(label_col)).cast("double")
     st = gram_stats(df, xs + [y], by=[key])
     schema = _result_schema(df, key, [])
+    ship_package(df.sparkSession)
     return st.mapInPandas(_ridge_solver(key, alpha, []), schema)
 
 
@@ -122,6 +124,7 @@ def ridge_by_group_rows(df: DataFrame, key: str, row_col: str, features_col: str
     schema = _result_schema(df, key, [T.StructField("current_row", T.LongType()),
                                       T.StructField("final_row", T.LongType()),
                                       T.StructField("segment_id", T.IntegerType())])
+    ship_package(df.sparkSession)
     return st.mapInPandas(_ridge_solver(key, alpha, ["current_row", "final_row", "segment_id"]),
                           schema)
 
@@ -130,6 +133,7 @@ def grouped_train(df: DataFrame, key, fn: Callable, schema) -> DataFrame:
     """Run ``fn(key_tuple, Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]``
     on every group in parallel; the group arrives as a stream of batches."""
     keys = [key] if isinstance(key, str) else list(key)
+    ship_package(df.sparkSession)
     return df.groupBy(*keys).applyInPandas(fn, schema)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.operators.schema import qcol
-from sparkprep.session import checkpoint_dir
+from sparkprep.session import checkpoint_dir, ship_package
 
 
 def _runs(keys: list[pa.Array]) -> np.ndarray:
@@ -145,6 +145,7 @@ def running_totals(df: DataFrame, key, order: list[str], value, out: str = "cum"
     counts as 0, and NULL keys form one group."""
     spark = df.sparkSession
     checkpoint_dir(spark)
+    ship_package(spark)
     keys = [key] if isinstance(key, str) else list(key)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     val = F.col(value) if isinstance(value, str) else value

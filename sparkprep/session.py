@@ -58,3 +58,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="sparkprep-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sparkprep`` importable in Python workers (once per context).
+
+    Operators that run NumPy code in tasks pickle references to this package's
+    functions; workers must import it even when the driver found it through a
+    ``sys.path`` entry of its own. The package is zipped once and added with
+    ``addPyFile``, which Spark distributes to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = (id(sc), sc.applicationId)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkprep-pyfiles-"), "sparkprep.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(key)
