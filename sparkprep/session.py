@@ -79,6 +79,8 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
+    # driver-side staging only: Spark copies the file to every executor; no data
+    # or state is kept here
     path = os.path.join(tempfile.mkdtemp(prefix="sparkprep-pyfiles-"), "sparkprep.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for dirpath, _, files in os.walk(pkg):
