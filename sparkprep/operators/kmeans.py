@@ -118,16 +118,17 @@ def _assign(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return a
 
 
-def _dim(points: DataFrame) -> int:
-    """Vector length, checked to be the same on every row. On persisted points
-    this one aggregate also materialises the cache."""
+def _dim(points: DataFrame, with_count: bool = False):
+    """Vector length, checked to be the same on every row (and the number of
+    points with ``with_count``). On persisted points this one aggregate also
+    materialises the cache."""
     row = points.agg(F.count(F.lit(1)).alias("n"), F.min(F.size("x")).alias("lo"),
                      F.max(F.size("x")).alias("hi")).first()
     if not row["n"]:
         raise ValueError("no complete feature vectors")
     if row["lo"] != row["hi"]:
         raise ValueError(f"feature vectors must all have the same length ({row['lo']} to {row['hi']})")
-    return int(row["hi"])
+    return (int(row["hi"]), int(row["n"])) if with_count else int(row["hi"])
 
 
 def _check_state(n_centroids: int, d: int) -> None:
@@ -456,13 +457,17 @@ def kmeans_sweeps(df: DataFrame, id_col: str, features_col: str, ks,
     ship_package(spark)
     points = prepare_points(df, id_col, features_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        d = _dim(points)
+        d, n = _dim(points, with_count=True)
         kmax = max(ks)
+        if kmax > n:
+            raise ValueError(f"K = {kmax} exceeds the {n} points with complete vectors")
         models, labels = [], []
         for init in inits:
             algo = ALGOS[init]
             seeds = (seed_kmeanspp(points, kmax, seed) if algo == ALGO_KMEANSPP
                      else seed_random(points, kmax, seed))
+            if len(seeds) < kmax:
+                raise ValueError(f"only {len(seeds)} distinct points to seed K = {kmax}")
             for k in ks:
                 models.append(_Model(k=k, c=seeds[:k].copy()))
                 labels.append(algo)

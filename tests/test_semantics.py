@@ -242,3 +242,12 @@ def test_empty_inputs_give_empty_results_or_clear_errors(spark):
     assert running_totals(arr, "k", ["o"], F.lit(1)).count() == 0
     empty_base = spark.createDataFrame([], "id long, features array<float>, quality float")
     assert synth.replicate_shuffle(empty_base, "id", 2, 2).count() == 0
+
+
+def test_kmeans_rejects_k_beyond_points(spark):
+    df = spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [1.0])], "id long, x array<double>")
+    with pytest.raises(ValueError, match="exceeds"):
+        kmeans.kmeans(df, "id", "x", 4)
+    with pytest.raises(ValueError, match="distinct"):
+        kmeans.kmeans(df, "id", "x", 3, init="kmeanspp")
+    assert kmeans.kmeans(df, "id", "x", 3).first()["num_clusters"] == 3
