@@ -73,20 +73,25 @@ def _result_schema(df: DataFrame, key: str, extra: list[T.StructField]) -> T.Str
 def _ridge_solver(key: str, alpha: float, extra: list[str]):
     host = None
 
+    def value(col, i):
+        v = col.iat[i]
+        return None if v is None or (isinstance(v, float) and np.isnan(v)) else v
+
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         nonlocal host
         host = host or socket.gethostname()
         for pdf in batches:
             out = []
-            for r in pdf.itertuples(index=False):
-                m = Moments(r.n, list(r.means), list(r.cov))
+            for i in range(len(pdf)):
+                m = Moments(pdf["n"].iat[i], list(pdf["means"].iat[i]), list(pdf["cov"].iat[i]))
                 if m.n == 0:
                     w, b, r2 = None, None, None
                 else:
                     w_a, b, r2 = linalg.ridge(m.n, m.means, m.cov, alpha)
                     w = [float(v) for v in w_a]
-                out.append([getattr(r, key), *[getattr(r, e) for e in extra], host, w, b, r2])
-            yield pd.DataFrame(out, columns=[key, *extra, "hostname", "coef", "intercept", "r_square"])
+                out.append([value(pdf[key], i), *[value(pdf[e], i) for e in extra], host, w, b, r2])
+            frame = pd.DataFrame(out, columns=[key, *extra, "hostname", "coef", "intercept", "r_square"])
+            yield frame.astype({key: object, **{e: object for e in extra}})
     return solve
 
 

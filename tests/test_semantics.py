@@ -251,3 +251,11 @@ def test_kmeans_rejects_k_beyond_points(spark):
     with pytest.raises(ValueError, match="distinct"):
         kmeans.kmeans(df, "id", "x", 3, init="kmeanspp")
     assert kmeans.kmeans(df, "id", "x", 3).first()["num_clusters"] == 3
+
+
+def test_ridge_keys_with_odd_names_and_nulls(spark):
+    rows = [(None if i % 4 == 0 else i % 2, [float(i), float(i % 3)], float(2 * i + 1)) for i in range(40)]
+    df = spark.createDataFrame(rows, "`model id` long, f array<double>, y double")
+    out = {r["model id"]: r for r in linear.ridge_by_group(df, "model id", "f", "y").collect()}
+    assert set(out) == {None, 0, 1}
+    assert all(len(r["coef"]) == 2 for r in out.values())
