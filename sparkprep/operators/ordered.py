@@ -147,13 +147,16 @@ def running_totals(df: DataFrame, key, order: list[str], value, out: str = "cum"
     checkpoint_dir(spark)
     ship_package(spark)
     keys = [key] if isinstance(key, str) else list(key)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     val = F.col(value) if isinstance(value, str) else value
     ordering = [F.col(qcol(k)) for k in keys] + [F.col(qcol(o)) for o in order]
-    sorted_df = (df.withColumn("_v", val.cast("long"))
-                 .repartitionByRange(n, *ordering)
-                 .sortWithinPartitions(*ordering)
-                 .checkpoint(eager=True))
+    base = df.withColumn("_v", val.cast("long"))
+    # Without an explicit count the range partitions start at
+    # spark.sql.shuffle.partitions and AQE merges adjacent small ones (range
+    # order is kept), so the task count follows the data size while a hot
+    # key's full-size partitions stay separate.
+    ranged = (base.repartitionByRange(num_partitions, *ordering) if num_partitions
+              else base.repartitionByRange(*ordering))
+    sorted_df = ranged.sortWithinPartitions(*ordering).checkpoint(eager=True)
     key_type = T.StructType([T.StructField(k, sorted_df.schema[k].dataType) for k in keys])
     summ_schema = T.StructType([T.StructField("pid", T.IntegerType()),
                                 T.StructField("first_key", key_type),
