@@ -91,17 +91,19 @@ def _sqdist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return out
 
 
-def _assign(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+def _assign(x: np.ndarray, c: np.ndarray, with_margin: bool = False):
     """Index of the nearest centroid (ties to the lower index).
 
     Ranks ``||c||^2 - 2 x.c`` (one matrix product; the row constant ``||x||^2``
     does not change the order); rows whose two best candidates are within
     rounding of each other are decided again with exact differences, so the
-    answer equals the exact argmin.
+    answer equals the exact argmin. With ``with_margin`` also returns a lower
+    bound on (second-nearest - nearest) distance per row, net of rounding.
     """
     n, k = len(x), len(c)
     if k == 1:
-        return np.zeros(n, dtype=np.int64)
+        a = np.zeros(n, dtype=np.int64)
+        return (a, np.full(n, np.inf)) if with_margin else a
     cc = np.einsum("ij,ij->i", c, c)
     score = x @ c.T
     score *= -2.0
@@ -110,12 +112,19 @@ def _assign(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     rows = np.arange(n)
     best = score[rows, a].copy()
     score[rows, a] = np.inf
-    gap = score.min(axis=1) - best
-    scale = np.einsum("ij,ij->i", x, x) + cc.max() + 1.0
+    second = score.min(axis=1)
+    gap = second - best
+    xx = np.einsum("ij,ij->i", x, x)
+    scale = xx + cc.max() + 1.0
     close = np.nonzero(gap <= 1e-9 * scale)[0]
     if len(close):
         a[close] = _sqdist(x[close], c).argmin(axis=1)
-    return a
+    if not with_margin:
+        return a
+    margin = (np.sqrt(np.maximum(second + xx, 0.0)) - np.sqrt(np.maximum(best + xx, 0.0))
+              - 1e-6 * np.sqrt(scale))
+    margin[close] = -np.inf
+    return a, margin
 
 
 def _dim(points: DataFrame, with_count: bool = False):
@@ -335,6 +344,9 @@ def _iteration(points: DataFrame, models: list[_Model], d: int) -> dict:
     from pyspark import TaskContext
     active = [(i, m.c, m.prev) for i, m in enumerate(models) if not m.done]
     _check_state(sum(len(c) for _, c, _ in active), d)
+    # largest centroid move since the previous assignment, per model
+    moves = {i: (float(np.sqrt(((c - prev) ** 2).sum(axis=1)).max()) if prev is not None else None)
+             for i, c, prev in active}
     arrow_schema = pa.schema([("m", pa.int32()), ("c", pa.int32()), ("pid", pa.int32()),
                               ("cnt", pa.int64()), ("chg", pa.int64()),
                               ("s", pa.list_(pa.float64()))])
@@ -352,12 +364,18 @@ def _iteration(points: DataFrame, models: list[_Model], d: int) -> dict:
                 continue
             x = _matrix(b, d)
             for i, c, prev in active:
-                a = _assign(x, c)
+                a, margin = _assign(x, c, with_margin=True)
                 cnt, chg, sums = acc[i]
                 k = len(c)
                 cnt += np.bincount(a, minlength=k)
                 if prev is not None:
-                    moved = a != _assign(x, prev)
+                    # Triangle inequality: a point whose nearest centroid leads
+                    # the runner-up by more than twice the largest move had the
+                    # same nearest centroid before; only the rest are recomputed.
+                    doubt = np.nonzero(~(margin > 2.0 * moves[i]))[0]
+                    moved = np.zeros(len(a), dtype=bool)
+                    if len(doubt):
+                        moved[doubt] = a[doubt] != _assign(x[doubt], prev)
                     chg += np.bincount(a[moved], minlength=k)
                 for j in range(d):
                     sums[:, j] += np.bincount(a, weights=x[:, j], minlength=k)
