@@ -25,3 +25,23 @@ def test_write_result_replaces_target(spark, tmp_path):
     write_result(spark.range(5), out)
     write_result(spark.range(3), out)
     assert spark.read.parquet(out).count() == 3
+
+
+def test_shipped_package_contains_every_module(spark, monkeypatch):
+    import os
+    import zipfile
+
+    import sparkprep
+    from sparkprep import session
+
+    added = []
+    monkeypatch.setattr(session, "_SHIPPED", set())
+    monkeypatch.setattr(spark.sparkContext, "addPyFile", lambda p: added.append(p))
+    session.ship_package(spark)
+    session.ship_package(spark)
+    assert len(added) == 1
+    names = set(zipfile.ZipFile(added[0]).namelist())
+    root = os.path.dirname(os.path.dirname(os.path.abspath(sparkprep.__file__)))
+    expected = {os.path.relpath(os.path.join(d, f), root)
+                for d, _, fs in os.walk(os.path.dirname(sparkprep.__file__)) for f in fs if f.endswith(".py")}
+    assert expected <= names
