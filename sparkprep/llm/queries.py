@@ -8,12 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.functions.hashing import hash_uniform
-from sparkprep.llm import dedup, mixing, quality, url_filter
-from sparkprep.llm.common import of
+from sparkprep.llm import (bpe, dedup, html_text, licenses, mixing, quality, secret_scan,
+                           token_edit, url_filter)
 from sparkprep.llm.sql import mixing_sql, quality_sql, url_filter_sql
 from sparkprep.sources.tables import read_table
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the public vocabulary file lies; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of every document before and after a cleaning pass over it."""
+    docs = token_edit.cleaning_edits(read_table(spark, sf, "documents"))
+    return token_edit.counted(docs, vocabulary_path()).withColumn(
+        "edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+
+
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = licenses.scanned(read_table(spark, sf, "documents"))
+    return found.select("doc_id", "n_blocks", F.size("matches").cast("long").alias("n_matches"),
+                        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",")
+                        .alias("licenses"),
+                        F.array_join(F.transform("matches", lambda m: F.concat_ws(
+                            ":", m["license"], m["start"].cast("string"), m["end"].cast("string"),
+                            m["missing"].cast("string"), m["added"].cast("string"))), ",")
+                        .alias("matches"))
+
+
 def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Every page against a dated list of a third of the pages' own domains.
 
@@ -59,11 +84,28 @@ def op6_source_mix(spark: SparkSession, sf: str) -> DataFrame:
                        F.get("positions", F.lit(0)).alias("position"))
 
 
+def op7_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scanned(read_table(spark, sf, "documents")))
+
+
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf, "documents"), vocabulary_path())
+
+
+def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extracted(read_table(spark, sf, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_license_scan": op2_license_scan,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mix": op6_source_mix,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_bpe": op8_bpe,
+    "op10_html_text": op10_html_text,
 }
 
 OP5_SQL = r"""
