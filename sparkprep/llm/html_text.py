@@ -403,7 +403,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
         if known:
             yield given(known, part)
 
-    def join(key, table: pa.Table) -> pa.Table:
+    def join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         whole = None
         for text in table.column("wrapper").to_pylist():
             item = json.loads(text)
