@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.functions.hashing import hash_uniform
-from sparkprep.llm import (bpe, dedup, html_text, licenses, mixing, quality, secret_scan,
+from sparkprep.llm import (bpe, dedup, html_text, jaccard, licenses, mixing, quality, secret_scan,
                            token_edit, url_filter)
 from sparkprep.llm.sql import mixing_sql, quality_sql, url_filter_sql
 from sparkprep.sources.tables import read_table
@@ -92,6 +92,11 @@ def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf, "documents"), vocabulary_path())
 
 
+def op9_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.classes(read_table(spark, sf, "documents"),
+                           similarity=jaccard.Similarity(words=4, p=85, q=100))
+
+
 def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extracted(read_table(spark, sf, "pages"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": op6_source_mix,
     "op7_secret_scan": op7_secret_scan,
     "op8_bpe": op8_bpe,
+    "op9_ngram_join": op9_ngram_join,
     "op10_html_text": op10_html_text,
 }
 
