@@ -100,12 +100,15 @@ class Similarity:
         differences = self.bound(high, self.partner(high))
         if differences == 0:
             return 1, 0
+        if low < differences + 2:  # no room for empty blocks: all take part
+            return differences + 1, 0
         empties = 0
         while True:
             k = differences + 1 + empties
-            expected = k * exp(-low / k)
-            enough = ceil(expected + 2 * sqrt(expected))
-            if enough <= empties:
+            # mean and deviation of the empty blocks after dealing ``low`` shingles
+            none = exp(-low / k)
+            enough = ceil(k * none + 2 * sqrt(k * none * max(0.0, 1 - (1 + low / k) * none)))
+            if enough <= empties or k > 64 * low:
                 return k, empties
             empties = max(empties + 1, min(enough, empties + 8))
 
@@ -157,7 +160,7 @@ class Parities:
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         out = []
         for band, k, empties in self.bands(len(hashes)):
-            own = mix(hashes + np.uint64(band + 1) * _MIX[0])
+            own = mix(hashes + np.uint64((band + 1) * int(_MIX[0]) % 2**64))
             block = ((own >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
             order = np.argsort(block, kind="stable")
             block, own = block[order], mix(own)[order]
