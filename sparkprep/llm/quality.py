@@ -169,7 +169,9 @@ def passed(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     whole = docs.select(F.struct(*[of(docs, c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
                         .alias("__doc"), of(docs, text_col).alias("__text"),
                         of(docs, host_col).alias("__host"))
-    good = verdicts(whole, "__doc", "__text", "__host", limits).where("kept")
+    found = verdicts(whole, "__doc", "__text", "__host", limits).select("__doc", "kept", "clean_text")
+    # a generator of one row per document: below it the filter would repeat the rules' expressions
+    good = found.select(F.inline(F.array(F.struct("__doc", "kept", "clean_text")))).where("kept")
     out = []
     for i, c in enumerate(docs.columns):
         old = F.col("__doc")[f"c{i}"]
