@@ -159,7 +159,7 @@ class Parities:
 
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         out = []
-        for band, k, empties in self.bands(len(hashes)):
+        for band, k, empties in self.bands(len(hashes)) if len(hashes) else ():
             own = mix(hashes + np.uint64((band + 1) * int(_MIX[0]) % 2**64))
             block = ((own >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
             order = np.argsort(block, kind="stable")
