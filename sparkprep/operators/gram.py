@@ -20,8 +20,14 @@ from sparkprep.operators.schema import qcol
 
 
 def vector_elements(features: str, p: int) -> list[Column]:
-    """The ``p`` elements of an array column (NULL when short)."""
-    return [F.get(F.col(qcol(features)), i).cast("double") for i in range(p)]
+    """The ``p`` elements of an array column; all NULL for a NULL vector, an error for a
+    vector of another length (checked with the first element, in the same pass)."""
+    x = F.col(qcol(features))
+    xs = [F.get(x, i).cast("double") for i in range(p)]
+    if xs:
+        wrong = F.raise_error(F.lit(f"feature vectors must all have {p} elements")).cast("double")
+        xs[0] = F.when(x.isNotNull() & (F.size(x) != p), wrong).otherwise(xs[0])
+    return xs
 
 
 def complete(xs: list[Column]) -> Column:
