@@ -66,78 +66,146 @@ def gram_stats(df: DataFrame, xs: list[Column], by: list[str] | None = None,
     else:
         aggs = moment_columns([], F.count(F.lit(1)))
     aggs += list(extra_aggs or [])
-    if len(xs) > WIDE_P and not extra_aggs and not extra_inputs:
-        return _gram_stats_arrow(base, len(xs), by)
+    if len(xs) > WIDE_P:
+        return _wide_stats(base, len(xs), by, list(extra_aggs or []))
     if by:
         return base.groupBy(*[F.col(qcol(b)) for b in by]).agg(*aggs)
     return base.agg(*aggs)
 
 
-# Above this many features the p(p+1)/2 covariance aggregates are replaced by
-# NumPy partial cross products (generated code for thousands of aggregate
-# buffers grows past the JVM method limits).
+# Above this many variables the p(p+1)/2 covariance aggregates no longer fit generated
+# code (JVM method limits), so NumPy keeps the same moments; rows and values agree.
 WIDE_P = 40
+# Doubles of group moments that a task holds before it passes them on.
+HELD_DOUBLES = 8_000_000
+# Tasks whose moments meet first, before those sums meet per group.
+FAN_IN = 256
 
 
-def _gram_stats_arrow(base: DataFrame, p: int, by: list[str]) -> DataFrame:
-    """Same result as the aggregate path for wide inputs, in two passes:
-    per-group means (JVM), then per-task centred cross products in NumPy
-    emitted as long ``(group, i, j, value)`` rows and summed by one exchange."""
+def _combine(a: tuple, b: tuple) -> tuple:
+    """Moments (n, mean, centred products) of two parts together."""
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    n = a[0] + b[0]
+    d = b[1] - a[1]
+    return n, a[1] + d * (b[0] / n), a[2] + b[2] + np.outer(d, d) * (a[0] * b[0] / n)
+
+
+def _wide_stats(base: DataFrame, p: int, by: list[str], extra_aggs: list[Column]) -> DataFrame:
+    """Same rows as the aggregates. Every task sums up its rows per group with NumPy;
+    partial moments meet in two levels (``FAN_IN`` tasks, then the group), streamed in
+    group order, so neither a hot group nor many tasks gather in memory. Groups
+    are those of Spark's grouping, NULL keys and groups without a complete row included."""
     import pyarrow as pa
     from pyspark.sql import types as T
+    from pyspark.sql.pandas.types import to_arrow_type
 
     from sparkprep.session import ship_package
     ship_package(base.sparkSession)
-    gkey = (F.struct(*[F.col(qcol(b)) for b in by]) if by else F.lit(0)).alias("_g")
-    data = base.filter(F.col("_ok")).select(gkey, F.array(*[F.col(f"_x{i}") for i in range(p)]).alias("_v"))
-    means = data.groupBy("_g").agg(F.count(F.lit(1)).alias("n"),
-                                   *[F.avg(F.col("_v")[i]).alias(f"m{i}") for i in range(p)])
-    joined = data.join(means.select("_g", F.array(*[F.col(f"m{i}") for i in range(p)]).alias("_m")), "_g")
-    gtype = joined.schema["_g"].dataType
-    schema = T.StructType([T.StructField("_g", gtype), T.StructField("i", T.IntegerType()),
-                           T.StructField("j", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    keys = [f"_k{i}" for i in range(len(by))]
+    key_cols = [F.col(qcol(b)).alias(k) for b, k in zip(by, keys)]
+    x = F.when(F.col("_ok"), F.array(*[F.col(f"_x{i}") for i in range(p)]))
+    rows = base.select(*key_cols, x.alias("_v"), F.floor(F.spark_partition_id() / FAN_IN).cast("int")
+                       .alias("_part"))
+    vector = T.ArrayType(T.DoubleType())
+    schema = T.StructType([*[T.StructField(k, rows.schema[k].dataType) for k in keys],
+                           T.StructField("_part", T.IntegerType()), T.StructField("n", T.LongType()),
+                           T.StructField("means", vector), T.StructField("m2", vector)])
+    kinds = {f.name: to_arrow_type(f.dataType) for f in schema}
+    most = max(1, HELD_DOUBLES // (p * (p + 1)))
+
+    def given(found: list[tuple], part: int) -> pa.RecordBatch:
+        columns = [[g[0][i] for g in found] for i in range(len(keys))]
+        columns += [[part] * len(found), [m[0] for _, m in found], [m[1].tolist() for _, m in found],
+                    [m[2].ravel().tolist() for _, m in found]]
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(columns, kinds)],
+                                          names=list(kinds))
 
     def partial(batches):
-        acc: dict = {}
-        keys: dict = {}
+        held: dict = {}
+        part = 0
         for b in batches:
-            if b.num_rows == 0:
+            if not b.num_rows:
                 continue
-            g = b.column("_g").to_pylist()
-            x = b.column("_v").flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
-            m = b.column("_m").flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
-            d = x - m
-            # factorise the group keys once, then one product per group slice
-            uniq, first, inv = np.unique(np.array([repr(k) for k in g]), return_index=True,
-                                         return_inverse=True)
-            order = np.argsort(inv, kind="stable")
-            bounds = np.searchsorted(inv[order], np.arange(len(uniq) + 1))
-            for u in range(len(uniq)):
-                dd = d[order[bounds[u]:bounds[u + 1]]]
-                t = uniq[u]
-                acc[t] = acc.get(t, 0.0) + dd.T @ dd
-                keys[t] = g[first[u]]
-        out = {"_g": [], "i": [], "j": [], "v": []}
-        for t, mat in acc.items():
-            for i in range(p):
-                for j in range(p):
-                    out["_g"].append(keys[t])
-                    out["i"].append(i)
-                    out["j"].append(j)
-                    out["v"].append(float(mat[i, j]))
-        if out["i"]:
-            from pyspark.sql.pandas.types import to_arrow_schema
-            yield pa.RecordBatch.from_pydict(out, schema=to_arrow_schema(schema))
-
-    cells = (joined.mapInArrow(partial, schema).groupBy("_g", "i", "j").agg(F.sum("v").alias("v")))
-    cov = cells.groupBy("_g").agg(
-        F.sort_array(F.collect_list(F.struct("i", "j", "v"))).alias("_c"))
-    out = means.join(cov, "_g", "left").select(
-        "_g", "n", F.array(*[F.col(f"m{i}") for i in range(p)]).cast("array<double>").alias("means"),
-        F.transform("_c", lambda c: c["v"] / F.col("n")).cast("array<double>").alias("cov"))
-    if by:
-        return out.select(*[F.col("_g")[b].alias(b) for b in by], "n", "means", "cov")
-    return out.select("n", "means", "cov")
+            part = b.column("_part")[0].as_py()
+            inverse, firsts = _groups_of([b.column(k) for k in keys], b.num_rows)
+            ok = b.column("_v").is_valid().to_numpy(zero_copy_only=False)
+            x = np.zeros((b.num_rows, p))
+            x[ok] = b.column("_v").filter(pa.array(ok)).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            order = np.argsort(inverse, kind="stable")
+            bounds = np.searchsorted(inverse[order], np.arange(len(firsts) + 1))
+            for g, at in enumerate(firsts):
+                key = tuple(b.column(k)[int(at)].as_py() for k in keys)
+                here = order[bounds[g]:bounds[g + 1]]
+                v = x[here[ok[here]]]
+                mean = v.mean(axis=0) if len(v) else np.zeros(p)
+                d = v - mean
+                new = (len(v), mean, d.T @ d)
+                slot = repr(key)
+                held[slot] = (key, _combine(held[slot][1], new) if slot in held else new)
+                if len(held) >= most:
+                    yield given(list(held.values()), part)
+                    held = {}
+        if held:
+            yield given(list(held.values()), part)
+
+    def merge(batches):
+        last = None
+        for b in batches:
+            n, means = b.column("n").to_pylist(), b.column("means").flatten().to_numpy().reshape(-1, p)
+            m2 = b.column("m2").flatten().to_numpy().reshape(-1, p, p)
+            parts = b.column("_part").to_pylist()
+            done = []
+            for r in range(b.num_rows):
+                key = tuple(b.column(k)[r].as_py() for k in keys)
+                new, slot = (n[r], means[r], m2[r]), (parts[r], repr(key))
+                if last is not None and last[0] == slot:
+                    last = (slot, key, _combine(last[2], new))
+                else:
+                    if last is not None:
+                        done.append(last)
+                    last = (slot, key, new)
+            for slot, key, m in done:
+                yield given([(key, m)], slot[0])
+        if last is not None:
+            yield given([(last[1], last[2])], last[0][0])
+
+    def met(df: DataFrame) -> DataFrame:
+        together = [*keys, "_part"]
+        return df.repartition(*together).sortWithinPartitions(*together).mapInArrow(merge, schema)
+
+    whole = met(met(rows.mapInArrow(partial, schema)).withColumn("_part", F.lit(0)))
+    n = F.col("n")
+    st = whole.select(*keys, "n", F.when(n > 0, F.col("means")).otherwise(F.array_repeat(
+        F.lit(None).cast("double"), p)).alias("means"), F.when(n > 0, F.transform("m2", lambda c: c / n))
+        .otherwise(F.array_repeat(F.lit(None).cast("double"), p * p)).alias("cov"))
+    if not by:  # an empty input has its row, too
+        one = (base.agg(F.count(F.lit(1)).alias("_rows"), *extra_aggs) if extra_aggs
+               else base.sparkSession.range(1).select(F.lit(0).alias("_rows")))
+        st = one.withColumn("_one", F.lit(1)).join(st.withColumn("_one", F.lit(1)), "_one", "left")
+        null = F.lit(None).cast("double")
+        return st.select(F.coalesce("n", F.lit(0).cast("long")).alias("n"),
+                         F.coalesce("means", F.array_repeat(null, p)).alias("means"),
+                         F.coalesce("cov", F.array_repeat(null, p * p)).alias("cov"),
+                         *[c for c in one.columns if c != "_rows"])
+    if extra_aggs:  # one row per group on both sides
+        extra = base.groupBy(*[F.col(qcol(b)).alias(f"_e{i}") for i, b in enumerate(by)]).agg(*extra_aggs)
+        same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(f"_e{i}")) for i, k in enumerate(keys)])
+        st = st.join(extra, same).drop(*[f"_e{i}" for i in range(len(by))])
+    return st.withColumnsRenamed(dict(zip(keys, by)))
+
+
+def _groups_of(columns: list, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group number of every row of a batch, and the first row of each group."""
+    codes = np.zeros(rows, dtype=np.int64)
+    for c in columns:
+        try:
+            code = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        except NotImplementedError:  # pyarrow has no dictionary of nested keys
+            code = np.unique([repr(v) for v in c.to_pylist()], return_inverse=True)[1]
+        codes = np.unique(codes * (int(code.max()) + 1) + code, return_inverse=True)[1]
+    _, first, inverse = np.unique(codes, return_index=True, return_inverse=True)
+    return inverse, first
 
 
 class Moments:

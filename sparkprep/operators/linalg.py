@@ -50,6 +50,16 @@ def regress(cp: np.ndarray, target: int, features: list[int]) -> tuple[np.ndarra
     return coef, float(a[target, target])
 
 
+def all_residuals(cp: np.ndarray) -> np.ndarray | None:
+    """Residual sum of squares of every variable on all others, from one sweep of all
+    pivots; None if a pivot falls near the tolerance, where their order matters."""
+    a, used = sweep_pivots(cp, range(len(cp)), tol=1e3 * TOL)
+    if len(used) < len(cp):
+        return None
+    left = -1.0 / np.diag(a)
+    return left if (left > 1e3 * TOL * np.diag(cp)).all() else None
+
+
 def cross_products(n: float, means: np.ndarray, cov_pop: np.ndarray, centred: bool) -> np.ndarray:
     """n * cov (centred) or n * (cov + mean mean^T) (raw)."""
     c = n * cov_pop

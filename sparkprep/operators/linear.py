@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.constants import RIDGE_ALPHA
-from sparkprep.operators import gram, linalg
+from sparkprep.operators import linalg
 from sparkprep.operators.gram import Moments, gram_stats, vector_elements
 from sparkprep.operators.schema import qcol
 from sparkprep.session import ship_package
@@ -112,18 +112,12 @@ def ridge_by_group_rows(df: DataFrame, key: str, row_col: str, features_col: str
                         p: int | None = None) -> DataFrame:
     """As ``ridge_by_group``, reported at each model's last row:
     ``key, current_row, final_row, segment_id, hostname, coef, intercept, r_square``.
-    The final row comes from the same aggregate pass as the statistics."""
+    The final row is the largest of all rows of the model, complete or not."""
     xs = _xs(df, features_col, p)
     y = F.col(qcol(label_col)).cast("double")
-    if len(xs) + 1 > gram.WIDE_P:
-        # wide: statistics on the Arrow path, the last row from its own aggregate,
-        # joined on the key (both sides have one row per group)
-        last = df.groupBy(qcol(key)).agg(F.max(qcol(row_col)).cast("long").alias("final_row"))
-        st = gram_stats(df, xs + [y], by=[key]).join(last, key)
-    else:
-        st = gram_stats(df, xs + [y], by=[key],
-                        extra_aggs=[F.max(F.col("_row")).cast("long").alias("final_row")],
-                        extra_inputs=[F.col(qcol(row_col)).alias("_row")])
+    st = gram_stats(df, xs + [y], by=[key],
+                    extra_aggs=[F.max(F.col("_row")).cast("long").alias("final_row")],
+                    extra_inputs=[F.col(qcol(row_col)).alias("_row")])
     st = st.withColumn("current_row", F.col("final_row")).withColumn(
         "segment_id", F.spark_partition_id())
     schema = _result_schema(df, key, [T.StructField("current_row", T.LongType()),

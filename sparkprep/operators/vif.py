@@ -3,7 +3,7 @@
 The reference fits p regressions per step, each over its own temporary copy
 of the table. Here one aggregate pass yields the cross-product matrix of all
 features over complete rows, and every VIF of a step follows from it on the
-driver (p sweeps of a p x p matrix). A dropped feature only forces a new pass
+driver (one inverse of a p x p matrix; a sweep per feature where columns depend on each other). A dropped feature only forces a new pass
 when it held NULLs, because only then can rows re-enter the complete set.
 
 VIF of feature j: regress x_j on the other current features *without* an
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from sparkprep.constants import VIF_THRESHOLD
 from sparkprep.operators import linalg
-from sparkprep.operators import gram
 from sparkprep.operators.gram import Moments, gram_stats, vector_elements
 from sparkprep.operators.schema import feature_columns, qcol
 
@@ -44,13 +43,18 @@ def _scores(m: Moments, idx: list[int], intercept: bool) -> dict[int, float]:
     cp = (m.centred() if intercept else m.raw())[sub]
     tss = m.n * np.diag(m.cov)[idx]
     raw_diag = np.diag(m.raw())[idx]
+    # constant features have no r2 and are never dropped, but explain the others
+    varies = [pos for pos in range(len(idx))
+              if np.isfinite(tss[pos]) and tss[pos] > linalg.PERFECT_FIT * raw_diag[pos]]
+    rss = linalg.all_residuals(cp)
     out = {}
-    for pos, j in enumerate(idx):
-        if not np.isfinite(tss[pos]) or tss[pos] <= linalg.PERFECT_FIT * raw_diag[pos]:
-            continue  # constant feature: r2 undefined, never dropped
-        others = [q for q in range(len(idx)) if q != pos]
-        _, rss = linalg.regress(cp, pos, others)
-        out[j] = linalg.VIF_SENTINEL if rss <= linalg.PERFECT_FIT * tss[pos] else float(tss[pos] / rss)
+    for pos in varies:
+        if rss is None:  # dependent columns: one sweep for each feature
+            left = linalg.regress(cp, pos, [q for q in range(len(idx)) if q != pos])[1]
+        else:
+            left = rss[pos]
+        out[idx[pos]] = (linalg.VIF_SENTINEL if left <= linalg.PERFECT_FIT * tss[pos]
+                         else float(tss[pos] / left))
     return out
 
 
@@ -59,15 +63,7 @@ def _select(df: DataFrame, names: list[str], xs: list[Column], threshold: float,
             check_inputs: list[Column] | None = None):
     nulls = [F.sum(F.when(x.isNull(), 1).otherwise(0)).alias(f"_null{i}") for i, x in enumerate(
         [F.col(f"_x{i}") for i in range(len(xs))])]
-    if len(xs) > gram.WIDE_P:
-        # wide: cross products on the Arrow path, NULL counts in their own aggregate
-        extra = (df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs)], *(check_inputs or []))
-                 .agg(*nulls, *(check or [])).first())
-        moments = gram_stats(df, xs).first()
-        row = {**extra.asDict(), **moments.asDict()}
-    else:
-        row = gram_stats(df, xs, extra_aggs=nulls + (check or []),
-                         extra_inputs=check_inputs).first().asDict()
+    row = gram_stats(df, xs, extra_aggs=nulls + (check or []), extra_inputs=check_inputs).first().asDict()
     has_null = [(row[f"_null{i}"] or 0) > 0 for i in range(len(xs))]
     stats, stats_idx = Moments.of(row), list(range(len(xs)))
     current = list(range(len(xs)))
@@ -96,13 +92,19 @@ def _select(df: DataFrame, names: list[str], xs: list[Column], threshold: float,
 
 def vif_scores(df: DataFrame, features, names=None, intercept: bool = False) -> DataFrame:
     """``(feature, vif)`` for every feature of one step. ``features`` is a list
-    of columns, or the name of an array column labelled by ``names`` (a list,
-    or the name of a names-array column read from the first row)."""
+    of columns, or the name of an array column labelled by ``names`` (a list, or the
+    name of a names-array column, which must be the same in all rows)."""
+    check, inputs, column = [], [], None
     if isinstance(features, str) and isinstance(names, str):
-        first = df.select(names).filter(F.col(names).isNotNull()).head()
+        column = names
+        first = df.select(qcol(names)).filter(F.col(qcol(names)).isNotNull()).head()
         names = list(first[0]) if first else []
+        check = [F.min("_names").alias("_nmin"), F.max("_names").alias("_nmax")]
+        inputs = [F.col(qcol(column)).alias("_names")]
     names, xs = _inputs(df, features, names)
-    row = gram_stats(df, xs).first()
+    row = gram_stats(df, xs, extra_aggs=check, extra_inputs=inputs).first()
+    if column and names and (list(row["_nmin"]) != names or list(row["_nmax"]) != names):
+        raise ValueError(f"column {column} differs between rows")
     m = Moments.of(row)
     sc = _scores(m, list(range(len(xs))), intercept)
     rows = [(names[j], float(v)) for j, v in sorted(sc.items())]
