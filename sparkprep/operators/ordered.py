@@ -9,8 +9,8 @@ task; a key holding a third of the table would then be one task. Instead:
    loss, cuts lineage);
 2. one ``mapInArrow`` pass returns a summary per partition (first/last key,
    total of the trailing key run): one row per partition reaches the driver;
-3. the driver turns those into a carry-in offset per partition (and the next
-   partition's first key, to flag each key's last row);
+3. the driver turns those into a carry-in offset per partition (and whether the
+   last run goes on in the next one, to flag each key's last row);
 4. a second ``mapInArrow`` pass computes the local segmented cumulative sum plus
    the carry. Both passes stream Arrow batches; nothing is gathered by key.
 """
@@ -29,6 +29,19 @@ from sparkprep.operators.schema import qcol
 from sparkprep.session import checkpoint_dir, ship_package
 
 
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Whether the rows of both are the same key: NULL equals NULL, NaN equals NaN."""
+    if pa.types.is_nested(a.type):  # pyarrow compares no nested values
+        return np.array([repr(x) == repr(y) for x, y in zip(a.to_pylist(), b.to_pylist())], dtype=bool)
+    same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
+    both = (pc.is_null(a, nan_is_null=False).to_numpy(zero_copy_only=False)
+            & pc.is_null(b, nan_is_null=False).to_numpy(zero_copy_only=False))
+    if pa.types.is_floating(a.type):
+        both |= np.logical_and(pc.fill_null(pc.is_nan(a), False).to_numpy(zero_copy_only=False),
+                               pc.fill_null(pc.is_nan(b), False).to_numpy(zero_copy_only=False))
+    return same | both
+
+
 def _runs(keys: list[pa.Array]) -> np.ndarray:
     """Start index of every run of equal keys (all key columns) in a sorted batch."""
     n = len(keys[0])
@@ -37,15 +50,22 @@ def _runs(keys: list[pa.Array]) -> np.ndarray:
     change = np.zeros(n - 1, dtype=bool)
     for col in keys:
         a, b = col.slice(1), col.slice(0, n - 1)
-        same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
-        both_null = np.logical_and(pc.is_null(a).to_numpy(zero_copy_only=False),
-                                   pc.is_null(b).to_numpy(zero_copy_only=False))
-        change |= ~(same | both_null)
+        change |= ~_equal(a, b)
     return np.concatenate([[0], np.nonzero(change)[0] + 1]).astype(np.int64)
 
 
-def _key_at(keys: list[pa.Array], i: int) -> tuple:
-    return tuple(col[i].as_py() for col in keys)
+def _key_at(keys: list[pa.Array], i: int) -> list[pa.Array]:
+    return [col.slice(i, 1) for col in keys]
+
+
+def _same_key(a: list[pa.Array], b: list[pa.Array]) -> bool:
+    return all(_equal(x, y)[0] for x, y in zip(a, b))
+
+
+def _plain(key) -> tuple:
+    """A collected key whose parts compare equal when Spark groups them together."""
+    return tuple("NaN" if isinstance(v, float) and v != v else 0.0 if isinstance(v, float) and v == 0
+                 else repr(v) if isinstance(v, (tuple, list, dict)) else v for v in key)
 
 
 def _values(b: pa.RecordBatch) -> np.ndarray:
@@ -64,7 +84,7 @@ def _summarize_fn(key: list[str], schema: pa.Schema):
             keys, vals = [b.column(k) for k in key], _values(b)
             starts = _runs(keys)
             k0, kl = _key_at(keys, 0), _key_at(keys, b.num_rows - 1)
-            continues = seen and k0 == last
+            continues = seen and _same_key(k0, last)
             if not seen:
                 first = k0
             single = single and len(starts) == 1 and (continues or not seen)
@@ -73,66 +93,66 @@ def _summarize_fn(key: list[str], schema: pa.Schema):
             total += int(vals.sum())
             last, seen = kl, True
         if seen:
-            yield pa.RecordBatch.from_pylist(
-                [{"pid": pid, "first_key": dict(zip(key, first)), "last_key": dict(zip(key, last)),
-                  "single": single, "total": total, "last_total": last_total}], schema=schema)
+            def struct(values):
+                kind = schema.field("first_key").type
+                return pa.StructArray.from_arrays([v.cast(kind.field(i).type) for i, v in enumerate(values)],
+                                                  fields=list(kind))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pid], pa.int32()), struct(first), struct(last), pa.array([single]),
+                 pa.array([total], pa.int64()), pa.array([last_total], pa.int64())], schema=schema)
     return summarize
 
 
 def _carry_in(summaries) -> tuple[dict, dict]:
-    """Per partition: (first key, running total carried into it); and the first
-    key of the following non-empty partition."""
-    offsets, next_first = {}, {}
+    """Per partition, the running total carried into its first run; and whether its last
+    run goes on in the following non-empty partition. Both are decided here, among
+    summaries: a key collected by the driver is never compared with a worker's."""
+    carries, goes_on = {}, {}
     carry_key, carry_val, prev = None, 0, None
     for s in summaries:
-        first, last = tuple(s["first_key"]), tuple(s["last_key"])
-        off = carry_val if (prev is not None and first == carry_key) else 0
-        offsets[s["pid"]] = (first, off)
+        first, last = _plain(s["first_key"]), _plain(s["last_key"])
+        meets = prev is not None and first == carry_key
+        carries[s["pid"]] = carry_val if meets else 0
         if prev is not None:
-            next_first[prev] = first
-        if s["single"]:
-            carry_key, carry_val = first, off + s["total"]
-        else:
-            carry_key, carry_val = last, s["last_total"]
+            goes_on[prev] = meets
+        carry_key = last
+        carry_val = carries[s["pid"]] + s["total"] if s["single"] else s["last_total"]
         prev = s["pid"]
-    return offsets, next_first
+    return carries, goes_on
 
 
-def _apply_fn(key: list[str], out: str, last_flag: str | None, offsets: dict, next_first: dict):
-    def finish(held, next_key, has_next):
-        b, cum, flags, k_last = held
+def _apply_fn(key: list[str], out: str, last_flag: str | None, carries: dict, goes_on: dict):
+    def finish(held, continued):
+        b, cum, flags, _ = held
         if last_flag:
-            flags[-1] = (not has_next) or (next_key != k_last)
+            flags[-1] = not continued
         return _with_cols(b, out, cum, last_flag, flags)
 
     def apply(batches):
         pid = TaskContext.get().partitionId()
-        carry_key, carry = offsets.get(pid, (None, 0))
+        carry = carries.get(pid, 0)
         held = None
         for b in batches:
             if b.num_rows == 0:
                 continue
             keys, vals = [b.column(k) for k in key], _values(b)
             starts = _runs(keys)
-            bounds = np.append(starts, len(vals))
             cs = np.cumsum(vals)
-            base = np.empty(len(vals), dtype=np.int64)
-            for i in range(len(starts)):
-                a, e = bounds[i], bounds[i + 1]
-                add = carry if (i == 0 and _key_at(keys, 0) == carry_key) else 0
-                base[a:e] = add - (cs[a - 1] if a > 0 else 0)
-            cum = cs + base
+            continued = held is None or _same_key(_key_at(keys, 0), held[3])
+            # what each run starts from: the carry for the first, if it goes on
+            bases = -np.where(starts > 0, cs[starts - 1], 0)
+            bases[0] = carry if continued else 0
+            cum = cs + np.repeat(bases, np.diff(np.append(starts, len(vals))))
             flags = None
             if last_flag:
                 flags = np.zeros(len(vals), dtype=bool)
-                flags[bounds[1:-1] - 1] = True
+                flags[starts[1:] - 1] = True
             if held is not None:
-                yield finish(held, _key_at(keys, 0), True)
-            k_last = _key_at(keys, b.num_rows - 1)
-            held = (b, cum, flags, k_last)
-            carry_key, carry = k_last, int(cum[-1])
+                yield finish(held, continued)
+            held = (b, cum, flags, _key_at(keys, b.num_rows - 1))
+            carry = int(cum[-1])
         if held is not None:
-            yield finish(held, next_first.get(pid), pid in next_first)
+            yield finish(held, goes_on.get(pid, False))
     return apply
 
 
@@ -168,11 +188,11 @@ def running_totals(df: DataFrame, key, order: list[str], value, out: str = "cum"
     summaries = sorted(sorted_df.select(*[qcol(k) for k in keys], "_v")
                        .mapInArrow(_summarize_fn(keys, arrow_summ), summ_schema).collect(),
                        key=lambda r: r["pid"])
-    offsets, next_first = _carry_in(summaries)
+    carries, goes_on = _carry_in(summaries)
     fields = list(sorted_df.schema.fields) + [T.StructField(out, T.LongType())]
     if last_flag:
         fields.append(T.StructField(last_flag, T.BooleanType()))
-    return (sorted_df.mapInArrow(_apply_fn(keys, out, last_flag, offsets, next_first),
+    return (sorted_df.mapInArrow(_apply_fn(keys, out, last_flag, carries, goes_on),
                                  T.StructType(fields))
             .drop("_v"))
 
