@@ -24,7 +24,7 @@ which joins groups of near copies in linear work. Buckets whose members
 are then still in several components are compared in full: members are dealt to chunks
 of ``CHUNK``, and each pair of chunks is one unit of work that compares sketches in
 NumPy and emits only pairs within the bound that are not joined yet: first a forest of
-them, then, if a check failed, all of them. Components come from alternating large-star
+them, then, in buckets where a pair of the forest failed its check, all of them. Components come from alternating large-star
 and small-star rounds over the edge table. Edges, components and sketches stay in
 tables; the driver only reads counts.
 
@@ -317,9 +317,28 @@ def mixed_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(span, "key")
 
 
+def _near_pairs(n: np.ndarray, label: np.ndarray, chunk: np.ndarray, words: np.ndarray, across: bool,
+                similarity: Similarity) -> Iterator[tuple[int, int]]:
+    """Places (r, c) of the pairs of a unit in different components with sketches within
+    the bound; rows come by chunk, and with ``across`` both must lie in different ones."""
+    p, q, size = similarity.p, similarity.q, len(n)
+    step = max(1, 4096 // size)
+    for at in range(0, size - 1, step):
+        r, c = np.nonzero(label[at:at + step, None] != label[None, :])
+        r += at
+        keep = r < c
+        if across:
+            keep &= chunk[r] != chunk[c]
+        keep &= np.minimum(n[r], n[c]) * q >= np.maximum(n[r], n[c]) * p
+        r, c = r[keep], c[keep]
+        far = np.bitwise_count(words[r] ^ words[c]).sum(axis=1, dtype=np.int64)
+        keep = far * (q + p) <= (n[r] + n[c]) * (q - p)
+        yield from zip(r[keep].tolist(), c[keep].tolist())
+
+
 def compared(mixed: DataFrame, reps: DataFrame, similarity: Similarity, forest: bool) -> DataFrame:
-    """(a, b): pairs of a bucket in different components with sketches within the bound; with
-    ``forest``, only enough of them to span what they connect in each unit."""
+    """(key, a, b): pairs of a bucket in different components with sketches within the bound;
+    with ``forest``, only enough of them to span what they connect in each unit."""
     info = reps.select(F.col("id").alias("f_id"), "n", "sketch")
     rows = mixed.join(info, mixed["id"] == info["f_id"]).drop("f_id")
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
@@ -330,45 +349,60 @@ def compared(mixed: DataFrame, reps: DataFrame, similarity: Similarity, forest:
         F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     units = units.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
                          "chunk", "id", "label", "n", "sketch")
-    kind = reps.schema["id"].dataType
-    out = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    p, q = similarity.p, similarity.q
-
-    def unit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        order = table.column("chunk").to_numpy().argsort(kind="stable")
-        table = table.take(pa.array(order))
-        chunk, label = (table.column(c).to_numpy() for c in ("chunk", "label"))
-        ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
-        words = np.stack(table.column("sketch").to_numpy()).astype(np.int64).view(np.uint64)
-        found_a, found_b = [], []
-        parent = {x: x for x in label.tolist()}
-
-        def root(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        across = key[1].as_py() != key[2].as_py()
-        for r in range(len(ids)):
-            others = (chunk > chunk[r]) if across else np.arange(len(ids)) > r
-            others &= label != label[r]
-            others &= (np.minimum(n, n[r]) * q >= np.maximum(n, n[r]) * p)
-            at = np.flatnonzero(others)
-            if not len(at):
+    # units lie one after the other in their partition: most are small, and a Python call
+    # for each would cost more than its comparisons
+    units = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "chunk")
+    out = T.StructType([T.StructField("key", T.LongType()), T.StructField("a", reps.schema["id"].dataType),
+                        T.StructField("b", reps.schema["id"].dataType)])
+
+    def pairs_of(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+        key, i, j, chunk, ids, label, n = (table.column(c).to_numpy() for c in (
+            "key", "i", "j", "chunk", "id", "label", "n"))
+        words = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)
+        found: list[tuple] = []
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            parent = {x: x for x in label[lo:hi].tolist()}
+            if len(parent) < 2:
                 continue
-            far = np.bitwise_count(words[at] ^ words[r]).sum(axis=1, dtype=np.int64)
-            for c in at[far * (q + p) <= (n[at] + n[r]) * (q - p)]:
+
+            def root(x):
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for r, c in _near_pairs(n[lo:hi], label[lo:hi], chunk[lo:hi], words[lo:hi], i[lo] != j[lo],
+                                    similarity):
                 if forest:
-                    x, y = root(label[r].item()), root(label[c].item())
+                    x, y = root(label[lo + r].item()), root(label[lo + c].item())
                     if x == y:
                         continue
                     parent[max(x, y)] = min(x, y)
-                found_a.append(min(ids[r], ids[c]))
-                found_b.append(max(ids[r], ids[c]))
-        return pa.table({"a": pa.array(found_a, table.schema.field("id").type),
-                         "b": pa.array(found_b, table.schema.field("id").type)})
+                a, b = ids[lo + r].item(), ids[lo + c].item()
+                found.append((key[lo].item(), min(a, b), max(a, b)))
+        kind = table.schema.field("id").type
+        columns = list(zip(*found)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], kind),
+                                           pa.array(columns[2], kind)], names=out.names)
 
-    return units.groupBy("key", "i", "j").applyInArrow(unit, out).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the unit that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            new = np.zeros(table.num_rows - 1, bool)
+            for c in ("key", "i", "j"):
+                v = table.column(c).to_numpy()
+                new |= v[1:] != v[:-1]
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            held = table.slice(int(starts[-1]))
+            if len(starts) > 1:
+                yield pairs_of(table.slice(0, int(starts[-1])), starts)
+        if held is not None:
+            yield pairs_of(held, np.array([0, held.num_rows]))
+
+    return units.mapInArrow(run, out)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -395,16 +429,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         mixed = written(mixed_rows(rows, labels), "mixed")
         if mixed.isEmpty():
             break
-        pairs = compared(mixed, facts, similarity, forest)
-        pairs = pairs.join(done, ["a", "b"], "left_anti")
-        more = written(verified(pairs, texts, similarity), "checked")
-        failed = not more.where("not linked").isEmpty()
-        done = done.unionByName(more)
-        if not more.where("linked").isEmpty():
-            edges = done.where("linked").select("a", "b")
-            labels = components(edges)
-        if not failed and not forest:
-            break
+        near_pairs = written(compared(mixed, facts, similarity, forest).distinct(), "near")
+        pairs = near_pairs.select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+        done = done.unionByName(written(verified(pairs, texts, similarity), "checked"))
+        edges = done.where("linked").select("a", "b")
+        labels = components(edges)
+        # where all pairs of a bucket's forest link, all its near pairs are joined by now:
+        # only buckets with a pair that does not link are compared in full
+        open_keys = near_pairs.join(done.where("not linked"), ["a", "b"], "left_semi").select("key").distinct()
+        rows = rows.join(open_keys, "key", "left_semi")
     named = _labelled(sets.withColumn("id", F.col("rep")), labels).select(
         F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"), F.col("n").alias("c_n"), "label")
     out = facts.join(named, (facts["set_a"] == named["c_a"]) & (facts["set_b"] == named["c_b"])
