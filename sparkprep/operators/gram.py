@@ -253,13 +253,11 @@ def gram_matrix(df: DataFrame, features, target_col: str | None = None, p: int |
         xs = xs + [F.col(qcol(target_col)).cast("double")]
     p = len(xs)
     st = gram_stats(df, xs, by)
-    idx = [(i, j) for i in range(p) for j in range(p)]
-    cells = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"),
-                               (F.col("n") * F.col("means")[i]).alias("sum_i"),
-                               (F.col("n") * (F.col("cov")[i * p + j]
-                                              + F.col("means")[i] * F.col("means")[j])).alias("xtx"))
-                      for i, j in idx])
-    return (st.select(*[F.col(qcol(b)) for b in by], "n", F.explode(cells).alias("c"))
-            .select(*[F.col(qcol(b)) for b in by], F.col("c.i").cast("long").alias("i"),
-                    F.col("c.j").cast("long").alias("j"), F.col("n").cast("long").alias("n"),
-                    "c.sum_i", "c.xtx"))
+    keys = [F.col(qcol(b)) for b in by]
+    # one row per cell of cov, rather than p * p expressions in the plan
+    cells = st.select(*keys, "n", "means", F.posexplode("cov").alias("_at", "_cov"))
+    i, j = F.floor(F.col("_at") / p).cast("int"), F.col("_at") % p
+    n, mean_i, mean_j = F.col("n"), F.get("means", i), F.get("means", j)
+    return cells.select(*keys, (i + 1).cast("long").alias("i"), (j + 1).cast("long").alias("j"),
+                        n.cast("long").alias("n"), (n * mean_i).alias("sum_i"),
+                        (n * (F.col("_cov") + mean_i * mean_j)).alias("xtx"))

@@ -565,6 +565,31 @@ def q_running(spark, sf):
     return arr_ops.running_accumulate(fx.f10_orders(spark, sf), "key", "ord", "arr")
 
 
+@query("gram_matrix_wide", lambda: (
+    "SELECT i, j, count(*) AS n, " + r6_sql("sum(v[i])") + " AS sum_i, " + r6_sql("sum(v[i] * v[j])") + " AS xtx "
+    "FROM (SELECT CAST(embedding AS DOUBLE[]) AS v FROM embeddings), range(1, 65) a(i), range(1, 65) b(j) "
+    "GROUP BY i, j"))
+def q_gram_wide(spark, sf):
+    """All 64 variables of the embeddings, beyond what generated code aggregates."""
+    from sparkprep.sources.tables import read_table
+    g = gram_ops.gram_matrix(read_table(spark, sf, "embeddings"), "embedding", p=64)
+    return g.select("i", "j", "n", r6("sum_i").alias("sum_i"), r6("xtx").alias("xtx"))
+
+
+@query("running_totals_ts", lambda: (
+    "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, CAST(sum(event_id % 7) OVER (PARTITION BY CAST(ts AS DATE) "
+    "ORDER BY event_id) AS BIGINT) AS total, event_id = max(event_id) OVER (PARTITION BY CAST(ts AS DATE)) AS final "
+    "FROM events"))
+def q_running_ts(spark, sf):
+    """Few timestamp keys, each over several partitions."""
+    from sparkprep.operators.ordered import running_totals
+    from sparkprep.sources.tables import read_table
+    events = read_table(spark, sf, "events").select(
+        "event_id", F.to_date("ts").cast("timestamp").alias("day"), (F.col("event_id") % 7).alias("v"))
+    out = running_totals(events, "day", ["event_id"], "v", out="total", last_flag="final", num_partitions=9)
+    return out.select("event_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "total", "final")
+
+
 @query("synth_uniform", lambda: (
     f"SELECT p_partkey AS id, {r6_sql(hash_uniform_sql('p_partkey', '1'))} AS x, "
     f"{r6_sql(hash_uniform_sql('p_partkey', '2'))} AS y FROM part"))
