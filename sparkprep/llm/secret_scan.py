@@ -54,7 +54,8 @@ class Entropy:
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",            # UUIDs
         r"(?i:.*(example|placeholder|sample|dummy|xxxx|0123456789|abcdefgh).*)",
         r"\d{4}-\d\d-\d\d[T_-]?[\d_-]*Z?",                                # dates
-        r"(?:/?[A-Za-z][a-z]+)+(?:[/_-][A-Za-z]*\d{0,4})*",               # paths and slugs
+        # paths and slugs; each text has one way through it, so a mismatch takes linear time
+        r"/?[A-Za-z][a-z]+(?:[A-Z][a-z]+)*(?:[/_-][A-Za-z]*\d{0,4})*",
     )
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import signal
 from collections import Counter
 
 import pytest
@@ -104,6 +105,20 @@ def test_secret_base_counts(spark):
     assert (out[0]["n_assign"], out[0]["n_access"], out[0]["n_hex"]) == (0, 0, 0)
 
 
+def test_allow_list_takes_linear_time():
+    def late(*_):
+        raise TimeoutError
+
+    scanner, old = secret_scan.Scanner(), signal.signal(signal.SIGALRM, late)
+    try:
+        for text in ("a" * 1000 + "12345", "Ab" * 500 + "12345", "/ab" * 400 + "12345", "/a-b" * 400 + "12345"):
+            signal.setitimer(signal.ITIMER_REAL, 5)
+            scanner.spans(text)
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, old)
+
+
 def test_empty_tables(spark):
     none = table(spark, TEXTS[:1]).where("doc_id < 0")
     path = vocabulary_path()
