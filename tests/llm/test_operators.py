@@ -119,6 +119,19 @@ def test_allow_list_takes_linear_time():
         signal.signal(signal.SIGALRM, old)
 
 
+def test_allow_list_covers_its_own_characters():
+    key, scan = "q7Zr2LkX9vBn4TyWc8Hj5MpDf3Gs6RtKe1UaYoNi", secret_scan.Scanner().entropy
+    for before, after in (("example/keys/", ""), ("sample_", ""), ("", "/dummy"), ("aXxXx" * 3, key + "xxxx" + key),
+                          ("550e8400-e29b-41d4-a716-446655440000/", "")):
+        spans = scan(f"see {before}{key}{after} there")
+        at = 4 + len(before)
+        assert any(a < at + len(key) and b > at for _, a, b in spans), before
+    assert scan("key-qWzXvKpJtBnMrGhYdLcFsQxZwVkPjN1234")
+    for text in ("550e8400-e29b-41d4-a716-446655440000", "2024-01-01T12_30_45Z", "0123456789abcdefgh",
+                 "path/to/some/placeholder/file-name", "x" * 60):
+        assert not scan(text), text
+
+
 def test_empty_tables(spark):
     none = table(spark, TEXTS[:1]).where("doc_id < 0")
     path = vocabulary_path()
