@@ -3,8 +3,10 @@
 Candidates are runs of characters that keys are made of. For each character class, a
 window slides over the candidate's runs of that class; character counts and the sum
 of c log2 c are updated as one character enters and one leaves, which gives the
-window's Shannon entropy in constant time per step. Windows at or above the class's
-threshold that mix letters and digits are joined into spans of kind ``entropy``;
+window's Shannon entropy in constant time per step, and so are its odd neighbours:
+letter pairs rare in words, lower case before upper case, a letter beside a digit.
+Windows at or above the class's entropy with enough odd neighbours are joined into spans
+of kind ``entropy``, so keys of letters only are found and words and numbers are not;
 what the allow list matches takes no part in any window, and nothing else is spared.
 
 Defined results: null texts count as empty and have no spans; whole texts are
@@ -17,6 +19,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log2
+from string import ascii_letters, digits
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,19 +39,50 @@ BASE = (
 KINDS = {k: i for i, k in enumerate([*(b[0] for b in BASE), "entropy"])}
 
 
+#: Letter pairs frequent in words; they are not odd.
+PAIRS = frozenset(
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de "
+    "hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr "
+    "ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su "
+    "id os iv ia am fi ci vi pl ig tu ev ld ry mp fe bl ab gh ty op wo sa ay ex ke fr oo av ag if ap gr od "
+    "bo sp rd do uc bu ei ov by rm ep tt oc fa ef cu rn sc gi da yo cr cl du ga qu ue ff ba ey ls va um pp "
+    "ua up lu go ht ru ug ds lt pi rc rr eg au ck ew mu br bi pt ak pu ui rg ib tl ny ki rk ys ob mm fu ph "
+    "og ms ye ud mb ip ub oi rl gu dr hr cc tw ft wn nu af hu nn eo vo rv nf xp gn sm fl iz ok nl my gl aw "
+    "ju oa eq sy sl ps jo lf nv je nk kn gs dy hy ze ks xt bs ik dd ij oe sk zu".split())
+
+
+def odd_pair(x: str, y: str) -> bool:
+    """Whether ``y`` after ``x`` is unusual in words, names and numbers (other signs never are)."""
+    if x.isalpha() and y.isalpha():
+        if x.islower() and y.isupper():
+            return True
+        x, y = x.lower(), y.lower()
+        return x + y not in PAIRS and abs(ord(x) - ord(y)) > 1
+    return x.isalpha() and y.isdigit() or x.isdigit() and y.isalpha()
+
+
+ODD = frozenset(x + y for x in ascii_letters + digits for y in ascii_letters + digits if odd_pair(x, y))
+
+
 @dataclass(frozen=True)
 class CharClass:
-    """Runs of ``chars`` with a window of ``width`` at or above ``bits`` are suspicious."""
+    """Runs of ``chars`` with a window of ``width`` at or above ``bits`` and with at least
+    ``odd`` odd neighbours are suspicious."""
 
     chars: str
     width: int
     bits: float
+    odd: int
 
 
 @dataclass(frozen=True)
 class Entropy:
-    classes: tuple[CharClass, ...] = (CharClass("0-9A-Fa-f", 20, 3.0),
-                                      CharClass("0-9A-Za-z+/_-", 20, 3.9))
+    #: Per class, what all but some 2 to 6 in 100 windows of uniformly random characters reach;
+    #: the lower of the class's own (hex) and its letters' (the others, so that either passes).
+    classes: tuple[CharClass, ...] = (CharClass("0-9A-Fa-f", 16, 2.75, 3),
+                                      CharClass("0-9a-z", 16, 3.03, 5),
+                                      CharClass("0-9A-Z", 16, 3.03, 5),
+                                      CharClass("0-9A-Za-z+/_-", 16, 3.32, 6))
     #: What looks random but is not secret. A match covers its own characters only: windows
     #: are looked for beside it, on both sides.
     allowed: tuple[str, ...] = (
@@ -76,21 +110,21 @@ class Scanner:
         return out
 
     def windows(self, s: str, c: CharClass) -> Iterator[int]:
-        """Starts of the windows of ``s`` that reach the threshold and mix letters and digits."""
+        """Starts of the windows of ``s`` that reach the class's entropy and odd neighbours."""
         counts: dict[str, int] = {}
-        total, digits, weight, w = 0.0, 0, self.weight, c.width
+        total, odd, weight, w = 0.0, 0, self.weight, c.width
         for i, x in enumerate(s):
             n = counts.get(x, 0)
             total += weight[n + 1] - weight[n]
             counts[x] = n + 1
-            digits += x.isdigit()
+            odd += s[i - 1:i + 1] in ODD
             if i >= w:
                 y = s[i - w]
                 n = counts[y]
                 total += weight[n - 1] - weight[n]
                 counts[y] = n - 1
-                digits -= y.isdigit()
-            if i >= w - 1 and 2 <= digits <= w - 2 and log2(w) - total / w >= c.bits:
+                odd -= s[i - w:i - w + 2] in ODD
+            if i >= w - 1 and odd >= c.odd and log2(w) - total / w >= c.bits:
                 yield i - w + 1
 
     def uncovered(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:

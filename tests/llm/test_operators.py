@@ -1,8 +1,10 @@
 """The text operators against DuckDB, brute force and the public tokenizer library."""
 
 import hashlib
+import random
 import re
 import signal
+import string
 from collections import Counter
 
 import pytest
@@ -132,6 +134,26 @@ def test_allow_list_covers_its_own_characters():
         assert not scan(text), text
 
 
+@pytest.mark.parametrize("chars,recall", [
+    (string.hexdigits[:16], (0.95, 0.97, 0.99)), (string.ascii_lowercase + string.digits, (0.95, 0.97, 0.99)),
+    (string.ascii_uppercase + "234567", (0.93, 0.97, 0.99)), (string.ascii_letters + string.digits, (0.94, 0.97, 0.99)),
+    (string.ascii_letters + string.digits + "+/", (0.94, 0.97, 0.99)), (string.ascii_letters, (0.92, 0.97, 0.99)),
+    (string.ascii_lowercase, (0.88, 0.95, 0.98)), (string.ascii_uppercase, (0.88, 0.95, 0.98))])
+def test_recall_of_random_keys(chars, recall):
+    scan, draw = secret_scan.Scanner().entropy, random.Random(7)
+    for length, least in zip((16, 20, 32), recall):
+        keys = ["".join(draw.choices(chars, k=length)) for _ in range(1000)]
+        assert sum(bool(scan(f"see {k} there")) for k in keys) >= 1000 * least, length
+
+
+def test_words_and_names_are_no_keys():
+    scan = secret_scan.Scanner().entropy
+    for text in ("internationalization", "getElementsByClassNameOrDefaultValue", "AbstractSingletonProxyFactoryBean",
+                 "/usr/local/lib/python3/site-packages/pyspark", "IMG_20240101_123456", "MAX_BUFFER_SIZE_BYTES",
+                 "Donaudampfschifffahrtsgesellschaft", "4465758382889437", "keep-alive_x86_64-linux-gnu"):
+        assert not scan(text), text
+
+
 def test_empty_tables(spark):
     none = table(spark, TEXTS[:1]).where("doc_id < 0")
     path = vocabulary_path()
