@@ -1,11 +1,13 @@
 """License scans by conditional compression.
 
-Candidate blocks are the lines with a license cue, neighbours joined; in lines far
-longer than any template, the stretch around each cue. Every block is compressed
-alone and with each template as a zstandard raw-content dictionary; templates are
-ranked by the size reduction and the first whose wording holds is the winner: at
-most one word in ten of the template may be missing or replaced, and none with a digit
-(a version), by a word-by-word comparison with the block.
+Candidate blocks are the words around every license cue, as many on both sides as the
+longest template may take, whatever line breaks, comment signs or long lines they are in;
+overlapping ones are joined. Every block is compressed alone and with each template as a
+zstandard raw-content dictionary; templates are tried by the size reduction, and one is
+confirmed where its wording holds: at most one word in ten of the template may be missing
+or replaced, none with a digit (a version) and none that sets it apart from another
+license's template, by a word-by-word comparison. Every occurrence is reported with the
+lines that hold it, or its own words in lines far longer than any template.
 
 Defined results: null or empty texts have no blocks; every cue of a text is looked
 at, however long; repeated rows each get their result; no shuffle is needed.
@@ -14,6 +16,7 @@ at, however long; repeated rows each get their result; no shuffle is needed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -63,6 +66,8 @@ CUE = re.compile(r"licen[sc]|copyright|permission is|redistribut|creative common
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 #: Differing words allowed per word of the template.
 TOLERANCE = 0.1
+#: Words of a block that are compressed and compared at a time; neighbours overlap by a notice.
+PIECE = 1024
 
 
 def words_of(text: str) -> list[str]:
@@ -83,35 +88,59 @@ class LicenseScanner:
                 t.encode(), dict_type=zstd.DICT_TYPE_RAWCONTENT)))
             for name in sorted(templates) for t in templates[name]]
         self.longest = max(len(t) for _, t, _, _ in self.templates)
-
-    def blocks(self, text: str) -> list[tuple[int, int]]:
-        """Spans of the candidate blocks."""
+        self.reach = max(len(w) + self.allowed(w) for _, _, w, _ in self.templates)
+        #: Per template, the words it lacks in other licenses' templates within the tolerance.
+        self.apart: list[set[str]] = []
+        for name, _, mine, _ in self.templates:
+            lacking = [self.differences(mine, w) for other, _, w, _ in self.templates if other != name]
+            self.apart.append({w for lack, added, *_ in lacking if max(len(lack), added) <= self.allowed(mine)
+                               for w in lack})
+
+    @staticmethod
+    def allowed(wording: list[str]) -> int:
+        return int(TOLERANCE * len(wording))
+
+    def blocks(self, text: str, starts: list[int]) -> list[tuple[int, int]]:
+        """The candidate blocks, as ranges of the words that start at ``starts``."""
         out: list[list[int]] = []
-        ends = 0
         for cue in CUE.finditer(text):
-            if cue.start() < ends:
-                continue
-            a = text.rfind("\n", 0, cue.start()) + 1
-            b = text.find("\n", cue.start())
-            b = len(text) if b < 0 else b
-            if b - a > 4 * self.longest:
-                a, b = max(a, cue.start() - self.longest), min(b, cue.start() + self.longest)
-            ends = b
-            if out and a <= out[-1][1] + 1:
+            at = max(0, bisect_right(starts, cue.start()) - 1)
+            a, b = max(0, at - self.reach), min(len(starts), at + self.reach + 1)
+            if out and a <= out[-1][1]:
                 out[-1][1] = b
             else:
                 out.append([a, b])
         return [(a, b) for a, b in out]
 
-    def differences(self, template: list[str], block: list[str]) -> tuple[int, int, bool]:
-        """Words of the template that the block lacks, words put between its others, and
-        whether a lacking word holds a digit (another version is another license)."""
+    def differences(self, template: list[str], block: list[str]) -> tuple[list[str], int, int, int]:
+        """Words of the template that the block lacks, the number of words put between its
+        others, and the range of the block from the first of these to the last."""
         pieces = [m for m in SequenceMatcher(None, template, block, autojunk=False)
                   .get_matching_blocks() if m.size]
         there = {i for m in pieces for i in range(m.a, m.a + m.size)}
         lacking = [w for i, w in enumerate(template) if i not in there]
         between = sum(y.b - (x.b + x.size) for x, y in zip(pieces, pieces[1:]))
-        return len(lacking), between, any(c.isdigit() for w in lacking for c in w)
+        return (lacking, between, *((pieces[0].b, pieces[-1].b + pieces[-1].size) if pieces else (0, 0)))
+
+    def occurrences(self, index: int, words: list[str], matcher: SequenceMatcher) -> Iterator[tuple]:
+        """(missing, added, first word, end) wherever the wording of a template holds in
+        ``words``, which ``matcher`` has as its second sequence."""
+        wording = self.templates[index][2]
+        n, t = len(wording), self.allowed(wording)
+        least = -((t - n) // (2 * t + 1))  # so long is the longest of the pieces left by t and t words
+        matcher.set_seq1(wording)
+        todo = [(0, len(words))]
+        while todo:
+            lo, hi = todo.pop()
+            m = matcher.find_longest_match(0, n, lo, hi)
+            if m.size < least:
+                continue
+            todo += [(m.b + m.size, hi), (lo, m.b)]
+            first = max(0, m.b - m.a - t)
+            lacking, added, a, b = self.differences(wording, words[first:m.b + n - m.a + t])
+            if max(len(lacking), added) <= t and not any(
+                    w in self.apart[index] or any(c.isdigit() for c in w) for w in lacking):
+                yield len(lacking), added, first + a, first + b
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """(size reduction, template index), best first."""
@@ -120,25 +149,38 @@ class LicenseScanner:
         return sorted(((1 - len(c.compress(data)) / plain, i)
                        for i, (_, _, _, c) in enumerate(self.templates)), key=lambda x: (-x[0], x[1]))
 
+    def lines(self, text: str, a: int, b: int) -> tuple[int, int]:
+        """The stretch grown to whole lines, where these are not far longer than any template."""
+        first, end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
+        end = len(text) if end < 0 else end
+        return (first if a - first <= 4 * self.longest else a, end if end - b <= 4 * self.longest else b)
+
     def matches(self, text: str) -> tuple[int, list[dict]]:
-        """Number of candidate blocks, and the confirmed ones."""
-        spans, out = self.blocks(text), []
-        for a, b in spans:
-            block = text[a:b]
-            words = words_of(block)
-            confirmed: set[str] = set()
-            for reduction, i in self.ranked(block):
-                if reduction <= 0:
-                    break
-                name, _, wording, _ = self.templates[i]
-                if name in confirmed:
-                    continue
-                missing, added, version = self.differences(wording, words)
-                if not version and max(missing, added) <= TOLERANCE * len(wording):
-                    confirmed.add(name)
-                    out.append({"start": a, "end": b, "license": name, "reduction": round(reduction, 6),
-                                "missing": missing, "added": added})
-        return len(spans), out
+        """Number of candidate blocks, and the confirmed occurrences."""
+        if not CUE.search(text):
+            return 0, []
+        spans = [m.span() for m in WORD.finditer(text)]
+        words = [text[a:b].lower() for a, b in spans]
+        blocks, out = self.blocks(text, [a for a, _ in spans]), []
+        confirmed: dict[str, list[tuple[int, int]]] = {}
+        for start, stop in blocks:
+            for at in range(start, max(start + 1, stop - self.reach), PIECE - self.reach):
+                piece = words[at:min(stop, at + PIECE)]
+                held, matcher = set(piece), SequenceMatcher(None, (), piece, autojunk=False)
+                for reduction, i in self.ranked(text[spans[at][0]:spans[at + len(piece) - 1][1]]):
+                    name, _, wording, _ = self.templates[i]
+                    if sum(w not in held for w in wording) > self.allowed(wording):
+                        continue
+                    there = confirmed.setdefault(name, [])
+                    for missing, added, a, b in self.occurrences(i, piece, matcher):
+                        a, b = at + a, at + b
+                        if any(x < b and a < y for x, y in there):
+                            continue
+                        there.append((a, b))
+                        first, end = self.lines(text, spans[a][0], spans[b - 1][1])
+                        out.append({"start": first, "end": end, "license": name,
+                                    "reduction": round(reduction, 6), "missing": missing, "added": added})
+        return len(blocks), sorted(out, key=lambda m: (m["start"], m["end"]))
 
 
 MATCHES = T.ArrayType(T.StructType([

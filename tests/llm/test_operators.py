@@ -5,6 +5,7 @@ import random
 import re
 import signal
 import string
+import textwrap
 from collections import Counter
 
 import pytest
@@ -154,6 +155,35 @@ def test_words_and_names_are_no_keys():
         assert not scan(text), text
 
 
+@pytest.mark.parametrize("name,notice", [(n, t) for n, ts in sorted(licenses.TEMPLATES.items()) for t in ts])
+def test_license_notices_in_all_forms(name, notice):
+    scanner, words = licenses.LicenseScanner(), "It reads data and writes it again for the use of others, in the team. "
+    wrapped = {w + pre: "\n".join(textwrap.wrap(notice, int(w), initial_indent=pre, subsequent_indent=pre,
+                                                break_long_words=False, break_on_hyphens=False))
+               for w in ("40", "70", "72", "80") for pre in ("", "# ", " * ", "// ", " " * 20)}
+    for form, block in {"one": notice, "long line": words * 40 + notice + " " + words * 40, **wrapped}.items():
+        for text in (block, f"import os\n\n{block}\n\nx = 1\n", f"Copyright A. B.\n{words * 30}\n{block}\n{words * 9}"):
+            _, found = scanner.matches(text)
+            assert [(m["license"], m["missing"], m["added"]) for m in found] == [(name, 0, 0)], form
+            assert words_in(notice) <= words_in(text[found[0]["start"]:found[0]["end"]])
+    twice = f"{wrapped['70# ']}\n{words * 3}\n{notice}\n"
+    assert [m["license"] for m in scanner.matches(twice)[1]] == [name] * 2
+    many = (wrapped["72"] + "\n" + words + "\n") * 60
+    assert [m["license"] for m in scanner.matches(many)[1]] == [name] * 60
+
+
+def words_in(text):
+    return set(licenses.words_of(text))
+
+
+def test_license_wording_is_confirmed():
+    scanner, gpl = licenses.LicenseScanner(), licenses.TEMPLATES["GPL-3.0"][1]
+    assert not scanner.matches(gpl.replace("version 3", "version 4"))[1]
+    assert not scanner.matches("A license of our own.\nPermission is granted to nobody.")[1]
+    changed = textwrap.fill(gpl.replace("redistribute", "hand on"), 72)
+    assert [(m["license"], m["missing"], m["added"]) for m in scanner.matches(changed)[1]] == [("GPL-3.0", 1, 2)]
+
+
 def test_empty_tables(spark):
     none = table(spark, TEXTS[:1]).where("doc_id < 0")
     path = vocabulary_path()
