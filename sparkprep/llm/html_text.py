@@ -8,7 +8,9 @@ The result is a union-free regular expression, the host's wrapper, whose nodes a
 count pages, characters and link characters. Roles follow from it: boilerplate by
 element or by its class, id and role words; the main region by ``article``/``main``, or
 else the subtree with the most varying text outside links. A page is then read along
-its host's wrapper.
+its host's wrapper. Inside the main region a listed word leaves an element out only if it
+is mostly links, holds a form, or is a comment group that the wrapper repeats; headings,
+table rows, paragraphs and unlinked inline text stay.
 
 Scale: each task folds its pages into one wrapper per host before anything moves;
 wrappers meet per (host, salt), then per host, so a host with a third of all pages
@@ -49,7 +51,7 @@ TOKEN = re.compile(
     r"|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
     r"""|</?[a-zA-Z](?:[^<>"']|"[^"]*"|'[^']*')*>|</?[a-zA-Z][^<>]*(?:>|$)|[^<]+|<""", re.S | re.I)
 TAG = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
-MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
+MARKS = re.compile(r"""(?<![^\s"'])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.I)
 MARK_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: Element names by kind.
@@ -76,6 +78,16 @@ BOILERPLATE = frozenset(
 NOT_MAIN = frozenset("ad ads advert advertisement sponsored promo teaser teasers related recommended comment "
                      "comments reply replies".split())
 NEGATED = frozenset("has with without no".split())
+#: Inside the main region these, like listed words, count only with evidence from the contents.
+MAYBE_TEXT = frozenset("header footer aside".split())
+#: Elements that are text whatever their words say, the single paragraphs first; words of
+#: comment groups.
+PARAGRAPHS = HEADINGS | frozenset("p blockquote pre caption dt dd figcaption".split())
+TEXT_TAGS = PARAGRAPHS | frozenset("table thead tbody tfoot tr td th html body article main".split())
+COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+CONTROLS = frozenset("form button fieldset input".split())
+#: Share of characters in links from which an element is mostly links.
+LINKED = 0.6
 MAIN_TAGS = frozenset(("article", "main"))
 
 
@@ -139,9 +151,10 @@ def parse(text: str) -> Node:
                 stack[-1].parts.append((" ", False))
             continue
         marks = marks_of(s) if "=" in s else ()
-        if name in INLINE and not dropped(name, marks):
+        if name in INLINE:
             links += name == "a"
-            continue
+            if not dropped(name, marks):
+                continue
         if s.endswith("/>") and name in INLINE:
             continue
         if name not in INLINE:
@@ -270,7 +283,14 @@ class Roles:
     def __init__(self, wrapper: dict | None):
         self.main: set[str] = set()
         self.out: set[str] = set()
-        if wrapper is None or self._explicit(wrapper):
+        #: Paths below the main region that repeat (comments do).
+        self.repeated: set[tuple[str, ...]] = set()
+        if wrapper is not None:
+            self._region(wrapper)
+            self._inner(wrapper, None)
+
+    def _region(self, wrapper: dict) -> None:
+        if self._explicit(wrapper):
             return
         node, path = wrapper, []
         while True:  # follow the child that holds most of the varying text outside links
@@ -278,6 +298,8 @@ class Roles:
             best = max(kids, key=self._weight, default=None)
             if best is None or best["r"] or self._weight(best) < 0.6 * max(1, self._weight(node)):
                 break
+            if best["k"].split(".")[0] in PARAGRAPHS:  # one long paragraph is no region
+                break
             node, path = best, [*path, best["k"]]
         if path:
             self.main = {path[-1]}
@@ -286,6 +308,33 @@ class Roles:
             if pages > 1 and (c["x"] and not c["c"] and c["n"] > 0.5 * pages or c["lk"] > 0.6 * max(1, c["ch"])):
                 self.out.add(c["k"])
 
+    def _inner(self, item: dict, path: tuple[str, ...] | None) -> None:
+        """Collects what the nodes below the main region are; ``path`` is None outside of it."""
+        for c in item["c"]:
+            group = c["k"][0] == "("
+            for k in self._kids(c) if group else (c,):
+                below = () if k["k"] in self.main else None if path is None else (*path, k["k"])
+                if below and (k["r"] or group and c["r"]):
+                    self.repeated.add(below)
+                self._inner(k, below)
+
+    def left_out(self, node: Node, path: tuple[str, ...]) -> bool:
+        """Whether an element inside the main region is no text: by its name where that never
+        holds text, by a listed word only together with links, a form or repeated comments."""
+        if node.tag in DROPPED and node.tag not in MAYBE_TEXT:
+            return True
+        if node.tag in TEXT_TAGS or not dropped(node.tag, node.marks):
+            return False
+        ch, lk, controls = _contents(node)
+        return controls or lk > LINKED * ch or self._comments(node, path)
+
+    def _comments(self, node: Node, path: tuple[str, ...]) -> bool:
+        if not COMMENTS.intersection(node.marks):
+            return False
+        return path in self.repeated or any(
+            type(p) is Node and (p.tag in ("li", "article") or COMMENTS.intersection(p.marks))
+            and (*path, p.key) in self.repeated for p in node.parts)
+
     @staticmethod
     def _kids(item: dict) -> Iterator[dict]:
         for c in item["c"]:
@@ -322,9 +371,29 @@ class Roles:
         return found
 
 
-def _blocks(node: Node, roles: Roles, out: list[str], inside: bool, main_only: bool) -> None:
-    """Adds the blocks of text under ``node`` in page order."""
-    inside = inside or node.key in roles.main
+def _contents(node: Node) -> tuple[int, int, bool]:
+    """Characters, those in links, and whether the element holds a form's parts."""
+    ch, lk, controls = 0, 0, node.tag in CONTROLS
+    for p in node.parts:
+        if type(p) is tuple:
+            n = len("".join(p[0].split()))
+            ch, lk = ch + n, lk + n * p[1]
+        else:
+            c, k, held = _contents(p)
+            ch, lk, controls = ch + c, lk + k, controls or held
+    return ch, lk, controls
+
+
+def _inline(node: Node) -> str:
+    return "".join(p[0] if type(p) is tuple else _inline(p) for p in node.parts)
+
+
+def _blocks(node: Node, roles: Roles, out: list[str], inside: bool, main_only: bool,
+            path: tuple[str, ...] = ()) -> None:
+    """Adds the blocks of text under ``node`` in page order; ``path`` is its own below the
+    main region."""
+    if node.key in roles.main:
+        inside, path = True, ()
     take = inside or not main_only
     line: list[str] = []
 
@@ -337,27 +406,22 @@ def _blocks(node: Node, roles: Roles, out: list[str], inside: bool, main_only: b
     for p in node.parts:
         if type(p) is tuple:
             line.append(p[0])
-        elif p.tag in INLINE:  # an inline element marked as boilerplate
-            continue
-        elif dropped(p.tag, p.marks) or p.key in roles.out and not inside:
+        elif p.tag in INLINE:  # an inline element marked as boilerplate: left out if it is a link
+            ch, lk, controls = _contents(p) if inside else (0, 0, True)
+            if not controls and lk <= LINKED * ch:
+                line.append(_inline(p))
+        elif inside:
+            flush()
+            if not roles.left_out(p, (*path, p.key)):
+                _blocks(p, roles, out, True, main_only, (*path, p.key))
+        elif dropped(p.tag, p.marks) or p.key in roles.out:
             flush()
-            if inside and (p.tag == "header" or "header" in p.marks):  # its headings stay
-                _headings(p, out)
         else:
             flush()
-            _blocks(p, roles, out, inside, main_only)
+            _blocks(p, roles, out, False, main_only)
     flush()
 
 
-def _headings(node: Node, out: list[str]) -> None:
-    for p in node.parts:
-        if type(p) is Node:
-            if p.tag in HEADINGS:
-                _blocks(p, Roles(None), out, True, False)
-            elif p.tag not in DROPPED:
-                _headings(p, out)
-
-
 def _holds(node: Node, keys: set[str]) -> bool:
     return any(type(p) is Node and not dropped(p.tag, p.marks) and (p.key in keys or _holds(p, keys))
                for p in node.parts)
@@ -367,8 +431,9 @@ def main_text(page: str, roles: Roles) -> str:
     """The page's main text along its host's roles."""
     root, out = parse(page), []
     if not _holds(root, roles.main):  # unlike its host's other pages: its own article or main
-        roles = Roles(None)
-        roles._explicit(_item(root))
+        item, roles = _item(root), Roles(None)
+        if roles._explicit(item):
+            roles._inner(item, None)
     _blocks(root, roles, out, False, _holds(root, roles.main))
     return "\n\n".join(out)
 

@@ -184,6 +184,36 @@ def test_license_wording_is_confirmed():
     assert [(m["license"], m["missing"], m["added"]) for m in scanner.matches(changed)[1]] == [("GPL-3.0", 1, 2)]
 
 
+def host_texts(pages):
+    whole = None
+    for page in pages:
+        item = html_text._item(html_text.parse(page))
+        whole = item if whole is None else html_text.merged(whole, item)
+    return [html_text.main_text(page, html_text.Roles(whole)) for page in pages]
+
+
+@pytest.mark.parametrize("region", ["article", "main", "div"])
+def test_listed_words_alone_drop_no_article_text(region):
+    def page(i):
+        story = " ".join(f"w{i}x{j}" for j in range(80))
+        kept = (f'<h2 id="related-work">Related {i}</h2><section id="discussion"><p>Talk {i}</p><p>More {i}</p></section>'
+                f'<h2 id="search">Search {i}</h2><table><tr class="header"><td>Cell {i}</td></tr></table>'
+                f'<p class="notice">Notice {i}</p><p>A <span class="search-term">term {i}</span> inside</p>'
+                f'<div data-id="ad" data-role="menu">Data {i}</div><aside>Quote {i}</aside>')
+        gone = (f'<div class="share"><a href="/s{i}">Tell {i}</a> <a href="/t{i}">Pass {i}</a></div>'
+                f'<div class="newsletter">Join {i}<form><input name="m"></form></div>'
+                f'<p>See <a class="share" href="/u{i}">Press {i}</a></p><ul class="comments">'
+                + "".join(f'<li class="comment">Remark {i} {k}</li>' for k in range(3)) + "</ul>")
+        return f"<body><div class=ad>Buy {i}</div><{region}><h1>T{i}</h1><p>{story}</p>{kept}{gone}</{region}></body>"
+
+    for i, text in enumerate(host_texts([page(i) for i in range(6)])):
+        for word in ("Related", "Talk", "More", "Search", "Cell", "Notice", "term", "Data", "Quote"):
+            assert f"{word} {i}" in text, word
+        assert f"A term {i} inside" in text
+        for word in ("Buy", "Tell", "Pass", "Join", "Press", "Remark"):
+            assert f"{word} {i}" not in text, word
+
+
 def test_empty_tables(spark):
     none = table(spark, TEXTS[:1]).where("doc_id < 0")
     path = vocabulary_path()
