@@ -10,15 +10,20 @@ element or by its class, id and role words; the main region by ``article``/``mai
 else the subtree with the most varying text outside links. A page is then read along
 its host's wrapper. Inside the main region a listed word leaves an element out only if it
 is mostly links, holds a form, or is a comment group that the wrapper repeats; headings,
-table rows, paragraphs and unlinked inline text stay.
+table rows, paragraphs and unlinked inline text stay. Lists and sections that are mostly
+links on the host's pages go without any word, and so do blocks of text found on most of
+the host's pages, counted exactly; headings and table cells stay where what they label varies.
 
 Scale: each task folds its pages into one wrapper per host before anything moves;
 wrappers meet per (host, salt), then per host, so a host with a third of all pages
 sends one small wrapper per task and no reducer holds pages. Wrappers are broadcast
-when their counted size allows it and joined by host otherwise.
+when their counted size allows it and joined by host otherwise. Blocks are counted as
+(host, page, block) hashes dealt by all three, so no host meets in one task; those on most
+pages of a host are at most twice the mean number of blocks of its pages.
 
 Defined results: null and empty html give the empty text; a page without its host's
-main region is read as a whole, minus boilerplate; a url without host shares one
+main region is read as a whole, minus boilerplate; pages of a host with the same longest
+block count once, and a page whose blocks are all constant keeps them; a url without host shares one
 wrapper; unclosed or truncated tags end with their parent; repeated rows each get their
 result; nothing is cut.
 """
@@ -28,7 +33,8 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -88,6 +94,9 @@ COMMENTS = frozenset("comment comments commentlist disqus reply replies respond"
 CONTROLS = frozenset("form button fieldset input".split())
 #: Share of characters in links from which an element is mostly links.
 LINKED = 0.6
+LISTS = frozenset("ul ol dl div section nav header footer aside table".split())
+#: Text on more than this share of a host's pages, and on so many at least, is the host's own.
+MOST, LEAST_PAGES = 0.5, 3
 MAIN_TAGS = frozenset(("article", "main"))
 
 
@@ -280,11 +289,15 @@ def expression(item: dict) -> str:
 class Roles:
     """Which keys of a host's pages are the main region, and which to leave out."""
 
-    def __init__(self, wrapper: dict | None):
+    def __init__(self, wrapper: dict | None, constant: Iterable[int] = ()):
+        #: Hashes of the blocks that are on most of the host's pages.
+        self.constant = frozenset(constant)
         self.main: set[str] = set()
         self.out: set[str] = set()
         #: Paths below the main region that repeat (comments do).
         self.repeated: set[tuple[str, ...]] = set()
+        #: Pages, characters and those in links of the paths, () being the region's.
+        self.shares: dict[tuple[str, ...], tuple[int, int, int]] = {}
         if wrapper is not None:
             self._region(wrapper)
             self._inner(wrapper, None)
@@ -303,6 +316,7 @@ class Roles:
             node, path = best, [*path, best["k"]]
         if path:
             self.main = {path[-1]}
+            return  # what is left out below it, its paths tell
         pages = node["n"]
         for c in self._kids(node):  # text that is the same on all pages, and lists of links
             if pages > 1 and (c["x"] and not c["c"] and c["n"] > 0.5 * pages or c["lk"] > 0.6 * max(1, c["ch"])):
@@ -313,7 +327,10 @@ class Roles:
         for c in item["c"]:
             group = c["k"][0] == "("
             for k in self._kids(c) if group else (c,):
-                below = () if k["k"] in self.main else None if path is None else (*path, k["k"])
+                below = (*path, k["k"]) if path is not None else () if k["k"] in self.main else None
+                if below is not None:
+                    n, ch, lk = self.shares.get(below, (0, 0, 0))
+                    self.shares[below] = max(n, k["n"]), ch + k["ch"], lk + k["lk"]
                 if below and (k["r"] or group and c["r"]):
                     self.repeated.add(below)
                 self._inner(k, below)
@@ -323,11 +340,21 @@ class Roles:
         holds text, by a listed word only together with links, a form or repeated comments."""
         if node.tag in DROPPED and node.tag not in MAYBE_TEXT:
             return True
+        if node.tag in LISTS and self._links(path):
+            ch, lk, _ = _contents(node)
+            if lk > LINKED * ch:
+                return True
         if node.tag in TEXT_TAGS or not dropped(node.tag, node.marks):
             return False
         ch, lk, controls = _contents(node)
         return controls or lk > LINKED * ch or self._comments(node, path)
 
+    def _links(self, path: tuple[str, ...]) -> bool:
+        """Whether the path is mostly links over the host's pages and its region is not."""
+        pages, ch, lk = self.shares.get(path, (0, 0, 0))
+        _, whole, links = self.shares.get((), (0, 0, 0))
+        return pages > 1 and lk > LINKED * ch and links <= LINKED * whole
+
     def _comments(self, node: Node, path: tuple[str, ...]) -> bool:
         if not COMMENTS.intersection(node.marks):
             return False
@@ -388,19 +415,90 @@ def _inline(node: Node) -> str:
     return "".join(p[0] if type(p) is tuple else _inline(p) for p in node.parts)
 
 
-def _blocks(node: Node, roles: Roles, out: list[str], inside: bool, main_only: bool,
-            path: tuple[str, ...] = ()) -> None:
-    """Adds the blocks of text under ``node`` in page order; ``path`` is its own below the
-    main region."""
-    if node.key in roles.main:
+def _line(parts: list[str]) -> str:
+    return " ".join(entities.unescape("".join(parts)).split())
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little",
+                          signed=True)
+
+
+def block_hashes(root: Node) -> tuple[int, list[int]]:
+    """What tells the page from others (its longest block outside links) and its blocks."""
+    found: dict[str, None] = {}
+    longest = ""
+
+    def walk(node: Node) -> None:
+        nonlocal longest
+        line: list[str] = []
+        linked = 0
+
+        def flush() -> None:
+            nonlocal longest, linked
+            text = _line(line)
+            if text:
+                found[text] = None
+                if len(text) > len(longest) and linked <= LINKED * len(text):
+                    longest = text
+            line.clear()
+            linked = 0
+
+        for p in node.parts:
+            if type(p) is tuple:
+                line.append(p[0])
+                linked += len(p[0]) * p[1]
+            elif p.tag in INLINE:
+                ch, lk, controls = _contents(p)
+                if not controls and lk <= LINKED * ch:
+                    line.append(_inline(p))
+            else:
+                flush()
+                if p.tag not in DROPPED or p.tag in MAYBE_TEXT:
+                    walk(p)
+        flush()
+
+    walk(root)
+    return _hash(longest), [_hash(t) for t in found]
+
+
+def varying(blocks: list[tuple[str, Node, Node | None]], constant: frozenset[int]) -> list[str]:
+    """The texts without the constant ones; a constant heading stays before text that stays,
+    a constant cell in a table that varies. All stay if none varies."""
+    texts = [t for t, _, _ in blocks]
+    if not constant:
+        return texts
+    same = [_hash(t) in constant for t in texts]
+    if all(same):
+        return texts
+    tables = {id(table) for (_, _, table), c in zip(blocks, same) if table is not None and not c}
+    out, follows = [], False
+    for (text, node, table), c in zip(reversed(blocks), reversed(same)):
+        if not c or table is not None and id(table) in tables:
+            follows = True
+            out.append(text)
+        elif node.tag not in HEADINGS:
+            follows = False
+        elif follows:
+            out.append(text)
+    return out[::-1]
+
+
+def _blocks(node: Node, roles: Roles, out: list[tuple[str, Node, Node | None]], inside: bool, main_only: bool,
+            path: tuple[str, ...] = (), table: Node | None = None) -> None:
+    """Adds the blocks of text under ``node`` in page order, with their elements and tables;
+    ``path`` is the node's own below the main region."""
+    if node.key in roles.main and not inside:
         inside, path = True, ()
+    if node.tag in ("table", "dl"):
+        table = node
     take = inside or not main_only
     line: list[str] = []
 
     def flush() -> None:
-        text = " ".join(entities.unescape("".join(line)).split())
+        text = _line(line)
         if text and take:
-            out.append(text)
+            out.append((text, node, table))
         line.clear()
 
     for p in node.parts:
@@ -413,12 +511,12 @@ def _blocks(node: Node, roles: Roles, out: list[str], inside: bool, main_only: b
         elif inside:
             flush()
             if not roles.left_out(p, (*path, p.key)):
-                _blocks(p, roles, out, True, main_only, (*path, p.key))
+                _blocks(p, roles, out, True, main_only, (*path, p.key), table)
         elif dropped(p.tag, p.marks) or p.key in roles.out:
             flush()
         else:
             flush()
-            _blocks(p, roles, out, False, main_only)
+            _blocks(p, roles, out, False, main_only, (), table)
     flush()
 
 
@@ -431,43 +529,73 @@ def main_text(page: str, roles: Roles) -> str:
     """The page's main text along its host's roles."""
     root, out = parse(page), []
     if not _holds(root, roles.main):  # unlike its host's other pages: its own article or main
-        item, roles = _item(root), Roles(None)
+        item, roles = _item(root), Roles(None, roles.constant)
         if roles._explicit(item):
             roles._inner(item, None)
     _blocks(root, roles, out, False, _holds(root, roles.main))
-    return "\n\n".join(out)
+    return "\n\n".join(varying(out, roles.constant))
 
 
 WRAPPERS = "host string, part int, wrapper string"
+FOUND = WRAPPERS + ", page bigint, blocks array<bigint>"
 
 
-def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: host ("" for none) and its wrapper as JSON."""
+def inferred(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Rows of two kinds: a task's wrapper of a host, and a page's identity and block hashes."""
     ship_package(pages.sparkSession)
     rows = pages.select(F.coalesce(host_of(of(pages, url_col)), F.lit("")).alias("host"),
                         F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("part"),
                         of(pages, html_col).alias("html"))
 
-    def given(known: dict, part: int) -> pa.RecordBatch:
+    def batch_of(hosts: list, parts: list, whole: list, ids: list, blocks: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(known), pa.string()), pa.array([part] * len(known), pa.int32()),
-             pa.array([json.dumps(w) for w in known.values()], pa.string())],
-            names=["host", "part", "wrapper"])
+            [pa.array(hosts, pa.string()), pa.array(parts, pa.int32()), pa.array(whole, pa.string()),
+             pa.array(ids, pa.int64()), pa.array(blocks, pa.list_(pa.int64()))],
+            names=["host", "part", "wrapper", "page", "blocks"])
+
+    def given(known: dict, part: int) -> pa.RecordBatch:
+        n = len(known)
+        return batch_of(list(known), [part] * n, [json.dumps(w) for w in known.values()], [None] * n, [None] * n)
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict] = {}
         part = 0
         for batch in batches:
+            hosts, ids, blocks = [], [], []
             for host, part, page in zip(*(c.to_pylist() for c in batch.columns)):
                 if page:
-                    item = _item(parse(page))
+                    root = parse(page)
+                    item = _item(root)
                     known[host] = merged(known[host], item) if host in known else item
+                    own, held = block_hashes(root)
+                    hosts.append(host)
+                    ids.append(own)
+                    blocks.append(held)
                 if len(known) >= HOSTS_KEPT:
                     yield given(known, part)
                     known = {}
+            yield batch_of(hosts, [part] * len(hosts), [None] * len(hosts), ids, blocks)
         if known:
             yield given(known, part)
 
+    return rows.mapInArrow(infer, FOUND)
+
+
+def constant_blocks(found: DataFrame) -> DataFrame:
+    """c_host and constant, the hashes of the blocks that are on most of the host's pages."""
+    rows = found.where(F.col("page").isNotNull())
+    n_pages = rows.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(
+        F.count(F.lit(1)).alias("n_pages"))
+    held = rows.select("host", "page", F.explode("blocks").alias("block"))
+    held = held.groupBy("host", "page", "block").agg(F.lit(1).alias("one"))
+    held = held.groupBy("host", "block").agg(F.count(F.lit(1)).alias("held"))
+    held = held.where(F.col("held") >= LEAST_PAGES).join(n_pages, "host")
+    return (held.where(F.col("held") > F.col("n_pages") * F.lit(MOST)).groupBy("host")
+            .agg(F.sort_array(F.collect_list("block")).alias("constant")).withColumnRenamed("host", "c_host"))
+
+
+def wrappers(found: DataFrame) -> DataFrame:
+    """One row per host: host ("" for none) and its wrapper as JSON."""
     def join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         whole = None
         for text in table.column("wrapper").to_pylist():
@@ -476,35 +604,38 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
         return pa.table({"host": [key[0].as_py()], "part": pa.array([0], pa.int32()),
                          "wrapper": [json.dumps(whole)]})
 
-    salted = rows.mapInArrow(infer, WRAPPERS).groupBy("host", "part").applyInArrow(join, WRAPPERS)
+    salted = found.where(F.col("wrapper").isNotNull()).select("host", "part", "wrapper").groupBy("host", "part").applyInArrow(join, WRAPPERS)
     return salted.groupBy("host").applyInArrow(join, WRAPPERS).select("host", "wrapper")
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html") -> DataFrame:
     """id, url, text and n_chars (code points) of every page."""
-    found = written(wrappers(pages, url_col, html_col), "wrappers").withColumnRenamed("host", "w_host")
-    size = found.agg(F.sum(F.length("wrapper"))).first()[0] or 0
+    parts = written(inferred(pages, url_col, html_col), "blocks")
+    found, same = wrappers(parts).withColumnRenamed("host", "w_host"), constant_blocks(parts)
+    found = written(found.join(same, F.col("w_host") == F.col("c_host"), "left").drop("c_host"), "wrappers")
+    size = found.agg(F.sum(F.length("wrapper") + 20 * F.coalesce(F.size("constant"), F.lit(0)))).first()[0] or 0
     if size <= BROADCAST_CHARS:
         found = F.broadcast(found)
     rows = pages.select(of(pages, id_col).alias("id"), of(pages, url_col).alias("url"),
                         of(pages, html_col).alias("html"),
                         F.coalesce(host_of(of(pages, url_col)), F.lit("")).alias("host"))
-    rows = rows.join(found, rows["host"] == found["w_host"], "left").select("id", "url", "html", "wrapper")
+    rows = rows.join(found, rows["host"] == found["w_host"], "left").select("id", "url", "html", "host", "wrapper", "constant")
     out = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType),
                         T.StructField(url_col, pages.schema[url_col].dataType),
                         T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, Roles] = {}
+        known: dict[str, Roles] = {}
         for batch in batches:
             texts = []
-            for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if wrapper not in known:
+            for at, (page, host) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                if host not in known:
                     if len(known) >= HOSTS_KEPT:
                         known.clear()
-                    known[wrapper] = Roles(json.loads(wrapper) if wrapper else None)
-                texts.append(main_text(page, known[wrapper]) if page else "")
+                    wrapper = batch.column(4)[at].as_py()
+                    known[host] = Roles(json.loads(wrapper) if wrapper else None, batch.column(5)[at].as_py() or ())
+                texts.append(main_text(page, known[host]) if page else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              names=out.names)
 

@@ -214,6 +214,27 @@ def test_listed_words_alone_drop_no_article_text(region):
             assert f"{word} {i}" not in text, word
 
 
+@pytest.mark.parametrize("region", ["article", "main", "div"])
+def test_constant_text_and_link_lists_inside_the_region(spark, region):
+    def page(i, host):
+        story = " ".join(f"w{i}x{j}" for j in range(80))
+        return (f"http://{host}.example/{i}",
+                f"<body><{region}><h1>T{i}</h1><p>{story}</p><p>Hand in your mail for our letters.</p>"
+                f"<h2>References</h2><p>Source {i}</p><table><tr><th>Year</th></tr><tr><td>Cell {i}</td></tr></table>"
+                f"<ul><li>Point {i}</li><li>Second {i}</li></ul><h2>Our letters</h2><p>Write to us.</p>"
+                f"<div><ul><li><a href='/a'>Read {i}</a></li><li><a href='/b'>Next {i}</a></li></ul></div></{region}>")
+
+    rows = [(i, *page(i, "one")) for i in range(6)] + [(10 + k, *page(99, "two")) for k in range(4)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(docs).collect()}
+    for i in range(6):
+        blocks = got[i].split("\n\n")
+        assert blocks[0] == f"T{i}" and blocks[1].startswith(f"w{i}x0 ")
+        assert blocks[2:] == ["References", f"Source {i}", "Year", f"Cell {i}", f"Point {i}", f"Second {i}"]
+    for k in range(4):  # copies of one page are no evidence
+        assert "Source 99" in got[10 + k] and "Write to us." in got[10 + k]
+
+
 def test_empty_tables(spark):
     none = table(spark, TEXTS[:1]).where("doc_id < 0")
     path = vocabulary_path()
