@@ -43,7 +43,7 @@ from math import ceil, exp, floor, sqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -405,13 +405,35 @@ def compared(mixed: DataFrame, reps: DataFrame, similarity: Similarity, forest:
     return units.mapInArrow(run, out)
 
 
+def numbered(docs: DataFrame, id_col: str) -> tuple[DataFrame, int | None]:
+    """``docs`` with surrogates above all ids in place of null ids, each row its own, and the
+    bound above which an id is a surrogate (None: no id is null)."""
+    own = of(docs, id_col)
+    top, missing = docs.agg(F.max(own).cast("long"), F.count_if(own.isNull())).first()
+    if not missing:
+        return docs, None
+    top = max(top or 0, 0)
+    if top >= 1 << 62:
+        raise ValueError(f"no room for surrogates above {id_col} {top}")
+
+    def with_id(rows: DataFrame, key: Column) -> DataFrame:
+        return rows.select(*[(key if c == id_col else of(docs, c)).alias(c) for c in docs.columns])
+
+    extra = with_id(docs.where(own.isNull()), F.monotonically_increasing_id() + F.lit(top + 1))
+    return with_id(docs.where(own.isNotNull()), own.cast("long")).unionAll(written(extra, "numbered")), top
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             similarity: Similarity = Similarity()) -> DataFrame:
-    """id, n_shingles and component_id (the smallest id reachable by links) per document."""
+    """id, n_shingles and component_id (the smallest id reachable by links) per document.
+
+    Rows with a null id are documents like the others, each its own; their component_id is
+    null where no document with an id is reachable.
+    """
     kind = docs.schema[id_col].dataType
     if not isinstance(kind, (T.LongType, T.IntegerType)):
         raise TypeError(f"{id_col} must be an integer column")
-    known = docs.where(of(docs, id_col).isNotNull())
+    known, top = numbered(docs.select(of(docs, id_col).alias(id_col), of(docs, text_col).alias(text_col)), id_col)
     facts = written(features(known, id_col, text_col, similarity).withColumn("id", F.col("id").cast("long")),
                     "features")
     sets = facts.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"))
@@ -442,5 +464,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"), F.col("n").alias("c_n"), "label")
     out = facts.join(named, (facts["set_a"] == named["c_a"]) & (facts["set_b"] == named["c_b"])
                      & (facts["n"] == named["c_n"]) & (facts["n"] > 0), "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("label", "id").alias("component_id"))
+    def given(key: Column) -> Column:
+        return key if top is None else F.when(key <= top, key)
+
+    return out.select(given(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
+                      given(F.coalesce("label", "id")).alias("component_id"))

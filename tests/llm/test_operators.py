@@ -74,6 +74,20 @@ def test_join_equals_brute_force(spark, words, p):
     assert got == {i: (len(sets[i]), label[i]) for i in texts}
 
 
+def test_rows_with_null_ids_are_compared(spark):
+    alone = " ".join(f"lone{i}" for i in range(60))
+    rows = [(-3, NEAR), (7, "p q r s t u v w x y z"), (None, NEAR + " more"), (None, alone), (None, alone + " end"),
+            (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    got = Counter(tuple(r) for r in jaccard.classes(docs, similarity=jaccard.Similarity(5, 80, 100)).collect())
+    assert got == Counter({(-3, 196, -3): 1, (7, 7, 7): 1, (None, 197, -3): 1, (None, 56, None): 1,
+                           (None, 57, None): 1, (None, 0, None): 2})
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
+    assert kept.schema == docs.schema
+    left = Counter((r["doc_id"], (r["text"] or "")[:5]) for r in kept.collect())
+    assert left == Counter({(-3, "term0"): 1, (7, "p q r"): 1, (None, "lone0"): 1, (None, ""): 2})
+
+
 def test_block_counts_settle_for_every_band():
     for s in (jaccard.Similarity(4, 85), jaccard.Similarity(5, 80), jaccard.Similarity(3, 50)):
         for i in range(28):
