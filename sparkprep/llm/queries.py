@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.functions.hashing import hash_uniform
-from sparkprep.llm import (bpe, dedup, html_text, jaccard, licenses, mixing, quality, secret_scan,
-                           token_edit, url_filter)
-from sparkprep.llm.sql import mixing_sql, quality_sql, url_filter_sql
+from sparkprep.llm import (bpe, dedup, html_text, jaccard, licenses, merkle, mixing, quality,
+                           secret_scan, token_edit, url_filter)
+from sparkprep.llm.sql import merkle_sql, mixing_sql, quality_sql, url_filter_sql
 from sparkprep.sources.tables import read_table
 
 
@@ -101,6 +101,10 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extracted(read_table(spark, sf, "pages"))
 
 
+def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf, "documents"), merkle.tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
@@ -112,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_ngram_join": op9_ngram_join,
     "op10_html_text": op10_html_text,
+    "op13_merkle": op13_merkle,
 }
 
 OP5_SQL = r"""
@@ -127,4 +132,5 @@ ORACLES: dict[str, Callable[[], str]] = {
     "op4_quality_rules": quality_sql,
     "op5_exact_dedup": lambda: OP5_SQL,
     "op6_source_mix": mixing_sql,
+    "op13_merkle": merkle_sql,
 }

@@ -130,3 +130,59 @@ SELECT doc_id, size, source_size, target,
        CASE WHEN size > 0 AND m0 < target THEN {position('(m0 / target)')} END AS position
 FROM mid
 """
+
+
+def merkle_sql() -> str:
+    def part(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+    def leaf(n_chars: str) -> str:
+        return f"sha256({' || '.join(map(part, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+    def grown(name: str, rows: str) -> str:
+        return rf"""
+{name} AS (
+    SELECT grp, 0 AS lvl, pos, n, h FROM {rows}
+    UNION ALL
+    SELECT grp, lvl + 1, pos // 2, max((n + 1) // 2), sha256(string_agg(h, '' ORDER BY pos))
+    FROM {name} WHERE n > 1 GROUP BY grp, lvl, pos // 2)"""
+
+    def walked(name: str, rows: str, tree: str) -> str:
+        return rf"""
+{name} AS (
+    SELECT doc_id, leaf, grp, 0 AS lvl, pos, n, h, proof FROM {rows}
+    UNION ALL
+    SELECT doc_id, leaf, w.grp, w.lvl + 1, w.pos // 2, (w.n + 1) // 2,
+           sha256(CASE WHEN w.pos % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END),
+           proof || coalesce(s.h, '')
+    FROM {name} w LEFT JOIN {tree} s ON s.grp = w.grp AND s.lvl = w.lvl AND s.pos = xor(w.pos, 1)
+    WHERE w.n > 1)"""
+
+    # the checksum bit by bit: each character is taken before the first of its eight shifts
+    x = "(CASE WHEN v < 0 THEN c ELSE xor(c, v) END)"
+    crc = rf"""xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda a: [ord(a), -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, v: xor({x} >> 1, CASE WHEN {x} & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+    return rf"""
+WITH RECURSIVE d AS (
+    SELECT *, coalesce('=' || lang, '-') AS grp, {leaf('n_chars')} AS leaf,
+           CASE WHEN {crc} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS changed FROM documents),
+leaves AS (
+    SELECT doc_id, grp, leaf, leaf AS h, {leaf('changed')} AS now, count(*) OVER (PARTITION BY grp) AS n,
+           row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+{grown('tree', 'leaves')},
+subroots AS (SELECT grp, h FROM tree WHERE n = 1),
+tops AS (SELECT '*' AS grp, grp AS own, h, count(*) OVER () AS n, row_number() OVER (ORDER BY grp) - 1 AS pos
+         FROM subroots),
+{grown('upper', 'tops')},
+start AS (SELECT doc_id, leaf, grp, pos, n, now AS h, '' AS proof FROM leaves),
+{walked('below', 'start', 'tree')},
+turn AS (SELECT doc_id, leaf, '*' AS grp, t.pos, t.n, b.h, b.proof FROM below b JOIN tops t ON t.own = b.grp
+         WHERE b.n = 1),
+{walked('above', 'turn', 'upper')},
+own AS (SELECT doc_id, leaf, h, proof, n FROM above),
+root AS (SELECT h AS root FROM upper WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, root, sha256(a.proof) AS proof_sha256, a.h AS folded_root,
+       a.h = root AS verified
+FROM leaves l JOIN subroots s USING (grp) JOIN own a ON a.doc_id = l.doc_id AND a.leaf = l.leaf AND a.n = 1, root
+"""
