@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.hashing import hash_uniform
 from sparkprep.llm import (bpe, dedup, html_text, jaccard, licenses, merkle, mixing, quality,
-                           secret_scan, token_edit, url_filter)
+                           secret_scan, token_edit, url_filter, whitening)
 from sparkprep.llm.sql import merkle_sql, mixing_sql, quality_sql, url_filter_sql
 from sparkprep.sources.tables import read_table
 
@@ -101,6 +101,10 @@ def op10_html_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extracted(read_table(spark, sf, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf, "embeddings"))
+
+
 def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf, "documents"), merkle.tampered)
 
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_ngram_join": op9_ngram_join,
     "op10_html_text": op10_html_text,
+    "op11_whitening": op11_whitening,
     "op13_merkle": op13_merkle,
 }
 
