@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions.hashing import hash_uniform
 from sparkprep.llm import (bpe, dedup, html_text, jaccard, licenses, merkle, mixing, quality,
-                           secret_scan, token_edit, url_filter, whitening)
+                           secret_scan, small_world, token_edit, url_filter, whitening)
 from sparkprep.llm.sql import merkle_sql, mixing_sql, quality_sql, url_filter_sql
 from sparkprep.sources.tables import read_table
 
@@ -105,6 +105,10 @@ def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whitened(read_table(spark, sf, "embeddings"))
 
 
+def op12_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return small_world.classes(read_table(spark, sf, "embeddings"))
+
+
 def op13_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf, "documents"), merkle.tampered)
 
@@ -121,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_html_text": op10_html_text,
     "op11_whitening": op11_whitening,
+    "op12_near_vectors": op12_near_vectors,
     "op13_merkle": op13_merkle,
 }
 
