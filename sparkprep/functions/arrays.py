@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Distance metrics, as functions of the squared Euclidean distance.
+METRICS = {"squared_dist_norm2": lambda d2: d2, "dist_norm2": np.sqrt}
+
+
+def metric_name(name: str) -> str:
+    """The distance metric, with or without a schema prefix; unknown ones raise."""
+    plain = name.rsplit(".", 1)[-1]
+    if plain not in METRICS:
+        raise ValueError(f"unknown distance metric {name!r}; known: {', '.join(METRICS)}")
+    return plain
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -29,17 +41,19 @@ def squared_distance(a, b) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def closest_columns(centroids, x, m: int = 2) -> Column:
-    """The ``m`` nearest centroids to ``x`` under squared Euclidean distance.
+def closest_columns(centroids, x, m: int = 2, metric: str = "squared_dist_norm2") -> Column:
+    """The ``m`` nearest centroids to ``x`` under ``metric`` (``squared_dist_norm2`` or
+    ``dist_norm2``). For models beyond a literal's size see ``kmeans.closest_to``.
 
     Returns ``struct(column_ids array<int>, distances array<double>)`` in ascending
     distance, ties to the lower (0-based) centroid index.
     """
     scored = F.transform(_c(centroids),
                          lambda c, i: F.struct(squared_distance(c, x).alias("d"), i.alias("i")))
+    far = F.sqrt if metric_name(metric) == "dist_norm2" else (lambda d: d)
     top = F.slice(F.sort_array(scored), 1, m)
     return F.struct(F.transform(top, lambda s: s["i"]).alias("column_ids"),
-                    F.transform(top, lambda s: s["d"]).alias("distances"))
+                    F.transform(top, lambda s: far(s["d"])).alias("distances"))
 
 
 def array_struct_sort(arr) -> Column:

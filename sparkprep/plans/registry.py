@@ -397,6 +397,44 @@ def q_kmeanspp(spark, sf):
     return _km_summary(km.kmeans(_points(spark, sf), "vec_id", "x", 8, init="kmeanspp"))
 
 
+_TEXT_ID_SQL = f"SELECT 'v' || CAST(vec_id AS VARCHAR) AS id, x FROM ({fx.F7_SQL})"
+
+
+@query("kmeanspp_text_id", lambda: _km_summary_sql(osql.kmeans_sql(_TEXT_ID_SQL, [8], "kmeanspp")))
+def q_kmeanspp_text_id(spark, sf):
+    """D^2 seeding over ids that are text."""
+    pts = _points(spark, sf).select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("name"), "x")
+    return _km_summary(km.kmeans(pts, "name", "x", 8, init="kmeanspp", metric="madlib.squared_dist_norm2",
+                                 aggregate="madlib.avg"))
+
+
+_FIVE_SQL = ("SELECT o_orderkey AS id, [CAST(o_orderkey % 5 AS DOUBLE), CAST((o_orderkey % 5) * (o_orderkey % 5) "
+             "AS DOUBLE)] AS x FROM orders")
+
+
+def _sweep_small_sql() -> str:
+    two = _km_summary_sql(osql.kmeans_sql(_FIVE_SQL, [2], "kmeanspp", max_iter=10))
+    return f"""
+    SELECT *, CAST(NULL AS VARCHAR) AS status FROM ({two})
+    UNION ALL
+    SELECT 6, NULL, NULL, NULL, NULL,
+           'only ' || CAST(count(DISTINCT x) AS VARCHAR) || ' distinct points to seed K = 6' FROM ({_FIVE_SQL})"""
+
+
+@query("kmeans_sweep_small", _sweep_small_sql)
+def q_kmeans_sweep_small(spark, sf):
+    """A sweep over points of five distinct places: K = 6 says why it has no model."""
+    from sparkprep.sources.tables import read_table
+    r = F.col("o_orderkey") % 5
+    pts = read_table(spark, sf, "orders").select("o_orderkey", F.array(
+        r.cast("double"), (r * r).cast("double")).alias("x"))
+    out = km.kmeans_sweep(pts, "o_orderkey", "x", [2, 6], init="kmeanspp", max_iter=10)
+    return _km_summary(out.filter("status IS NULL")).withColumn("status", F.lit(None).cast("string")).unionByName(
+        out.filter("status IS NOT NULL").select(
+            F.col("num_clusters").cast("long").alias("num_clusters"), "objective_fn", "frac_reassigned",
+            F.col("num_iterations").cast("long").alias("num_iterations"), "simple_silhouette", "status"))
+
+
 @query("kmeans_random_centroids", lambda: (
     "SELECT CAST(num_clusters AS BIGINT) AS num_clusters, CAST(cid AS BIGINT) AS cid, dim, "
     f"{r6_sql('value')} AS value FROM ("
@@ -487,6 +525,29 @@ def q_closest(spark, sf):
                       r6(F.col("r.distances")[0]).alias("d1"), r6(F.col("r.distances")[1]).alias("d2"))
 
 
+def _closest_tables_sql() -> str:
+    parts = [f"""SELECT {k} AS num_clusters, vec_id, list_sort(list(struct_pack(d := {osql._d2('p.x', 's.x')}, i := s.cid)))
+              AS ds FROM ({fx.F7_SQL}) p, ({_seed_sql(k)}) s GROUP BY p.vec_id""" for k in (3, 36)]
+    return f"""
+    SELECT CAST(num_clusters AS BIGINT) AS num_clusters, vec_id, CAST(g.i AS BIGINT) AS rank,
+           CAST(ds[g.i].i AS BIGINT) AS column_id, {r6_sql('sqrt(ds[g.i].d)')} AS distance
+    FROM ({' UNION ALL '.join(parts)}), range(1, 4) g(i)"""
+
+
+@query("closest_model_tables", _closest_tables_sql)
+def q_closest_tables(spark, sf):
+    """The three nearest centroids of every model of a table, as distances."""
+    pts = _points(spark, sf)
+    models = _seed_model(pts, 3).unionByName(_seed_model(pts, 36))
+    out = km.closest_to(pts.select("vec_id", "x"), "x", models, m=3, metric="dist_norm2")
+    each = out.select("vec_id", F.explode("closest").alias("c"))
+    pair = F.arrays_zip(F.col("c.column_ids").alias("i"), F.col("c.distances").alias("d"))
+    return (each.select(F.col("c.num_clusters").cast("long").alias("num_clusters"), "vec_id",
+                        F.posexplode(pair).alias("rank", "p"))
+            .select("num_clusters", "vec_id", (F.col("rank") + 1).cast("long").alias("rank"),
+                    F.col("p.i").cast("long").alias("column_id"), r6("p.d").alias("distance")))
+
+
 def _silhouette_sql() -> str:
     parts = []
     for k in (4, 8):

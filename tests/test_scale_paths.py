@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -179,26 +180,112 @@ def test_wide_vif_and_ridge_rows_use_arrow_path(spark):
         assert np.allclose(wide_ridge[k]["coef"], narrow_ridge[k]["coef"], atol=1e-9)
 
 
-def test_kmeans_reduction_paths_are_bit_identical(spark):
+def _points_100(spark, n=4000, d=6):
     import numpy as np
-    from sparkprep.operators import kmeans as km
     rng = np.random.default_rng(10)
-    df = spark.createDataFrame([(i, rng.normal(0, 1, 6).tolist()) for i in range(500)],
-                               "id long, x array<double>")
-    pts = km.prepare_points(df, "id", "x").repartition(5, "id").cache()
+    return spark.createDataFrame([(i, (rng.normal(0, 1, d) * 10.0 ** rng.integers(-3, 4, d)).tolist())
+                                  for i in range(n)], "id long, x array<double>")
+
+
+def test_kmeans_has_the_same_bits_for_any_partitioning(spark):
+    from sparkprep.operators import kmeans as km
+    df = _points_100(spark, 1000)
+    runs = [km.kmeans_sweeps(df.repartition(parts), "id", "x", [2, 4], max_iter=2).collect()
+            for parts in (1, 7, 100)]
+    assert runs[0] == runs[1] == runs[2]  # centroids, objective and silhouette: exact equality
+
+
+def test_tree_combines_at_most_fan_partials(spark, monkeypatch):
+    import numpy as np
+    from sparkprep.operators import kmeans as km
+    from sparkprep.operators import reduction
+    pts = km.prepare_points(_points_100(spark, 600), "id", "x").repartition(20, "id").cache()
+    shape = km.shape_of(pts)
     models = [km._Model(k=4, c=km.seed_random(pts, 4))]
     models[0].prev = models[0].c + 0.05
-    driver = km._iteration(pts, models, 6)[0]
-    old = km.DRIVER_PARTIALS
-    km.DRIVER_PARTIALS = 0
-    try:
-        spread = km._iteration(pts, models, 6)[0]
-        fin_spread = km._final_pass(pts, models, 6)
-    finally:
-        km.DRIVER_PARTIALS = old
-    fin_driver = km._final_pass(pts, models, 6)
-    a = sorted(driver, key=lambda r: r["c"])
-    b = sorted(spread, key=lambda r: r["c"])
+    plain, scores = km._iteration(pts, models, shape)[0], km._final_pass(pts, models, shape)
+    monkeypatch.setattr(reduction, "FAN", 3)  # four levels, the driver takes one row a cluster
+    monkeypatch.setattr(reduction, "DRIVER_VALUES", 1)
+    deep = km._iteration(pts, models, shape)[0]
+    assert km._final_pass(pts, models, shape) == scores
+    a, b = (sorted(rows, key=lambda r: r["c"]) for rows in (plain, deep))
     assert all(x["cnt"] == y["cnt"] and x["chg"] == y["chg"] and np.array_equal(x["s"], y["s"])
                for x, y in zip(a, b))
-    assert fin_driver == fin_spread
+    exact = sum(np.array(r["x"]) for r in pts.collect())
+    assert np.allclose(sum(r["s"] for r in a), exact, rtol=1e-12)
+
+
+def test_kmeans_models_beyond_one_block(spark, monkeypatch, tmp_path):
+    from sparkprep.operators import kmeans as km
+    df = _points_100(spark, 500).coalesce(2)
+    one = km.kmeans_sweep(df, "id", "x", [3, 7], max_iter=3).collect()
+    monkeypatch.setattr(km, "BLOCK_BYTES", 5 * 6 * 8)  # five centroids a pass
+    monkeypatch.setattr(km, "HELD_VALUES", 1)  # partial sums go on with every batch
+    assert km.kmeans_sweep(df, "id", "x", [3, 7], max_iter=3).collect() == one
+
+
+def test_kmeanspp_tournament_and_ids_of_any_type(spark, monkeypatch):
+    import numpy as np
+    from sparkprep.operators import kmeans as km
+    from sparkprep.operators import reduction
+    df = _points_100(spark, 400)
+    for key in (F.col("id"), F.concat(F.lit("v"), "id"), F.timestamp_seconds("id"), F.struct("id", F.lit("a"))):
+        p = km.prepare_points(df.withColumn("id", key).repartition(10), "id", "x").cache()
+        one = km.seed_kmeanspp(p, 6, rounds_per_job=1)
+        assert len(np.unique(one, axis=0)) == 6
+        with monkeypatch.context() as m:
+            m.setattr(reduction, "FAN", 3)
+            m.setattr(reduction, "DRIVER_VALUES", 1)
+            m.setattr(km, "BLOCK_BYTES", 2 * 6 * 8)  # distances carried from job to job
+            assert np.array_equal(km.seed_kmeanspp(p, 6, candidates=4), one)
+
+
+def test_model_tables_of_any_size(spark, monkeypatch):
+    import time
+    import numpy as np
+    from sparkprep.functions.arrays import closest_columns
+    from sparkprep.operators import kmeans as km
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(900, None)], "closest int, x array<double>")
+    cents = [rng.normal(size=(k, 8)) for k in (1, 30, 30)]
+    cents[2][11] = cents[2][3]  # equal centroids: the lower index first
+    models = spark.createDataFrame([(len(c), c.tolist()) for c in cents], "num_clusters int, centroids array<array<double>>")
+    want = {}
+    for m, c in enumerate(cents):
+        d2 = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        order = np.argsort(d2, axis=1, kind="stable")[:, :2]
+        want[m] = (order, np.sqrt(np.take_along_axis(d2, order, axis=1)))
+
+    def check():
+        got = km.closest_to(df.withColumnRenamed("closest", "k"), "x", models, metric="madlib.dist_norm2").collect()
+        assert len(got) == 201 and next(r for r in got if r["k"] == 900)["closest"] is None
+        for r in got:
+            for m, s in enumerate(r["closest"] or ()):
+                assert s["column_ids"] == want[m][0][r["k"]].tolist()
+                assert np.allclose(s["distances"], want[m][1][r["k"]])
+        return [tuple(r) for r in km.simple_silhouette(df, "x", models).collect()]
+
+    one = check()
+    assert one[0] == (1, None) and one[1][0] == 30
+    monkeypatch.setattr(km, "BLOCK_BYTES", 7 * 8 * 8)
+    assert check() == one
+    # a literal of 36,000 values plans at once
+    wide = [(36, rng.normal(size=(36, 1000)).tolist())]
+    t0 = time.time()
+    out = spark.range(1).select(closest_columns(km.models_column(wide)[0]["centroids"],
+                                                F.array_repeat(F.lit(0.0), 1000)).alias("r"))
+    out._jdf.queryExecution().optimizedPlan()
+    assert time.time() - t0 < 1.0
+    assert out.first()["r"]["column_ids"][0] == int(np.argmin((np.array(wide[0][1]) ** 2).sum(axis=1)))
+
+
+def test_metric_and_aggregate_names(spark):
+    from sparkprep.operators import kmeans as km
+    df = _points_100(spark, 60)
+    a = km.kmeans(df, "id", "x", 3, metric="madlib.squared_dist_norm2", aggregate="madlib.avg").first()
+    b = km.kmeans(df, "id", "x", 3, metric="dist_norm2").first()
+    assert a["centroids"] == b["centroids"] and a["objective_fn"] != b["objective_fn"]
+    for bad in ({"metric": "dist_norm1"}, {"aggregate": "median"}):
+        with pytest.raises(ValueError, match="unknown"):
+            km.kmeans(df, "id", "x", 3, **bad)

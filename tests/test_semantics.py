@@ -244,13 +244,16 @@ def test_empty_inputs_give_empty_results_or_clear_errors(spark):
     assert synth.replicate_shuffle(empty_base, "id", 2, 2).count() == 0
 
 
-def test_kmeans_rejects_k_beyond_points(spark):
-    df = spark.createDataFrame([(1, [0.0]), (2, [1.0]), (3, [1.0])], "id long, x array<double>")
-    with pytest.raises(ValueError, match="exceeds"):
-        kmeans.kmeans(df, "id", "x", 4)
-    with pytest.raises(ValueError, match="distinct"):
-        kmeans.kmeans(df, "id", "x", 3, init="kmeanspp")
-    assert kmeans.kmeans(df, "id", "x", 3).first()["num_clusters"] == 3
+def test_each_k_of_a_sweep_stands_for_itself(spark):
+    df = spark.createDataFrame([(i, [float(i % 5)]) for i in range(9)], "id long, x array<double>")
+    rows = {(r["algo_type"], r["num_clusters"]): r for r in kmeans.kmeans_sweeps(df, "id", "x", [2, 6, 12]).collect()}
+    assert len(rows) == 6 and rows["kmeans++", 2]["status"] is None and rows["kmeans_random", 6]["status"] is None
+    assert "distinct" in rows["kmeans++", 6]["status"] and "exceeds" in rows["kmeans++", 12]["status"]
+    assert "exceeds" in rows["kmeans_random", 12]["status"]
+    for r in rows.values():
+        assert (r["centroids"] is None) == (r["status"] is not None) == (r["num_iterations"] is None)
+    best = kmeans.kmeans_compare(kmeans.kmeans_sweeps(df, "id", "x", [2, 12]), best=True).first()
+    assert best["num_clusters"] == 2
 
 
 def test_ridge_keys_with_odd_names_and_nulls(spark):
