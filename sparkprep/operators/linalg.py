@@ -50,22 +50,55 @@ def regress(cp: np.ndarray, target: int, features: list[int]) -> tuple[np.ndarra
     return coef, float(a[target, target])
 
 
-def all_residuals(cp: np.ndarray) -> np.ndarray | None:
-    """Residual sum of squares of every variable on all others, from one sweep of all
-    pivots; None if a pivot falls near the tolerance, where their order matters."""
-    a, used = sweep_pivots(cp, range(len(cp)), tol=1e3 * TOL)
-    if len(used) < len(cp):
-        return None
-    left = -1.0 / np.diag(a)
-    return left if (left > 1e3 * TOL * np.diag(cp)).all() else None
+#: A pivot this many times above or below the tolerance is clearly kept or clearly dependent.
+CLEAR = 1e3
 
 
-def cross_products(n: float, means: np.ndarray, cov_pop: np.ndarray, centred: bool) -> np.ndarray:
-    """n * cov (centred) or n * (cov + mean mean^T) (raw)."""
-    c = n * cov_pop
-    if not centred:
-        c = c + n * np.outer(means, means)
-    return c
+def all_residuals(cp: np.ndarray) -> np.ndarray | None:
+    """Residual sum of squares of every variable on all others, dependent columns included.
+
+    One Cholesky factorisation with pivoting finds a set of independent columns and writes each
+    other column as a combination of them. A column that is such a combination, or that one of
+    them needs, is explained perfectly (0); any other is explained by the independent columns
+    only, and its residual is read off their inverse. None where a pivot or a weight lies near
+    the tolerance, so that the order of sweeps would matter.
+    """
+    p = len(cp)
+    d0 = np.diag(cp).astype(np.float64)
+    live = np.flatnonzero(d0 > 0)  # an all-zero column explains nothing
+    out = np.zeros(p)
+    scale = np.sqrt(d0[live])
+    g = cp[np.ix_(live, live)] / np.outer(scale, scale)
+    n = len(live)
+    left, order, factor = g.copy(), np.arange(n), np.zeros((n, n))
+    rank = 0
+    while rank < n:
+        k = int(np.argmax(np.diag(left)[order[rank:]])) + rank
+        order[[rank, k]] = order[[k, rank]]
+        at = order[rank]
+        pivot = left[at, at]
+        if pivot <= TOL * CLEAR:
+            if pivot > TOL / CLEAR:
+                return None
+            break
+        column = left[:, at] / np.sqrt(pivot)
+        factor[:, rank] = column
+        left -= np.outer(column, column)
+        rank += 1
+    own, rest = order[:rank], order[rank:]
+    inverse = np.linalg.inv(g[np.ix_(own, own)])
+    residual = 1.0 / np.diag(inverse)
+    if (residual <= TOL * CLEAR).any():
+        return None
+    if len(rest):
+        weights = inverse @ g[np.ix_(own, rest)]
+        # what a dependent column adds beyond the independent ones without this column
+        adds = (weights ** 2 * residual[:, None]).max(axis=1)
+        if ((adds > TOL / CLEAR) & (adds < TOL * CLEAR)).any():
+            return None
+        residual = np.where(adds >= TOL * CLEAR, 0.0, residual)
+    out[live[own]] = residual * d0[live[own]]
+    return out
 
 
 def ridge(n: float, means: np.ndarray, cov_pop: np.ndarray, alpha: float):

@@ -3,7 +3,8 @@
 The reference fits p regressions per step, each over its own temporary copy
 of the table. Here one aggregate pass yields the cross-product matrix of all
 features over complete rows, and every VIF of a step follows from it on the
-driver (one inverse of a p x p matrix; a sweep per feature where columns depend on each other). A dropped feature only forces a new pass
+driver (one pivoted factorisation of a p x p matrix, which also tells dependent columns; a sweep
+per feature only where a pivot lies near the tolerance). A dropped feature only forces a new pass
 when it held NULLs, because only then can rows re-enter the complete set.
 
 VIF of feature j: regress x_j on the other current features *without* an
@@ -49,7 +50,7 @@ def _scores(m: Moments, idx: list[int], intercept: bool) -> dict[int, float]:
     rss = linalg.all_residuals(cp)
     out = {}
     for pos in varies:
-        if rss is None:  # dependent columns: one sweep for each feature
+        if rss is None:  # pivots near the tolerance: one sweep for each feature
             left = linalg.regress(cp, pos, [q for q in range(len(idx)) if q != pos])[1]
         else:
             left = rss[pos]

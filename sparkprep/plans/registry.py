@@ -292,6 +292,31 @@ def q_vif_vectors(spark, sf):
     return _steps_out(res.steps)
 
 
+# 18 columns of which five depend on others: embeddings' first entries, sums and multiples of them
+WIDE_BASE = 13
+WIDE_MORE = {"g1": ("f01", "f02"), "g2": ("f03", "f03"), "g3": ("f04", "g1"), "g4": ("f05", "f06"), "g5": ("g4", "f07")}
+WIDE_COLS = [f"f{i:02d}" for i in range(1, WIDE_BASE + 1)] + list(WIDE_MORE)
+
+
+def _vif_wide_src() -> str:
+    base = ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS f{i:02d}" for i in range(1, WIDE_BASE + 1))
+    src = f"SELECT vec_id AS id, {base} FROM embeddings"
+    for name, (a, b) in WIDE_MORE.items():
+        src = f"SELECT *, {a} + {b} AS {name} FROM ({src})"
+    return src
+
+
+@query("vif_select_wide", lambda: _steps_sql(osql.vif_steps_sql(_vif_wide_src(), WIDE_COLS, 10.0, 6)))
+def q_vif_wide(spark, sf):
+    from sparkprep.sources.tables import read_table
+    e = read_table(spark, sf, "embeddings")
+    wide = e.select(F.col("vec_id").alias("id"), *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i + 1:02d}")
+                                                   for i in range(WIDE_BASE)])
+    for name, (a, b) in WIDE_MORE.items():
+        wide = wide.withColumn(name, F.col(a) + F.col(b))
+    return _steps_out(vif.vif_select_columns(wide, "id", threshold=10.0, num_steps=6).steps)
+
+
 # ---------------------------------------------------------- grouped ridge
 def r4(x):
     return F.round(F.col(x) if isinstance(x, str) else x, 4) + F.lit(0.0)
@@ -353,14 +378,26 @@ def q_grouped_train(spark, sf):
         F.array((F.col("o_custkey") % 100).cast("double"),
                 (F.col("o_orderkey") % 7).cast("double")).alias("features"),
         F.col("o_totalprice").alias("label"))
-    schema = ("o_orderpriority string, hostname string, coef array<double>, "
-              "intercept double, r_square double")
-    out = linear.grouped_train(o, "o_orderpriority",
-                               linear.streaming_ridge_trainer("o_orderpriority", "features", "label", 0.5),
-                               schema)
+    out = linear.grouped_train(o, "o_orderpriority", linear.RidgeTrainer("features", "label", 0.5))
     return _ridge_out(out, "o_orderpriority")
 
 
+GTM_SQL = ("SELECT o_custkey % 50 AS model, [CAST(o_custkey % 100 AS DOUBLE), CAST(o_orderkey % 7 AS DOUBLE)]"
+           " AS features, o_totalprice AS label FROM orders")
+
+
+@query("grouped_train_many", lambda: _ridge_sql_out(
+    osql.ridge_sql(GTM_SQL, "model", ["features[1]", "features[2]"], "label", 0.5), "model"))
+def q_grouped_train_many(spark, sf):
+    """Many groups, each trained from the states of all tasks that hold its rows."""
+    from sparkprep.sources.tables import read_table
+    o = read_table(spark, sf, "orders").select(
+        (F.col("o_custkey") % 50).alias("model"),
+        F.array((F.col("o_custkey") % 100).cast("double"), (F.col("o_orderkey") % 7).cast("double")).alias("features"),
+        F.col("o_totalprice").alias("label"))
+    return _ridge_out(linear.grouped_train(o, "model", linear.RidgeTrainer("features", "label", 0.5)), "model")
+
+
 # ------------------------------------------------------------------ K-means
 
 SWEEP_KS = KMEANS_SWEEP_KS
