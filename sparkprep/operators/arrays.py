@@ -59,16 +59,16 @@ def array_concat_agg(df: DataFrame, key: str, order_col: str, arr_col: str,
         raise ValueError("layout must be 'array' or 'long'")
     from sparkprep.operators.ordered import running_totals
     base = df.select(F.col(qcol(key)), F.col(qcol(order_col)), a.alias("_a"))
-    sized = running_totals(base, key, [order_col], _size0(F.col("_a")), "_end")
-    elems = sized.select(F.col(qcol(key)), (F.col("_end") - F.size("_a")).alias("_start"),
-                         F.posexplode("_a").alias("_i", "value"))
-    present = elems.select(F.col(qcol(key)), (F.col("_start") + F.col("_i") + 1).alias("pos"), "value")
-    # keys without any element still appear, with NULL position and value
-    empty = (df.groupBy(qcol(key)).agg(F.max(F.when(a.isNotNull(), F.size(a))).alias("_any"))
-             .filter(F.coalesce(F.col("_any"), F.lit(0)) == 0)
-             .select(F.col(qcol(key)), F.lit(None).cast("long").alias("pos"),
-                     F.lit(None).cast(df.schema[arr_col].dataType.elementType).alias("value")))
-    return present.unionByName(empty)
+    sized = running_totals(base, key, [order_col], _size0(F.col("_a")), "_end", last_flag="_last")
+    start = F.col("_end") - F.size("_a") + 1
+    # a key without any element still appears, with NULL position and value, from its last row
+    none = F.struct(F.lit(None).cast("long").alias("pos"),
+                    F.lit(None).cast(df.schema[arr_col].dataType.elementType).alias("value"))
+    elems = F.when(F.size("_a") > 0, F.transform("_a", lambda v, i: F.struct((start + i).cast("long").alias("pos"),
+                                                                            v.alias("value"))))
+    elems = elems.when(F.col("_last") & (F.col("_end") == 0), F.array(none))
+    return sized.select(F.col(qcol(key)), F.explode(elems).alias("_e")).select(
+        F.col(qcol(key)), F.col("_e.pos").alias("pos"), F.col("_e.value").alias("value"))
 
 
 def array_group_size(df: DataFrame, key: str, arr_col: str) -> DataFrame:

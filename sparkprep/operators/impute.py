@@ -124,6 +124,10 @@ def impute_normalize_vectors(df: DataFrame, id_col: str, exclude: Iterable[str]
     return merged.select(*out)
 
 
+#: Equal elements of an id that one row yields.
+PIECE = 4096
+
+
 def _long_layout(df, keys, id_col, label_col, names, feat, norm, unique_id):
     key_names = [id_col] + ([label_col] if label_col else [])
     entry_t = "array<struct<n:string,f:double,z:double>>"
@@ -138,7 +142,18 @@ def _long_layout(df, keys, id_col, label_col, names, feat, norm, unique_id):
     from sparkprep.operators.ordered import running_totals
     rows = df.select(*keys, F.explode(entries).alias("_e")).select(
         *keys, "_e", F.col("_e.n").alias("_n"), F.col("_e.f").alias("_f"), F.col("_e.z").alias("_z"))
-    numbered = running_totals(rows, key_names, ["_n", "_f", "_z"], F.lit(1), "pos")
+    # equal elements of an id are counted first: no range border can part equal rows, but a
+    # counted run has its positions from the running sum and is dealt out again in pieces
+    sort = ["_n", "_f", "_z"]
+    counted = rows.groupBy(*[qcol(k) for k in key_names], *sort).agg(F.count(F.lit(1)).alias("_c"))
+    ended = running_totals(counted, key_names, sort, "_c", "_end")
+    pieces = ended.withColumn("_off", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("_c") - 1, F.lit(PIECE).cast("long"))))
+    dealt = pieces.repartition(*[F.col(qcol(k)) for k in key_names], "_n", "_end", "_off")
+    last = F.least(F.col("_off") + PIECE, F.col("_c")) - 1
+    numbered = dealt.withColumn("_i", F.explode(F.sequence(F.col("_off"), last))).withColumn(
+        "pos", F.col("_end") - F.col("_c") + F.col("_i") + 1).withColumn(
+        "_e", F.struct(F.col("_n").alias("n"), F.col("_f").alias("f"), F.col("_z").alias("z")))
     return numbered.select(*out_cols)
 
 

@@ -289,3 +289,35 @@ def test_metric_and_aggregate_names(spark):
     for bad in ({"metric": "dist_norm1"}, {"aggregate": "median"}):
         with pytest.raises(ValueError, match="unknown"):
             km.kmeans(df, "id", "x", 3, **bad)
+
+
+def test_equal_rows_of_one_id_spread_over_tasks(spark):
+    n = 100_000
+    df = spark.range(n).select(F.lit(7).alias("id"), (F.col("id") % 2).cast("double").alias("a"),
+                               (F.col("id") * 0 + F.col("id") % 2).cast("double").alias("b"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = impute.impute_normalize_vectors(df, "id", layout="long")
+        per = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in per) == 2 * n
+    assert max(r["count"] for r in per) <= 2 * (2 * n / len(per)) and len(per) == 4
+    edges = out.agg(F.min("pos"), F.max("pos"), F.countDistinct("pos")).first()
+    assert tuple(edges) == (1, 2 * n, 2 * n)
+    order = [tuple(r) for r in out.groupBy("feat_name", "feat").agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+             .orderBy("lo").collect()]
+    assert order == [("a", 0.0, 1, n // 2), ("a", 1.0, n // 2 + 1, n), ("b", 0.0, n + 1, n + n // 2),
+                     ("b", 1.0, n + n // 2 + 1, 2 * n)]
+
+
+def test_keys_without_elements_come_from_the_scan(spark):
+    from sparkprep.operators import arrays
+    rows = [("a", 1, [1.0, None]), ("a", 2, None), ("a", 3, []), ("a", 4, [2.0]), ("b", 1, None), ("b", 2, []),
+            (None, 1, []), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "k string, o int, x array<double>")
+    out = arrays.array_concat_agg(df, "k", "o", "x", layout="long")
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == sorted([("a", 1, 1.0), ("a", 2, None), ("a", 3, 2.0), ("b", None, None), (None, None, None),
+                          ("c", None, None)], key=str)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("RDD") == 1  # one scan, of the checkpoint
