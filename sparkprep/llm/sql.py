@@ -14,7 +14,7 @@ def url_filter_sql() -> str:
     return rf"""
 WITH cap AS (
     SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919) % 366 AS INT) AS fetched_on,
-           nullif(rtrim(translate(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1),
+           nullif(rtrim(translate(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)', 1),
                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.'), '') AS host
     FROM pages),
 dom AS (SELECT DISTINCT regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) AS domain FROM cap),
@@ -26,11 +26,11 @@ act AS (
     SELECT domain, category, DATE '2024-01-01' + f AS valid_from,
            DATE '2024-01-01' + (f + 20 + p) AS valid_to FROM listed
     UNION ALL
-    SELECT domain, category, DATE '2024-01-01' + (f + 100 + a), DATE '2100-01-01' FROM listed)
+    SELECT domain, category, DATE '2024-01-01' + (f + 100 + a), NULL FROM listed)
 SELECT page_id, url, fetched_on, host, act.domain IS NOT NULL AS blocked, act.domain AS list_domain,
        category, valid_from AS listed_on
 FROM cap LEFT JOIN act ON (host = act.domain OR ends_with(host, '.' || act.domain))
-    AND fetched_on >= valid_from AND fetched_on < valid_to
+    AND fetched_on >= valid_from AND (valid_to IS NULL OR fetched_on < valid_to)
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(act.domain) DESC NULLS LAST,
                            valid_from DESC, category) = 1
 """

@@ -8,14 +8,17 @@ longest domain is reported (then the latest, then the first category).
 
 Scale: captures are first combined to distinct (host, fetch date), so a host with a
 third of all captures is judged once per date; intervals and captures meet on
-(domain, 32-day block), which spreads a hot domain over time; the verdicts join
-back on (host, date). Nothing is broadcast by hand.
+(domain, 32-day block), which spreads a hot domain over time; an interval has a row only
+for blocks in which its domain was captured, however long it is or if it never ends; the
+verdicts join back on (host, date). Nothing is broadcast by hand.
 
 Defined results: a null or unparsable URL has host null and is not blocked; a
 capture without fetch date is not blocked; list rows without domain or date are
 ignored; entries of one domain, category and date count once, ``add`` winning over
-``remove``; repeated captures each get their row; empty captures or lists work.
-Extra columns of captures are kept beside the result when named in ``carry``.
+``remove``, and a null category is the empty one; an entry whose action is not ``add`` (null
+too) ends the interval; repeated captures each get their row; empty captures or lists give no
+row and no blocked row. Extra columns of captures are kept beside the result when named in
+``carry`` (default: all), but for those with the name of a result column: the result's stands.
 """
 
 from __future__ import annotations
@@ -25,14 +28,14 @@ from pyspark.sql import functions as F
 
 from sparkprep.llm.common import ascii_lower, of
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)"
 BLOCK_DAYS = 32
-#: Open intervals end here; captures fetched later are taken as fetched on this day.
-HORIZON = "2100-01-01"
+RESULT = ("host", "blocked", "list_domain", "category", "listed_on")
 
 
 def host_of(url: Column) -> Column:
-    """Lower-cased host without user, port and trailing dots; null if there is none."""
+    """Lower-cased host (a bracketed address whole) without user, port and trailing dots; null if
+    there is none."""
     host = F.regexp_replace(ascii_lower(F.regexp_extract(url, HOST, 1)), r"\.+$", "")
     return F.when(host != "", host)
 
@@ -42,17 +45,16 @@ def _block(day: Column) -> Column:
 
 
 def intervals(entries: DataFrame) -> DataFrame:
-    """(domain, category, valid_from, valid_to) of the dated entries."""
+    """(domain, category, valid_from, valid_to) of the dated entries; an open end is null."""
     day = of(entries, "date").cast("date")
     one = (entries.select(ascii_lower(of(entries, "domain")).alias("domain"),
                           F.coalesce(of(entries, "category"), F.lit("")).alias("category"),
                           day.alias("valid_from"),
-                          (of(entries, "action") == "add").cast("int").alias("added"))
+                          F.coalesce((of(entries, "action") == "add").cast("int"), F.lit(0)).alias("added"))
            .where("domain is not null and valid_from is not null")
            .groupBy("domain", "category", "valid_from").agg(F.max("added").alias("added")))
     later = Window.partitionBy("domain", "category").orderBy("valid_from")
-    end = F.coalesce(F.lead("valid_from").over(later), F.lit(HORIZON).cast("date"))
-    return one.withColumn("valid_to", end).where("added = 1").drop("added")
+    return one.withColumn("valid_to", F.lead("valid_from").over(later)).where("added = 1").drop("added")
 
 
 def matched(captures: DataFrame, entries: DataFrame, url_col: str, date_col: str) -> DataFrame:
@@ -63,16 +65,17 @@ def matched(captures: DataFrame, entries: DataFrame, url_col: str, date_col: str
     labels = F.split("host", r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
         F.slice(labels, i, F.size(labels)), "."))
-    at = F.least("fetched", F.date_sub(F.lit(HORIZON).cast("date"), 1))
-    parts = seen.select("host", "fetched", at.alias("at"), F.explode(domains).alias("part"),
-                        _block(at).alias("part_block"))
+    parts = seen.select("host", "fetched", F.explode(domains).alias("part"), _block(F.col("fetched")).alias("part_block"))
+    # an interval meets the blocks in which its own domain was captured, no others
+    blocks = parts.select(F.col("part").alias("b_part"), F.col("part_block").alias("block")).distinct()
     spans = intervals(entries)
-    blocks = F.sequence(_block(F.col("valid_from")), _block(F.date_sub("valid_to", 1)))
-    spans = spans.where("valid_from < valid_to").select("*", F.explode(blocks).alias("block"))
+    spans = spans.join(blocks, (spans["domain"] == blocks["b_part"]) & (blocks["block"] >= _block(spans["valid_from"]))
+                       & (spans["valid_to"].isNull() | (blocks["block"] <= _block(F.date_sub(spans["valid_to"], 1)))))
     hits = parts.join(spans, (parts["part"] == spans["domain"]) & (parts["part_block"] == spans["block"])
-                      & (parts["at"] >= spans["valid_from"]) & (parts["at"] < spans["valid_to"]))
+                      & (parts["fetched"] >= spans["valid_from"])
+                      & (spans["valid_to"].isNull() | (parts["fetched"] < spans["valid_to"])))
     best = F.min(F.struct((-F.length("domain")).alias("longest"),
-                          F.datediff(F.col("at"), F.col("valid_from")).alias("age"),
+                          F.datediff(F.col("fetched"), F.col("valid_from")).alias("age"),
                           "category", "domain", "valid_from"))
     return (hits.groupBy("host", "fetched").agg(best.alias("best"))
             .select("host", "fetched", F.col("best.domain").alias("list_domain"),
@@ -83,7 +86,7 @@ def filtered(captures: DataFrame, entries: DataFrame, url_col: str = "url",
              date_col: str = "fetched_on", carry: list[str] | None = None) -> DataFrame:
     """Every capture with host, blocked, list_domain, category and listed_on; ``carry``
     names the capture's own columns to keep (default: all)."""
-    own = carry if carry is not None else captures.columns
+    own = [c for c in (carry if carry is not None else captures.columns) if c.lower() not in RESULT]
     found = matched(captures, entries, url_col, date_col).select(
         F.col("host").alias("m_host"), F.col("fetched").alias("m_fetched"), "list_domain", "category",
         "listed_on")
