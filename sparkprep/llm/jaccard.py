@@ -11,8 +11,11 @@ most (q - p)(a + b) / (q + p) members.
   the largest difference allowed in the band, so two linked documents agree in a block.
   A block's parity is kept as the XOR of its shingles' 64-bit hashes (the linear
   image of a sketch of 2**64 bits), and equal block parities meet in a join. Empty
-  blocks say nothing; ``k`` leaves room for the empty blocks expected, and a document
-  with more of them takes part with its empty blocks too, so that no link is lost.
+  blocks say nothing; ``k`` leaves room for the empty blocks expected. A pair is missed only
+  if both documents have more of them, so each such document (one in some dozens) is dealt once
+  more by another hash, and again, up to ``DEALINGS`` times: what is left after that (none in
+  10^10) takes part with its empty blocks, so that no link is lost. Below a similarity of
+  about 0.6 there is no room, and documents with empty blocks always take part with them.
 * Verify: surviving pairs are compared shingle by shingle.
 
 Steps and scale. Documents with equal shingle sets form a class at once (map-side
@@ -30,8 +33,9 @@ tables; the driver only reads counts.
 
 Defined results: null and empty texts have no shingles and stay alone; a text of fewer
 words than a shingle counts as one shingle of its whole word sequence; documents
-with equal sets link (also copies); repeated ids are one document; extra columns are not
-read; an empty table gives an empty result.
+with equal sets link (also copies); rows with a repeated id are documents of their own, each
+compared by its own text, and so are rows with a null id; ids must be integers (a TypeError
+otherwise); extra columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -54,6 +58,8 @@ from sparkprep.session import ship_package
 BITS = 1024
 #: Largest size in a band over the smallest.
 BAND = 1.4
+#: Times that a document with many empty blocks is dealt before they take part.
+DEALINGS = 6
 #: Members of a mixed bucket that are compared in one unit with as many others.
 CHUNK = 512
 #: One document in HOT_SAMPLE is looked at for hot parities; those with HOT_COUNT
@@ -160,18 +166,24 @@ class Parities:
     def keys(self, hashes: np.ndarray) -> np.ndarray:
         out = []
         for band, k, empties in self.bands(len(hashes)) if len(hashes) else ():
-            own = mix(hashes + np.uint64((band + 1) * int(_MIX[0]) % 2**64))
-            block = ((own >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
-            order = np.argsort(block, kind="stable")
-            block, own = block[order], mix(own)[order]
-            starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-            parity = np.bitwise_xor.reduceat(own, starts)
-            at = block[starts]
-            if k - len(at) > empties:
-                missing = np.setdiff1d(np.arange(k, dtype=np.uint64), at)
-                at = np.concatenate([at, missing])
-                parity = np.concatenate([parity, np.zeros(len(missing), np.uint64)])
-            out.append(mix(parity + mix(at + np.uint64(band << 32) + _MIX[1])))
+            for deal in range(DEALINGS):
+                # the first dealing has the band's own hash, later ones further ones
+                seed = band + 1 + deal * 4096
+                own = mix(hashes + np.uint64(seed * int(_MIX[0]) % 2**64))
+                block = ((own >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
+                order = np.argsort(block, kind="stable")
+                block, own = block[order], mix(own)[order]
+                starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+                parity = np.bitwise_xor.reduceat(own, starts)
+                at = block[starts]
+                many = k - len(at) > empties
+                if many and (not empties or deal == DEALINGS - 1):
+                    missing = np.setdiff1d(np.arange(k, dtype=np.uint64), at)
+                    at = np.concatenate([at, missing])
+                    parity = np.concatenate([parity, np.zeros(len(missing), np.uint64)])
+                out.append(mix(parity + mix(at + np.uint64((seed - 1) << 32) + _MIX[1])))
+                if not many or not empties:
+                    break
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -405,35 +417,38 @@ def compared(mixed: DataFrame, reps: DataFrame, similarity: Similarity, forest:
     return units.mapInArrow(run, out)
 
 
-def numbered(docs: DataFrame, id_col: str) -> tuple[DataFrame, int | None]:
-    """``docs`` with surrogates above all ids in place of null ids, each row its own, and the
-    bound above which an id is a surrogate (None: no id is null)."""
+def numbered(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a key of its own for every row in place of the id, and (key, own) of the
+    rows whose key is not their id (None: every row's is).
+
+    Rows whose id is null or repeated get surrogates above all ids; the rest is left alone.
+    """
     own = of(docs, id_col)
     top, missing = docs.agg(F.max(own).cast("long"), F.count_if(own.isNull())).first()
-    if not missing:
+    often = (docs.where(own.isNotNull()).groupBy(own.alias("r_id")).agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select("r_id"))
+    if not missing and often.isEmpty():
         return docs, None
     top = max(top or 0, 0)
     if top >= 1 << 62:
         raise ValueError(f"no room for surrogates above {id_col} {top}")
+    spare = "own"
+    while spare in docs.columns:
+        spare += "_"
 
-    def with_id(rows: DataFrame, key: Column) -> DataFrame:
-        return rows.select(*[(key if c == id_col else of(docs, c)).alias(c) for c in docs.columns])
+    def with_id(rows: DataFrame, key: Column, *more: Column) -> DataFrame:
+        return rows.select(*[(key if c == id_col else of(rows, c)).alias(c) for c in docs.columns], *more)
 
-    extra = with_id(docs.where(own.isNull()), F.monotonically_increasing_id() + F.lit(top + 1))
-    return with_id(docs.where(own.isNotNull()), own.cast("long")).unionAll(written(extra, "numbered")), top
+    odd = docs.where(own.isNull()).unionAll(docs.join(often, own == often["r_id"], "left_semi"))
+    extra = written(with_id(odd, F.monotonically_increasing_id() + F.lit(top + 1), of(odd, id_col).alias(spare)),
+                    "numbered")
+    plain = docs.where(own.isNotNull()).join(often, own == often["r_id"], "left_anti")
+    names = extra.select(of(extra, id_col).alias("key"), of(extra, spare).alias("own"))
+    return with_id(plain, of(plain, id_col).cast("long")).unionAll(extra.drop(spare)), names
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            similarity: Similarity = Similarity()) -> DataFrame:
-    """id, n_shingles and component_id (the smallest id reachable by links) per document.
-
-    Rows with a null id are documents like the others, each its own; their component_id is
-    null where no document with an id is reachable.
-    """
-    kind = docs.schema[id_col].dataType
-    if not isinstance(kind, (T.LongType, T.IntegerType)):
-        raise TypeError(f"{id_col} must be an integer column")
-    known, top = numbered(docs.select(of(docs, id_col).alias(id_col), of(docs, text_col).alias(text_col)), id_col)
+def _keyed(known: DataFrame, id_col: str, text_col: str, similarity: Similarity) -> DataFrame:
+    """(key, n, label) of rows whose ids are keys: set size and the smallest key reachable."""
     facts = written(features(known, id_col, text_col, similarity).withColumn("id", F.col("id").cast("long")),
                     "features")
     sets = facts.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"))
@@ -464,8 +479,53 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("set_a").alias("c_a"), F.col("set_b").alias("c_b"), F.col("n").alias("c_n"), "label")
     out = facts.join(named, (facts["set_a"] == named["c_a"]) & (facts["set_b"] == named["c_b"])
                      & (facts["n"] == named["c_n"]) & (facts["n"] > 0), "left")
-    def given(key: Column) -> Column:
-        return key if top is None else F.when(key <= top, key)
+    return out.select(F.col("id").alias("key"), "n", F.coalesce("label", "id").alias("label"))
 
-    return out.select(given(F.col("id")).alias(id_col), F.col("n").alias("n_shingles"),
-                      given(F.coalesce("label", "id")).alias("component_id"))
+
+def _checked(docs: DataFrame, id_col: str) -> None:
+    if not isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)):
+        raise TypeError(f"{id_col} must be an integer column")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            similarity: Similarity = Similarity()) -> DataFrame:
+    """id, n_shingles and component_id (the smallest id reachable by links) per document.
+
+    component_id is null where no document with an id is reachable.
+    """
+    _checked(docs, id_col)
+    known, names = numbered(docs.select(of(docs, id_col).alias(id_col), of(docs, text_col).alias(text_col)), id_col)
+    out = _keyed(known, id_col, text_col, similarity)
+    if names is None:
+        return out.select(F.col("key").alias(id_col), F.col("n").alias("n_shingles"),
+                          F.col("label").alias("component_id"))
+    out = written(_owned(out, names), "keyed")
+    least = out.groupBy("label").agg(F.min("own").alias("component_id")).withColumnRenamed("label", "c_label")
+    return (out.join(least, out["label"] == least["c_label"])
+            .select(F.col("own").alias(id_col), F.col("n").alias("n_shingles"), "component_id"))
+
+
+def _owned(keyed: DataFrame, names: DataFrame) -> DataFrame:
+    """``keyed`` with each row's own id, null or repeated as it may be."""
+    other = names.select(F.col("key").alias("n_key"), F.col("own").alias("n_own"))
+    return keyed.join(other, keyed["key"] == other["n_key"], "left").withColumn(
+        "own", F.when(F.col("n_key").isNull(), F.col("key")).otherwise(F.col("n_own"))).drop("n_key", "n_own")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 similarity: Similarity = Similarity()) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class of linked rows the one with the smallest id
+    (null ids last); of several with that id, one."""
+    _checked(docs, id_col)
+    kind = docs.schema[id_col].dataType
+    known, names = numbered(docs, id_col)
+    found = _keyed(known, id_col, text_col, similarity)
+    if names is None:
+        copies = found.where("label <> key").select(F.col("key").alias("copy"))
+        return known.join(copies, of(known, id_col) == copies["copy"], "left_anti")
+    found = written(_owned(found, names), "keyed")
+    first = found.groupBy("label").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "key")).alias("f"))
+    stay = first.select(F.col("f.key").alias("s_key"), F.col("f.own").alias("s_own"))
+    kept = known.join(stay, of(known, id_col) == stay["s_key"])
+    return kept.select(*[(F.col("s_own").cast(kind) if c == id_col else of(known, c)).alias(c)
+                         for c in docs.columns])
