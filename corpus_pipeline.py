@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir), works on all documents its predecessor k
 returns a DataFrame that is written as Parquet in the shared folder and reread. All but
 the last return the columns of ``docs``; extra columns travel along.
 
-Defined results: null and empty texts fail the quality rules; rows with a null doc_id are
-compared by the near-duplicate stage and come after all others; an empty table gives an empty result.
+Defined results: null and empty texts fail the quality rules; rows with a null or repeated doc_id
+are documents of their own for the near-duplicate stage, a null doc_id coming after all others; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,12 +32,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at 5-word Jaccard 0.8 or more, the one with the smallest doc_id."""
-    kind = docs.schema["doc_id"].dataType
-    docs, top = jaccard.numbered(docs, "doc_id")
-    found = jaccard.classes(docs, similarity=jaccard.Similarity(words=5, p=80, q=100))
-    copies = found.where("component_id <> doc_id").select(F.col("doc_id").alias("copy_id")).distinct()
-    kept = docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
-    return kept if top is None else kept.withColumn("doc_id", F.when(F.col("doc_id") <= top, F.col("doc_id")).cast(kind))
+    return jaccard.deduplicated(docs, similarity=jaccard.Similarity(words=5, p=80, q=100))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
