@@ -24,8 +24,9 @@ pages of a host are at most twice the mean number of blocks of its pages.
 Defined results: null and empty html give the empty text; a page without its host's
 main region is read as a whole, minus boilerplate; pages of a host with the same longest
 block count once, and a page whose blocks are all constant keeps them; a url without host shares one
-wrapper; unclosed or truncated tags end with their parent; repeated rows each get their
-result; nothing is cut.
+wrapper; unclosed or truncated tags end with their parent; elements nested deeper than
+``DEPTH`` lie side by side at that depth, in page order, so pages of any depth have a result;
+repeated rows each get their result; constant blocks aside, no text is cut.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
@@ -98,6 +100,8 @@ LISTS = frozenset("ul ol dl div section nav header footer aside table".split())
 #: Text on more than this share of a host's pages, and on so many at least, is the host's own.
 MOST, LEAST_PAGES = 0.5, 3
 MAIN_TAGS = frozenset(("article", "main"))
+#: Nesting that is kept as such; see _placed().
+DEPTH = 120
 
 
 def marks_of(tag_text: str) -> tuple[str, ...]:
@@ -132,14 +136,31 @@ class Node:
         return ".".join((self.tag, *self.marks))
 
 
+def _placed(stack: list[Node], part: Node | tuple[str, bool]) -> None:
+    """Adds the part to the innermost open element. Elements nested deeper than DEPTH lie side by
+    side in the one at that depth, as in browsers; one that goes on after an inner one has closed
+    is opened anew there, so text keeps its order."""
+    if len(stack) > DEPTH:
+        level, node = stack[DEPTH - 1], stack[-1]
+        if type(part) is Node:
+            node = level
+        elif level.parts[-1] is not node:
+            stack[-1] = node = Node(node.tag, node.marks)
+            level.parts.append(node)
+        node.parts.append(part)
+    else:
+        stack[-1].parts.append(part)
+
+
 def parse(text: str) -> Node:
     """The page as nested tokens; comments, scripts, styles and the title are left out."""
     root = Node("root")
     stack, links = [root], 0
+    open_tags: Counter[str] = Counter()  # of the stack, so that a stray end tag costs no search
     for m in TOKEN.finditer(text):
         s = m[0]
         if s[0] != "<" or len(s) == 1:
-            stack[-1].parts.append((s, links > 0))
+            _placed(stack, (s, links > 0))
             continue
         if m[1] or s[1] in "!?":
             continue
@@ -149,15 +170,18 @@ def parse(text: str) -> Node:
                 links -= name == "a" and links > 0
                 if stack[-1].tag != name:
                     continue
-            if any(n.tag == name for n in stack[1:]):
-                while stack.pop().tag != name:
-                    pass
+            if open_tags[name]:
+                while True:
+                    tag = stack.pop().tag
+                    open_tags[tag] -= 1
+                    if tag == name:
+                        break
             continue
         if name in VOID:
             if name == "hr":
-                stack[-1].parts.append(Node("hr"))
+                _placed(stack, Node("hr"))
             elif name == "br":
-                stack[-1].parts.append((" ", False))
+                _placed(stack, (" ", False))
             continue
         marks = marks_of(s) if "=" in s else ()
         if name in INLINE:
@@ -169,18 +193,20 @@ def parse(text: str) -> Node:
         if name not in INLINE:
             links = 0
             closes = CLOSED_BY.get(name)
-            if closes:
+            if closes and any(open_tags[c] for c in closes):
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag in closes:
+                        open_tags.subtract(n.tag for n in stack[k:])
                         del stack[k:]
                         break
                     if stack[k].tag in SCOPES:
                         break
             if stack[-1].tag == "p":
-                stack.pop()
+                open_tags[stack.pop().tag] -= 1
         node = Node(name, marks)
-        stack[-1].parts.append(node)
+        _placed(stack, node)
         stack.append(node)
+        open_tags[name] += 1
     return root
 
 
