@@ -3,16 +3,15 @@
 Lines are normalised (lower-cased, white space folded, digits written 0) and
 hashed; for each host, the distinct documents that hold a line are counted, where
 documents of one host with identical text count once. Lines on more than
-``max_docs`` documents *and* more than ``max_share`` of the host's distinct
-documents are removed; a document is depleted, and rejected, when less than
-``min_left`` of its words remain.
+``max_docs`` documents of a host, however large the host is, are removed; a document is
+depleted, and rejected, when less than ``min_left`` of its words remain.
 
 Scale: lines are exploded to (host, line hash, text hash), combined map-side, and
-never gathered by host. The lines over the limits are at most (mean distinct lines
-per document) / ``max_share`` per host, so they fit in one array per host; that
-table is broadcast only when its counted size allows it and joined by host
-otherwise (one row per host, so a hot host's documents can be split). Each
-document is then judged in its own row, without moving its text.
+never gathered by host. Up to ``broadcast_lines`` lines over the limit (their counted
+number decides) are broadcast as one array per host, and each document is judged in its
+own row without moving its text. Beyond that the documents' lines are joined to them by
+(host, line hash), which spreads a hot host over its lines, and combined to one row for
+each document that has any; that row meets the document by host and text hash.
 
 Defined results: a null text has no words and fails the base rules; null hosts are
 one host; empty tables give empty results; repeated rows count once per text and
@@ -38,11 +37,10 @@ class Limits:
     min_words: int = 10
     max_repeat_pct: int = 20
     window: int = 5
-    max_docs: int = 5
-    max_share: float = 0.05
+    max_docs: int = 40
     min_left: float = 0.3
     #: Broadcast the removed lines up to this many hashes (8 bytes each).
-    broadcast_lines: int = 500_000
+    broadcast_lines: int = 20_000
 
 
 def normal_line(line: Column) -> Column:
@@ -113,31 +111,36 @@ def _host(docs: DataFrame, host_col: str) -> Column:
     return F.when(host.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), host))
 
 
-def frequent_lines(docs: DataFrame, text_col: str, host_col: str, limits: Limits = Limits()) -> DataFrame:
-    """(host, hash) of the lines over the limits, counted over all documents."""
+def _line_rows(docs: DataFrame, text_col: str, host_col: str) -> DataFrame:
+    """Distinct (host, hash, doc): the lines of every text, ``doc`` being the text's hash."""
     rows = docs.select(_host(docs, host_col).alias("host"), of(docs, text_col).alias("text"))
-    rows = rows.where(F.col("text").isNotNull())
-    one = rows.select("host", F.xxhash64("text").alias("doc"), F.split("text", "\n", -1).alias("lines"))
-    n_docs = one.groupBy("host", "doc").agg(F.lit(1).alias("one")).groupBy("host").agg(
-        F.count(F.lit(1)).alias("n_docs"))
+    one = rows.where(F.col("text").isNotNull()).select("host", F.xxhash64("text").alias("doc"),
+                                                       F.split("text", "\n", -1).alias("lines"))
     lines = one.select("host", "doc", F.explode(F.array_distinct(F.transform(
         "lines", normal_line))).alias("line")).where(F.col("line") != "")
-    held = lines.groupBy("host", F.xxhash64("line").alias("hash"), "doc").agg(F.lit(1).alias("one"))
-    held = held.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("held"))
-    held = held.where(F.col("held") > limits.max_docs)
-    return (held.join(n_docs, "host")
-            .where(F.col("held") > F.col("n_docs") * F.lit(limits.max_share)).select("host", "hash"))
-
-
-def _with_removed(docs: DataFrame, text_col: str, host_col: str, limits: Limits):
-    """``docs`` with the hashes of its host's removed lines (null: none), and that column's name."""
-    lines = written(frequent_lines(docs, text_col, host_col, limits)
-                    .groupBy("host").agg(F.collect_list("hash").alias("hashes")), "lines")
-    size = lines.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    lines = lines.select(F.col("host").alias("__line_host"), F.col("hashes").alias("__line_hashes"))
-    if size <= limits.broadcast_lines:
-        lines = F.broadcast(lines)
-    return docs.join(lines, _host(docs, host_col) == lines["__line_host"], "left").drop("__line_host")
+    return lines.groupBy("host", F.xxhash64("line").alias("hash"), "doc").agg(F.lit(1).alias("one")).drop("one")
+
+
+def frequent_lines(docs: DataFrame, text_col: str, host_col: str, limits: Limits = Limits()) -> DataFrame:
+    """(host, hash) of the lines over the limit, counted over all documents."""
+    held = _line_rows(docs, text_col, host_col).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("held"))
+    return held.where(F.col("held") > limits.max_docs).select("host", "hash")
+
+
+def _with_removed(docs: DataFrame, text_col: str, host_col: str, limits: Limits) -> DataFrame:
+    """``docs`` with ``__line_hashes``: hashes that hold its removed lines (null: none)."""
+    over = written(frequent_lines(docs, text_col, host_col, limits), "lines")
+    if over.count() <= limits.broadcast_lines:
+        lines = over.groupBy("host").agg(F.collect_list("hash").alias("__line_hashes"))
+        lines = F.broadcast(lines.withColumnRenamed("host", "__line_host"))
+        return docs.join(lines, _host(docs, host_col) == lines["__line_host"], "left").drop("__line_host")
+    lines = _line_rows(docs, text_col, host_col)
+    marks = (lines.join(over, (lines["host"] == over["host"]) & (lines["hash"] == over["hash"]))
+             .groupBy(lines["host"].alias("__line_host"), lines["doc"].alias("__line_doc"))
+             .agg(F.collect_list(lines["hash"]).alias("__line_hashes")))
+    return docs.join(marks, (_host(docs, host_col) == marks["__line_host"])
+                     & (F.xxhash64(of(docs, text_col)) == marks["__line_doc"]), "left").drop(
+        "__line_host", "__line_doc")
 
 
 def _left(text: Column, hashes: Column) -> Column:

@@ -57,12 +57,7 @@ ln AS (
            regexp_replace(lower(trim(regexp_replace(raw, {_CUT}, ' ', 'g'), ' ')), '[0-9]', '0', 'g') AS line
     FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS raw FROM d)),
 held AS (SELECT host, line, count(DISTINCT t) AS n FROM ln WHERE line <> '' GROUP BY host, line),
-hosts AS (SELECT '=' || source AS host, count(DISTINCT md5(text)) AS n_docs FROM documents
-          WHERE text IS NOT NULL AND source IS NOT NULL GROUP BY source
-          UNION ALL SELECT '-', count(DISTINCT md5(text)) FROM documents
-          WHERE text IS NOT NULL AND source IS NULL),
-bad AS (SELECT host, line FROM held JOIN hosts USING (host)
-        WHERE held.n > 5 AND held.n > n_docs * CAST(0.05 AS DOUBLE)),
+bad AS (SELECT host, line FROM held WHERE held.n > 40),
 lft AS (
     SELECT doc_id, sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) AS words_left
     FROM ln WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.host = ln.host AND bad.line = ln.line)
