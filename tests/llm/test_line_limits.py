@@ -8,8 +8,12 @@ SCHEMA = "doc_id long, text string, source string, n_chars long, host string, li
 FOOTER = "Subscribe to our letter and follow us on all of the usual channels today"
 
 
+LETTERS = str.maketrans("0123456789", "abcdefghij")
+
+
 def own(i, n=3):
-    return "\n".join(" ".join(f"w{i}x{k}y{j}" for j in range(12)) for k in range(n))
+    """Lines of this document only (in letters: digits do not tell lines apart)."""
+    return "\n".join(" ".join(f"w{i}x{k}y{j}" for j in range(12)) for k in range(n)).translate(LETTERS)
 
 
 @pytest.mark.parametrize("size", [800, 1000])
