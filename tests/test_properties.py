@@ -27,7 +27,7 @@ def test_filter_array_at_index_is_python_slicing(spark, cases):
 
 def _py_uniform(key, seed):
     h = hashlib.md5(f"{key}:{seed}".encode()).hexdigest()
-    return (int(h[:8], 16) + 0.5) / 2 ** 32
+    return (int(h[:13], 16) + 0.5) / 2 ** 52
 
 
 @CASES
