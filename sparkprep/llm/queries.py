@@ -25,7 +25,7 @@ def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of every document before and after a cleaning pass over it."""
     docs = token_edit.cleaning_edits(read_table(spark, sf, "documents"))
     return token_edit.counted(docs, vocabulary_path()).withColumn(
-        "edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+        "edited_sha256", F.sha2("edited_text", 256)).drop("edited_text", "refused", "tree")
 
 
 def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
