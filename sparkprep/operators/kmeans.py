@@ -65,6 +65,8 @@ AGGREGATES = ("avg",)
 BLOCK_BYTES = 64 * 1024 * 1024
 # Partial sums a task holds for one model before it emits them batch by batch (values).
 HELD_VALUES = 16_000_000
+# Clusters of a batch up to which their sums are one matrix product.
+MATRIX_CLUSTERS = 32
 CHUNK_VALUES = 8_000_000  # doubles per distance chunk (64 MB)
 
 RESULT_SCHEMA = T.StructType([
@@ -544,8 +546,14 @@ class _Sums:
     def add(self, a: np.ndarray, moved: np.ndarray, parts: np.ndarray) -> Iterator[pa.RecordBatch]:
         which, inv = np.unique(a, return_inverse=True)
         n = len(which)
-        cell = (inv[:, None] * self.w + np.arange(self.w)).ravel()
-        sums = np.bincount(cell, weights=parts.ravel(), minlength=n * self.w).reshape(n, self.w).astype(np.int64)
+        # whole numbers below 2**53 either way, so the order of adding is free
+        if n <= MATRIX_CLUSTERS:
+            member = np.zeros((n, len(inv)))
+            member[inv, np.arange(len(inv))] = 1.0
+            sums = (member @ parts).astype(np.int64)
+        else:
+            cell = (inv[:, None] * self.w + np.arange(self.w)).ravel()
+            sums = np.bincount(cell, weights=parts.ravel(), minlength=n * self.w).reshape(n, self.w).astype(np.int64)
         cnt, chg = np.bincount(inv, minlength=n), np.bincount(inv[moved], minlength=n)
         if self.held is None:  # too many clusters to hold: this batch's go on at once
             yield _partial_rows(self.m, self.pid, which, cnt, chg, sums)

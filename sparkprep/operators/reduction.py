@@ -28,13 +28,19 @@ def exponents(largest: np.ndarray) -> np.ndarray:
 
 def split(x: np.ndarray, exp: np.ndarray) -> np.ndarray:
     """Rows (n, d) as whole numbers (n, 3 d), of at most 24 bits each."""
-    rest = np.ldexp(x, -exp) * _STEP
+    # two powers of two, each within the range of doubles whatever the exponent
+    half = (_BITS - exp) // 2
+    rest = x * np.ldexp(1.0, half) * np.ldexp(1.0, _BITS - exp - half)
     out = np.empty((*x.shape[:-1], x.shape[-1] * PARTS))
     d = x.shape[-1]
     for i in range(PARTS):
-        whole = np.trunc(rest) if i < PARTS - 1 else np.rint(rest)
-        out[..., i * d:(i + 1) * d] = whole
-        rest = (rest - whole) * _STEP
+        whole = out[..., i * d:(i + 1) * d]
+        if i == PARTS - 1:
+            np.rint(rest, out=whole)
+            break
+        np.trunc(rest, out=whole)
+        rest -= whole
+        rest *= _STEP
     return out
 
 

@@ -321,3 +321,32 @@ def test_keys_without_elements_come_from_the_scan(spark):
     assert got == sorted([("a", 1, 1.0), ("a", 2, None), ("a", 3, 2.0), ("b", None, None), (None, None, None),
                           ("c", None, None)], key=str)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("RDD") == 1  # one scan, of the checkpoint
+
+
+def test_split_is_exact_for_any_exponent_and_sums_do_not_depend_on_the_path(monkeypatch):
+    from fractions import Fraction
+
+    import numpy as np
+    from sparkprep.operators import kmeans as km
+    from sparkprep.operators import reduction
+
+    rng = np.random.default_rng(8)
+    for power in (-1060, -1000, -300, 0, 7, 300, 1010):
+        x = np.ldexp(rng.standard_normal((50, 3)), power)
+        exp = reduction.exponents(np.abs(x).max(axis=0))
+        parts = reduction.split(x, exp)
+        assert np.abs(parts).max() <= 1 << 24 and (parts == np.rint(parts)).all()
+        for i, j in [(0, 0), (7, 1), (49, 2)]:
+            whole = sum(int(parts[i, p * 3 + j]) << 24 * (2 - p) for p in range(3))
+            grid = Fraction(2) ** (int(exp[j]) - 72)
+            assert abs(Fraction(float(x[i, j])) - whole * grid) <= grid / 2
+    x = rng.standard_normal((4_000, 5))
+    parts = reduction.split(x, reduction.exponents(np.abs(x).max(axis=0)))
+    a = rng.integers(0, 20, len(x))
+    sums = []
+    for limit in (0, 32):
+        monkeypatch.setattr(km, "MATRIX_CLUSTERS", limit)
+        held = km._Sums(0, 20, 15, 0)
+        list(held.add(a, a % 2 == 0, parts))
+        sums.append([v.tolist() for v in held.held])
+    assert sums[0] == sums[1]
