@@ -23,17 +23,20 @@ def matrix_size_report(df: DataFrame, key: str, features_col: str,
 
 
 def table_size_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """On-disk size of parquet tables ``{name: path}`` from the file metadata
-    columns: ``table_name, n_files, size_bytes, table_size``, largest first."""
+    """On-disk size of parquet tables ``{name: path}`` (files, or folders with any
+    partitioning) from their file listing, no row of the tables read: ``table_name, n_files,
+    size_bytes, table_size``, largest first, equal sizes by name. Hidden files do not count;
+    a folder without parquet files has 0 files and 0 bytes, a missing path raises."""
     parts = []
     for name, path in tables.items():
-        files = (spark.read.parquet(path)
-                 .select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-                 .groupBy("f").agg(F.max("s").alias("s")))
-        parts.append(files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("s").alias("size_bytes"))
+        # one row for each file, its content not read; a folder counts with all below it
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(path).select("path", "length"))
+        parts.append(files.agg(F.count(F.lit(1)).alias("n_files"),
+                               F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
                      .select(F.lit(name).alias("table_name"), "n_files", "size_bytes"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return (out.withColumn("table_size", format_bytes("size_bytes"))
-            .orderBy(F.col("size_bytes").desc()))
+            .orderBy(F.col("size_bytes").desc(), "table_name"))
