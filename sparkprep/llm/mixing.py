@@ -12,10 +12,16 @@ per super-bucket of ``FAN`` buckets, give offsets, and only the documents of one
 bucket, the buckets of one super-bucket or the super-buckets of one source meet in
 a window. The one global window runs over the table of sources, one row each.
 
+The order key hashes id, seed and text, so rows with one repeated or null id spread over
+the buckets like any others; only rows equal in id and text share a key. Sizes and keys
+are worked out from the texts once and written, with no column but what ``carry`` names,
+to the shared folder.
+
 Defined results: a null text has size 0; null sources are one source, ranked
 last; a source without words has target 0; documents without words are not
-taken; an empty table gives an empty mix. Ties in hash order (repeated ids) are
-broken by size and text hash; rows equal in all of these are interchangeable.
+taken; an empty table gives an empty mix; other columns, whatever their names, change
+nothing and come along only with ``carry``. Rows equal in id and text are
+interchangeable, and each is placed by itself.
 """
 
 from __future__ import annotations
@@ -115,12 +121,13 @@ def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A pass takes the document if more than half of it lies below the target.
     """
     text = of(docs, text_col)
-    key = F.md5(F.concat_ws(":", of(docs, id_col).cast("string"), F.lit(mix.seed)))
+    key = F.md5(F.concat_ws(":", F.coalesce(of(docs, id_col).cast("string"), F.lit("-")), F.lit(mix.seed),
+                            F.md5(F.coalesce(text, F.lit("")))))
     rows = docs.select(of(docs, id_col).alias("id"), of(docs, source_col).alias("src"),
                        word_count(text).alias("size"), key.alias("key"),
-                       F.xxhash64(text).alias("tie"),
                        *([F.struct(*[of(docs, c).alias(f"c{i}") for i, c in enumerate(carry)])
                           .alias("row")] if carry else []))
+    rows = written(rows, "mix-sizes")
     word = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     n_buckets = F.floor(F.col("n_docs") / BUCKET_DOCS) + 1
     sources = written(source_targets(rows.select("src", "size"), mix), "mix").withColumnRenamed(
@@ -143,7 +150,7 @@ def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           & (starts["super"] == supers["s_super"]))
               .select(F.col("rank").alias("o_rank"), F.col("bucket").alias("o_bucket"),
                       (F.col("b_start") + F.col("s_start")).alias("offset")))
-    placed = Window.partitionBy("rank", "bucket").orderBy("key", "id", "size", "tie").rowsBetween(
+    placed = Window.partitionBy("rank", "bucket").orderBy("key", "id").rowsBetween(
         Window.unboundedPreceding, -1)
     rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(placed), F.lit(0)))
     rows = rows.join(starts, (rows["rank"] == starts["o_rank"]) & (rows["bucket"] == starts["o_bucket"]))

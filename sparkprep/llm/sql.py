@@ -99,7 +99,8 @@ def mixing_sql() -> str:
 
     return rf"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)
-                  AS BIGINT) AS size, md5(CAST(doc_id AS VARCHAR) || ':{mix.seed}') AS key
+                  AS BIGINT) AS size,
+           md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':{mix.seed}:' || md5(coalesce(text, ''))) AS key
            FROM documents),
 src AS (
     SELECT source, sum(size)::BIGINT AS source_size,
