@@ -114,17 +114,20 @@ class EditCounter:
         self.encoder = encoder
         #: Characters before and behind an edit that may see it.
         self.sight = 3 + max(map(len, encoder.added), default=0)
+        #: Whether a text with added tokens was met; units are looked through for them only then.
+        self.met_added = False
 
     def units(self, text: str) -> list[str]:
         """Pre-tokens and added tokens of a text."""
         encoder = self.encoder
         if encoder.special is None or not any(t in text for t in encoder.added):
             return encoder.split(text)
+        self.met_added = True
         return [u for p in encoder.special.split(text) for u in ([p] if p in encoder.added else encoder.split(p))]
 
     def _count(self, units: list[str]) -> int:
         added = self.encoder.added
-        if added and not added.keys().isdisjoint(units):
+        if self.met_added and not added.keys().isdisjoint(units):
             plain = [u for u in units if u not in added]
             return len(units) - len(plain) + self._count(plain)
         return sum(map(len, map(self.encoder.words.__getitem__, units))) // 4
