@@ -1,41 +1,48 @@
 """HTML extraction by union-free wrappers, inferred per host.
 
 Each page becomes a stream of nested tokens (elements with their class and id words,
-and text). The streams of one host are aligned one after the other: tokens on both
-sides merge; text that differs becomes a slot; a mismatch becomes a repeated group when
-neighbours repeat (single elements or tandem groups), and an optional one otherwise.
-The result is a union-free regular expression, the host's wrapper, whose nodes also
-count pages, characters and link characters. Roles follow from it: boilerplate by
-element or by its class, id and role words; the main region by ``article``/``main``, or
-else the subtree with the most varying text outside links. A page is then read along
-its host's wrapper. Inside the main region a listed word leaves an element out only if it
+and text). The streams of one host are aligned element by element: those at the same path
+of names from the root meet, neighbours of one name fold into a repeated group, a path that
+some pages lack is optional, and text that differs between pages becomes a slot. The result,
+one row per path, is the host's union-free regular expression (``expression`` prints it).
+Its rows add up in any order, so it is the same for any partitioning and task retry.
+Paths exist twice, with class and id words and by element names alone; where a host's words
+change from page to page (generated class names) the second kind tells.
+
+The wrapper decides what is read (``decided``): the main region is ``article``/``main``, or
+else the innermost path that holds most of the text in slots outside links; lists and sections
+that are mostly links on the host's pages go, and so does, on hosts without a region, text that is no slot.
+Inside the main region a listed word leaves an element out only if it
 is mostly links, holds a form, or is a comment group that the wrapper repeats; headings,
-table rows, paragraphs and unlinked inline text stay. Lists and sections that are mostly
-links on the host's pages go without any word, and so do blocks of text found on most of
-the host's pages, counted exactly; headings and table cells stay where what they label varies.
-
-Scale: each task folds its pages into one wrapper per host before anything moves;
-wrappers meet per (host, salt), then per host, so a host with a third of all pages
-sends one small wrapper per task and no reducer holds pages. Wrappers are broadcast
-when their counted size allows it and joined by host otherwise. Blocks are counted as
+table rows, paragraphs and unlinked inline text stay. Blocks of text found on most of
+the host's pages, counted exactly, go too; headings and table cells stay where what they label varies.
+
+Scale: each task adds its pages' paths up before anything moves, Spark sums them by (host,
+path), and only paths on one page in twenty of the host or more are kept, so a wrapper holds
+at most twenty times the paths of a mean page, however many pages or generated names the host
+has. The decisions, a few dozen hashes a host, are broadcast when their counted size allows it
+and joined by host otherwise. Blocks are counted as
 (host, page, block) hashes dealt by all three, so no host meets in one task; those on most
 pages of a host are at most twice the mean number of blocks of its pages.
 
 Defined results: null and empty html give the empty text; a page without its host's
-main region is read as a whole, minus boilerplate; pages of a host with the same longest
-block count once, and a page whose blocks are all constant keeps them; a url without host shares one
+main region is read along its own article or main, or else as a whole, minus boilerplate;
+pages of a host with the same longest
+block count once as to blocks, a host whose pages are all the same has no constant text, and a
+page whose blocks are all constant keeps them; a url without host shares one
 wrapper; unclosed or truncated tags end with their parent; elements nested deeper than
 ``DEPTH`` lie side by side at that depth, in page order, so pages of any depth have a result;
-repeated rows each get their result; constant blocks aside, no text is cut.
+repeated rows each get their result; constant blocks and lists of links aside, no text of a region is cut.
 """
 
 from __future__ import annotations
 
 import html as entities
-import json
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -47,11 +54,12 @@ from sparkprep.llm.common import of, written
 from sparkprep.llm.url_filter import host_of
 from sparkprep.session import ship_package
 
-#: Wrappers are broadcast up to this many characters in all.
-BROADCAST_CHARS = 32 << 20
-#: Reducers over which the wrappers of one host are spread before they meet, and hosts
-#: for which a task keeps a wrapper before it passes them on.
-SALTS, HOSTS_KEPT = 16, 2_000
+#: Decisions about hosts are broadcast up to this many hashes in all.
+BROADCAST_HASHES = 2 << 20
+#: Paths that a task adds up before it passes them on, and hosts whose decisions it keeps.
+PATHS_KEPT, HOSTS_KEPT = 200_000, 2_000
+#: A path belongs to the wrapper if it is on this share of the host's pages.
+SHARE = 0.05
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
@@ -126,10 +134,11 @@ def dropped(tag: str, marks: tuple[str, ...]) -> bool:
 class Node:
     """An element: its tag, words, and parts (nodes and (text, in_link) pairs) in order."""
 
-    __slots__ = ("tag", "marks", "parts")
+    __slots__ = ("tag", "marks", "parts", "held")
 
     def __init__(self, tag: str, marks: tuple[str, ...] = ()):
         self.tag, self.marks, self.parts = tag, marks, []
+        self.held: tuple[int, int, bool] | None = None  # of _contents()
 
     @property
     def key(self) -> str:
@@ -210,163 +219,143 @@ def parse(text: str) -> Node:
     return root
 
 
-# A wrapper node: k key, n pages, ch characters, lk link characters, x the text if it is the
-# same everywhere (else null: a slot), o optional, r repeated, c children; a group has k "(...)".
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little",
+                          signed=True)
 
 
-def _item(node: Node) -> dict:
-    own = [p for p in node.parts if type(p) is tuple]
-    text = " ".join("".join(t for t, _ in own).split())
-    kids = [_item(p) for p in node.parts if type(p) is Node]
-    return {"k": node.key, "n": 1, "ch": len(text) + sum(c["ch"] for c in kids),
-            "lk": sum(len(t) for t, link in own if link) + sum(c["lk"] for c in kids),
-            "x": text, "o": 0, "r": 0, "c": folded(kids)}
+#: The two kinds of paths start here: with class and id words, and by element names alone.
+ROOT, PLAIN = 0, 1
 
 
-def merged(a: dict, b: dict, one_page: bool = False) -> dict:
-    """The union-free expression of both; ``one_page``: they are neighbours on one page."""
-    return {"k": a["k"], "n": max(a["n"], b["n"]) if one_page else a["n"] + b["n"],
-            "ch": a["ch"] + b["ch"], "lk": a["lk"] + b["lk"],
-            "x": a["x"] if a["x"] == b["x"] else None, "o": a["o"] | b["o"],
-            "r": 1 if one_page else a["r"] | b["r"], "c": aligned(a["c"], b["c"], one_page)}
+@lru_cache(maxsize=1 << 16)
+def below(above: int, key: str) -> int:
+    """The path of an element of this key under the path ``above``."""
+    return _hash(f"{above}/{key}")
 
 
-def _group(items: list[dict]) -> dict:
-    return {"k": "(" + "|".join(i["k"] for i in items) + ")", "n": max(i["n"] for i in items),
-            "ch": sum(i["ch"] for i in items), "lk": sum(i["lk"] for i in items), "x": "", "o": 0,
-            "r": 0, "c": items}
+@dataclass
+class Shape:
+    """A path of the wrapper: the path above it, the plain path of the same elements (of a plain
+    path its own), the element's key, pages that have it, characters and those in links, the
+    least and greatest hash of a page's text there (equal unless it is a slot), and pages on
+    which neighbours repeat it."""
 
+    above: int
+    plain: int
+    key: str
+    pages: int
+    ch: int
+    lk: int
+    low: int
+    high: int
+    repeated: int
 
-def folded(items: list[dict]) -> list[dict]:
-    """Neighbours that repeat, alone or in groups of up to four, become repeated."""
-    out: list[dict] = []
-    for i in items:
-        if out and out[-1]["k"] == i["k"]:
-            out[-1] = merged(out[-1], i, one_page=True)
-        else:
-            out.append(i)
-    for size in (2, 3, 4):
-        at, done = 0, []
-        while at < len(out):
-            here = [i["k"] for i in out[at:at + size]]
-            run = 1
-            while len(here) == size and [i["k"] for i in out[at + run * size:at + (run + 1) * size]] == here:
-                run += 1
-            if run > 1:
-                group = _group(out[at:at + size])
-                for k in range(1, run):
-                    group = merged(group, _group(out[at + k * size:at + (k + 1) * size]), one_page=True)
-                done.append(group)
-                at += run * size
-            else:
-                done.append(out[at])
-                at += 1
-        out = done
-    return out
+    def add(self, other: Shape) -> None:
+        self.pages += other.pages
+        self.ch += other.ch
+        self.lk += other.lk
+        self.low, self.high = min(self.low, other.low), max(self.high, other.high)
+        self.repeated += other.repeated
 
 
-def _regrouped(items: list[dict], others: list[dict]) -> list[dict]:
-    """``items`` with the stretches that ``others`` has as a group put into such groups."""
-    for g in others:
-        if g["k"][0] != "(" or any(i["k"] == g["k"] for i in items):
-            continue
-        keys = [c["k"] for c in g["c"]]
-        for at in range(len(items) - len(keys) + 1):
-            if [i["k"] for i in items[at:at + len(keys)]] == keys:
-                items = [*items[:at], _group(items[at:at + len(keys)]), *items[at + len(keys):]]
-                break
-    return items
-
-
-def aligned(a: list[dict], b: list[dict], one_page: bool = False) -> list[dict]:
-    """Children of both in order: common ones merge, the others become optional."""
-    a, b = _regrouped(a, b), _regrouped(b, a)
-    if [i["k"] for i in a] == [i["k"] for i in b]:
-        return [merged(x, y, one_page) | {"r": x["r"] | y["r"]} for x, y in zip(a, b)]
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = (best[i + 1][j + 1] + 1 if a[i]["k"] == b[j]["k"]
-                          else max(best[i + 1][j], best[i][j + 1]))
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and a[i]["k"] == b[j]["k"]:
-            out.append(merged(a[i], b[j], one_page) | {"r": a[i]["r"] | b[j]["r"]})
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append(a[i] | {"o": 1})
-            i += 1
+def shape(root: Node) -> dict[int, Shape]:
+    """The wrapper of one page."""
+    found: dict[int, Shape] = {}
+
+    def note(path: int, above: int, plain: int, key: str, ch: int, lk: int, text: int) -> None:
+        s = found.get(path)
+        if s is None:
+            found[path] = Shape(above, plain, key, 1, ch, lk, text, text, 0)
         else:
-            out.append(b[j] | {"o": 1})
-            j += 1
-    return folded(out)
+            s.ch, s.lk = s.ch + ch, s.lk + lk
+            s.low = s.high = _hash(f"{s.low} {text}")
+
+    def walk(node: Node, named: int, plain: int) -> tuple[int, int, int]:
+        own = [p for p in node.parts if type(p) is tuple]
+        words = " ".join("".join(t for t, _ in own).split())
+        ch, lk, texts = len(words), sum(len(t) for t, link in own if link), [words]
+        times: Counter[int] = Counter()
+        for p in node.parts:
+            if type(p) is Node:
+                n, t = below(named, p.key), below(plain, p.tag)
+                c, k, text = walk(p, n, t)
+                note(n, named, t, p.key, c, k, text)
+                note(t, plain, t, p.tag, c, k, text)
+                times[n] += 1
+                times[t] += 1
+                ch, lk = ch + c, lk + k
+                texts.append(str(text))
+        for path, n in times.items():
+            if n > 1:
+                found[path].repeated = 1
+        return ch, lk, _hash("\0".join(texts))
+
+    ch, lk, text = walk(root, ROOT, PLAIN)
+    found[ROOT] = Shape(ROOT, PLAIN, "root", 1, ch, lk, text, text, 0)
+    found[PLAIN] = Shape(PLAIN, PLAIN, "root", 1, ch, lk, text, text, 0)
+    return found
+
+
+def joined(a: dict[int, Shape], b: dict[int, Shape]) -> dict[int, Shape]:
+    """``a`` with the pages of ``b`` added."""
+    for path, s in b.items():
+        if path in a:
+            a[path].add(s)
+        else:
+            a[path] = s
+    return a
+
+
+def trimmed(wrapper: dict[int, Shape]) -> dict[int, Shape]:
+    """The wrapper without paths that too few pages have."""
+    return {p: s for p, s in wrapper.items() if s.pages >= SHARE * wrapper[ROOT].pages}
+
+
+def _children(wrapper: dict[int, Shape]) -> dict[int, list[int]]:
+    kids: dict[int, list[int]] = defaultdict(list)
+    for path in sorted(wrapper):
+        if path not in (ROOT, PLAIN):
+            kids[wrapper[path].above].append(path)
+    return kids
+
 
+def expression(wrapper: dict[int, Shape], path: int = ROOT) -> str:
+    """The wrapper as a readable union-free regular expression: ? optional, + repeated, # a slot."""
+    kids = _children(wrapper)
 
-def expression(item: dict) -> str:
-    """The wrapper as a readable union-free regular expression."""
-    text = "#" if item["x"] is None else json.dumps(item["x"]) if item["x"] else ""
-    body = "".join(map(expression, item["c"]))
-    core = f"({body})" if item["k"][0] == "(" else f"<{item['k']}>{text}{body}</>"
-    mark = {(0, 0): "", (1, 0): "?", (0, 1): "+", (1, 1): "*"}[item["o"], item["r"]]
-    return f"({core}){mark}" if mark and core[0] != "(" else core + mark
+    def of_path(p: int) -> str:
+        s = wrapper[p]
+        body = "".join(map(of_path, kids[p])) or ("#" if s.low != s.high else "" if not s.ch else "text")
+        optional, repeated = s.pages < wrapper[s.above].pages, s.repeated > 0
+        return f"<{s.key}>{body}</>" + ("*" if optional and repeated else "?" if optional else "+" if repeated else "")
 
+    return of_path(path)
 
+
+def _dropped(key: str) -> bool:
+    tag, *marks = key.split(".")
+    return dropped(tag, tuple(marks))
+
+
+@dataclass(frozen=True)
 class Roles:
-    """Which keys of a host's pages are the main region, and which to leave out."""
-
-    def __init__(self, wrapper: dict | None, constant: Iterable[int] = ()):
-        #: Hashes of the blocks that are on most of the host's pages.
-        self.constant = frozenset(constant)
-        self.main: set[str] = set()
-        self.out: set[str] = set()
-        #: Paths below the main region that repeat (comments do).
-        self.repeated: set[tuple[str, ...]] = set()
-        #: Pages, characters and those in links of the paths, () being the region's.
-        self.shares: dict[tuple[str, ...], tuple[int, int, int]] = {}
-        if wrapper is not None:
-            self._region(wrapper)
-            self._inner(wrapper, None)
-
-    def _region(self, wrapper: dict) -> None:
-        if self._explicit(wrapper):
-            return
-        node, path = wrapper, []
-        while True:  # follow the child that holds most of the varying text outside links
-            kids = [c for c in self._kids(node) if not self._dropped(c["k"])]
-            best = max(kids, key=self._weight, default=None)
-            if best is None or best["r"] or self._weight(best) < 0.6 * max(1, self._weight(node)):
-                break
-            if best["k"].split(".")[0] in PARAGRAPHS:  # one long paragraph is no region
-                break
-            node, path = best, [*path, best["k"]]
-        if path:
-            self.main = {path[-1]}
-            return  # what is left out below it, its paths tell
-        pages = node["n"]
-        for c in self._kids(node):  # text that is the same on all pages, and lists of links
-            if pages > 1 and (c["x"] and not c["c"] and c["n"] > 0.5 * pages or c["lk"] > 0.6 * max(1, c["ch"])):
-                self.out.add(c["k"])
-
-    def _inner(self, item: dict, path: tuple[str, ...] | None) -> None:
-        """Collects what the nodes below the main region are; ``path`` is None outside of it."""
-        for c in item["c"]:
-            group = c["k"][0] == "("
-            for k in self._kids(c) if group else (c,):
-                below = (*path, k["k"]) if path is not None else () if k["k"] in self.main else None
-                if below is not None:
-                    n, ch, lk = self.shares.get(below, (0, 0, 0))
-                    self.shares[below] = max(n, k["n"]), ch + k["ch"], lk + k["lk"]
-                if below and (k["r"] or group and c["r"]):
-                    self.repeated.add(below)
-                self._inner(k, below)
-
-    def left_out(self, node: Node, path: tuple[str, ...]) -> bool:
+    """What a host's wrapper decides, as paths: the main region, what to leave out where there is
+    none, lists and sections that are mostly links, and what repeats; and the hashes of the
+    blocks that are on most of the host's pages."""
+
+    main: frozenset[int] = frozenset()
+    out: frozenset[int] = frozenset()
+    links: frozenset[int] = frozenset()
+    repeated: frozenset[int] = frozenset()
+    constant: frozenset[int] = frozenset()
+
+    def left_out(self, node: Node, path: tuple[int, int]) -> bool:
         """Whether an element inside the main region is no text: by its name where that never
         holds text, by a listed word only together with links, a form or repeated comments."""
         if node.tag in DROPPED and node.tag not in MAYBE_TEXT:
             return True
-        if node.tag in LISTS and self._links(path):
+        if node.tag in LISTS and _in(path, self.links):
             ch, lk, _ = _contents(node)
             if lk > LINKED * ch:
                 return True
@@ -375,66 +364,101 @@ class Roles:
         ch, lk, controls = _contents(node)
         return controls or lk > LINKED * ch or self._comments(node, path)
 
-    def _links(self, path: tuple[str, ...]) -> bool:
-        """Whether the path is mostly links over the host's pages and its region is not."""
-        pages, ch, lk = self.shares.get(path, (0, 0, 0))
-        _, whole, links = self.shares.get((), (0, 0, 0))
-        return pages > 1 and lk > LINKED * ch and links <= LINKED * whole
-
-    def _comments(self, node: Node, path: tuple[str, ...]) -> bool:
+    def _comments(self, node: Node, path: tuple[int, int]) -> bool:
         if not COMMENTS.intersection(node.marks):
             return False
-        return path in self.repeated or any(
+        return _in(path, self.repeated) or any(
             type(p) is Node and (p.tag in ("li", "article") or COMMENTS.intersection(p.marks))
-            and (*path, p.key) in self.repeated for p in node.parts)
+            and _in(_under(path, p), self.repeated) for p in node.parts)
 
-    @staticmethod
-    def _kids(item: dict) -> Iterator[dict]:
-        for c in item["c"]:
-            if c["k"][0] == "(":
-                yield from Roles._kids(c)
-            else:
-                yield c
-
-    @staticmethod
-    def _dropped(key: str) -> bool:
-        tag, *marks = key.split(".")
-        return dropped(tag, tuple(marks))
-
-    def _weight(self, item: dict) -> int:
-        if self._dropped(item["k"]) or item["x"] and not item["c"]:
-            return 0
-        return item["ch"] - item["lk"] - sum(c["ch"] - c["lk"] for c in self._kids(item)
-                                             if self._dropped(c["k"]))
-
-    def _explicit(self, item: dict) -> bool:
-        """Collects article and main outside boilerplate, the innermost article winning."""
-        found = False
-        for c in self._kids(item):
-            if self._dropped(c["k"]):
-                continue
-            if c["k"].split(".")[0] == "article":
-                self.main.add(c["k"])
-                found = True
-            elif self._explicit(c):
-                found = True
-            elif c["k"].split(".")[0] == "main" or "main" in c["k"].split(".")[1:] and c["ch"]:
-                self.main.add(c["k"])
-                found = True
-        return found
 
+def _under(path: tuple[int, int], node: Node) -> tuple[int, int]:
+    return below(path[0], node.key), below(path[1], node.tag)
 
-def _contents(node: Node) -> tuple[int, int, bool]:
-    """Characters, those in links, and whether the element holds a form's parts."""
-    ch, lk, controls = 0, 0, node.tag in CONTROLS
-    for p in node.parts:
-        if type(p) is tuple:
-            n = len("".join(p[0].split()))
-            ch, lk = ch + n, lk + n * p[1]
+
+def _in(path: tuple[int, int], paths: frozenset[int]) -> bool:
+    return path[0] in paths or path[1] in paths
+
+
+def decided(wrapper: dict[int, Shape], constant: Iterable[int] = (), region: bool = True) -> Roles:
+    """The roles of a (trimmed) wrapper's paths; without ``region`` only article and main are one."""
+    if ROOT not in wrapper:
+        return Roles(constant=frozenset(constant))
+    kids, top = _children(wrapper), wrapper[ROOT]
+    differ = top.low != top.high
+
+    def fixed(s: Shape) -> bool:
+        return differ and s.pages > 1 and s.low == s.high
+
+    main = _explicit(wrapper, kids, ROOT) or _explicit(wrapper, kids, PLAIN)
+    out: set[int] = set()
+    if not main and region:
+        weights: dict[int, int] = {}
+
+        def weight(path: int) -> int:  # characters in slots outside links and boilerplate
+            if path not in weights:
+                s = wrapper[path]
+                weights[path] = 0 if fixed(s) or _dropped(s.key) else max(0, s.ch - s.lk - sum(
+                    max(0, wrapper[k].ch - wrapper[k].lk) - weight(k) for k in kids[path]))
+            return weights[path]
+
+        def inner(path: int) -> int | None:
+            best = max(kids[path], key=weight, default=None)
+            if best is None or weight(best) < 0.6 * max(1, weight(path)) or wrapper[best].repeated \
+                    or 2 * wrapper[best].pages <= wrapper[path].pages \
+                    or wrapper[best].key.split(".")[0] in PARAGRAPHS:  # one long paragraph is no region
+                return None
+            return best
+
+        at = ROOT
+        while (step := inner(at) or inner(wrapper[at].plain)) is not None:
+            at = step
+        if at not in (ROOT, PLAIN):
+            main = {at}
         else:
-            c, k, held = _contents(p)
-            ch, lk, controls = ch + c, lk + k, controls or held
-    return ch, lk, controls
+            out = {p for p, s in wrapper.items() if s.pages >= LEAST_PAGES and s.pages > MOST * top.pages
+                   and (fixed(s) or s.pages > 1 and s.key.split(".")[0] in LISTS and s.lk > LINKED * max(1, s.ch))}
+    todo = [*main, *(wrapper[p].plain for p in main if wrapper[p].plain in wrapper)]
+    whole, linked = sum(wrapper[p].ch for p in main), sum(wrapper[p].lk for p in main)
+    inside: set[int] = set()
+    while todo:
+        for k in kids[todo.pop()]:
+            if k not in inside:
+                inside.add(k)
+                todo.append(k)
+    links = {p for p in inside if linked <= LINKED * whole and wrapper[p].pages > 1
+             and wrapper[p].key.split(".")[0] in LISTS and wrapper[p].lk > LINKED * wrapper[p].ch}
+    return Roles(frozenset(main), frozenset(out), frozenset(links),
+                 frozenset(p for p in inside if wrapper[p].repeated), frozenset(constant))
+
+
+def _explicit(wrapper: dict[int, Shape], kids: dict[int, list[int]], path: int) -> set[int]:
+    """Paths of article and main outside boilerplate, an article inside main winning."""
+    found: set[int] = set()
+    for k in kids[path]:
+        tag, *marks = wrapper[k].key.split(".")
+        if dropped(tag, tuple(marks)):
+            continue
+        inner = {k} if tag == "article" else _explicit(wrapper, kids, k)
+        if not inner and (tag == "main" or "main" in marks and wrapper[k].ch):
+            inner = {k}
+        found |= inner
+    return found
+
+
+def _contents(node: Node) -> tuple[int, int, bool]:
+    """Characters, those in links, and whether the element holds a form's parts; kept on the node."""
+    if node.held is None:
+        ch, lk, controls = 0, 0, node.tag in CONTROLS
+        for p in node.parts:
+            if type(p) is tuple:
+                n = len("".join(p[0].split()))
+                ch, lk = ch + n, lk + n * p[1]
+            else:
+                c, k, inner = _contents(p)
+                ch, lk, controls = ch + c, lk + k, controls or inner
+        node.held = (ch, lk, controls)
+    return node.held
 
 
 def _inline(node: Node) -> str:
@@ -445,11 +469,6 @@ def _line(parts: list[str]) -> str:
     return " ".join(entities.unescape("".join(parts)).split())
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little",
-                          signed=True)
-
-
 def block_hashes(root: Node) -> tuple[int, list[int]]:
     """What tells the page from others (its longest block outside links) and its blocks."""
     found: dict[str, None] = {}
@@ -511,11 +530,9 @@ def varying(blocks: list[tuple[str, Node, Node | None]], constant: frozenset[int
 
 
 def _blocks(node: Node, roles: Roles, out: list[tuple[str, Node, Node | None]], inside: bool, main_only: bool,
-            path: tuple[str, ...] = (), table: Node | None = None) -> None:
-    """Adds the blocks of text under ``node`` in page order, with their elements and tables;
-    ``path`` is the node's own below the main region."""
-    if node.key in roles.main and not inside:
-        inside, path = True, ()
+            path: tuple[int, int] = (ROOT, PLAIN), table: Node | None = None) -> None:
+    """Adds the blocks of text under ``node`` in page order, with their elements and tables."""
+    inside = inside or _in(path, roles.main)
     if node.tag in ("table", "dl"):
         table = node
     take = inside or not main_only
@@ -534,75 +551,82 @@ def _blocks(node: Node, roles: Roles, out: list[tuple[str, Node, Node | None]],
             ch, lk, controls = _contents(p) if inside else (0, 0, True)
             if not controls and lk <= LINKED * ch:
                 line.append(_inline(p))
-        elif inside:
-            flush()
-            if not roles.left_out(p, (*path, p.key)):
-                _blocks(p, roles, out, True, main_only, (*path, p.key), table)
-        elif dropped(p.tag, p.marks) or p.key in roles.out:
-            flush()
         else:
             flush()
-            _blocks(p, roles, out, False, main_only, (), table)
+            at = _under(path, p)
+            if not (roles.left_out(p, at) if inside else dropped(p.tag, p.marks) or at[0] in roles.out):
+                _blocks(p, roles, out, inside, main_only, at, table)
     flush()
 
 
-def _holds(node: Node, keys: set[str]) -> bool:
-    return any(type(p) is Node and not dropped(p.tag, p.marks) and (p.key in keys or _holds(p, keys))
-               for p in node.parts)
+def _holds(node: Node, paths: frozenset[int], path: tuple[int, int] = (ROOT, PLAIN)) -> bool:
+    if not paths:
+        return False
+    for p in node.parts:
+        if type(p) is Node and not dropped(p.tag, p.marks):
+            at = _under(path, p)
+            if _in(at, paths) or _holds(p, paths, at):
+                return True
+    return False
 
 
 def main_text(page: str, roles: Roles) -> str:
     """The page's main text along its host's roles."""
     root, out = parse(page), []
-    if not _holds(root, roles.main):  # unlike its host's other pages: its own article or main
-        item, roles = _item(root), Roles(None, roles.constant)
-        if roles._explicit(item):
-            roles._inner(item, None)
-    _blocks(root, roles, out, False, _holds(root, roles.main))
+    held = _holds(root, roles.main)
+    if not held:  # unlike its host's other pages: its own article or main
+        own = decided(shape(root), roles.constant, region=False)
+        held = bool(own.main)
+        roles = own if held or roles.main else roles
+    _blocks(root, roles, out, False, held)
     return "\n\n".join(varying(out, roles.constant))
 
 
-WRAPPERS = "host string, part int, wrapper string"
-FOUND = WRAPPERS + ", page bigint, blocks array<bigint>"
+PATH = ("host string, path bigint, above bigint, plain bigint, key string, pages bigint, ch bigint, lk bigint, "
+        "low bigint, high bigint, repeated bigint")
+FOUND = PATH + ", page bigint, blocks array<bigint>"
+ROLES = "host string, main array<bigint>, out array<bigint>, links array<bigint>, repeated array<bigint>"
 
 
 def inferred(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Rows of two kinds: a task's wrapper of a host, and a page's identity and block hashes."""
+    """Rows of two kinds: a task's counts of a path of a host, and a page's identity and block hashes."""
     ship_package(pages.sparkSession)
     rows = pages.select(F.coalesce(host_of(of(pages, url_col)), F.lit("")).alias("host"),
-                        F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("part"),
                         of(pages, html_col).alias("html"))
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 6, pa.int64(),
+             pa.list_(pa.int64())]
+    names = [f.split()[0] for f in FOUND.split(", ")]
 
-    def batch_of(hosts: list, parts: list, whole: list, ids: list, blocks: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(parts, pa.int32()), pa.array(whole, pa.string()),
-             pa.array(ids, pa.int64()), pa.array(blocks, pa.list_(pa.int64()))],
-            names=["host", "part", "wrapper", "page", "blocks"])
+    def batch_of(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    def given(known: dict, part: int) -> pa.RecordBatch:
-        n = len(known)
-        return batch_of(list(known), [part] * n, [json.dumps(w) for w in known.values()], [None] * n, [None] * n)
+    def paths(known: dict[str, dict[int, Shape]]) -> pa.RecordBatch:
+        found = [(h, p, s.above, s.plain, s.key, s.pages, s.ch, s.lk, s.low, s.high, s.repeated, None, None)
+                 for h, wrapper in known.items() for p, s in wrapper.items()]
+        return batch_of([list(c) for c in zip(*found)])
 
     def infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict] = {}
-        part = 0
+        known: dict[str, dict[int, Shape]] = {}
+        held = 0
         for batch in batches:
             hosts, ids, blocks = [], [], []
-            for host, part, page in zip(*(c.to_pylist() for c in batch.columns)):
+            for host, page in zip(*(c.to_pylist() for c in batch.columns)):
                 if page:
                     root = parse(page)
-                    item = _item(root)
-                    known[host] = merged(known[host], item) if host in known else item
-                    own, held = block_hashes(root)
+                    whole = known.setdefault(host, {})
+                    held -= len(whole)
+                    held += len(joined(whole, shape(root)))
+                    own, texts = block_hashes(root)
                     hosts.append(host)
                     ids.append(own)
-                    blocks.append(held)
-                if len(known) >= HOSTS_KEPT:
-                    yield given(known, part)
-                    known = {}
-            yield batch_of(hosts, [part] * len(hosts), [None] * len(hosts), ids, blocks)
+                    blocks.append(texts)
+                if held >= PATHS_KEPT:
+                    yield paths(known)
+                    known, held = {}, 0
+            n = len(hosts)
+            yield batch_of([hosts, *[[None] * n] * 10, ids, blocks])
         if known:
-            yield given(known, part)
+            yield paths(known)
 
     return rows.mapInArrow(infer, FOUND)
 
@@ -621,32 +645,49 @@ def constant_blocks(found: DataFrame) -> DataFrame:
 
 
 def wrappers(found: DataFrame) -> DataFrame:
-    """One row per host: host ("" for none) and its wrapper as JSON."""
-    def join(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        whole = None
-        for text in table.column("wrapper").to_pylist():
-            item = json.loads(text)
-            whole = item if whole is None else merged(whole, item)
-        return pa.table({"host": [key[0].as_py()], "part": pa.array([0], pa.int32()),
-                         "wrapper": [json.dumps(whole)]})
+    """One row per path of a host's wrapper, in the columns of ``PATH``."""
+    rows = found.where(F.col("path").isNotNull())
+    whole = rows.where(F.col("path") == ROOT).groupBy(F.col("host").alias("w_host")).agg(
+        F.sum("pages").alias("n_pages"))
+    rows = rows.groupBy("host", "path").agg(
+        *(F.min(c).alias(c) for c in ("above", "plain", "key")), *(F.sum(c).alias(c) for c in ("pages", "ch", "lk")),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("repeated").alias("repeated"))
+    return rows.join(whole, F.col("host") == F.col("w_host")).where(
+        F.col("pages") >= F.col("n_pages") * F.lit(SHARE)).drop("w_host", "n_pages")
+
+
+def roles_of(paths: DataFrame) -> DataFrame:
+    """One row per host: what its wrapper decides, in the columns of ``ROLES``."""
+    columns = [c for c in paths.columns if c != "host"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for host, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                r = decided({row.pop("path"): Shape(**row) for row in rows})
+                out.append({"host": host, "main": sorted(r.main), "out": sorted(r.out),
+                            "links": sorted(r.links), "repeated": sorted(r.repeated)})
+            many = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("host", pa.string()), ("main", many), ("out", many),
+                                                             ("links", many), ("repeated", many)]))
 
-    salted = found.where(F.col("wrapper").isNotNull()).select("host", "part", "wrapper").groupBy("host", "part").applyInArrow(join, WRAPPERS)
-    return salted.groupBy("host").applyInArrow(join, WRAPPERS).select("host", "wrapper")
+    return paths.groupBy("host").agg(F.collect_list(F.struct(*columns)).alias("paths")).mapInArrow(run, ROLES)
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html") -> DataFrame:
     """id, url, text and n_chars (code points) of every page."""
     parts = written(inferred(pages, url_col, html_col), "blocks")
-    found, same = wrappers(parts).withColumnRenamed("host", "w_host"), constant_blocks(parts)
+    found, same = roles_of(wrappers(parts)).withColumnRenamed("host", "w_host"), constant_blocks(parts)
+    sets = ("main", "out", "links", "repeated", "constant")
     found = written(found.join(same, F.col("w_host") == F.col("c_host"), "left").drop("c_host"), "wrappers")
-    size = found.agg(F.sum(F.length("wrapper") + 20 * F.coalesce(F.size("constant"), F.lit(0)))).first()[0] or 0
-    if size <= BROADCAST_CHARS:
+    size = found.agg(F.sum(sum((F.coalesce(F.size(c), F.lit(0)) for c in sets), F.lit(20)))).first()[0] or 0
+    if size <= BROADCAST_HASHES:
         found = F.broadcast(found)
     rows = pages.select(of(pages, id_col).alias("id"), of(pages, url_col).alias("url"),
                         of(pages, html_col).alias("html"),
                         F.coalesce(host_of(of(pages, url_col)), F.lit("")).alias("host"))
-    rows = rows.join(found, rows["host"] == found["w_host"], "left").select("id", "url", "html", "host", "wrapper", "constant")
+    rows = rows.join(found, rows["host"] == found["w_host"], "left").select("id", "url", "html", "host", *sets)
     out = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType),
                         T.StructField(url_col, pages.schema[url_col].dataType),
                         T.StructField("text", T.StringType())])
@@ -659,8 +700,7 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 if host not in known:
                     if len(known) >= HOSTS_KEPT:
                         known.clear()
-                    wrapper = batch.column(4)[at].as_py()
-                    known[host] = Roles(json.loads(wrapper) if wrapper else None, batch.column(5)[at].as_py() or ())
+                    known[host] = Roles(*(frozenset(batch.column(4 + k)[at].as_py() or ()) for k in range(len(sets))))
                 texts.append(main_text(page, known[host]) if page else "")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                              names=out.names)

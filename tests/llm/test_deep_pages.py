@@ -6,7 +6,7 @@ from sparkprep.llm import html_text
 
 
 def text_of(page):
-    return html_text.main_text(page, html_text.Roles(None))
+    return html_text.main_text(page, html_text.Roles())
 
 
 def test_deep_pages_keep_their_text_in_order(spark):

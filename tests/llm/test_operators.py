@@ -199,11 +199,10 @@ def test_license_wording_is_confirmed():
 
 
 def host_texts(pages):
-    whole = None
+    whole = {}
     for page in pages:
-        item = html_text._item(html_text.parse(page))
-        whole = item if whole is None else html_text.merged(whole, item)
-    return [html_text.main_text(page, html_text.Roles(whole)) for page in pages]
+        html_text.joined(whole, html_text.shape(html_text.parse(page)))
+    return [html_text.main_text(page, html_text.decided(html_text.trimmed(whole))) for page in pages]
 
 
 @pytest.mark.parametrize("region", ["article", "main", "div"])
