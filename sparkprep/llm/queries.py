@@ -36,7 +36,9 @@ def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
                         F.array_join(F.transform("matches", lambda m: F.concat_ws(
                             ":", m["license"], m["start"].cast("string"), m["end"].cast("string"),
                             m["missing"].cast("string"), m["added"].cast("string"))), ",")
-                        .alias("matches"))
+                        .alias("matches"),
+                        F.array_join(F.transform("matches", lambda m: F.format_number(m["reduction"], 4)), ",")
+                        .alias("reductions"))
 
 
 def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
