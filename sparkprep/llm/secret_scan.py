@@ -10,7 +10,8 @@ of kind ``entropy``, so keys of letters only are found and words and numbers are
 what the allow list matches takes no part in any window, and nothing else is spared.
 
 Defined results: null texts count as empty and have no spans; whole texts are
-scanned, row by row, without a shuffle; repeated rows each get their result.
+scanned, row by row, without a shuffle; repeated rows each get their result; an empty table
+gives an empty one; columns besides id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -64,6 +65,10 @@ def odd_pair(x: str, y: str) -> bool:
 ODD = frozenset(x + y for x in ascii_letters + digits for y in ascii_letters + digits if odd_pair(x, y))
 
 
+#: Units a bit in the windows' sums.
+UNIT = 1 << 32
+
+
 @dataclass(frozen=True)
 class CharClass:
     """Runs of ``chars`` with a window of ``width`` at or above ``bits`` and with at least
@@ -100,7 +105,8 @@ class Scanner:
         self.runs = [(re.compile(rf"[{c.chars}]{{{c.width},}}"), c) for c in entropy.classes]
         self.allowed = [re.compile(p) for p in entropy.allowed]
         top = max(c.width for c in entropy.classes) + 1
-        self.weight = [0.0] + [n * log2(n) for n in range(1, top + 1)]
+        #: n log2 n in whole units, so that a window's sum does not depend on those before it.
+        self.weight = [0] + [round(n * log2(n) * UNIT) for n in range(1, top + 1)]
 
     def base(self, text: str) -> list[tuple[str, int, int]]:
         out = []
@@ -112,7 +118,8 @@ class Scanner:
     def windows(self, s: str, c: CharClass) -> Iterator[int]:
         """Starts of the windows of ``s`` that reach the class's entropy and odd neighbours."""
         counts: dict[str, int] = {}
-        total, odd, weight, w = 0.0, 0, self.weight, c.width
+        total, odd, weight, w = 0, 0, self.weight, c.width
+        most = round((log2(w) - c.bits) * w * UNIT) + w  # rounding is less than a unit a character
         for i, x in enumerate(s):
             n = counts.get(x, 0)
             total += weight[n + 1] - weight[n]
@@ -124,7 +131,7 @@ class Scanner:
                 total += weight[n - 1] - weight[n]
                 counts[y] = n - 1
                 odd -= s[i - w:i - w + 2] in ODD
-            if i >= w - 1 and odd >= c.odd and log2(w) - total / w >= c.bits:
+            if i >= w - 1 and odd >= c.odd and total <= most:
                 yield i - w + 1
 
     def uncovered(self, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
