@@ -350,3 +350,49 @@ def test_split_is_exact_for_any_exponent_and_sums_do_not_depend_on_the_path(monk
         list(held.add(a, a % 2 == 0, parts))
         sums.append([v.tolist() for v in held.held])
     assert sums[0] == sums[1]
+
+
+def test_kmeans_spreads_points_of_few_tasks_and_keeps_every_bit(spark, monkeypatch):
+    from sparkprep.operators import kmeans as km
+    df = _points_100(spark, 900).coalesce(1)
+    plain = km.kmeans_sweeps(df, "id", "x", [2, 5], max_iter=4).collect()
+    monkeypatch.setattr(km, "TASK_VALUES", 600)
+    seen, lloyd = [], km._lloyd
+
+    def watched(points, models, shape, *more):
+        rows = points.groupBy(F.spark_partition_id().alias("pid")).count().collect()
+        seen.append((shape.parts, sorted(r["count"] for r in rows)))
+        return lloyd(points, models, shape, *more)
+
+    monkeypatch.setattr(km, "_lloyd", watched)
+    assert km.kmeans_sweeps(df, "id", "x", [2, 5], max_iter=4).collect() == plain
+    parts, counts = seen[0]
+    assert parts == len(counts) == km.CORE_TASKS * spark.sparkContext.defaultParallelism
+    assert sum(counts) == 900 and counts[-1] <= 1.5 * 900 / parts
+    km.kmeans_sweeps(df.repartition(30), "id", "x", [2], max_iter=1).collect()
+    assert seen[1][0] == 30  # tasks enough: left as they are
+
+
+def test_nearest_centroid_and_lead_on_both_paths(monkeypatch):
+    import numpy as np
+    from sparkprep.operators import kmeans as km
+
+    rng = np.random.default_rng(21)
+    for k, n in ((2, 1), (5, 9_000), (40, 5_000), (90, 700)):
+        x, c = rng.normal(size=(n, 3)), rng.normal(size=(k, 3))
+        c[k // 2] = c[0]  # equal centroids: the lower index
+        d2 = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        lead = np.sort(np.sqrt(d2), axis=1)
+        for limit in (0, 64, 1_000):
+            monkeypatch.setattr(km, "LOOP_CLUSTERS", limit)
+            a, margin = km._assign(x, c, with_margin=True)
+            assert (a == d2.argmin(axis=1)).all() and (margin <= lead[:, 1] - lead[:, 0]).all()
+            clear = lead[:, 1] - lead[:, 0] > 1e-3
+            assert (margin[clear] > (lead[:, 1] - lead[:, 0])[clear] - 1e-4).all()
+    # a point whose lead exceeds the threshold of its centroid had the same nearest one before
+    prev = c + rng.normal(size=c.shape) * 0.02 * (np.arange(k)[:, None] == 7)
+    moves = km._moves(c, prev)
+    one = np.sqrt(((c - prev)[7] ** 2).sum())
+    assert np.allclose(moves, one) and moves.shape == (k,)
+    sure = margin > moves[a]
+    assert sure.any() and (a[sure] == km._assign(x[sure], prev)).all()
