@@ -22,7 +22,7 @@ from sparkprep.sources.tables import read_table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines their hosts repeat too often."""
-    return quality.passed(docs)
+    return quality.passed(docs, limits=quality.CORPUS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

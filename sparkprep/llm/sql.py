@@ -57,7 +57,11 @@ ln AS (
            regexp_replace(lower(trim(regexp_replace(raw, {_CUT}, ' ', 'g'), ' ')), '[0-9]', '0', 'g') AS line
     FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS raw FROM d)),
 held AS (SELECT host, line, count(DISTINCT t) AS n FROM ln WHERE line <> '' GROUP BY host, line),
-bad AS (SELECT host, line FROM held WHERE held.n > 40),
+hosts AS (SELECT host, count(DISTINCT t) AS n_docs FROM
+              (SELECT coalesce('=' || source, '-') AS host, md5(text) AS t FROM documents WHERE text IS NOT NULL)
+          GROUP BY host),
+bad AS (SELECT host, line FROM held JOIN hosts USING (host)
+        WHERE held.n > 40 OR held.n > 5 AND held.n > n_docs * CAST(0.05 AS DOUBLE)),
 lft AS (
     SELECT doc_id, sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) AS words_left
     FROM ln WHERE NOT EXISTS (SELECT 1 FROM bad WHERE bad.host = ln.host AND bad.line = ln.line)
