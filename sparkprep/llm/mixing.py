@@ -14,8 +14,10 @@ a window. The one global window runs over the table of sources, one row each.
 
 The order key hashes id, seed and text, so rows with one repeated or null id spread over
 the buckets like any others; only rows equal in id and text share a key. Sizes and keys
-are worked out from the texts once and written, with no column but what ``carry`` names,
-to the shared folder.
+are worked out from the texts and written, without any other column, to the shared folder;
+with ``carry`` they are worked out again beside the carried columns, so that no copy of the
+texts is written and the texts move once to their buckets (and once into training order).
+``docs`` is then read twice and must be the same both times, as written tables are.
 
 Defined results: a null text has size 0; null sources are one source, ranked
 last; a source without words has target 0; documents without words are not
@@ -123,20 +125,25 @@ def planned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = of(docs, text_col)
     key = F.md5(F.concat_ws(":", F.coalesce(of(docs, id_col).cast("string"), F.lit("-")), F.lit(mix.seed),
                             F.md5(F.coalesce(text, F.lit("")))))
-    rows = docs.select(of(docs, id_col).alias("id"), of(docs, source_col).alias("src"),
-                       word_count(text).alias("size"), key.alias("key"),
-                       *([F.struct(*[of(docs, c).alias(f"c{i}") for i, c in enumerate(carry)])
-                          .alias("row")] if carry else []))
-    rows = written(rows, "mix-sizes")
+    narrow = [of(docs, id_col).alias("id"), of(docs, source_col).alias("src"),
+              word_count(text).alias("size"), key.alias("key")]
+    sizes = rows = written(docs.select(*narrow), "mix-sizes")
+    if carry:
+        rows = docs.select(*narrow, F.struct(*[of(docs, c).alias(f"c{i}") for i, c in enumerate(carry)])
+                           .alias("row"))
     word = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     n_buckets = F.floor(F.col("n_docs") / BUCKET_DOCS) + 1
-    sources = written(source_targets(rows.select("src", "size"), mix), "mix").withColumnRenamed(
+    sources = written(source_targets(sizes.select("src", "size"), mix), "mix").withColumnRenamed(
         "src", "t_src")
     if sources.count() <= BROADCAST_SOURCES:
         sources = F.broadcast(sources)
-    rows = rows.join(sources, rows["src"].eqNullSafe(sources["t_src"]))
-    rows = rows.withColumn("bucket", F.shiftright(word * n_buckets, 32))
-    buckets = rows.groupBy("rank", "bucket").agg(F.sum("size").alias("b_size"))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        df = df.join(sources, df["src"].eqNullSafe(sources["t_src"]))
+        return df.withColumn("bucket", F.shiftright(word * n_buckets, 32))
+
+    rows = dealt(rows)
+    buckets = dealt(sizes).groupBy("rank", "bucket").agg(F.sum("size").alias("b_size"))
     buckets = buckets.withColumn("super", F.floor(F.col("bucket") / FAN))
     inner = Window.partitionBy("rank", "super").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)

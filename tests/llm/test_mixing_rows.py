@@ -1,9 +1,12 @@
 """The mix over rows that share an id."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from sparkprep.llm import mixing
+from sparkprep.session import checkpoint_dir
 
 SCHEMA = "doc_id long, text string, source string, size int, key string, row string"
 
@@ -39,3 +42,21 @@ def test_carried_columns_keep_their_names(spark):
     mix = mixing.curriculum(docs)
     assert mix.columns == docs.columns and {r["key"] for r in mix.collect()} == {"clash"}
     assert mixing.planned(docs.limit(0)).count() == 0
+
+
+def test_the_mix_writes_no_copy_of_the_texts(spark, tmp_path):
+    def tables():
+        at = checkpoint_dir(spark).removeprefix("file:")
+        return {os.path.join(at, d) for d in os.listdir(at)}
+
+    texts = {i: " ".join(f"w{i}x{j * j}" for j in range(300)) for i in range(200)}
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame([(i, t, "abc"[i % 3], i, "k", "r") for i, t in texts.items()], SCHEMA).write.parquet(path)
+    docs, before = spark.read.parquet(path), tables()
+    mix = mixing.curriculum(docs).collect()
+    new = tables() - before
+    assert new and all("text" not in n and "row" not in n for d in new for n in spark.read.parquet(d).columns)
+    plan = {r["id"]: r for r in mixing.planned(docs).collect()}
+    assert all(r["text"] == texts[r["doc_id"]] for r in mix)
+    places = sorted((p, r["key"], i) for i, r in plan.items() for p in r["positions"])
+    assert [r["doc_id"] for r in mix] == [i for _, _, i in places]  # range-sorted, repeats included
