@@ -30,6 +30,9 @@ NumPy and emits only pairs within the bound that are not joined yet: first a for
 them, then, in buckets where a pair of the forest failed its check, all of them. Components come from alternating large-star
 and small-star rounds over the edge table. Edges, components and sketches stay in
 tables; the driver only reads counts.
+Texts and keys, the wide columns, are shuffled only for the rows a step asks for: before
+each such join, broadcast bitmaps of hashed ids or sets (``sifted``) set aside the rows
+that surely take no part. What a bitmap lets through in vain, the join drops.
 
 Defined results: null and empty texts have no shingles and stay alone; a text of fewer
 words than a shingle counts as one shingle of its whole word sequence; documents
@@ -65,6 +68,9 @@ CHUNK = 512
 #: One document in HOT_SAMPLE is looked at for hot parities; those with HOT_COUNT
 #: occurrences there, and a share of HOT_SHARE of the rows sampled, are routed apart.
 HOT_SAMPLE, HOT_COUNT, HOT_SHARE = 32, 32, 1e-5
+#: Bits of the bitmaps of ``sifted`` per distinct value, and at most (16 MB to broadcast); a
+#: bitmap holds MAP_BITS, as Spark's ``bitmap_construct_agg`` does.
+SIFT_BITS, SIFT_MOST, MAP_BITS = 16, 1 << 27, 1 << 15
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -216,6 +222,35 @@ def features(docs: DataFrame, id_col: str, text_col: str, similarity: Similarity
     return docs.select(of(docs, id_col), of(docs, text_col)).mapInArrow(run, out)
 
 
+def sifted(rows: DataFrame, columns: list[Column], wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(without, perhaps): the rows whose ``columns`` equal no row of ``wanted``, and the others.
+
+    All rows that equal one are among ``perhaps``, with up to one in SIFT_BITS that do not while
+    the bitmaps are below SIFT_MOST. No row is shuffled.
+    """
+    own = [of(wanted, c) for c in wanted.columns]
+    many = wanted.agg(F.approx_count_distinct(F.xxhash64(*own))).first()[0]
+    size = min(SIFT_MOST, max(MAP_BITS, 1 << (SIFT_BITS * many).bit_length()))
+
+    def part(place: Column) -> Column:
+        return F.shiftright(place, MAP_BITS.bit_length() - 1)
+
+    def bit(place: Column) -> Column:
+        return place.bitwiseAND(F.lit(MAP_BITS - 1))
+
+    place = F.pmod(F.xxhash64(*own), F.lit(size))
+    maps = wanted.select(place.alias("place")).groupBy(part(F.col("place")).alias("sift_part")).agg(
+        F.bitmap_construct_agg(bit(F.col("place"))).alias("sift_bits"))
+    maps = written(maps, "sift")
+    place = F.pmod(F.xxhash64(*columns), F.lit(size))
+    found = rows.join(F.broadcast(maps), part(place) == maps["sift_part"], "left")
+    byte = F.substring(maps["sift_bits"], F.shiftright(bit(place), 3).cast("int") + 1, F.lit(1))
+    there = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), bit(place).bitwiseAND(F.lit(7)).cast("int")) == 1
+    there = F.coalesce(there, F.lit(False))
+    same = [of(rows, c) for c in rows.columns]
+    return found.where(~there).select(*same), found.where(there).select(*same)
+
+
 def bucket_rows(reps: DataFrame) -> DataFrame:
     """(key, id, first): rows of the buckets with two members or more, ``first`` being the
     bucket's smallest id."""
@@ -260,6 +295,9 @@ def near(pairs: DataFrame, reps: DataFrame, similarity: Similarity) -> DataFrame
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity) -> DataFrame:
     """(a, b, linked): whole texts of both compared shingle by shingle."""
+    pairs = written(pairs, "pairs")
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b"))
+    texts = sifted(texts, [texts["id"]], ids)[1]
     both = (pairs.join(texts.toDF("a", "t_a"), "a").join(texts.toDF("b", "t_b"), "b")
             .select("a", "b", "t_a", "t_b"))
     out = T.StructType([*pairs.schema.fields, T.StructField("linked", T.BooleanType())])
@@ -429,6 +467,7 @@ def numbered(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]
              .where("n > 1").select("r_id"))
     if not missing and often.isEmpty():
         return docs, None
+    often = written(often, "often")
     top = max(top or 0, 0)
     if top >= 1 << 62:
         raise ValueError(f"no room for surrogates above {id_col} {top}")
@@ -439,24 +478,28 @@ def numbered(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]
     def with_id(rows: DataFrame, key: Column, *more: Column) -> DataFrame:
         return rows.select(*[(key if c == id_col else of(rows, c)).alias(c) for c in docs.columns], *more)
 
-    odd = docs.where(own.isNull()).unionAll(docs.join(often, own == often["r_id"], "left_semi"))
+    once, perhaps = sifted(docs.where(own.isNotNull()), [own], often)
+    again = of(perhaps, id_col) == often["r_id"]
+    odd = docs.where(own.isNull()).unionAll(perhaps.join(often, again, "left_semi"))
     extra = written(with_id(odd, F.monotonically_increasing_id() + F.lit(top + 1), of(odd, id_col).alias(spare)),
                     "numbered")
-    plain = docs.where(own.isNotNull()).join(often, own == often["r_id"], "left_anti")
+    plain = once.unionAll(perhaps.join(often, again, "left_anti"))
     names = extra.select(of(extra, id_col).alias("key"), of(extra, spare).alias("own"))
     return with_id(plain, of(plain, id_col).cast("long")).unionAll(extra.drop(spare)), names
 
 
 def _keyed(known: DataFrame, id_col: str, text_col: str, similarity: Similarity) -> DataFrame:
-    """(key, n, label) of rows whose ids are keys: set size and the smallest key reachable."""
+    """(key, n, label) of rows whose ids are keys, each there once: set size and the smallest
+    key reachable."""
     facts = written(features(known, id_col, text_col, similarity).withColumn("id", F.col("id").cast("long")),
                     "features")
-    sets = facts.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"))
+    sets = written(facts.where("n > 0").groupBy("set_a", "set_b", "n").agg(
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("members")), "sets")
     firsts = sets.select(F.col("rep").alias("id"))
-    reps = facts.join(firsts, "id", "left_semi").dropDuplicates(["id"])
-    rows = written(bucket_rows(reps), "buckets")
-    texts = known.select(of(known, id_col).cast("long").alias("id"), of(known, text_col).alias("text")
-                         ).dropDuplicates(["id"])
+    alone, perhaps = sifted(facts.where("n > 0"), [facts[c] for c in ("set_a", "set_b", "n")],
+                            sets.where("members > 1").select("set_a", "set_b", "n"))
+    rows = written(bucket_rows(alone.unionAll(perhaps.join(firsts, "id", "left_semi"))), "buckets")
+    texts = known.select(of(known, id_col).cast("long").alias("id"), of(known, text_col).alias("text"))
     stars = rows.where("id <> first").groupBy("id").agg(F.min("first").alias("first"))
     stars = stars.select(F.col("first").alias("a"), F.col("id").alias("b"))
     done = written(verified(near(stars, facts, similarity), texts, similarity), "checked")
@@ -521,11 +564,22 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known, names = numbered(docs, id_col)
     found = _keyed(known, id_col, text_col, similarity)
     if names is None:
-        copies = found.where("label <> key").select(F.col("key").alias("copy"))
-        return known.join(copies, of(known, id_col) == copies["copy"], "left_anti")
+        return _without(known, id_col, found.where("label <> key").select("key"))
     found = written(_owned(found, names), "keyed")
     first = found.groupBy("label").agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "key")).alias("f"))
-    stay = first.select(F.col("f.key").alias("s_key"), F.col("f.own").alias("s_own"))
-    kept = known.join(stay, of(known, id_col) == stay["s_key"])
-    return kept.select(*[(F.col("s_own").cast(kind) if c == id_col else of(known, c)).alias(c)
-                         for c in docs.columns])
+    stay = first.select(F.col("f.key").alias("s_key"))
+    kept = _without(known, id_col, found.join(stay, found["key"] == stay["s_key"], "left_anti").select("key"))
+    names = written(names.select(F.col("key").alias("n_key"), F.col("own").alias("n_own")), "names")
+    plain, perhaps = sifted(kept, [of(kept, id_col)], names.select("n_key"))
+    odd = perhaps.join(names, of(perhaps, id_col) == names["n_key"], "left")
+    own = F.when(names["n_key"].isNull(), of(perhaps, id_col)).otherwise(names["n_own"])
+    return plain.select(*[of(plain, c).cast(kind).alias(c) if c == id_col else of(plain, c)
+                          for c in docs.columns]).unionAll(odd.select(
+        *[own.cast(kind).alias(c) if c == id_col else of(perhaps, c) for c in docs.columns]))
+
+
+def _without(rows: DataFrame, id_col: str, keys: DataFrame) -> DataFrame:
+    """``rows`` but those whose id is in ``keys`` (key)."""
+    gone = written(keys.select(F.col("key").alias("gone")), "gone")
+    stay, perhaps = sifted(rows, [of(rows, id_col).cast("long")], gone)
+    return stay.unionAll(perhaps.join(gone, of(perhaps, id_col) == gone["gone"], "left_anti"))

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -92,3 +93,47 @@ def test_sets_dealt_again_still_meet():
         again += len(a) > sum(k for _, k, _ in keys.bands(low))
         assert len(np.intersect1d(a, b))
     assert again > 20
+
+
+def shuffled_bytes(spark):
+    """Size of the session's shuffle files."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return sum(f.stat().st_size for d in blocks.localDirsString() for f in Path(d).rglob("shuffle_*.data"))
+
+
+def wide_rows(distinct_ids):
+    """Documents of which a few are linked, with texts much wider than their block parities."""
+    rng, pairs = random.Random(11), []
+    for i in range(400):
+        text = " ".join(f"{rng.getrandbits(96):024x}" for _ in range(400))
+        pairs.append((i + 1, text))
+        if i % 40 == 0:
+            pairs += [(1001 + i, text + " more"), (2001 + i if distinct_ids else None, text + " yet more")]
+    return rows_of(pairs)
+
+
+@pytest.mark.parametrize("distinct_ids", [True, False])
+def test_texts_of_unlinked_documents_are_not_shuffled(spark, tmp_path, distinct_ids):
+    rows = wide_rows(distinct_ids)
+    spark.createDataFrame(rows, SCHEMA).repartition(4).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled_bytes(spark)
+        kept = sorted(r["own"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+        written = shuffled_bytes(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert kept == sorted(r[5] for r in rows if r[0] is not None and r[0] <= 400)
+    assert written < 0.6 * sum(len(r[1]) for r in rows)
+
+
+def test_sifting_loses_no_wanted_row(spark):
+    rows = spark.range(20000).selectExpr("id as a", "id % 7 as b", "cast(id as string) as gone", "1 as sift_part")
+    for wanted in (rows.where("a % 50 = 3"), rows.where("a < 0"), rows):
+        without, perhaps = jaccard.sifted(rows, [rows["a"], rows["b"]], wanted.select("a", "b"))
+        assert without.columns == perhaps.columns == rows.columns
+        assert without.join(wanted.select("a", "b"), ["a", "b"], "left_semi").count() == 0
+        n, many = perhaps.count(), wanted.count()
+        assert n + without.count() == 20000 and many <= n <= many + 20000 // jaccard.SIFT_BITS
