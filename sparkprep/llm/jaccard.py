@@ -6,7 +6,9 @@ most (q - p)(a + b) / (q + p) members.
 
 * Parity sketch: each shingle flips one bit; XOR of two sketches is the sketch of the
   symmetric difference, so their Hamming distance never exceeds its size. Pairs whose
-  distance is above the bound are dropped unread (``BITS`` bits per document).
+  distance is above the bound are dropped unread. A sketch has ``BITS`` bits at least and grows
+  with the set, or large sets, which share a block by chance, would all be within their bound;
+  of two lengths the longer is folded to the shorter, which is the sketch of that length.
 * Pigeonhole join: per size band, shingles are dealt to k blocks by hash, with k above
   the largest difference allowed in the band, so two linked documents agree in a block.
   A block's parity is kept as the XOR of its shingles' 64-bit hashes (the linear
@@ -24,12 +26,14 @@ once; parities shared by very many documents, found on a sample of documents tha
 only routes rows, are combined map-side instead, so a hot bucket is never gathered.
 Star round: each document is checked against the smallest document of its buckets,
 which joins groups of near copies in linear work. Buckets whose members
-are then still in several components are compared in full: members are dealt to chunks
+are then still in several components are compared in full (of buckets with the same members, one):
+members are dealt to chunks
 of ``CHUNK``, and each pair of chunks is one unit of work that compares sketches in
 NumPy and emits only pairs within the bound that are not joined yet: first a forest of
 them, then, in buckets where a pair of the forest failed its check, all of them. Components come from alternating large-star
 and small-star rounds over the edge table. Edges, components and sketches stay in
-tables; the driver only reads counts.
+tables; the driver only reads counts. The tables go when the keys' classes are written, the block
+parities, the largest, once the bucket rows are.
 Texts and keys, the wide columns, are shuffled only for the rows a step asks for: before
 each such join, broadcast bitmaps of hashed ids or sets (``sifted``) set aside the rows
 that surely take no part. What a bitmap lets through in vain, the join drops.
@@ -49,15 +53,16 @@ from math import ceil, exp, floor, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkprep.llm.common import of, written
+from sparkprep.llm.common import of, passing, written
 from sparkprep.session import ship_package
 
-#: Bits of a document's sketch, kept as 64-bit words.
+#: Least bits of a document's sketch, a power of two, kept as 64-bit words.
 BITS = 1024
 #: Largest size in a band over the smallest.
 BAND = 1.4
@@ -70,7 +75,7 @@ CHUNK = 512
 HOT_SAMPLE, HOT_COUNT, HOT_SHARE = 32, 32, 1e-5
 #: Bits of the bitmaps of ``sifted`` per distinct value, and at most (16 MB to broadcast); a
 #: bitmap holds MAP_BITS, as Spark's ``bitmap_construct_agg`` does.
-SIFT_BITS, SIFT_MOST, MAP_BITS = 16, 1 << 27, 1 << 15
+SIFT_BITS, SIFT_MOST, MAP_BITS = 64, 1 << 27, 1 << 15
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -87,6 +92,11 @@ class Similarity:
         """Largest symmetric difference of linked sets of a and b shingles."""
         return (self.q - self.p) * (a + b) // (self.q + self.p)
 
+    def bits(self, n: int) -> int:
+        """Length of the sketch of a set of n shingles. Unrelated sets differ in about half of so
+        many bits, twice their bound: room for the members of a bucket, whose sizes differ."""
+        return max(BITS, 1 << (4 * self.bound(n, n) - 1).bit_length())
+
     def partner(self, a: int) -> int:
         """Largest set that a set of a shingles can link with."""
         return a * self.q // self.p
@@ -145,12 +155,18 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Parity sketch as BITS / 64 words."""
-    odd = np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+def sketch(hashes: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parity sketch as bits / 64 words."""
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def same_length(sketches: list[np.ndarray]) -> np.ndarray:
+    """One row per sketch, each folded to the length of the shortest: that length's sketch."""
+    width = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(s.reshape(-1, width), axis=0) for s in sketches])
+
+
 class Parities:
     """Block parities of a set, for its own band and the band below it can link to."""
 
@@ -216,7 +232,8 @@ def features(docs: DataFrame, id_col: str, text_col: str, similarity: Similarity
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                     lists([sketch(s) for s in sets]), lists([parities.keys(s) for s in sets])],
+                     lists([sketch(s, similarity.bits(len(s))) for s in sets]),
+                     lists([parities.keys(s) for s in sets])],
                     names=out.names)
 
     return docs.select(of(docs, id_col), of(docs, text_col)).mapInArrow(run, out)
@@ -253,7 +270,7 @@ def sifted(rows: DataFrame, columns: list[Column], wanted: DataFrame) -> tuple[D
 
 def bucket_rows(reps: DataFrame) -> DataFrame:
     """(key, id, first): rows of the buckets with two members or more, ``first`` being the
-    bucket's smallest id."""
+    bucket's smallest id. Of buckets with the same members one is there, or some."""
     spark = reps.sparkSession
     rows = reps.select(F.explode("keys").alias("key"), "id")
     some = (reps.where(F.pmod(F.xxhash64("id"), F.lit(HOT_SAMPLE)) == 0)
@@ -265,6 +282,9 @@ def bucket_rows(reps: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     same = Window.partitionBy("key")
+    # the members as a set of 128 bits and their number
+    members = [F.bit_xor(F.xxhash64("id")), F.bit_xor(F.xxhash64("id", F.lit(1))), F.count(F.lit(1))]
+    named = ("set_a", "set_b", "size")
     if not sampled:
         usual, often = rows, None
     else:
@@ -272,15 +292,29 @@ def bucket_rows(reps: DataFrame) -> DataFrame:
         often = rows.join(F.broadcast(hot), "key", "left_semi")
     met = (usual.select("key", "id", F.count(F.lit(1)).over(same).alias("n"), F.min("id").over(same).alias("first"))
            .where("n > 1").drop("n"))
+    met = met.select("*", *[m.over(same).alias(c) for m, c in zip(members, named)])
     if often is not None:
-        firsts = often.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        firsts = often.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"),
+                                          *[m.alias(c) for m, c in zip(members, named)])
         firsts = firsts.where("first <> last").drop("last")
-        met = met.unionByName(often.join(F.broadcast(firsts), "key").select("key", "id", "first"))
-    return met
+        met = met.unionByName(often.join(F.broadcast(firsts), "key").select(*met.columns))
+    met = written(met, "met")
+    # a linked pair shares many of its parities, and each such bucket has the same pairs
+    kept = written(met.where("id = first").groupBy(*named).agg(F.min("key").alias("key")).select("key"), "kept")
+    return sifted(met.select("key", "id", "first"), [met["key"]], kept)[1]
 
 
 def _hamming(a: str, b: str):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+    """Hamming distance of two sketches, the longer folded to the shorter's length."""
+    width = F.least(F.size(a), F.size(b))
+
+    def folded(s: str) -> Column:
+        def word(i: Column) -> Column:
+            return F.aggregate(F.sequence(i, F.size(s) - 1, width), F.lit(0).cast("long"),
+                               lambda x, at: x.bitwiseXOR(F.get(s, at)))
+        return F.when(F.size(s) == width, F.col(s)).otherwise(F.transform(F.sequence(F.lit(0), width - 1), word))
+
+    return F.aggregate(F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
                        lambda s, x: s + x)
 
 
@@ -408,7 +442,9 @@ def compared(mixed: DataFrame, reps: DataFrame, similarity: Similarity, forest:
     def pairs_of(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
         key, i, j, chunk, ids, label, n = (table.column(c).to_numpy() for c in (
             "key", "i", "j", "chunk", "id", "label", "n"))
-        words = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)
+        lists = table.column("sketch").combine_chunks()
+        words = np.split(lists.flatten().to_numpy().view(np.uint64),
+                         np.cumsum(pc.list_value_length(lists).to_numpy())[:-1])
         found: list[tuple] = []
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             parent = {x: x for x in label[lo:hi].tolist()}
@@ -420,8 +456,8 @@ def compared(mixed: DataFrame, reps: DataFrame, similarity: Similarity, forest:
                     parent[x] = x = parent[parent[x]]
                 return x
 
-            for r, c in _near_pairs(n[lo:hi], label[lo:hi], chunk[lo:hi], words[lo:hi], i[lo] != j[lo],
-                                    similarity):
+            for r, c in _near_pairs(n[lo:hi], label[lo:hi], chunk[lo:hi], same_length(words[lo:hi]),
+                                    i[lo] != j[lo], similarity):
                 if forest:
                     x, y = root(label[lo + r].item()), root(label[lo + c].item())
                     if x == y:
@@ -490,15 +526,24 @@ def numbered(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]
 
 def _keyed(known: DataFrame, id_col: str, text_col: str, similarity: Similarity) -> DataFrame:
     """(key, n, label) of rows whose ids are keys, each there once: set size and the smallest
-    key reachable."""
-    facts = written(features(known, id_col, text_col, similarity).withColumn("id", F.col("id").cast("long")),
-                    "features")
-    sets = written(facts.where("n > 0").groupBy("set_a", "set_b", "n").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("members")), "sets")
-    firsts = sets.select(F.col("rep").alias("id"))
-    alone, perhaps = sifted(facts.where("n > 0"), [facts[c] for c in ("set_a", "set_b", "n")],
-                            sets.where("members > 1").select("set_a", "set_b", "n"))
-    rows = written(bucket_rows(alone.unionAll(perhaps.join(firsts, "id", "left_semi"))), "buckets")
+    key reachable. A written table."""
+    with passing(known.sparkSession):
+        return written(_labels(known, id_col, text_col, similarity), "labels", outlives=True)
+
+
+def _labels(known: DataFrame, id_col: str, text_col: str, similarity: Similarity) -> DataFrame:
+    """As ``_keyed``, over tables that are still there."""
+    with passing(known.sparkSession):
+        wide = written(features(known, id_col, text_col, similarity).withColumn("id", F.col("id").cast("long")),
+                       "features")
+        facts = written(wide.drop("keys"), "facts", outlives=True)
+        sets = written(facts.where("n > 0").groupBy("set_a", "set_b", "n").agg(
+            F.min("id").alias("rep"), F.count(F.lit(1)).alias("members")), "sets", outlives=True)
+        firsts = sets.select(F.col("rep").alias("id"))
+        alone, perhaps = sifted(wide.where("n > 0"), [wide[c] for c in ("set_a", "set_b", "n")],
+                                sets.where("members > 1").select("set_a", "set_b", "n"))
+        rows = written(bucket_rows(alone.unionAll(perhaps.join(firsts, "id", "left_semi"))), "buckets",
+                       outlives=True)
     texts = known.select(of(known, id_col).cast("long").alias("id"), of(known, text_col).alias("text"))
     stars = rows.where("id <> first").groupBy("id").agg(F.min("first").alias("first"))
     stars = stars.select(F.col("first").alias("a"), F.col("id").alias("b"))
